@@ -36,7 +36,8 @@ from foldmill.functions.hashing import key_hash
 from foldmill.operators.evaluate import PROBABILITY_FLOOR
 from foldmill.session import checkpoint
 
-ROWS_PER_SHARD = 50_000
+# A shard should be worth a task, and small enough to be sorted in one.
+ROWS_PER_SHARD, MOST_ROWS_PER_SHARD = 50_000, 5_000_000
 # Adam's usual settings (fixed values).
 ADAM_DECAY_1, ADAM_DECAY_2, ADAM_EPSILON = 0.9, 0.999, 1e-7
 
@@ -180,9 +181,9 @@ def training_rows(
 
 
 def default_shards(df: DataFrame) -> int:
-    """Enough shards for about ROWS_PER_SHARD rows each, but no more than a few per core."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return max(1, min(-(-df.count() // ROWS_PER_SHARD), 4 * cores))
+    """About ROWS_PER_SHARD rows each, on large tables a few shards per core, but never above MOST_ROWS_PER_SHARD rows."""
+    rows, cores = df.count(), df.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(-(-rows // ROWS_PER_SHARD), 4 * cores), -(-rows // MOST_ROWS_PER_SHARD))
 
 
 def _batches(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:

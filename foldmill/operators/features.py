@@ -116,17 +116,19 @@ class FeaturePlan:
             filled = [f"{c}_filled" for c in texts]
             index, onehot = [f"{c}_index" for c in texts], [f"{c}_onehot" for c in texts]
             parts += onehot
-            indexer = StringIndexerModel.from_arrays_of_labels(
-                [self.slots(c) for c in texts], inputCols=filled, outputCols=index, handleInvalid="keep"
-            )
             # "keep" adds one slot for unknown values behind the known ones and dropLast removes just that slot.
-            # The sizes come from the indexer's metadata: no rows are needed to fit.
+            # One indexer per column: label lists of unequal length would be padded.
+            indexers = [
+                StringIndexerModel.from_labels(self.slots(c), inputCol=f, outputCol=i, handleInvalid="keep")
+                for c, f, i in zip(texts, filled, index)
+            ]
+            # The encoder's sizes come from the indexers' metadata: no rows are needed to fit it.
             no_rows = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in filled))
             encoder = OneHotEncoder(inputCols=index, outputCols=onehot, dropLast=True)
             stages += [
                 FillCategories(inputCols=texts, outputCols=filled, fills=[self.fills[c] for c in texts]),
-                indexer,
-                encoder.fit(indexer.transform(no_rows)),
+                *indexers,
+                encoder.fit(PipelineModel(indexers).transform(no_rows)),
             ]
         stages.append(VectorAssembler(inputCols=parts, outputCol=output))
         return PipelineModel(stages)

@@ -64,8 +64,9 @@ def list_pieces(rows: int, folds: int, ids_per_list: int = 10_000) -> int:
 
 
 def rows_by_id_list(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """The rows whose key is listed; ``ids`` may repeat keys."""
-    return df.join(ids.select(key), key, "left_semi")
+    """The rows whose key is listed. ``ids`` may repeat keys; they are made distinct before the shuffle, so that an often
+    repeated one does not fill a partition."""
+    return df.join(ids.select(key).distinct(), key, "left_semi")
 
 
 def join_folds(df: DataFrame, fold_table: DataFrame, key: str) -> DataFrame:
@@ -106,6 +107,13 @@ def shuffled_positions(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
     return global_rank(df, key, seed, "position")
 
 
+# Up to here the first rows are kept in memory while sorting; larger samples are cut at a border row instead.
+LARGEST_SORTED_SAMPLE = 10_000
+
+
 def sample_n(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """Exactly ``n`` rows (or all, if fewer), the first in the seeded order."""
-    return df.orderBy(key_hash(key, seed), key).limit(n)
+    if n <= LARGEST_SORTED_SAMPLE:
+        return df.orderBy(key_hash(key, seed), key).limit(n)
+    _, cuts = rank_cuts(df, key, seed, lambda _: [n])
+    return df.filter(cuts_passed(cuts, key, seed) == 0)

@@ -130,14 +130,6 @@ def most_frequent(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return counts.groupBy(*by, "column_name").agg(F.min_by("value", rank).alias("mode"))
 
 
-def categories(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Distinct non-null values per column with their place in sorted order."""
-    place = Window.partitionBy("column_name").orderBy("value")
-    return category_counts(df, cols).select(
-        "column_name", "value", (F.row_number().over(place) - 1).cast("bigint").alias("idx")
-    )
-
-
 def collect_bounded(df: DataFrame, limit: int, what: str) -> list:
     """Collect a table that has to be small, failing rather than cutting it when it is not."""
     rows = df.limit(limit + 1).collect()
@@ -150,3 +142,16 @@ def class_list(df: DataFrame, label: str, limit: int = MAX_CATEGORIES) -> list:
     """The sorted distinct labels."""
     distinct = df.select(label).filter(F.col(label).isNotNull()).distinct()
     return sorted(r[0] for r in collect_bounded(distinct, limit, f"classes of {label}"))
+
+
+def categories(df: DataFrame, cols: Sequence[str], limit: int = MAX_CATEGORIES) -> DataFrame:
+    """Distinct non-null values per column with their place in sorted order.
+
+    The counting is distributed; only the vocabulary itself, which has to be small to be of use, is put in order here.
+    """
+    counts = category_counts(df, cols).select("column_name", "value")
+    rows, place = [], 0
+    for r in sorted(collect_bounded(counts, limit, "categories")):
+        place = place + 1 if rows and rows[-1][0] == r["column_name"] else 0
+        rows.append((r["column_name"], r["value"], place))
+    return df.sparkSession.createDataFrame(rows, "column_name string, value string, idx bigint")

@@ -295,7 +295,8 @@ def _train_history() -> str:
 
 
 LISTS = FOLDED + """, pieces as (select fold home,
-        cast('0x' || substr(md5(concat('42:piece:', cast(id as string))), 1, 8) as bigint) % 3 piece, list(id order by id) ids
+        cast('0x' || substr(md5(concat('42:piece:', cast(id as string))), 1, 8) as bigint) %
+        (select greatest(1, (count(*) + 4999) // 5000) from samples) piece, list(id order by id) ids
         from f group by 1, 2),
     lists as (select k.fold, case when k.fold = home then 'test' else 'train' end role, home source_fold, piece, ids
               from pieces cross join (select distinct fold from f) k)"""

@@ -17,7 +17,7 @@ from foldmill.operators import clean, dense_net, evaluate, features, keys, model
 from foldmill.session import new_folder, ship_package
 from foldmill.sources import registry, runs, tables
 
-FOLDS = 5
+FOLDS, IDS_PER_LIST = 5, 1000
 WHEN = datetime(2024, 1, 2, 3, 4, 5, tzinfo=timezone.utc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,24 @@ def folded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.kfold(fx.samples(spark, sf_dir), "id", FOLDS)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write a table that several passes will read, so that its joins run once."""
+    spark, path = df.sparkSession, new_folder(df.sparkSession, "stored")
+    tables.write_path(df, path)
+    return tables.read_path(spark, path)
+
+
+def learnable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cols = fx.LEARNABLE
+    return stored(fx.samples(spark, sf_dir).select(cols.key, cols.label, *cols.numeric, *cols.categorical))
+
+
+def fold_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = stored(folded(spark, sf_dir).select("id", "fold"))
+    pieces = split.list_pieces(rows.count(), FOLDS, IDS_PER_LIST)
+    return split.fold_id_lists(rows, "id", FOLDS, pieces)
+
+
 def with_fixed_scores(df: DataFrame) -> DataFrame:
     """Class scores by a fixed rule instead of trained weights, so that the results can be stated in SQL."""
     scores = F.array(F.col("price") / 100000.0, F.col("bal") / 10000.0, F.lit(0.5))
@@ -164,8 +182,7 @@ def stamp_batch(spark, sf_dir):
 
 @query
 def decode_ids(spark, sf_dir):
-    lists = split.fold_id_lists(folded(spark, sf_dir).select("id", "fold"), "id", FOLDS, pieces=3)
-    encoded = lists.select("fold", "role", F.to_json("ids").alias("encoded"))
+    encoded = fold_lists(spark, sf_dir).select("fold", "role", F.to_json("ids").alias("encoded"))
     return clean.decode_ids(encoded, "encoded")
 
 
@@ -274,8 +291,7 @@ def kfold_hash(spark, sf_dir):
 
 @query
 def fold_id_lists(spark, sf_dir):
-    lists = split.fold_id_lists(folded(spark, sf_dir).select("id", "fold"), "id", FOLDS, pieces=3)
-    return lists.select("fold", "role", "source_fold", "piece", "ids")
+    return fold_lists(spark, sf_dir).select("fold", "role", "source_fold", "piece", "ids")
 
 
 @query
@@ -408,7 +424,8 @@ def fold_fit_stats(spark, sf_dir):
 
 @query
 def fold_transform(spark, sf_dir):
-    out = features.fold_transform(folded(spark, sf_dir), FOLDS, ["price", "qty"], ["prio"])
+    rows = stored(fx.samples(spark, sf_dir).select("id", "price", "qty", "prio"))
+    out = features.fold_transform(split.kfold(rows, "id", FOLDS), FOLDS, ["price", "qty"], ["prio"])
     return out.select(
         "id", "fold", rounded("price_scaled", 6).alias("price_scaled"), rounded("qty_scaled", 6).alias("qty_scaled"),
         "prio_filled",
@@ -417,7 +434,8 @@ def fold_transform(spark, sf_dir):
 
 @query
 def transform_fold(spark, sf_dir):
-    rows = folded(spark, sf_dir)
+    rows = stored(fx.samples(spark, sf_dir).select("id", "label", "price", "qty", "prio"))
+    rows = split.kfold(rows, "id", FOLDS)
     plan = features.fit_fold_features(rows, FOLDS, ["price", "qty"], ["prio"])[2]
     out = features.transform_fold(rows, 2, plan, "label", stats.class_list(rows, "label"))
     return _slot_columns(out, ["id", "role", "target"], len(plan.names()))
@@ -425,7 +443,8 @@ def transform_fold(spark, sf_dir):
 
 @query
 def folds_partitioned(spark, sf_dir):
-    rows, path = folded(spark, sf_dir).select("id", "fold", "label", "price", "qty", "prio"), new_folder(spark, "folds")
+    rows = stored(fx.samples(spark, sf_dir).select("id", "label", "price", "qty", "prio"))
+    rows, path = split.kfold(rows, "id", FOLDS), new_folder(spark, "folds")
     plans = features.fit_fold_features(rows, FOLDS, ["price", "qty"], ["prio"])
     out = features.transform_all_folds(rows, FOLDS, plans, "label", stats.class_list(rows, "label"))
     tables.write_folds(out, path)
@@ -446,7 +465,7 @@ def _classes(rows: DataFrame) -> list[str]:
 
 @query
 def mlp_fit(spark, sf_dir):
-    cols, rows = fx.LEARNABLE, fx.samples(spark, sf_dir)
+    cols, rows = fx.LEARNABLE, learnable(spark, sf_dir)
     marked = split.holdout_tail(rows, "id")
     train, test = marked.filter("not is_holdout"), marked.filter("is_holdout")
     classes = _classes(rows)
@@ -461,8 +480,9 @@ HISTORY_EPOCHS, HISTORY_RATE = 3, 0.5
 
 @query
 def train_history(spark, sf_dir):
-    rows = split.holdout_tail(fx.samples(spark, sf_dir), "id", name="held_out")
     cols = model.Columns("id", "band", HISTORY_NUMERIC, [])
+    rows = stored(fx.samples(spark, sf_dir).select("id", "band", *HISTORY_NUMERIC))
+    rows = split.holdout_tail(rows, "id", name="held_out")
     plan = features.fit_features(rows.filter("not held_out"), HISTORY_NUMERIC, [])
     setting = _network(step="pass", epochs=HISTORY_EPOCHS, rate=HISTORY_RATE)
     _, fitted = model.fit_dense(rows, plan, cols, _classes(rows), setting, "held_out")
@@ -472,7 +492,7 @@ def train_history(spark, sf_dir):
 
 @query
 def train_minibatch(spark, sf_dir):
-    cols, rows = fx.LEARNABLE, split.holdout_tail(fx.samples(spark, sf_dir), "id", name="held_out")
+    cols, rows = fx.LEARNABLE, split.holdout_tail(learnable(spark, sf_dir), "id", name="held_out")
     plan = features.fit_features(rows.filter("not held_out"), cols.numeric, cols.categorical)
     _, fitted = model.fit_dense(rows, plan, cols, _classes(rows), _network(), "held_out")
     return dense_net.history_rows(spark, fitted)
@@ -496,7 +516,7 @@ def early_stop_epoch(spark, sf_dir):
 
 @query
 def cv_metrics(spark, sf_dir):
-    rows = folded(spark, sf_dir)
+    rows = stored(split.kfold(learnable(spark, sf_dir), "id", FOLDS))
     results = model.cross_validate(rows, FOLDS, fx.LEARNABLE, _classes(rows), _network(epochs=3))
     return model.fold_metric_rows(spark, results)
 
@@ -504,7 +524,7 @@ def cv_metrics(spark, sf_dir):
 @query
 def final_model(spark, sf_dir):
     """Train, register, load the newest version and score the whole table with it."""
-    rows, root = fx.samples(spark, sf_dir), new_folder(spark, "registry")
+    rows, root = learnable(spark, sf_dir), new_folder(spark, "registry")
     classes = _classes(rows)
     fitted, _, plan, _ = model.final_model(rows, fx.LEARNABLE, classes, _network())
     registry.register(spark, root, "band_classifier", fitted, "run-1", plan.names(), classes, WHEN)
@@ -582,10 +602,9 @@ def best_trial(spark, sf_dir):
 @query
 def tune_trials(spark, sf_dir):
     cols = fx.LEARNABLE
-    rows = clean.drop_missing(fx.samples(spark, sf_dir).select("id", "band", *cols.numeric, *cols.categorical))
-    parts = split.train_val_test(rows, "id")
+    parts = stored(split.train_val_test(clean.drop_missing(learnable(spark, sf_dir)), "id"))
     settings = [t | {"epochs": 2} for t in tune.trial_settings(2)]
-    results, _ = tune.run_trials(parts, cols, _classes(rows), settings)
+    results, _ = tune.run_trials(parts, cols, _classes(parts), settings)
     return results
 
 
