@@ -1,4 +1,4 @@
-"""A small dense classifier (ReLU layers, softmax output) trained by Spark jobs.
+"""Small dense classifiers (ReLU layers, softmax output) trained by Spark jobs.
 
 Two ways to spend a pass over the rows:
 
@@ -10,14 +10,18 @@ Two ways to spend a pass over the rows:
     shards' results are averaged weighted by their rows (local SGD with averaging after each pass). With one shard this is
     ordinary mini-batch training. Rows go to shards by key hash and are read in hash order, so a rerun sees the same batches.
 
-Either way the job of one pass returns sums of the length of the weight vector, added up on the executors;
-only that one vector reaches the driver, and the weights travel back with the next job. The model family, loss and
-update rule are those of the usual libraries; the trained weights are not, since the order of updates differs.
+Several networks are trained by the same passes: the folds of a cross-validation or the trials of a search
+differ in their features, settings and held-out rows, but read the same stored rows. So five folds of fifty epochs cost
+fifty passes over the table, not two hundred and fifty.
+
+The job of one pass returns, per network, sums of the length of its weights, added up on the executors; only those
+reach the driver, and the weights travel back with the next job. The model family, loss and update rule are those of the
+usual libraries; the trained weights are not, since the order of updates differs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -29,11 +33,12 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasProbabilityCol
 from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldmill.functions.hashing import key_hash
 from foldmill.operators.evaluate import PROBABILITY_FLOOR
+from foldmill.operators.features import View
 from foldmill.session import checkpoint
 
 # A shard should be worth a task, and small enough to be sorted in one.
@@ -137,9 +142,9 @@ class Updater:
 
 @dataclass
 class Training:
-    """Settings of one training run."""
+    """Settings of one network; ``hidden`` are the sizes between the features and the classes."""
 
-    layers: list[int]
+    hidden: list[int]
     epochs: int = 50
     rate: float = 0.01
     step: str = "batch"
@@ -148,7 +153,24 @@ class Training:
     dropout: float = 0.0
     patience: int | None = None
     seed: int = 42
-    shards: int | None = None
+
+
+@dataclass
+class Member:
+    """One network of a joint training: its features, its settings, and the parts it is only scored on."""
+
+    view: View
+    classes: int
+    setting: Training
+    held: tuple[int, ...] = ()
+
+    @property
+    def layers(self) -> list[int]:
+        return [self.view.width, *self.setting.hidden, self.classes]
+
+    @property
+    def updater(self) -> Updater:
+        return Updater(self.setting.optimizer, self.setting.rate, weight_count(self.layers))
 
 
 @dataclass
@@ -157,26 +179,24 @@ class Fitted:
     weights: np.ndarray
     history: list[dict] = field(default_factory=list)
     best_epoch: int = 0
+    held_rows: int = 0
 
     def model(self, **cols) -> "DenseNetModel":
         return DenseNetModel(layers=self.layers, weights=[float(w) for w in self.weights], **cols)
 
 
 def training_rows(
-    df: DataFrame, features: str, target: str, key: str, setting: Training, held_out: str | None = None
+    df: DataFrame, raw: str, target: str, part: Column, key: str, shards: int | None = None, seed: int = 42
 ) -> DataFrame:
-    """The rows a run reads again in every pass: features as plain array, target and the held-out mark.
+    """The rows the passes read: raw features, target and part, spread over shards by key and ordered by its hash.
 
     Stored by ``checkpoint``, so that a pass reads finished partitions and a lost executor costs no re-preparation.
     """
-    mark = F.col(held_out) if held_out else F.lit(False)
     rows = df.select(
-        vector_to_array(features).alias("x"), F.col(target).cast("long").alias("y"), mark.alias("held_out"),
+        F.col(raw).alias("raw"), F.col(target).cast("long").alias("y"), part.cast("long").alias("part"),
         F.col(key).alias("_key"),
     )
-    if setting.step == "batch":
-        shards = setting.shards or default_shards(df)
-        rows = rows.repartition(shards, "_key").sortWithinPartitions(key_hash("_key", setting.seed))
+    rows = rows.repartition(shards or default_shards(df), "_key").sortWithinPartitions(key_hash("_key", seed))
     return checkpoint(rows.drop("_key"))
 
 
@@ -186,119 +206,147 @@ def default_shards(df: DataFrame) -> int:
     return max(1, min(-(-rows // ROWS_PER_SHARD), 4 * cores), -(-rows // MOST_ROWS_PER_SHARD))
 
 
-def _batches(it: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    for b in it:
-        if b.num_rows:
-            x = b.column("x").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
-            held = b.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
-            yield x, b.column("y").to_numpy(zero_copy_only=False), held
+class _Shard:
+    """One network's work on one shard during one pass."""
+
+    def __init__(self, member: Member, state: np.ndarray, epoch: int, shard: int):
+        self.member, self.setting, self.layers = member, member.setting, member.layers
+        self.size, self.update = weight_count(self.layers), member.updater
+        self.learning = epoch < self.setting.epochs
+        self.start, self.local = state[: self.size], state.copy()
+        self.total = np.zeros(self.size)
+        self.scores = np.zeros(6)
+        self.rng = np.random.default_rng([self.setting.seed, epoch, shard])
+        self.left = (np.empty((0, self.layers[0])), np.empty(0, dtype=np.int64))
+
+    def see(self, raw: np.ndarray, y: np.ndarray, part: np.ndarray) -> None:
+        x, held = self.member.view.vectors(raw), np.isin(part, self.member.held)
+        if held.any():
+            self.scores[3:] += _score(probabilities(self.start, self.layers, x[held]), y[held])
+        x, y = x[~held], y[~held]
+        if not self.learning or not len(y):
+            return
+        if self.setting.step == "pass":
+            self._learn(x, y)
+            return
+        order, batch = self.rng.permutation(len(y)), self.setting.batch
+        x, y = np.vstack([self.left[0], x[order]]), np.concatenate([self.left[1], y[order]])
+        full = len(y) - len(y) % batch
+        for at in range(0, full, batch):
+            self._learn(x[at : at + batch], y[at : at + batch])
+        self.left = (x[full:], y[full:])
+
+    def _learn(self, x: np.ndarray, y: np.ndarray) -> None:
+        drop = self.setting.dropout
+        keep = (lambda shape: (self.rng.random(shape) >= drop) / (1.0 - drop)) if drop else None
+        gradient, got = _gradient(self.local[: self.size], self.layers, x, y, keep)
+        self.scores[:3] += got
+        if self.setting.step == "pass":
+            self.total += gradient
+        else:
+            self.update.apply(self.local, gradient / len(y))
+
+    def sums(self) -> np.ndarray:
+        """Six scores (train, then held-out rows), then the summed gradient or the state weighted by its rows."""
+        if len(self.left[1]):
+            self._learn(*self.left)
+        share = self.total if self.setting.step == "pass" else self.local * self.scores[0]
+        return np.concatenate([self.scores, share])
 
 
 def _one_pass(
-    rows: DataFrame, setting: Training, state: np.ndarray, epoch: int, fan: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """Run one pass; returns six score sums (train, then held-out) and the summed gradient or state.
+    rows: DataFrame, active: dict[int, tuple[Member, np.ndarray]], epoch: int, fan: int
+) -> dict[int, np.ndarray]:
+    """Run one pass for the active networks; returns each one's sums.
 
-    The pass after the last epoch only scores the held-out rows.
+    A network's pass after its last epoch only scores the held-out rows.
     """
-    learning = epoch < setting.epochs
-    layers, size = setting.layers, weight_count(setting.layers)
-    update = Updater(setting.optimizer, setting.rate, size)
 
-    def work(it):
+    def work(batches):
         from pyspark import TaskContext
 
-        scores = np.zeros(6)
         shard = TaskContext.get().partitionId()
-        rng = np.random.default_rng([setting.seed, epoch, shard])
-        local = state.copy()
-        total = np.zeros(size if setting.step == "pass" else len(state))
-        left_x, left_y = np.empty((0, layers[0])), np.empty(0, dtype=np.int64)
-
-        def keep(shape):
-            return (rng.random(shape) >= setting.dropout) / (1.0 - setting.dropout)
-
-        def learn(x, y):
-            gradient, got = _gradient(local[:size], layers, x, y, keep if setting.dropout else None)
-            scores[:3] += got
-            if setting.step == "pass":
-                total[:] += gradient
-            else:
-                update.apply(local, gradient / len(y))
-
-        for x, y, held in _batches(it):
-            if held.any():
-                scores[3:] += _score(probabilities(state[:size], layers, x[held]), y[held])
-                x, y = x[~held], y[~held]
-            if not learning:
-                continue
-            if setting.step == "pass":
-                if len(y):
-                    learn(x, y)
-                continue
-            order = rng.permutation(len(y))
-            left_x, left_y = np.vstack([left_x, x[order]]), np.concatenate([left_y, y[order]])
-            full = len(left_y) - len(left_y) % setting.batch
-            for at in range(0, full, setting.batch):
-                learn(left_x[at : at + setting.batch], left_y[at : at + setting.batch])
-            left_x, left_y = left_x[full:], left_y[full:]
-        if len(left_y):
-            learn(left_x, left_y)
-        if setting.step == "batch":
-            total = local * scores[0]
-        sums = np.concatenate([scores, total])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([shard], pa.int64()), pa.array([sums], pa.list_(pa.float64()))], ["shard", "sums"]
-        )
-
-    parts = rows.mapInArrow(work, "shard long, sums array<double>")
+        runs = {i: _Shard(member, state, epoch, shard) for i, (member, state) in active.items()}
+        for b in batches:
+            if b.num_rows:
+                raw = b.column("raw").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+                y, part = (b.column(c).to_numpy(zero_copy_only=False) for c in ("y", "part"))
+                for run in runs.values():
+                    run.see(raw, y, part)
+        for i, run in runs.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([i], pa.int64()), pa.array([shard], pa.int64()), pa.array([run.sums()], pa.list_(pa.float64()))],
+                ["member", "shard", "sums"],
+            )
+
+    parts = rows.mapInArrow(work, "member long, shard long, sums array<double>")
     # Added up in two levels, so that neither one task nor the driver receives a vector per shard.
-    groups = parts.select((F.col("shard") % fan).alias("g"), array_to_vector("sums").alias("v"))
+    sums = parts.select("member", (F.col("shard") % fan).alias("g"), array_to_vector("sums").alias("v"))
     if fan > 1:
-        groups = groups.groupBy("g").agg(Summarizer.sum(F.col("v")).alias("v"))
-    sums = groups.agg(Summarizer.sum(F.col("v")).alias("v")).first()["v"].toArray()
-    return sums[:6], sums[6:]
+        sums = sums.groupBy("member", "g").agg(Summarizer.sum(F.col("v")).alias("v"))
+    sums = sums.groupBy("member").agg(Summarizer.sum(F.col("v")).alias("v"))
+    return {r["member"]: r["v"].toArray() for r in sums.collect()}
+
+
+class _Progress:
+    """The driver's side of one network: its state between passes, its history and its best weights."""
+
+    def __init__(self, member: Member):
+        self.member, self.size = member, weight_count(member.layers)
+        self.state = member.updater.start(initial_weights(member.layers, member.setting.seed))
+        self.history: list[dict] = []
+        self.best_loss, self.best_epoch, self.best = float("inf"), 0, self.state[: self.size].copy()
+        self.held_rows, self.done = 0, False
+
+    def take(self, epoch: int, sums: np.ndarray) -> None:
+        setting, total = self.member.setting, sums[6:]
+        n, loss, hits, held_n, held_loss, held_hits = (float(v) for v in sums[:6])
+        self.held_rows = int(held_n)
+        if epoch and held_n:
+            val_loss = held_loss / held_n
+            self.history[-1] |= {"val_loss": val_loss, "val_accuracy": held_hits / held_n}
+            if val_loss < self.best_loss:
+                self.best_loss, self.best_epoch, self.best = val_loss, epoch - 1, self.state[: self.size].copy()
+            elif setting.patience and epoch - 1 - self.best_epoch >= setting.patience:
+                self.done = True
+                return
+        if epoch == setting.epochs:
+            self.done = True
+            return
+        if n == 0:
+            raise ValueError("no rows to train on")
+        self.history.append({"step": epoch, "loss": loss / n, "accuracy": hits / n})
+        if setting.step == "pass":
+            self.member.updater.apply(self.state, total / n)
+        else:
+            self.state = total / n
+        # Without held-out rows there is nothing to score after the last epoch.
+        self.done = epoch == setting.epochs - 1 and not held_n
+
+    def fitted(self) -> Fitted:
+        if self.member.setting.patience and np.isfinite(self.best_loss):
+            weights, epoch = self.best, self.best_epoch
+        else:
+            weights, epoch = self.state[: self.size].copy(), len(self.history) - 1
+        return Fitted(self.member.layers, weights, self.history, epoch, self.held_rows)
 
 
-def train(rows: DataFrame, setting: Training) -> Fitted:
-    """Train on rows from :func:`training_rows`.
+def train(rows: DataFrame, members: Sequence[Member]) -> list[Fitted]:
+    """Train all members on rows from :func:`training_rows`.
 
     The held-out scores of an epoch are taken by the pass that follows it, which starts from the weights that epoch
     ended with; so ``epochs`` epochs cost ``epochs + 1`` passes, not twice as many. With ``patience`` the best
-    held-out loss decides which weights are kept.
+    held-out loss decides which weights are kept. Members that are done leave the passes to the others.
     """
-    size = weight_count(setting.layers)
-    update = Updater(setting.optimizer, setting.rate, size)
-    state = update.start(initial_weights(setting.layers, setting.seed))
-    history: list[dict] = []
-    best = (float("inf"), 0, state[:size].copy())
-
     fan = max(1, int(rows.rdd.getNumPartitions() ** 0.5))
-    has_held_out = True
-    for epoch in range(setting.epochs + 1):
-        if epoch == setting.epochs and not has_held_out:
+    progress = [_Progress(m) for m in members]
+    for epoch in range(max(m.setting.epochs for m in members) + 1):
+        active = {i: (p.member, p.state) for i, p in enumerate(progress) if not p.done}
+        if not active:
             break
-        scores, total = _one_pass(rows, setting, state, epoch, fan)
-        n, loss, hits, held_n, held_loss, held_hits = scores
-        has_held_out = held_n > 0
-        if epoch and has_held_out:
-            history[-1] |= {"val_loss": float(held_loss / held_n), "val_accuracy": float(held_hits / held_n)}
-            if held_loss / held_n < best[0]:
-                best = (held_loss / held_n, epoch - 1, state[:size].copy())
-            elif setting.patience and epoch - 1 - best[1] >= setting.patience:
-                break
-        if epoch == setting.epochs:
-            break
-        if n == 0:
-            raise ValueError("no rows to train on")
-        history.append({"step": epoch, "loss": float(loss / n), "accuracy": float(hits / n)})
-        if setting.step == "pass":
-            update.apply(state, total / n)
-        else:
-            state = total / n
-    if setting.patience and np.isfinite(best[0]):
-        return Fitted(setting.layers, best[2], history, best[1])
-    return Fitted(setting.layers, state[:size].copy(), history, len(history) - 1)
+        for i, sums in _one_pass(rows, active, epoch, fan).items():
+            progress[i].take(epoch, sums)
+    return [p.fitted() for p in progress]
 
 
 class DenseNetModel(Model, HasFeaturesCol, HasProbabilityCol, DefaultParamsReadable, DefaultParamsWritable):

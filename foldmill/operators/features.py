@@ -10,6 +10,7 @@ import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
@@ -134,6 +135,68 @@ class FeaturePlan:
         return PipelineModel(stages)
 
 
+@dataclass
+class View:
+    """A plan as arrays: turns raw rows of :func:`raw_rows` into the same vectors as the plan's pipeline.
+
+    Several plans can look at one stored set of raw rows, so folds share it, and one-hot slots are never stored.
+    """
+
+    columns: np.ndarray
+    means: np.ndarray
+    deviations: np.ndarray
+    codes: list[tuple[int, np.ndarray]]
+    width: int
+
+    def vectors(self, raw: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(raw), self.width))
+        known = raw[:, self.columns]
+        known = np.where(np.isnan(known), self.means, known)
+        out[:, : len(self.columns)] = (known - self.means) / self.deviations
+        for column, slot_of in self.codes:
+            slots = slot_of[raw[:, column].astype(np.int64)]
+            hit = np.flatnonzero(slots >= 0)
+            out[hit, slots[hit]] = 1.0
+        return out
+
+
+def union_vocabulary(plans: Sequence[FeaturePlan]) -> dict[str, list[str]]:
+    names = {c for p in plans for c in p.vocabulary}
+    return {c: sorted({v for p in plans for v in p.vocabulary.get(c, [])}) for c in names}
+
+
+def view_of(plan: FeaturePlan, vocabulary: dict[str, list[str]]) -> View:
+    """The plan over raw rows that were coded with ``vocabulary``."""
+    used = plan.used_numeric
+    deviations = [plan.deviations[c] or 1.0 for c in used]
+    at, codes = len(used), []
+    for c in plan.used_categorical:
+        place = {v: at + i for i, v in enumerate(plan.slots(c))}
+        # Known codes, then the code of values no plan knows, then that of null, which is -1.
+        slot_of = [place.get(v, -1) for v in vocabulary[c]] + [-1, place.get(plan.fills[c], -1)]
+        codes.append((len(plan.numeric) + plan.categorical.index(c), np.array(slot_of)))
+        at += len(place)
+    return View(
+        np.array([plan.numeric.index(c) for c in used], dtype=np.int64),
+        np.array([plan.means[c] for c in used]), np.array(deviations), codes, at,
+    )
+
+
+def raw_rows(
+    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], vocabulary: dict[str, list[str]], name: str = "raw"
+) -> DataFrame:
+    """Add an array of the numeric values (NaN where missing) and category codes (-1 where missing)."""
+    parts = [F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in numeric]
+    for c in categorical:
+        if not vocabulary.get(c):
+            parts.append(F.lit(-1.0))
+            continue
+        coder = StringIndexerModel.from_labels(vocabulary[c], inputCol=c, outputCol=f"_{c}", handleInvalid="keep")
+        df = coder.transform(df)
+        parts.append(F.when(F.col(c).isNull(), F.lit(-1.0)).otherwise(F.col(f"_{c}")))
+    return df.withColumn(name, F.array(*parts)).drop(*[f"_{c}" for c in categorical])
+
+
 def _plans(number_rows, count_rows, mode_rows, numeric, categorical, drop_first) -> dict[int, FeaturePlan]:
     plans: dict[int, FeaturePlan] = {}
 

@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
-from multiprocessing.pool import ThreadPool
+from dataclasses import dataclass
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldmill.operators import dense_net, evaluate, features, split, stats
@@ -33,17 +31,34 @@ def with_target(df: DataFrame, label: str, classes: Sequence) -> DataFrame:
     return df.withColumn("target", features.target_ordinal(label, classes))
 
 
+@dataclass
+class Job:
+    """One network to train: the fitted features, the settings, and the parts to hold out."""
+
+    plan: features.FeaturePlan
+    setting: dense_net.Training
+    held: tuple[int, ...] = ()
+
+
 def fit_dense(
-    df: DataFrame, plan: features.FeaturePlan, cols: Columns, classes: Sequence, setting: dense_net.Training,
-    held_out: str | None = None,
-) -> tuple[PipelineModel, dense_net.Fitted]:
-    """Features plus dense network as one pipeline; ``held_out`` marks rows that are only scored."""
-    stages = plan.pipeline(df.sparkSession)
-    prepared = with_target(stages.transform(df), cols.label, classes)
-    setting = replace(setting, layers=[len(plan.names()), *setting.layers, len(classes)])
-    rows = dense_net.training_rows(prepared, "features", "target", cols.key, setting, held_out)
-    fitted = dense_net.train(rows, setting)
-    return PipelineModel([*stages.stages, fitted.model()]), fitted
+    df: DataFrame, cols: Columns, classes: Sequence, jobs: Sequence[Job], part: Column | None = None,
+    shards: int | None = None,
+) -> list[tuple[PipelineModel, dense_net.Fitted]]:
+    """Train one network per job, all by the same passes, each returned with its features as one pipeline.
+
+    ``part`` numbers the parts of the table that jobs may hold out.
+    """
+    vocabulary = features.union_vocabulary([j.plan for j in jobs])
+    raw = features.raw_rows(with_target(df, cols.label, classes), cols.numeric, cols.categorical, vocabulary)
+    part = F.lit(0) if part is None else part
+    rows = dense_net.training_rows(raw, "raw", "target", part, cols.key, shards, jobs[0].setting.seed)
+    members = [
+        dense_net.Member(features.view_of(j.plan, vocabulary), len(classes), j.setting, j.held) for j in jobs
+    ]
+    return [
+        (PipelineModel([*job.plan.pipeline(df.sparkSession).stages, fitted.model()]), fitted)
+        for job, fitted in zip(jobs, dense_net.train(rows, members))
+    ]
 
 
 def fit_perceptron(
@@ -76,27 +91,27 @@ def evaluate_model(model: PipelineModel, df: DataFrame, label: str, classes: Seq
 
 
 def cross_validate(
-    folded: DataFrame, folds: int, cols: Columns, classes: Sequence, setting: dense_net.Training, parallelism: int = 1
+    folded: DataFrame, folds: int, cols: Columns, classes: Sequence, setting: dense_net.Training
 ) -> list[dict]:
     """Fresh transformers and a fresh network per fold, scored on the fold left out.
 
-    All folds' transformers come from two passes over the table. Folds train side by side when ``parallelism`` is above one.
+    Two passes over the table fit all folds' transformers, and one pass per epoch trains all folds' networks. The
+    last held-out scores of a network are those of its final weights on its test fold.
     """
     plans = features.fit_fold_features(folded, folds, cols.numeric, cols.categorical)
-
-    def one(fold: int) -> dict:
-        marked = folded.withColumn("held_out", F.col("fold") == fold)
-        model, fitted = fit_dense(marked, plans[fold], cols, classes, setting, "held_out")
-        scores = evaluate_model(model, split.test_rows(folded, fold), cols.label, classes).first()
-        return {
-            "fold": fold, "test_accuracy": scores["accuracy"], "test_loss": scores["loss"],
-            "n_test": scores["n_rows"], "history": fitted.history,
-        }
-
-    if parallelism == 1:
-        return [one(f) for f in range(folds)]
-    with ThreadPool(min(parallelism, folds)) as pool:
-        return pool.map(inheritable_thread_target(folded.sparkSession)(one), range(folds))
+    jobs = [Job(plans[f], setting, (f,)) for f in range(folds)]
+    results = []
+    for fold, (_, fitted) in enumerate(fit_dense(folded, cols, classes, jobs, F.col("fold"))):
+        if not fitted.held_rows:
+            raise ValueError(f"fold {fold} has no rows to test on")
+        last = fitted.history[-1]
+        results.append(
+            {
+                "fold": fold, "test_accuracy": last["val_accuracy"], "test_loss": last["val_loss"],
+                "n_test": fitted.held_rows, "history": fitted.history,
+            }
+        )
+    return results
 
 
 def fold_metric_rows(spark, results: list[dict]) -> DataFrame:
@@ -110,7 +125,7 @@ def final_model(
     """Fit transformers on all rows and the network on all but the tail, which validates it."""
     plan = features.fit_features(df, cols.numeric, cols.categorical)
     marked = split.holdout_tail(df, cols.key, share, setting.seed, "held_out")
-    model, fitted = fit_dense(marked, plan, cols, classes, setting, "held_out")
+    [(model, fitted)] = fit_dense(marked, cols, classes, [Job(plan, setting, (1,))], F.col("held_out").cast("long"))
     by_part = {
         r["held_out"]: r
         for r in evaluate.accuracy_and_loss(

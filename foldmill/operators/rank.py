@@ -47,7 +47,9 @@ def rank_cuts(
     """Row count, and the cut at each rank of ``ranks(row_count)``; ``None`` past the last row."""
     hashed = df.select(F.col(key).alias("k"), key_hash(key, seed).alias("h"))
     hashed = hashed.withColumn("p", F.substring("h", 1, digits))
-    counts = sorted((r["p"], r["count"]) for r in hashed.groupBy("p").count().collect())
+    # At most 16**digits rows.
+    counted = hashed.groupBy("p").agg(F.count("*").alias("n")).toArrow()
+    counts = sorted(zip(counted["p"].to_pylist(), counted["n"].to_pylist()))
     total = sum(c for _, c in counts)
 
     places: dict[int, tuple[str, int]] = {}

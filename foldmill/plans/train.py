@@ -33,10 +33,10 @@ class Outcome:
 def train(
     spark: SparkSession, samples: DataFrame, registry_root: str, name: str, when: datetime,
     cols: model.Columns = SAMPLE_COLUMNS, folds: int = 5, threshold: float = 0.7, runs_path: str | None = None,
-    setting: dense_net.Training | None = None, parallelism: int = 1,
+    setting: dense_net.Training | None = None,
 ) -> Outcome:
     """The whole training job over a stored, cleaned sample table with a unique key."""
-    setting = setting or dense_net.Training(layers=list(model.HIDDEN))
+    setting = setting or dense_net.Training(hidden=list(model.HIDDEN))
     clean.require_columns(samples, [cols.key, cols.label, *cols.numeric, *cols.categorical])
     clean.require_target(samples, cols.label)
     classes = model.class_list(samples, cols.label)
@@ -44,10 +44,11 @@ def train(
     # Stored with its folds: every later pass reads just these columns and compares no hashes again.
     path = new_folder(spark, "folded")
     kept = samples.select(cols.key, cols.label, *cols.numeric, *cols.categorical)
-    tables.write_path(split.kfold(kept, cols.key, folds, setting.seed), path)
-    folded = tables.read_path(spark, path)
+    assigned = split.kfold(kept, cols.key, folds, setting.seed)
+    tables.write_path(assigned, path)
+    folded = tables.read_path(spark, path, assigned.schema)
 
-    results = model.cross_validate(folded, folds, cols, classes, setting, parallelism)
+    results = model.cross_validate(folded, folds, cols, classes, setting)
     metrics = model.fold_metric_rows(spark, results)
     averages = {r["metric"]: r["value"] for r in evaluate.cv_average(metrics).collect()}
     share = evaluate.majority_share(folded, cols.label).first()[0]

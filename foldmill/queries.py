@@ -46,7 +46,7 @@ def stored(df: DataFrame) -> DataFrame:
     """Write a table that several passes will read, so that its joins run once."""
     spark, path = df.sparkSession, new_folder(df.sparkSession, "stored")
     tables.write_path(df, path)
-    return tables.read_path(spark, path)
+    return tables.read_path(spark, path, df.schema)
 
 
 def learnable(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -456,7 +456,7 @@ def folds_partitioned(spark, sf_dir):
 
 
 def _network(**changes) -> dense_net.Training:
-    return dense_net.Training(**({"layers": list(model.HIDDEN), "epochs": 5, "rate": 0.01, "batch": 32} | changes))
+    return dense_net.Training(**({"hidden": list(model.HIDDEN), "epochs": 5, "rate": 0.01, "batch": 32} | changes))
 
 
 def _classes(rows: DataFrame) -> list[str]:
@@ -485,7 +485,8 @@ def train_history(spark, sf_dir):
     rows = split.holdout_tail(rows, "id", name="held_out")
     plan = features.fit_features(rows.filter("not held_out"), HISTORY_NUMERIC, [])
     setting = _network(step="pass", epochs=HISTORY_EPOCHS, rate=HISTORY_RATE)
-    _, fitted = model.fit_dense(rows, plan, cols, _classes(rows), setting, "held_out")
+    job = model.Job(plan, setting, (1,))
+    [(_, fitted)] = model.fit_dense(rows, cols, _classes(rows), [job], F.col("held_out").cast("long"))
     names = ["train_loss", "train_accuracy", "val_loss", "val_accuracy"]
     return dense_net.history_rows(spark, fitted).select("step", *[rounded(n, 5).alias(n) for n in names])
 
@@ -494,7 +495,8 @@ def train_history(spark, sf_dir):
 def train_minibatch(spark, sf_dir):
     cols, rows = fx.LEARNABLE, split.holdout_tail(learnable(spark, sf_dir), "id", name="held_out")
     plan = features.fit_features(rows.filter("not held_out"), cols.numeric, cols.categorical)
-    _, fitted = model.fit_dense(rows, plan, cols, _classes(rows), _network(), "held_out")
+    job = model.Job(plan, _network(), (1,))
+    [(_, fitted)] = model.fit_dense(rows, cols, _classes(rows), [job], F.col("held_out").cast("long"))
     return dense_net.history_rows(spark, fitted)
 
 
@@ -517,7 +519,7 @@ def early_stop_epoch(spark, sf_dir):
 @query
 def cv_metrics(spark, sf_dir):
     rows = stored(split.kfold(learnable(spark, sf_dir), "id", FOLDS))
-    results = model.cross_validate(rows, FOLDS, fx.LEARNABLE, _classes(rows), _network(epochs=3))
+    results = model.cross_validate(rows, FOLDS, fx.LEARNABLE, _classes(rows), _network())
     return model.fold_metric_rows(spark, results)
 
 
@@ -603,7 +605,7 @@ def best_trial(spark, sf_dir):
 def tune_trials(spark, sf_dir):
     cols = fx.LEARNABLE
     parts = stored(split.train_val_test(clean.drop_missing(learnable(spark, sf_dir)), "id"))
-    settings = [t | {"epochs": 2} for t in tune.trial_settings(2)]
+    settings = [t | {"epochs": 4} for t in tune.trial_settings(5)]
     results, _ = tune.run_trials(parts, cols, _classes(parts), settings)
     return results
 

@@ -6,10 +6,12 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from foldmill.operators import dense_net, model
-from foldmill.operators.dense_net import Training, Updater, _gradient, _score, initial_weights, probabilities, weight_count
+from foldmill.operators import dense_net, features, model
+from foldmill.operators.dense_net import Member, Training, Updater, _gradient, _score, initial_weights, probabilities, weight_count
 
 LAYERS = [3, 5, 4, 3]
+# Three columns taken as they are.
+PLAIN = features.View(np.arange(3), np.zeros(3), np.ones(3), [], 3)
 
 
 def data(n=60, seed=0):
@@ -20,9 +22,14 @@ def data(n=60, seed=0):
 
 def rows_of(spark, x, y, held=None, partitions=3):
     held = np.zeros(len(y), bool) if held is None else held
-    rows = [(i, [float(v) for v in a], int(b), bool(h)) for i, (a, b, h) in enumerate(zip(x, y, held))]
-    df = spark.createDataFrame(rows, "id long, a array<double>, target long, held boolean").repartition(partitions)
-    return df.withColumn("features", array_to_vector("a"))
+    rows = [(i, [float(v) for v in a], int(b), int(h)) for i, (a, b, h) in enumerate(zip(x, y, held))]
+    df = spark.createDataFrame(rows, "id long, raw array<double>, target long, held long").repartition(partitions)
+    return df.withColumn("features", array_to_vector("raw"))
+
+
+def fit(df, *settings, shards=None, held=(1,)):
+    rows = dense_net.training_rows(df, "raw", "target", F.col("held"), "id", shards)
+    return dense_net.train(rows, [Member(PLAIN, 3, s, held) for s in settings])
 
 
 def test_gradient_equals_finite_differences():
@@ -41,13 +48,9 @@ def test_probabilities_sum_to_one():
     assert probabilities(initial_weights(LAYERS, 3), LAYERS, x * 100).sum(axis=1) == pytest.approx(1.0)
 
 
-def test_full_pass_does_not_depend_on_partitioning(spark):
+def test_full_pass_does_not_depend_on_shards(spark):
     x, y = data()
-    setting = Training(LAYERS, epochs=3, rate=0.3, step="pass")
-    got = [
-        dense_net.train(dense_net.training_rows(rows_of(spark, x, y, partitions=p), "features", "target", "id", setting), setting)
-        for p in (1, 4, 20)
-    ]
+    got = [fit(rows_of(spark, x, y), Training([5, 4], epochs=3, rate=0.3, step="pass"), shards=p)[0] for p in (1, 4, 20)]
     flat = initial_weights(LAYERS, 42)
     for _ in range(3):
         flat = flat - 0.3 * _gradient(flat, LAYERS, x, y)[0] / len(y)
@@ -57,31 +60,38 @@ def test_full_pass_does_not_depend_on_partitioning(spark):
 
 def test_batches_are_the_same_on_every_run(spark):
     x, y = data(200)
-    setting = Training(LAYERS, epochs=2, batch=16, shards=3)
-    got = []
-    for partitions in (2, 7):
-        df = rows_of(spark, x, y, partitions=partitions)
-        got.append(dense_net.train(dense_net.training_rows(df, "features", "target", "id", setting), setting).weights)
+    setting = Training([5, 4], epochs=2, batch=16)
+    got = [fit(rows_of(spark, x, y, partitions=p), setting, shards=3)[0].weights for p in (2, 7)]
     assert got[0] == pytest.approx(got[1], abs=1e-12)
 
 
+def test_training_together_equals_training_alone(spark):
+    x, y = data(150)
+    held = np.arange(150) % 5 == 0
+    settings = [Training([5, 4], epochs=2, batch=16), Training([7], epochs=4, optimizer="adam", dropout=0.2, batch=8),
+                Training([5], epochs=3, step="pass", rate=0.5)]
+    df = rows_of(spark, x, y, held)
+    together = fit(df, *settings, shards=2)
+    for setting, joint in zip(settings, together):
+        [alone] = fit(df, setting, shards=2)
+        assert joint.weights == pytest.approx(alone.weights, abs=1e-12)
+        assert joint.history == [pytest.approx(h) for h in alone.history] and len(joint.history) == setting.epochs
+
+
 @pytest.mark.parametrize("optimizer,rate,dropout", [("sgd", 0.1, 0.0), ("adam", 0.02, 0.0), ("adam", 0.02, 0.1)])
 def test_learning_lowers_the_loss(spark, optimizer, rate, dropout):
     x, y = data(300)
-    setting = Training([3, 16, 3], epochs=6, rate=rate, batch=8, optimizer=optimizer, dropout=dropout, shards=2)
-    rows = dense_net.training_rows(rows_of(spark, x, y), "features", "target", "id", setting)
-    history = dense_net.train(rows, setting).history
-    assert history[-1]["loss"] < 0.7 * history[0]["loss"]
+    setting = Training([16], epochs=6, rate=rate, batch=8, optimizer=optimizer, dropout=dropout)
+    [fitted] = fit(rows_of(spark, x, y), setting, shards=2)
+    assert fitted.history[-1]["loss"] < 0.7 * fitted.history[0]["loss"]
 
 
 def test_history_scores_the_weights_of_its_epoch(spark):
     x, y = data(120)
     held = np.arange(120) % 4 == 0
-    setting = Training(LAYERS, epochs=2, rate=0.2, step="pass")
-    rows = dense_net.training_rows(rows_of(spark, x, y, held), "features", "target", "id", setting, "held")
-    fitted = dense_net.train(rows, setting)
+    [fitted] = fit(rows_of(spark, x, y, held), Training([5, 4], epochs=2, rate=0.2, step="pass"))
     n, loss, hits = _score(probabilities(fitted.weights, LAYERS, x[held]), y[held])
-    assert len(fitted.history) == 2
+    assert len(fitted.history) == 2 and fitted.held_rows == n
     assert fitted.history[-1]["val_loss"] == pytest.approx(loss / n)
     assert fitted.history[-1]["val_accuracy"] == pytest.approx(hits / n)
 
@@ -90,9 +100,7 @@ def test_early_stop_keeps_the_best_weights(spark):
     x, y = data(120)
     held = np.arange(120) % 3 == 0
     y = np.where(held, np.random.default_rng(1).integers(0, 3, 120), y)
-    setting = Training(LAYERS, epochs=30, rate=2.0, step="pass", patience=2)
-    rows = dense_net.training_rows(rows_of(spark, x, y, held), "features", "target", "id", setting, "held")
-    fitted = dense_net.train(rows, setting)
+    [fitted] = fit(rows_of(spark, x, y, held), Training([5, 4], epochs=30, rate=2.0, step="pass", patience=2))
     losses = [h["val_loss"] for h in fitted.history if "val_loss" in h]
     assert len(fitted.history) < 30 and fitted.best_epoch == int(np.argmin(losses))
     n, loss, _ = _score(probabilities(fitted.weights, LAYERS, x[held]), y[held])
@@ -101,10 +109,8 @@ def test_early_stop_keeps_the_best_weights(spark):
 
 def test_no_train_rows_is_an_error(spark):
     x, y = data(5)
-    setting = Training(LAYERS, epochs=1, step="pass")
-    rows = dense_net.training_rows(rows_of(spark, x, y, np.ones(5, bool)), "features", "target", "id", setting, "held")
     with pytest.raises(ValueError, match="no rows"):
-        dense_net.train(rows, setting)
+        fit(rows_of(spark, x, y, np.ones(5, bool)), Training([5], epochs=1, step="pass"))
 
 
 def test_adam_moves_against_the_gradient():
@@ -133,8 +139,27 @@ def test_weight_count_matches():
     assert weight_count(LAYERS) == len(initial_weights(LAYERS, 0))
 
 
-def test_features_of_empty_partitions(spark):
+def test_more_shards_than_rows(spark):
     x, y = data(3)
-    df = rows_of(spark, x, y, partitions=8).filter(F.col("id") >= 0)
-    setting = Training(LAYERS, epochs=1, shards=6)
-    assert len(dense_net.train(dense_net.training_rows(df, "features", "target", "id", setting), setting).history) == 1
+    assert len(fit(rows_of(spark, x, y), Training([5], epochs=1), shards=6)[0].history) == 1
+
+
+def test_cross_validation_scores_are_those_of_the_test_fold(spark):
+    from foldmill.operators import split
+
+    df = spark.range(400).select(
+        "id", (F.col("id") % 7).cast("double").alias("v"),
+        F.when(F.col("id") % 5 > 0, F.concat(F.lit("s"), F.col("id") % 3)).alias("s"),
+        F.when(F.col("id") % 7 > 3, "b").otherwise("a").alias("y"),
+    )
+    folded = split.kfold(df, "id", 3)
+    cols = model.Columns("id", "y", ["v"], ["s"])
+    setting = Training([6], epochs=3, rate=0.1, batch=8)
+    results = model.cross_validate(folded, 3, cols, ["a", "b"], setting)
+    plans = features.fit_fold_features(folded, 3, ["v"], ["s"])
+    for fold in range(3):
+        [(fitted, _)] = model.fit_dense(folded, cols, ["a", "b"], [model.Job(plans[fold], setting, (fold,))], F.col("fold"))
+        scores = model.evaluate_model(fitted, split.test_rows(folded, fold), "y", ["a", "b"]).first()
+        assert results[fold]["n_test"] == scores["n_rows"]
+        assert results[fold]["test_accuracy"] == pytest.approx(scores["accuracy"])
+        assert results[fold]["test_loss"] == pytest.approx(scores["loss"])

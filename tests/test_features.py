@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -117,3 +118,21 @@ def test_describe_of_an_empty_and_a_single_row(make):
     assert empty["v"]["n"] == 0 and empty["v"]["mean"] is None
     one = {r["column_name"]: r for r in stats.describe(make([(2.0, "x")], "v double, s string")).collect()}
     assert one["v"]["mean"] == 2.0 and one["v"]["sd"] is None and one["s"]["max_text"] == "x"
+
+
+@pytest.mark.parametrize("drop_first", [False, True])
+def test_view_gives_the_same_vectors_as_the_stages(spark, drop_first):
+    """Also with missing values, values no plan knows, a value only another plan knows, and a constant column."""
+    train = spark.createDataFrame(
+        [(1.0, 5.0, None, "a", "x"), (None, 5.0, None, "b", None), (4.0, 5.0, None, "b", None)],
+        "v double, k double, gone double, s string, t string")
+    other = spark.createDataFrame([(1.0, 1.0, 1.0, "c", "z")], train.schema)
+    rows = train.unionByName(other).union(spark.createDataFrame([(float("nan"), 7.0, 2.0, "zzz", "x"), (2.0, 1.0, None, None, "q")], train.schema))
+    numeric, texts = ["v", "k", "gone"], ["s", "t"]
+    plan = features.fit_features(train, numeric, texts, drop_first=drop_first)
+    vocabulary = features.union_vocabulary([plan, features.fit_features(other, numeric, texts)])
+    raw = features.raw_rows(rows, numeric, texts, vocabulary)
+    view = features.view_of(plan, vocabulary)
+    got = view.vectors(np.array([r["raw"] for r in raw.select("raw").collect()]))
+    assert got == pytest.approx(np.array(vectors(plan, rows)))
+    assert view.width == len(plan.names())

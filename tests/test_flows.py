@@ -58,7 +58,7 @@ def test_folds(spark, samples, tmp_path):
     assert lists.agg(F.sum(F.size("ids"))).first()[0] == 5 * 331
 
 
-SETTING = dense_net.Training(layers=list(model.HIDDEN), epochs=15, rate=0.05, batch=8)
+SETTING = dense_net.Training(hidden=list(model.HIDDEN), epochs=15, rate=0.05, batch=8)
 
 
 def test_train_then_score(spark, samples, tmp_path):
@@ -95,7 +95,7 @@ def test_gate_stops_training_on_shuffled_labels(spark, samples, tmp_path):
                                                       (F.abs(F.xxhash64("row_key")) % 3 + 1).cast("int")))
     runs_path = str(tmp_path / "runs")
     outcome = train.train(spark, noise, str(tmp_path / "registry"), "classifier", WHEN, folds=3, runs_path=runs_path,
-                          setting=dense_net.Training(layers=list(model.HIDDEN), epochs=2), parallelism=3)
+                          setting=dense_net.Training(hidden=list(model.HIDDEN), epochs=2))
     assert outcome.version is None and outcome.avg_accuracy < outcome.majority_share + 0.1
     assert runs.read_runs(spark, runs_path).filter("run_name = 'final-model'").count() == 0
 
