@@ -219,12 +219,12 @@ def _plans(number_rows, count_rows, mode_rows, numeric, categorical, drop_first)
     return plans
 
 
-def _collect_plans(numbers, counts, numeric, categorical, drop_first) -> dict[int, FeaturePlan]:
+def _collect_plans(numbers, counts, numeric, categorical, drop_first, folds: int = 1) -> dict[int, FeaturePlan]:
     number_rows = numbers.collect() if numeric else []
     count_rows, mode_rows = [], []
     if categorical:
         count_rows = stats.collect_bounded(
-            counts.select("fold", "column_name", "value", "n"), stats.MAX_CATEGORIES, "feature vocabulary"
+            counts.select("fold", "column_name", "value", "n"), stats.MAX_CATEGORIES * folds, "feature vocabulary"
         )
         best: dict[tuple, tuple] = {}
         for r in count_rows:
@@ -262,7 +262,7 @@ def fit_fold_features(
         )
     if categorical:
         counts = stats.train_category_counts(stats.category_counts(folded, categorical, ["fold"]), folds)
-    return _collect_plans(numbers, counts, numeric, categorical, False)
+    return _collect_plans(numbers, counts, numeric, categorical, False, folds)
 
 
 # --- the same steps as plain columns, for SQL-style use -------------------------------------------------

@@ -13,8 +13,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from itertools import accumulate
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,15 +43,27 @@ class RankCut:
         return F.coalesce(behind, F.lit(False))
 
 
+def _prefix_counts(hashed: DataFrame, prefix: str, key: str, digits: int) -> list[tuple[str, int]]:
+    """Rows per hash prefix in order: at most 16**digits of them.
+
+    Unique keys spread evenly, so a prefix far above the mean can only come from a repeated key. It is refused here,
+    before any task has to sort all its rows.
+    """
+    counted = hashed.groupBy(prefix).agg(F.count("*").alias("n")).toArrow()
+    counts = sorted(zip(counted[prefix].to_pylist(), counted["n"].to_pylist()))
+    mean = sum(c for _, c in counts) / 16**digits
+    if any(c > mean + 10 * mean**0.5 + 10_000 for _, c in counts):
+        raise RepeatedKeyError(f"{key} repeats too often to identify rows")
+    return counts
+
+
 def rank_cuts(
     df: DataFrame, key: str, seed: int | str, ranks: Callable[[int], list[int]], digits: int = PREFIX_DIGITS
 ) -> tuple[int, list[RankCut | None]]:
     """Row count, and the cut at each rank of ``ranks(row_count)``; ``None`` past the last row."""
     hashed = df.select(F.col(key).alias("k"), key_hash(key, seed).alias("h"))
     hashed = hashed.withColumn("p", F.substring("h", 1, digits))
-    # At most 16**digits rows.
-    counted = hashed.groupBy("p").agg(F.count("*").alias("n")).toArrow()
-    counts = sorted(zip(counted["p"].to_pylist(), counted["n"].to_pylist()))
+    counts = _prefix_counts(hashed, "p", key, digits)
     total = sum(c for _, c in counts)
 
     places: dict[int, tuple[str, int]] = {}
@@ -64,13 +78,6 @@ def rank_cuts(
     if not places:
         return total, [None for _ in asked]
 
-    mean = total / 16**digits
-    size = dict(counts)
-    for prefix, _ in places.values():
-        # Unique keys spread evenly; a prefix this far above the mean can only be a repeated key.
-        if size[prefix] > mean + 10 * mean**0.5 + 10_000:
-            raise RepeatedKeyError(f"{key} repeats too often to identify rows")
-
     by_prefix = Window.partitionBy("p").orderBy("h", "k")
     numbered = hashed.filter(F.col("p").isin(sorted({p for p, _ in places.values()}))).withColumn(
         "n", F.row_number().over(by_prefix) - 1
@@ -104,17 +111,15 @@ def global_rank(
 ) -> DataFrame:
     """Add the exact zero-based position of every row in the seeded order."""
     hashed = df.withColumn("_h", key_hash(key, seed)).withColumn("_p", F.substring("_h", 1, digits))
-    # At most 16**digits rows, so one ordered window over them and a broadcast are safe.
-    up_to_here = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        hashed.groupBy("_p")
-        .agg(F.count("*").alias("_c"))
-        .select("_p", F.coalesce(F.sum("_c").over(up_to_here), F.lit(0)).alias("_before"))
-    )
+    counts = _prefix_counts(hashed, "_p", key, digits)
+    starts = list(accumulate((c for _, c in counts), initial=0))[:-1]
+    # At most 16**digits rows, so the broadcast is safe.
+    offsets = pa.table({"_p": pa.array([p for p, _ in counts], pa.string()), "_before": pa.array(starts, pa.int64())})
+    table = df.sparkSession.createDataFrame(offsets)
     within = Window.partitionBy("_p").orderBy("_h", key)
     return (
         hashed.withColumn("_n", F.row_number().over(within) - 1)
-        .join(F.broadcast(offsets), "_p")
+        .join(F.broadcast(table), "_p")
         .withColumn(name, (F.col("_before") + F.col("_n")).cast("bigint"))
         .drop("_h", "_p", "_n", "_before")
     )

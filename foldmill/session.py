@@ -55,11 +55,15 @@ def checkpoint(df):
     return df.checkpoint(eager=True)
 
 
+_SHIPPED: set[str] = set()
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in Python workers, as ``--py-files`` would; once per session."""
+    """Make this package importable in Python workers, as ``--py-files`` would; once per application."""
     context = spark.sparkContext
-    if any(name.endswith("foldmill.zip") for name in context._python_includes):
+    if context.applicationId in _SHIPPED:
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     target = os.path.join(tempfile.mkdtemp(prefix="foldmill-"), "foldmill")
     context.addPyFile(shutil.make_archive(target, "zip", root_dir=root, base_dir="foldmill"))
+    _SHIPPED.add(context.applicationId)

@@ -6,6 +6,7 @@ import os
 import uuid
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,17 +22,20 @@ class NoModelError(LookupError):
 def latest(registry: DataFrame) -> DataFrame:
     """The row of the highest version of every name."""
     fields = [c for c in registry.columns if c not in ("name", "version")]
-    newest = registry.groupBy("name").agg(F.max("version").alias("version"),
-                                          F.max_by(F.struct(*fields), "version").alias("_row"))
+    newest = registry.groupBy("name").agg(
+        F.max("version").alias("version"), F.max_by(F.struct(*fields), "version").alias("_row")
+    )
     return newest.select("name", "version", "_row.*")
 
 
 def _rows(spark: SparkSession, root: str) -> DataFrame:
     """The registry table, empty before the first registration."""
-    table = os.path.join(root, "registry")
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(table)
-    exists = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
-    return read_merged(spark, table) if exists else spark.createDataFrame([], REGISTRY)
+    try:
+        return read_merged(spark, os.path.join(root, "registry"))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], REGISTRY)
 
 
 def register(

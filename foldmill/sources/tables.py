@@ -1,4 +1,7 @@
-"""Reading and writing tables as files or through the catalog."""
+"""Reading and writing tables as files or through the catalog.
+
+Tables are parquet unless another format is named; a table format whose jar the session has (``fmt="delta"``) works the same.
+"""
 
 from __future__ import annotations
 
@@ -25,17 +28,18 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").option("header", True).option("nullValue", "NA").csv(path)
 
 
-def read_path(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
+def read_path(spark: SparkSession, path: str, schema: StructType | None = None, fmt: str = "parquet") -> DataFrame:
+    reader = spark.read.format(fmt)
+    return (reader.schema(schema) if schema else reader).load(path)
 
 
 def read_name(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def write_path(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+def write_path(df: DataFrame, path: str, partition_by: list[str] | None = None, fmt: str = "parquet") -> None:
     """Overwrite a table that is not among the inputs of ``df``; see :func:`write_version` otherwise."""
-    df.write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(path)
+    df.write.mode("overwrite").format(fmt).partitionBy(*(partition_by or [])).save(path)
 
 
 def write_version(df: DataFrame, root: str) -> str:
@@ -48,11 +52,11 @@ def write_version(df: DataFrame, root: str) -> str:
     return path
 
 
-def write_name(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+def write_name(df: DataFrame, name: str, path: str | None = None, fmt: str = "parquet") -> DataFrame:
     """Replace a catalog table; ``df`` must not read it. With ``path`` the files lie there, not in the warehouse."""
     spark = df.sparkSession
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    writer = df.write.mode("overwrite").format("parquet")
+    writer = df.write.mode("overwrite").format(fmt)
     (writer.option("path", path) if path else writer).saveAsTable(name)
     return spark.table(name)
 
@@ -61,14 +65,14 @@ def truncate(spark: SparkSession, name: str) -> None:
     spark.sql(f"TRUNCATE TABLE {name}")
 
 
-def append(df: DataFrame, path: str) -> None:
+def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Append a batch. A batch may bring columns that earlier ones lack; see :func:`read_merged`."""
-    df.write.mode("append").parquet(path)
+    df.write.mode("append").format(fmt).option("mergeSchema", True).save(path)
 
 
-def read_merged(spark: SparkSession, path: str) -> DataFrame:
+def read_merged(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """All batches under the union of their columns."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+    return spark.read.format(fmt).option("mergeSchema", True).load(path)
 
 
 def write_snapshot(df: DataFrame, path: str) -> None:
@@ -82,8 +86,8 @@ def read_snapshot(spark: SparkSession, path: str, schema: StructType) -> DataFra
 
 def write_folds(transformed: DataFrame, path: str) -> None:
     """Transformed folds, one directory per fold and role, so that reading one fold touches only its files."""
-    transformed.write.mode("overwrite").partitionBy("fold", "role").parquet(path)
+    write_path(transformed, path, ["fold", "role"])
 
 
 def read_fold(spark: SparkSession, path: str, fold: int, role: str) -> DataFrame:
-    return spark.read.parquet(path).filter((F.col("fold") == fold) & (F.col("role") == role))
+    return read_path(spark, path).filter((F.col("fold") == fold) & (F.col("role") == role))

@@ -103,3 +103,10 @@ def test_runs_roll_up_to_their_parent(spark, tmp_path):
     found = {r["key"]: (r["avg_num"], r["n_children"]) for r in runs.rollup(runs.read_runs(spark, path)).collect()}
     assert found["test_accuracy"] == (pytest.approx(0.55), 2)
     assert found["train_loss"] == (pytest.approx(1.5), 2)
+
+
+def test_another_format(spark, tmp_path):
+    path = str(tmp_path / "orc")
+    tables.write_path(spark.range(4), path, fmt="orc")
+    tables.append(spark.range(3), path, fmt="orc")
+    assert tables.read_path(spark, path, fmt="orc").count() == 7

@@ -67,6 +67,16 @@ def test_a_key_holding_a_third_of_the_rows_is_refused(spark):
         split.kfold(df, "id", 5)
 
 
+def test_rank_of_a_hot_key_is_refused(spark):
+    df = spark.range(60_000).withColumn("id", F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")))
+    with pytest.raises(RepeatedKeyError):
+        global_rank(df, "id", 42)
+
+
+def test_rank_of_an_empty_table(spark):
+    assert global_rank(spark.range(0), "id", 42).count() == 0
+
+
 @pytest.mark.parametrize("rows", [0, 1, 2, 10, 17, 1000])
 def test_three_way_split_sizes(spark, rows):
     found = sizes(split.train_val_test(spark.range(rows), "id"), "part")
