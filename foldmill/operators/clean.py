@@ -62,7 +62,7 @@ def missing_columns(df: DataFrame, required: list[str]) -> list[str]:
 def require_columns(df: DataFrame, required: list[str]) -> DataFrame:
     absent = missing_columns(df, required)
     if absent:
-        raise MissingColumnsError(f"missing required input features: {absent}")
+        raise MissingColumnsError(f"the input lacks {', '.join(absent)}")
     return df
 
 

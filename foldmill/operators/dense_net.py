@@ -200,10 +200,10 @@ def training_rows(
     return checkpoint(rows.drop("_key"))
 
 
-def default_shards(df: DataFrame) -> int:
-    """About ROWS_PER_SHARD rows each, on large tables a few shards per core, but never above MOST_ROWS_PER_SHARD rows."""
+def default_shards(df: DataFrame, rows_each: int = ROWS_PER_SHARD) -> int:
+    """About ``rows_each`` rows each, on large tables a few shards per core, but never above MOST_ROWS_PER_SHARD rows."""
     rows, cores = df.count(), df.sparkSession.sparkContext.defaultParallelism
-    return max(1, min(-(-rows // ROWS_PER_SHARD), 4 * cores), -(-rows // MOST_ROWS_PER_SHARD))
+    return max(1, min(-(-rows // rows_each), 4 * cores), -(-rows // MOST_ROWS_PER_SHARD))
 
 
 class _Shard:

@@ -8,13 +8,15 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldmill.operators import dense_net, evaluate, features, split, stats
+from foldmill.schemas import FOLD_METRICS
 
 # Hidden layer sizes of the standard network (fixed values).
 HIDDEN = [10, 8]
+ROWS_PER_FIT_TASK = 10_000
 
 
 @dataclass
@@ -43,8 +45,8 @@ class Job:
 def fit_dense(
     df: DataFrame, cols: Columns, classes: Sequence, jobs: Sequence[Job], part: Column | None = None,
     shards: int | None = None,
-) -> list[tuple[PipelineModel, dense_net.Fitted]]:
-    """Train one network per job, all by the same passes, each returned with its features as one pipeline.
+) -> list[dense_net.Fitted]:
+    """Train one network per job, all by the same passes; see :func:`as_pipeline` to apply one.
 
     ``part`` numbers the parts of the table that jobs may hold out.
     """
@@ -55,10 +57,12 @@ def fit_dense(
     members = [
         dense_net.Member(features.view_of(j.plan, vocabulary), len(classes), j.setting, j.held) for j in jobs
     ]
-    return [
-        (PipelineModel([*job.plan.pipeline(df.sparkSession).stages, fitted.model()]), fitted)
-        for job, fitted in zip(jobs, dense_net.train(rows, members))
-    ]
+    return dense_net.train(rows, members)
+
+
+def as_pipeline(spark: SparkSession, plan: features.FeaturePlan, fitted: dense_net.Fitted) -> PipelineModel:
+    """Features and network as one model that can be saved and applied to raw columns."""
+    return PipelineModel([*plan.pipeline(spark).stages, fitted.model()])
 
 
 def fit_perceptron(
@@ -67,11 +71,14 @@ def fit_perceptron(
 ) -> PipelineModel:
     """The same with Spark's own perceptron: sigmoid hidden units, fitted by L-BFGS over all rows."""
     stages = plan.pipeline(df.sparkSession)
-    prepared = with_target(stages.transform(df), cols.label, classes).withColumn("target", F.col("target").cast("double"))
+    prepared = with_target(stages.transform(df), cols.label, classes)
+    # Read once per iteration, so worth a shuffle that gives every core a share.
+    tasks = dense_net.default_shards(df, ROWS_PER_FIT_TASK)
+    spread = prepared.select(cols.key, "features", F.col("target").cast("double").alias("target")).repartition(tasks, cols.key)
     fit = MultilayerPerceptronClassifier(
         featuresCol="features", labelCol="target", probabilityCol="probability", predictionCol="prediction_index",
         layers=[len(plan.names()), *hidden, len(classes)], maxIter=iterations, seed=seed,
-    ).fit(prepared.select("features", "target"))
+    ).fit(spread.select("features", "target"))
     return PipelineModel([*stages.stages, fit])
 
 
@@ -101,7 +108,7 @@ def cross_validate(
     plans = features.fit_fold_features(folded, folds, cols.numeric, cols.categorical)
     jobs = [Job(plans[f], setting, (f,)) for f in range(folds)]
     results = []
-    for fold, (_, fitted) in enumerate(fit_dense(folded, cols, classes, jobs, F.col("fold"))):
+    for fold, fitted in enumerate(fit_dense(folded, cols, classes, jobs, F.col("fold"))):
         if not fitted.held_rows:
             raise ValueError(f"fold {fold} has no rows to test on")
         last = fitted.history[-1]
@@ -116,7 +123,7 @@ def cross_validate(
 
 def fold_metric_rows(spark, results: list[dict]) -> DataFrame:
     rows = [(r["fold"], m, r[m]) for r in results for m in ("test_accuracy", "test_loss")]
-    return spark.createDataFrame(rows, "fold bigint, metric string, value double")
+    return spark.createDataFrame(rows, FOLD_METRICS)
 
 
 def final_model(
@@ -125,7 +132,8 @@ def final_model(
     """Fit transformers on all rows and the network on all but the tail, which validates it."""
     plan = features.fit_features(df, cols.numeric, cols.categorical)
     marked = split.holdout_tail(df, cols.key, share, setting.seed, "held_out")
-    [(model, fitted)] = fit_dense(marked, cols, classes, [Job(plan, setting, (1,))], F.col("held_out").cast("long"))
+    [fitted] = fit_dense(marked, cols, classes, [Job(plan, setting, (1,))], F.col("held_out").cast("long"))
+    model = as_pipeline(df.sparkSession, plan, fitted)
     by_part = {
         r["held_out"]: r
         for r in evaluate.accuracy_and_loss(

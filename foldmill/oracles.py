@@ -312,8 +312,8 @@ ORACLES: dict[str, str] = {
     "sentinel_to_null": RAW + "select id, case when prio <> '4-NOT SPECIFIED' then prio end prio from raw_samples",
     "drop_missing": RAW + f"select {COLUMNS} from samples where qty is not null and disc is not null and prio is not null",
     "fill_constant": RAW + "select id, coalesce(prio, 'NA') prio, coalesce(seg, 'NA') seg from samples",
-    "features_label_split": RAW + "select id, price, bal, qty, disc, prio, seg, 'inputs' part from samples union all "
-    "select count(*), null, null, null, null, null, label, 'target' from samples group by label",
+    "features_label_split": RAW + "select id, price, bal, qty, disc, prio, seg, cast(null as varchar) label from samples union all "
+    "select null, null, null, null, null, null, null, label from samples",
     "select_by_type": RAW + "select id, label, price, bal, qty, disc from samples",
     "validate_schema": _validate(),
     "conform_schema": RAW + "select id, qty, prio, seg from samples",
@@ -342,7 +342,7 @@ ORACLES: dict[str, str] = {
     # splits and samples
     "kfold_exact": FOLDED + "select id, fold from f",
     "kfold_hash": RAW + f"select id, {HASH32} % 5 fold from samples",
-    "fold_id_lists": LISTS + " select fold, role, source_fold, piece, ids from lists",
+    "fold_id_lists": LISTS + " select fold, role, source_fold, piece, cast(to_json(ids) as varchar) ids from lists",
     "split_70_15_15": RAW + ", base as (select * from samples)" + PARTS + "select id, part from parts",
     "holdout_tail": RAW + f"select id, row_number() over (order by {HASH}, id) - 1 >= (count(*) over () * 8) // 10 is_holdout "
     "from samples",
@@ -362,8 +362,8 @@ ORACLES: dict[str, str] = {
     "standard_scale": RAW + f"select id, {rnd('(price - avg(price) over ()) / stddev_pop(price) over ()', 6)} price_scaled, "
     f"{rnd('(bal - avg(bal) over ()) / stddev_pop(bal) over ()', 6)} bal_scaled from samples",
     "onehot": RAW + "select id, " + ", ".join(f"{flag(f'prio = {p!r}')} prio_{i}" for i, p in enumerate(PRIOS)) + " from samples",
-    "onehot_array": RAW + f", voc as (select {PRIO_LIST.format('samples')} v) select id, list_transform(v, "
-    f"lambda p: case when prio = p then {ONE} else {ZERO} end) slots from samples, voc",
+    "onehot_array": RAW + f", voc as (select {PRIO_LIST.format('samples')} v) select id, cast(to_json(list_transform(v, "
+    f"lambda p: case when prio = p then {ONE} else {ZERO} end)) as varchar) slots from samples, voc",
     "onehot_drop_first": RAW + f", voc as (select {SEGMENTS.format('samples')} v) select id, "
     + ", ".join(f"{flag(f'seg = v[{i + 1}]')} seg_{i}" for i in range(1, 5)) + " from samples, voc",
     "assemble_features": RAW + _assemble("samples", "id", "select * from samples", True, False),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldmill.operators import clean, keys, split
-from foldmill.schemas import SAMPLE, SENTINELS
+from foldmill.schemas import RUN_INGEST, SAMPLE, SENTINELS
 from foldmill.sources import runs, tables
 
 
@@ -26,7 +26,7 @@ def ingest(
     if snapshot_path:
         tables.write_snapshot(stored, snapshot_path)
     if runs_path:
-        run = runs.Run("start_pipeline", when)
+        run = runs.Run(RUN_INGEST, when)
         run.param("dataset_path", csv_path)
         run.metric("data_size", stored.count())
         runs.append_runs(spark, runs_path, [run])

@@ -8,14 +8,16 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from foldmill import schemas
 from foldmill.operators import clean, dense_net, evaluate, model, split
-from foldmill.schemas import CATEGORICAL, LABEL, NUMERIC
 from foldmill.session import new_folder
 from foldmill.sources import registry, runs, tables
 
 log = logging.getLogger(__name__)
 
-SAMPLE_COLUMNS = model.Columns(key="row_key", label=LABEL, numeric=NUMERIC, categorical=CATEGORICAL)
+SAMPLE_COLUMNS = model.Columns(
+    key="row_key", label=schemas.LABEL, numeric=schemas.NUMERIC, categorical=schemas.CATEGORICAL
+)
 
 
 @dataclass
@@ -53,10 +55,10 @@ def train(
     averages = {r["metric"]: r["value"] for r in evaluate.cv_average(metrics).collect()}
     share = evaluate.majority_share(folded, cols.label).first()[0]
 
-    parent = runs.Run("cross-validation", when)
+    parent = runs.Run(schemas.RUN_CROSS_VALIDATION, when)
     records = [parent]
     for result in results:
-        child = parent.child(f"cross-validation-fold-{result['fold']}")
+        child = parent.child(schemas.RUN_FOLD.format(result["fold"]))
         child.metric("test_accuracy", result["test_accuracy"])
         child.metric("test_loss", result["test_loss"])
         child.history(result["history"])
@@ -67,18 +69,16 @@ def train(
 
     version, scores = None, {}
     if averages["test_accuracy"] >= threshold:
-        final = runs.Run("final-model", when)
+        final = runs.Run(schemas.RUN_FINAL, when)
         fitted, history, plan, scores = model.final_model(folded, cols, classes, setting)
-        prepared = final.child("data-preprocessing")
+        prepared, trained, saved = (final.child(step) for step in schemas.RUN_FINAL_STEPS)
         prepared.param("target_classes", classes)
         prepared.param("n_features", len(plan.names()))
         prepared.param("n_samples", scores.get("train_rows", 0) + scores.get("holdout_rows", 0))
         prepared.param("feature_names", plan.names())
-        trained = final.child("model-training")
         trained.history(history.history)
         for key, value in scores.items():
             trained.metric(key, value)
-        saved = final.child("model-saving")
         version = registry.register(
             spark, registry_root, name, fitted, final.run_id, plan.names(), classes, when
         )

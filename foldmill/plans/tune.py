@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from foldmill import schemas
 from foldmill.operators import clean, evaluate, model, split, tune
 from foldmill.plans.train import SAMPLE_COLUMNS
 from foldmill.session import new_folder
@@ -27,14 +28,14 @@ def search(
     found = tune.search(parts, cols, classes, trials, executions, seed, settings)
     names = found["plan"].names()
 
-    parent = runs.Run("hyperparameter-tuning", when)
+    parent = runs.Run(schemas.RUN_SEARCH, when)
     tried = settings or tune.trial_settings(trials, seed)
     for key, value in (("max_trials", len(tried)), ("executions_per_trial", executions), ("input_shape", len(names))):
         parent.param(key, value)
     reduced = evaluate.trial_reduce(found["results"]).collect()
     records = [parent]
     for setting in tried:
-        child = parent.child(f"trial-{setting['trial']}")
+        child = parent.child(schemas.RUN_TRIAL.format(setting["trial"]))
         for key, value in setting.items():
             child.param(key, value)
         for r in reduced:

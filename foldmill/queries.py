@@ -139,10 +139,9 @@ def fill_constant(spark, sf_dir):
 
 @query
 def features_label_split(spark, sf_dir):
+    """The input rows, and below them the target column with as many rows and nothing else."""
     inputs, target = clean.features_label_split(fx.samples(spark, sf_dir).select(*SAMPLE_COLUMNS), "label")
-    return inputs.withColumn("part", F.lit("inputs")).unionByName(
-        target.select(F.col("label").alias("seg")).groupBy("seg").agg(F.count("*").alias("id")).withColumn(
-            "part", F.lit("target")), allowMissingColumns=True)
+    return inputs.unionByName(target, allowMissingColumns=True)
 
 
 @query
@@ -291,7 +290,8 @@ def kfold_hash(spark, sf_dir):
 
 @query
 def fold_id_lists(spark, sf_dir):
-    return fold_lists(spark, sf_dir).select("fold", "role", "source_fold", "piece", "ids")
+    """The lists as JSON text, the form in which ``decode_ids`` takes them back."""
+    return fold_lists(spark, sf_dir).withColumn("ids", F.to_json("ids"))
 
 
 @query
@@ -372,7 +372,7 @@ def onehot(spark, sf_dir):
 @query
 def onehot_array(spark, sf_dir):
     rows = fx.samples(spark, sf_dir).select("id", "prio")
-    return rows.select("id", features.onehot_array("prio", _vocabulary(rows, "prio")).alias("slots"))
+    return rows.select("id", F.to_json(features.onehot_array("prio", _vocabulary(rows, "prio"))).alias("slots"))
 
 
 @query
@@ -486,7 +486,7 @@ def train_history(spark, sf_dir):
     plan = features.fit_features(rows.filter("not held_out"), HISTORY_NUMERIC, [])
     setting = _network(step="pass", epochs=HISTORY_EPOCHS, rate=HISTORY_RATE)
     job = model.Job(plan, setting, (1,))
-    [(_, fitted)] = model.fit_dense(rows, cols, _classes(rows), [job], F.col("held_out").cast("long"))
+    [fitted] = model.fit_dense(rows, cols, _classes(rows), [job], F.col("held_out").cast("long"))
     names = ["train_loss", "train_accuracy", "val_loss", "val_accuracy"]
     return dense_net.history_rows(spark, fitted).select("step", *[rounded(n, 5).alias(n) for n in names])
 
@@ -496,7 +496,7 @@ def train_minibatch(spark, sf_dir):
     cols, rows = fx.LEARNABLE, split.holdout_tail(learnable(spark, sf_dir), "id", name="held_out")
     plan = features.fit_features(rows.filter("not held_out"), cols.numeric, cols.categorical)
     job = model.Job(plan, _network(), (1,))
-    [(_, fitted)] = model.fit_dense(rows, cols, _classes(rows), [job], F.col("held_out").cast("long"))
+    [fitted] = model.fit_dense(rows, cols, _classes(rows), [job], F.col("held_out").cast("long"))
     return dense_net.history_rows(spark, fitted)
 
 

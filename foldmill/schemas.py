@@ -29,7 +29,15 @@ PREDICTION = _table(
     *_INPUTS, ("prediction", StringType()), ("confidence", DoubleType()), ("prediction_time", TimestampType())
 )
 
-FOLDS = "id bigint, fold bigint"
+# Names of the recorded runs (fixed values).
+RUN_INGEST = "start_pipeline"
+RUN_CROSS_VALIDATION = "cross-validation"
+RUN_FOLD = "cross-validation-fold-{}"
+RUN_FINAL = "final-model"
+RUN_FINAL_STEPS = ("data-preprocessing", "model-training", "model-saving")
+RUN_SEARCH = "hyperparameter-tuning"
+RUN_TRIAL = "trial-{}"
+
 FOLD_METRICS = "fold bigint, metric string, value double"
 TRIAL = (
     "trial bigint, learning_rate double, units bigint, dropout_rate double, batch_size bigint, epochs bigint"

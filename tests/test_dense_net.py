@@ -158,8 +158,9 @@ def test_cross_validation_scores_are_those_of_the_test_fold(spark):
     results = model.cross_validate(folded, 3, cols, ["a", "b"], setting)
     plans = features.fit_fold_features(folded, 3, ["v"], ["s"])
     for fold in range(3):
-        [(fitted, _)] = model.fit_dense(folded, cols, ["a", "b"], [model.Job(plans[fold], setting, (fold,))], F.col("fold"))
-        scores = model.evaluate_model(fitted, split.test_rows(folded, fold), "y", ["a", "b"]).first()
+        [fitted] = model.fit_dense(folded, cols, ["a", "b"], [model.Job(plans[fold], setting, (fold,))], F.col("fold"))
+        pipeline = model.as_pipeline(spark, plans[fold], fitted)
+        scores = model.evaluate_model(pipeline, split.test_rows(folded, fold), "y", ["a", "b"]).first()
         assert results[fold]["n_test"] == scores["n_rows"]
         assert results[fold]["test_accuracy"] == pytest.approx(scores["accuracy"])
         assert results[fold]["test_loss"] == pytest.approx(scores["loss"])

@@ -39,7 +39,7 @@ def test_reduce_takes_the_lowest_loss_and_highest_accuracy(make):
     assert evaluate.best_trial(reduced).collect()[0]["trial"] == 0
 
 
-def reference_stop(losses, patience):
+def stop_by_hand(losses, patience):
     """The stop rule step by step."""
     best, best_step, wait = math.inf, 0, 0
     for step, loss in enumerate(losses):
@@ -58,7 +58,7 @@ def reference_stop(losses, patience):
 def test_early_stop_follows_the_rule(make, losses):
     history = make([("r", i, float(v)) for i, v in enumerate(losses)], "run string, step long, val_loss double")
     row = evaluate.early_stop(history, "run", 3).collect()[0]
-    assert (row["best_step"], row["stop_step"]) == reference_stop(losses, 3)
+    assert (row["best_step"], row["stop_step"]) == stop_by_hand(losses, 3)
 
 
 def test_unknown_index_has_no_label(make):

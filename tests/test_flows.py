@@ -1,4 +1,4 @@
-"""The whole jobs on a small CSV file with the reference columns."""
+"""The whole jobs on a small CSV file with the columns of the sample table."""
 
 from __future__ import annotations
 

@@ -115,12 +115,12 @@ def test_id_lists_hold_every_id_in_each_fold(spark):
         assert sorted(ids) == list(range(90))
 
 
-@pytest.mark.parametrize("piece", [1, 7, 1000])
-def test_row_keys_with_many_copies(spark, piece):
+@pytest.mark.parametrize("inline,piece", [(0, 1), (1, 7), (16, 1000), (1000, 1000)])
+def test_row_keys_with_many_copies(spark, inline, piece):
     """A third of the rows are one and the same; another part differs only by null."""
     rows = [("a", 1.0)] * 40 + [(None, 1.0), (None, None), ("", None)] + [(f"x{i}", float(i)) for i in range(60)]
     df = spark.createDataFrame(rows, "s string, v double")
-    keyed = with_row_key(df, piece=piece)
+    keyed = with_row_key(df, inline=inline, piece=piece)
     assert keyed.count() == len(rows)
     assert keyed.select("row_key").distinct().count() == len(rows)
     assert sorted(map(repr, keyed.select("s", "v").collect())) == sorted(map(repr, df.collect()))
@@ -135,3 +135,9 @@ def test_row_keys_do_not_depend_on_partitioning(spark):
 def test_rows_by_repeated_ids(spark):
     ids = spark.range(1000).select((F.col("id") % 3).alias("id"))
     assert sorted(r["id"] for r in split.rows_by_id_list(spark.range(10), ids, "id").collect()) == [0, 1, 2]
+
+
+def test_many_copies_are_spread_over_tasks(spark):
+    keyed = with_row_key(spark.range(200_000).select(F.lit("x").alias("v")), piece=1000)
+    per_task = [r["count"] for r in keyed.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(per_task) == 200_000 and max(per_task) < 60_000
