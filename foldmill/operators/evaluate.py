@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,11 +12,15 @@ from pyspark.sql import functions as F
 PROBABILITY_FLOOR = 1e-7
 
 
-def softmax(scores: Column) -> Column:
-    """Class probabilities from an array of scores, shifted by the maximum so that exp stays finite."""
-    raised = F.transform(scores, lambda s: F.exp(s - F.array_max(scores)))
-    total = F.aggregate(raised, F.lit(0.0), lambda a, b: a + b)
-    return F.transform(raised, lambda e: e / total)
+def softmax(scores: Sequence[Column]) -> Column:
+    """Array of class probabilities from one score column per class, shifted by the maximum so that exp stays finite.
+
+    Plain columns rather than functions over an array: those would leave generated code.
+    """
+    highest = F.greatest(*scores) if len(scores) > 1 else scores[0]
+    raised = [F.exp(s - highest) for s in scores]
+    total = reduce(lambda a, b: a + b, raised)
+    return F.array(*[e / total for e in raised])
 
 
 def with_prediction(df: DataFrame, probability: str, classes: Sequence[str]) -> DataFrame:

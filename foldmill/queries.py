@@ -62,7 +62,7 @@ def fold_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_fixed_scores(df: DataFrame) -> DataFrame:
     """Class scores by a fixed rule instead of trained weights, so that the results can be stated in SQL."""
-    scores = F.array(F.col("price") / 100000.0, F.col("bal") / 10000.0, F.lit(0.5))
+    scores = [F.col("price") / 100000.0, F.col("bal") / 10000.0, F.lit(0.5)]
     return df.filter(F.col("qty").isNotNull()).withColumn("probability", evaluate.softmax(scores))
 
 
@@ -507,7 +507,7 @@ def early_stop_epoch(spark, sf_dir):
     losses = []
     for step in range(10):
         slope = (step - 4) / 10.0
-        scores = F.array(F.col("price") / 100000.0 * slope, F.col("bal") / 10000.0 * slope, F.lit(0.0))
+        scores = [F.col("price") / 100000.0 * slope, F.col("bal") / 10000.0 * slope, F.lit(0.0)]
         p = evaluate.true_probability(evaluate.softmax(scores), "label", fx.CLASSES)
         losses.append(F.avg(evaluate.row_loss(p)).alias(str(step)))
     wide = rows.groupBy("fold").agg(*losses)
@@ -579,7 +579,7 @@ def fixed_trial_results(spark, sf_dir) -> DataFrame:
     for trial in range(3):
         for execution in range(2):
             slope = (trial + 1) * 0.5 - execution * 0.25
-            p = evaluate.softmax(F.array(F.col("price") / 100000.0 * slope, F.col("bal") / 10000.0, F.lit(slope)))
+            p = evaluate.softmax([F.col("price") / 100000.0 * slope, F.col("bal") / 10000.0, F.lit(slope)])
             p_true = evaluate.true_probability(p, "label", fx.CLASSES)
             hit = F.when(p_true == F.array_max(p), 1.0).otherwise(0.0)
             loss = evaluate.row_loss(p_true)
