@@ -34,7 +34,10 @@ def index_to_label(df: DataFrame, index: str, classes: Sequence[str], name: str
 
 
 def capture(scored: DataFrame, path: str, columns: Sequence[str], enabled: bool = True) -> DataFrame:
-    """Append the inputs with their predictions to the log and return the batch unchanged."""
+    """Append the inputs with their predictions to the log and return the batch unchanged.
+
+    Using the returned batch scores it once more; what was logged can be read back by its prediction time instead.
+    """
     if enabled:
         kept = [*columns, "prediction", "confidence", "prediction_time"]
         tables.append(scored.select(*kept), path)

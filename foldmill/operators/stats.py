@@ -44,13 +44,15 @@ def describe(df: DataFrame, exclude: tuple[str, ...] = ()) -> DataFrame:
 
 
 def moments(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Rows, non-null count, mean and sum of squared deviations per group and column."""
+    """Rows, count of values, mean and sum of squared deviations per group and column; NaN is no value."""
     aggs = [F.count("*").alias("_rows")]
     for c in cols:
+        number = F.col(c).cast("double")
+        known = F.when(~F.isnan(number), number)
         aggs += [
-            F.count(c).alias(f"n_{c}"),
-            F.avg(c).alias(f"mu_{c}"),
-            (F.var_pop(c) * F.count(c)).alias(f"m2_{c}"),
+            F.count(known).alias(f"n_{c}"),
+            F.avg(known).alias(f"mu_{c}"),
+            (F.var_pop(known) * F.count(known)).alias(f"m2_{c}"),
         ]
     rows = [
         F.struct(

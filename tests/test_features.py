@@ -16,14 +16,19 @@ def vectors(plan, df):
 
 def test_imputed_deviation_counts_all_rows(make):
     df = make([(1.0,), (3.0,), (None,), (float("nan"),)], "v double")
-    from foldmill.operators.clean import nan_to_null
-
-    plan = features.fit_features(nan_to_null(df), ["v"], [])
+    plan = features.fit_features(df, ["v"], [])
     assert plan.means["v"] == 2.0
     assert plan.deviations["v"] == pytest.approx((2 / 4) ** 0.5)
     assert vectors(plan, df) == [[pytest.approx(-(2**0.5))], [pytest.approx(2**0.5)], [0.0], [0.0]]
 
 
+def test_decimal_and_integer_columns(spark):
+    df = spark.sql("select * from values (1, 1.50), (3, 2.50), (null, null) as t(i, d)")
+    plan = features.fit_features(df, ["i", "d"], [])
+    assert plan.means == {"i": 2.0, "d": 2.0}
+    assert vectors(plan, df)[2] == [0.0, 0.0]
+
+
 def test_constant_column_is_centred_only(make):
     df = make([(5.0,), (5.0,)], "v double")
     assert vectors(features.fit_features(df, ["v"], []), df) == [[0.0], [0.0]]
