@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import itertools
 
 import numpy as np
 
@@ -24,13 +25,43 @@ class _Numbered(dict):
         return n
 
 
+class _Pool:
+    """Runs of ids in one growing array."""
+
+    def __init__(self):
+        self.start = np.zeros(1 << 14, np.int64)
+        self.length = np.zeros(1 << 14, np.int64)
+        self.flat = np.zeros(1 << 16, np.uint32)
+        self.n = self.used = 0
+
+    def add(self, lengths: np.ndarray, flat: np.ndarray) -> None:
+        """As many runs more as there are lengths."""
+        while len(self.start) < self.n + len(lengths):
+            self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
+        while len(self.flat) < self.used + len(flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.length[self.n : self.n + len(lengths)] = lengths
+        self.start[self.n : self.n + len(lengths)] = self.used + np.cumsum(lengths) - lengths
+        self.flat[self.used : self.used + len(flat)] = flat
+        self.n += len(lengths)
+        self.used += len(flat)
+
+    def get(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these runs in a row, and where each run ends."""
+        lengths = self.length[index]
+        ends = np.cumsum(lengths)
+        at = np.repeat(self.start[index] - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)
+        return self.flat[at], ends
+
+
 class WordEncoder:
     """Encodes texts word by word.
 
     A word-level vocabulary drops white space and never joins characters across it, so the ids of a text
     are those of its blank-separated words in a row; ``tests/llm/test_tokens.py`` compares them with the
-    library's ids of whole texts. Words of letters only skip the library's normaliser and splitter, which
-    could not change or split them further, and go to the same BPE model directly.
+    library's ids of whole texts. A word's ids are those of its stem and of the punctuation after it. Stems of Latin letters
+    only (below U+0250, where composing changes nothing and lower case is a map of single letters)
+    skip the library's normaliser and splitter and go to the same BPE model directly; all else goes through the whole library.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
@@ -41,11 +72,8 @@ class WordEncoder:
         self.model = Tokenizer(self.whole.model)
         self.remembered = remembered
         level = ByteLevel(add_prefix_space=False, use_regex=False)
-        self.bytes_as_text = {}
-        for low in range(0, 0x250):
-            shown = level.pre_tokenize_str(chr(low))
-            self.bytes_as_text[chr(low)] = shown[0][0] if shown else ""
-        self.table = str.maketrans(self.bytes_as_text)
+        shown = {low: level.pre_tokenize_str(chr(low)) for low in range(0x250)}
+        self.as_bytes = {low: x[0][0] if x else "" for low, x in shown.items()}
         self._forget()
 
     @property
@@ -53,77 +81,68 @@ class WordEncoder:
         return self.whole.get_vocab_size()
 
     def _forget(self) -> None:
-        self.numbers = _Numbered()
-        self.start = np.zeros(1 << 16, np.int64)
-        self.length = np.zeros(1 << 16, np.int64)
-        self.flat = np.zeros(1 << 18, np.uint32)
-        self.used = 0
-
-    def _plain(self, word: str) -> str | None:
-        """The word as the model sees it if it is one run of letters, else None."""
-        if word.isascii():
-            return word.lower() if word.isalpha() else None
-        if not word.isalpha():
-            return None
-        shown = self.whole.normalizer.normalize_str(word)
-        return shown.translate(self.table) if shown.isalpha() and max(shown) < "ɐ" else None
+        self.words, self.stems, self.others = _Numbered(), _Numbered(), _Numbered()
+        self.pool = {name: _Pool() for name in ("words", "stems", "others")}
+
+    def _add(self, name: str, numbered: _Numbered, encoder) -> None:
+        for i in range(0, len(numbered.new), 5000):
+            ids = [x.ids for x in encoder.encode_batch_fast(numbered.new[i : i + 5000], add_special_tokens=False)]
+            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+            self.pool[name].add(lengths, np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(lengths.sum())))
+        numbered.new = []
 
     def _learn(self) -> None:
         """Encode the words that were new."""
-        stems: dict[str, list[int]] = {}
-        others: dict[str, list[int]] = {}
-        parts: list[tuple[str | None, str]] = []
-        for word in self.numbers.new:
+        new, stems, others = self.words.new, self.stems, self.others
+        first, second = [], []
+        for word in new:
             stem = word.rstrip(TAIL)
-            shown = self._plain(stem) if stem else None
-            if shown is None:
-                parts.append((None, word))
-                others[word] = []
+            if stem.isalpha() and (stem.isascii() or max(stem) < "\u0250"):
+                shown = stem.lower()
+                if not shown.isascii():
+                    if max(shown) >= "\u0250":
+                        first.append(-1)
+                        second.append(others[word])
+                        continue
+                    shown = shown.translate(self.as_bytes)
+                first.append(stems[shown])
+                second.append(others[word[len(stem) :]] if len(stem) < len(word) else -1)
             else:
-                tail = word[len(stem) :]
-                parts.append((shown, tail))
-                stems[shown] = []
-                if tail:
-                    others[tail] = []
-        for ids, encoder in ((stems, self.model), (others, self.whole)):
-            names = list(ids)
-            for i in range(0, len(names), 5000):
-                for name, found in zip(names[i : i + 5000], encoder.encode_batch_fast(names[i : i + 5000], add_special_tokens=False)):
-                    ids[name] = found.ids
-        rows = [(stems[shown] if shown is not None else []) + (others[rest] if rest else []) for shown, rest in parts]
-        first = len(self.numbers) - len(rows)
-        lengths = np.fromiter(map(len, rows), np.int64, len(rows))
-        total = int(lengths.sum())
-        while len(self.start) < len(self.numbers):
-            self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
-        while len(self.flat) < self.used + total:
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.length[first : first + len(rows)] = lengths
-        self.start[first : first + len(rows)] = self.used + np.cumsum(lengths) - lengths
-        self.flat[self.used : self.used + total] = np.fromiter((i for row in rows for i in row), np.uint32, total)
-        self.used += total
-        self.numbers.new = []
+                first.append(-1)
+                second.append(others[word])
+        self._add("stems", stems, self.model)
+        self._add("others", others, self.whole)
+        lengths, runs = np.zeros((len(new), 2), np.int64), []
+        for k, (name, index) in enumerate((("stems", np.array(first)), ("others", np.array(second)))):
+            has = index >= 0
+            runs.append(self.pool[name].get(index[has]))
+            lengths[has, k] = self.pool[name].length[index[has]]
+        ends = np.cumsum(lengths.ravel()).reshape(lengths.shape)
+        flat = np.empty(int(ends[-1, -1]), np.uint32)
+        for k, (ids, _) in enumerate(runs):
+            n = lengths[:, k]
+            flat[np.repeat(ends[:, k] - np.cumsum(n), n) + np.arange(len(ids))] = ids
+        self.pool["words"].add(lengths.sum(axis=1), flat)
+        self.words.new = []
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and the number of ids of each text."""
-        if len(self.numbers) > self.remembered:
+        if len(self.words) > self.remembered:
             self._forget()
-        words = [text.replace("\n", " ").split(" ") for text in texts]
-        per_text = np.fromiter(map(len, words), np.int64, len(words))
-        total = int(per_text.sum())
-        number = self.numbers.__getitem__
-        index = np.empty(total, np.int64)
-        at = 0
-        for row in words:
-            index[at : at + len(row)] = np.fromiter(map(number, row), np.int64, len(row))
-            at += len(row)
-        if self.numbers.new:
+        words = []
+        per_text = np.empty(len(texts), np.int64)
+        for i, text in enumerate(texts):
+            if text.isascii() and "<|" not in text:  # no marker of the tokenizer can come or go with the case
+                text = text.lower()
+            found = text.replace("\n", " ").split(" ")
+            per_text[i] = len(found)
+            words += found
+        index = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        if self.words.new:
             self._learn()
-        lengths = self.length[index]
-        ends = np.cumsum(lengths)
-        at = np.repeat(self.start[index] - (ends - lengths), lengths) + np.arange(int(ends[-1]) if total else 0)
-        bounds = np.concatenate([[0], ends])[np.cumsum(per_text)] if total else np.zeros(len(words), np.int64)
-        return self.flat[at], np.diff(bounds, prepend=0)
+        ids, ends = self.pool["words"].get(index)
+        bounds = np.concatenate([[0], ends])[np.cumsum(per_text)]
+        return ids, np.diff(bounds, prepend=0)
 
 
 @functools.lru_cache(maxsize=2)
