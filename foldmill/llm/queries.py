@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foldmill.llm import ans
+from foldmill.llm import ans, chat, decontaminate, mixing, neighbours, separators, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,5 +19,38 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ans.token_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {"op3_token_files": op3_token_files}
+def op4_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op8_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.report(table(spark, sf_dir, "conversations"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat token files of all documents, counted by their separators alone."""
+    return separators.document_counts(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {
+    "op3_token_files": op3_token_files,
+    "op4_source_mixture": op4_source_mixture,
+    "op5_decontamination": op5_decontamination,
+    "op7_simhash_components": op7_simhash_components,
+    "op8_nearest_vectors": op8_nearest_vectors,
+    "op9_chat_format": op9_chat_format,
+    "op10_token_counts": op10_token_counts,
+}
 ORACLES: dict[str, str] = {}
