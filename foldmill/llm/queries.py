@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foldmill.llm import ans, chat, decontaminate, mixing, neighbours, separators, simhash
+from foldmill.llm import ans, chat, decontaminate, mixing, neighbours, quality, separators, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ QUERIES: dict[str, Query] = {
     "op3_token_files": op3_token_files,
     "op4_source_mixture": op4_source_mixture,
     "op5_decontamination": op5_decontamination,
+    "op6_quality": op6_quality,
     "op7_simhash_components": op7_simhash_components,
     "op8_nearest_vectors": op8_nearest_vectors,
     "op9_chat_format": op9_chat_format,
