@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import functools
+import gc
 import itertools
 
 import numpy as np
 
 #: Distinct words a worker remembers before it starts anew; bounds memory, has no effect on ids.
-REMEMBERED = 700_000
+REMEMBERED = 1_000_000
 #: Punctuation that ends a word in its own token run and is neither a letter, a number nor white space.
 TAIL = ".,!?;:*#$%&|)("
 
@@ -127,6 +128,15 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and the number of ids of each text."""
+        collects = gc.isenabled()
+        gc.disable()  # nothing here makes cycles, and each collection would walk the remembered words
+        try:
+            return self._encode(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.words) > self.remembered:
             self._forget()
         words = []
