@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foldmill.llm import ans, chat, decontaminate, mixing, neighbours, quality, separators, simhash
+from foldmill.llm import ans, chat, decontaminate, html, mixing, neighbours, quality, separators, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.report(table(spark, sf_dir, "pages"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ans.token_documents(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_main_text": op1_main_text,
     "op3_token_files": op3_token_files,
     "op4_source_mixture": op4_source_mixture,
     "op5_decontamination": op5_decontamination,
