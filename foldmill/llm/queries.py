@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foldmill.llm import ans, chat, decontaminate, html, mixing, neighbours, quality, separators, simhash
+from foldmill.llm import ans, chat, decontaminate, html, mixing, neighbours, pii, quality, separators, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,10 @@ def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.report(table(spark, sf_dir, "pages"))
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ans.token_documents(table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_main_text": op1_main_text,
+    "op2_personal_data": op2_personal_data,
     "op3_token_files": op3_token_files,
     "op4_source_mixture": op4_source_mixture,
     "op5_decontamination": op5_decontamination,
