@@ -174,3 +174,13 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, distance: int = DISTANC
     named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = named.join(named.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
     return found.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each component, that of the smallest doc_id (null last, then in the order of reading); columns as they were."""
+    held = stored(docs.withColumn("__rid", F.monotonically_increasing_id()), "numbered")
+    rows = near_duplicates(held.select(F.col("__rid").alias("doc_id"), "text")).select(F.col("doc_id").alias("__rid"), "component_id")
+    named = rows.join(held.select("__rid", F.col("doc_id").cast("long").alias("doc_id")), "__rid")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "__rid")
+    first = named.groupBy("component_id").agg(F.min_by("__rid", order).alias("__rid")).select("__rid")
+    return held.join(first, "__rid", "left_semi").select(*docs.columns)
