@@ -55,7 +55,7 @@ def raw_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     net = F.coalesce("net", F.lit(0.0))
     orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
     return (
-        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
         .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         .select(
             F.col("o_orderkey").alias("id"),

@@ -1,14 +1,9 @@
 """Small dense classifiers (ReLU layers, softmax output) trained by Spark jobs.
 
-Two ways to spend a pass over the rows:
-
-``step="pass"``
-    one update per pass with the exact gradient over all rows. The result does not depend on how rows are
-    spread over tasks.
-``step="batch"``
-    every shard runs the usual mini-batch updates over its own rows, starting from the common weights, and the
-    shards' results are averaged weighted by their rows (local SGD with averaging after each pass). With one shard this is
-    ordinary mini-batch training. Rows go to shards by key hash and are read in hash order, so a rerun sees the same batches.
+Every epoch is one pass over the rows and one update, by SGD or Adam, with the exact gradient over all rows that are not held out.
+The result therefore does not depend on the number of rows in a task, tasks, cores or rows of an Arrow batch (but for the last
+digits of sums). Where libraries take one update per 32 rows, this takes one per epoch, so it learns with
+larger steps: see ``Training.rate``.
 
 Several networks are trained by the same passes: the folds of a cross-validation or the trials of a search
 differ in their features, settings and held-out rows, but read the same stored rows. So five folds of fifty epochs cost
@@ -36,13 +31,10 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldmill.functions.hashing import key_hash
-from foldmill.operators.evaluate import PROBABILITY_FLOOR
-from foldmill.operators.features import View
+from foldmill.operators.evaluate import PROBABILITY_FLOOR, EarlyStop
+from foldmill.operators.features import Rows, View
 from foldmill.session import checkpoint
 
-# A shard should be worth a task, and small enough to be sorted in one.
-ROWS_PER_SHARD, MOST_ROWS_PER_SHARD = 50_000, 5_000_000
 # Adam's usual settings (fixed values).
 ADAM_DECAY_1, ADAM_DECAY_2, ADAM_EPSILON = 0.9, 0.999, 1e-7
 
@@ -69,17 +61,16 @@ def _unpack(flat: np.ndarray, layers: Sequence[int]) -> list[tuple[np.ndarray, n
     return out
 
 
-def probabilities(flat: np.ndarray, layers: Sequence[int], x: np.ndarray) -> np.ndarray:
-    return _forward(_unpack(flat, layers), x)[-1]
+def probabilities(flat: np.ndarray, layers: Sequence[int], x: Rows | np.ndarray) -> np.ndarray:
+    return _forward(_unpack(flat, layers), x if isinstance(x, Rows) else Rows(x))[-1]
 
 
-def _forward(weights, x, keep=None) -> list[np.ndarray]:
-    outs = [x]
+def _forward(weights, x: Rows) -> list:
+    outs: list = [x]
     for depth, (w, b) in enumerate(weights):
-        z = outs[-1] @ w + b
+        z = (outs[-1] @ w if depth else x.times(w)) + b
         if depth < len(weights) - 1:
-            z = np.maximum(z, 0.0)
-            outs.append(z if keep is None else z * keep(z.shape))
+            outs.append(np.maximum(z, 0.0))
         else:
             e = np.exp(z - z.max(axis=1, keepdims=True))
             outs.append(e / e.sum(axis=1, keepdims=True))
@@ -92,25 +83,19 @@ def _score(p: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
     return float(len(y)), float(-np.log(p_true).sum()), float((p.argmax(axis=1) == y).sum())
 
 
-def _gradient(flat, layers, x, y, keep=None) -> tuple[np.ndarray, tuple[float, float, float]]:
+def _gradient(flat, layers, x: Rows | np.ndarray, y) -> tuple[np.ndarray, tuple[float, float, float]]:
     """Summed gradient of the cross-entropy, and the scores at the given weights."""
+    x = x if isinstance(x, Rows) else Rows(x)
     weights = _unpack(flat, layers)
-    masks: list[np.ndarray] = []
-
-    def remember(shape):
-        masks.append(keep(shape))
-        return masks[-1]
-
-    outs = _forward(weights, x, remember if keep else None)
+    outs = _forward(weights, x)
     delta = outs[-1].copy()
     delta[np.arange(len(y)), y] -= 1.0
     parts: list[np.ndarray] = []
     for depth in range(len(weights) - 1, -1, -1):
-        parts = [(outs[depth].T @ delta).ravel(), delta.sum(axis=0), *parts]
+        inputs = outs[depth].T @ delta if depth else x.times_transposed(delta)
+        parts = [inputs.ravel(), delta.sum(axis=0), *parts]
         if depth:
             delta = (delta @ weights[depth][0].T) * (outs[depth] > 0)
-            if masks:
-                delta = delta * masks[depth - 1]
     return np.concatenate(parts), _score(outs[-1], y)
 
 
@@ -142,15 +127,12 @@ class Updater:
 
 @dataclass
 class Training:
-    """Settings of one network; ``hidden`` are the sizes between the features and the classes."""
+    """Settings of one network; ``hidden`` are the sizes between the features and the classes. ``rate`` suits one update an epoch."""
 
     hidden: list[int]
     epochs: int = 50
-    rate: float = 0.01
-    step: str = "batch"
-    batch: int = 32
-    optimizer: str = "sgd"
-    dropout: float = 0.0
+    rate: float = 0.05
+    optimizer: str = "adam"
     patience: int | None = None
     seed: int = 42
 
@@ -180,78 +162,49 @@ class Fitted:
     history: list[dict] = field(default_factory=list)
     best_epoch: int = 0
     held_rows: int = 0
+    train_rows: int = 0
 
     def model(self, **cols) -> "DenseNetModel":
         return DenseNetModel(layers=self.layers, weights=[float(w) for w in self.weights], **cols)
 
 
 def training_rows(
-    df: DataFrame, raw: str, target: str, part: Column, key: str, shards: int | None = None, seed: int = 42
+    df: DataFrame, raw: str, target: str, part: Column, key: str, tasks: int | None = None
 ) -> DataFrame:
-    """The rows the passes read: raw features, target and part, spread over shards by key and ordered by its hash.
+    """The rows the passes read: raw features, target and part, spread over tasks by key.
 
     Stored by ``checkpoint``, so that a pass reads finished partitions and a lost executor costs no re-preparation.
+    ``tasks`` defaults to the session's shuffle partitions; it changes how the work is spread, not the result.
     """
     rows = df.select(
         F.col(raw).alias("raw"), F.col(target).cast("long").alias("y"), part.cast("long").alias("part"),
         F.col(key).alias("_key"),
     )
-    rows = rows.repartition(shards or default_shards(df), "_key").sortWithinPartitions(key_hash("_key", seed))
-    return checkpoint(rows.drop("_key"))
-
-
-def default_shards(df: DataFrame, rows_each: int = ROWS_PER_SHARD) -> int:
-    """About ``rows_each`` rows each, on large tables a few shards per core, but never above MOST_ROWS_PER_SHARD rows."""
-    rows, cores = df.count(), df.sparkSession.sparkContext.defaultParallelism
-    return max(1, min(-(-rows // rows_each), 4 * cores), -(-rows // MOST_ROWS_PER_SHARD))
+    tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return checkpoint(rows.repartition(tasks, "_key").drop("_key"))
 
 
-class _Shard:
-    """One network's work on one shard during one pass."""
+class _Share:
+    """One network's work on one task's rows during one pass."""
 
-    def __init__(self, member: Member, state: np.ndarray, epoch: int, shard: int):
-        self.member, self.setting, self.layers = member, member.setting, member.layers
-        self.size, self.update = weight_count(self.layers), member.updater
-        self.learning = epoch < self.setting.epochs
-        self.start, self.local = state[: self.size], state.copy()
-        self.total = np.zeros(self.size)
-        self.scores = np.zeros(6)
-        self.rng = np.random.default_rng([self.setting.seed, epoch, shard])
-        self.left = (np.empty((0, self.layers[0])), np.empty(0, dtype=np.int64))
+    def __init__(self, member: Member, state: np.ndarray, epoch: int):
+        self.member, self.layers = member, member.layers
+        size = weight_count(self.layers)
+        self.learning = epoch < member.setting.epochs
+        self.weights, self.total, self.scores = state[:size], np.zeros(size), np.zeros(6)
 
     def see(self, raw: np.ndarray, y: np.ndarray, part: np.ndarray) -> None:
-        x, held = self.member.view.vectors(raw), np.isin(part, self.member.held)
+        x, held = self.member.view.rows(raw), np.isin(part, self.member.held)
         if held.any():
-            self.scores[3:] += _score(probabilities(self.start, self.layers, x[held]), y[held])
-        x, y = x[~held], y[~held]
-        if not self.learning or not len(y):
-            return
-        if self.setting.step == "pass":
-            self._learn(x, y)
-            return
-        order, batch = self.rng.permutation(len(y)), self.setting.batch
-        x, y = np.vstack([self.left[0], x[order]]), np.concatenate([self.left[1], y[order]])
-        full = len(y) - len(y) % batch
-        for at in range(0, full, batch):
-            self._learn(x[at : at + batch], y[at : at + batch])
-        self.left = (x[full:], y[full:])
-
-    def _learn(self, x: np.ndarray, y: np.ndarray) -> None:
-        drop = self.setting.dropout
-        keep = (lambda shape: (self.rng.random(shape) >= drop) / (1.0 - drop)) if drop else None
-        gradient, got = _gradient(self.local[: self.size], self.layers, x, y, keep)
-        self.scores[:3] += got
-        if self.setting.step == "pass":
+            self.scores[3:] += _score(probabilities(self.weights, self.layers, x[held]), y[held])
+        if self.learning and not held.all():
+            gradient, got = _gradient(self.weights, self.layers, x[~held], y[~held])
             self.total += gradient
-        else:
-            self.update.apply(self.local, gradient / len(y))
+            self.scores[:3] += got
 
     def sums(self) -> np.ndarray:
-        """Six scores (train, then held-out rows), then the summed gradient or the state weighted by its rows."""
-        if len(self.left[1]):
-            self._learn(*self.left)
-        share = self.total if self.setting.step == "pass" else self.local * self.scores[0]
-        return np.concatenate([self.scores, share])
+        """Six scores (train, then held-out rows), then the summed gradient."""
+        return np.concatenate([self.scores, self.total])
 
 
 def _one_pass(
@@ -266,7 +219,7 @@ def _one_pass(
         from pyspark import TaskContext
 
         shard = TaskContext.get().partitionId()
-        runs = {i: _Shard(member, state, epoch, shard) for i, (member, state) in active.items()}
+        runs = {i: _Share(member, state, epoch) for i, (member, state) in active.items()}
         for b in batches:
             if b.num_rows:
                 raw = b.column("raw").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
@@ -295,8 +248,9 @@ class _Progress:
         self.member, self.size = member, weight_count(member.layers)
         self.state = member.updater.start(initial_weights(member.layers, member.setting.seed))
         self.history: list[dict] = []
-        self.best_loss, self.best_epoch, self.best = float("inf"), 0, self.state[: self.size].copy()
-        self.held_rows, self.done = 0, False
+        self.stop, self.best = EarlyStop(member.setting.patience), self.state[: self.size].copy()
+        self.held_rows = self.train_rows = 0
+        self.done = False
 
     def take(self, epoch: int, sums: np.ndarray) -> None:
         setting, total = self.member.setting, sums[6:]
@@ -305,9 +259,9 @@ class _Progress:
         if epoch and held_n:
             val_loss = held_loss / held_n
             self.history[-1] |= {"val_loss": val_loss, "val_accuracy": held_hits / held_n}
-            if val_loss < self.best_loss:
-                self.best_loss, self.best_epoch, self.best = val_loss, epoch - 1, self.state[: self.size].copy()
-            elif setting.patience and epoch - 1 - self.best_epoch >= setting.patience:
+            if self.stop.see(epoch - 1, val_loss):
+                self.best = self.state[: self.size].copy()
+            elif self.stop.stopped:
                 self.done = True
                 return
         if epoch == setting.epochs:
@@ -315,20 +269,18 @@ class _Progress:
             return
         if n == 0:
             raise ValueError("no rows to train on")
+        self.train_rows = int(n)
         self.history.append({"step": epoch, "loss": loss / n, "accuracy": hits / n})
-        if setting.step == "pass":
-            self.member.updater.apply(self.state, total / n)
-        else:
-            self.state = total / n
+        self.member.updater.apply(self.state, total / n)
         # Without held-out rows there is nothing to score after the last epoch.
         self.done = epoch == setting.epochs - 1 and not held_n
 
     def fitted(self) -> Fitted:
-        if self.member.setting.patience and np.isfinite(self.best_loss):
-            weights, epoch = self.best, self.best_epoch
+        if self.member.setting.patience and self.stop.best_step is not None:
+            weights, epoch = self.best, self.stop.best_step
         else:
             weights, epoch = self.state[: self.size].copy(), len(self.history) - 1
-        return Fitted(self.member.layers, weights, self.history, epoch, self.held_rows)
+        return Fitted(self.member.layers, weights, self.history, epoch, self.held_rows, self.train_rows)
 
 
 def train(rows: DataFrame, members: Sequence[Member]) -> list[Fitted]:

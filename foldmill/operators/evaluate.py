@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Probabilities are kept this far from zero before the logarithm (fixed value).
@@ -23,9 +24,14 @@ def softmax(scores: Sequence[Column]) -> Column:
     return F.array(*[e / total for e in raised])
 
 
+def listed(values: Sequence) -> Column:
+    """A constant array of texts as one expression, however many there are."""
+    return F.from_json(F.lit(json.dumps([str(v) for v in values])), "array<string>")
+
+
 def with_prediction(df: DataFrame, probability: str, classes: Sequence[str]) -> DataFrame:
     """Most probable class (the first one on ties) and its probability."""
-    names = F.array(*[F.lit(c) for c in classes])
+    names = listed(classes)
     best = F.array_max(probability)
     return df.withColumns(
         {
@@ -36,9 +42,9 @@ def with_prediction(df: DataFrame, probability: str, classes: Sequence[str]) ->
 
 
 def true_probability(probability: str | Column, label: str, classes: Sequence[str]) -> Column:
-    names = F.array(*[F.lit(c) for c in classes])
+    names = listed(classes)
     p = F.col(probability) if isinstance(probability, str) else probability
-    return F.element_at(p, F.array_position(names, F.col(label)).cast("int"))
+    return F.element_at(p, F.array_position(names, F.col(label).cast("string")).cast("int"))
 
 
 def row_loss(p_true: Column) -> Column:
@@ -90,20 +96,39 @@ def best_trial(reduced: DataFrame, metric: str = "val_accuracy") -> DataFrame:
     )
 
 
+class EarlyStop:
+    """Stops once ``patience`` steps in a row brought no lower loss; without patience it only remembers the best step."""
+
+    def __init__(self, patience: int | None = None):
+        self.patience, self.best_step, self.best_loss, self.stopped = patience, None, float("inf"), False
+
+    def see(self, step: int, loss: float) -> bool:
+        """Whether this step is the best so far; ``stopped`` tells whether it is the last."""
+        if loss < self.best_loss:
+            self.best_step, self.best_loss = step, loss
+            return True
+        first = 0 if self.best_step is None else self.best_step
+        self.stopped = bool(self.patience) and step - first >= self.patience
+        return False
+
+
 def early_stop(history: DataFrame, run: str, patience: int = 3) -> DataFrame:
     """Per run of ``(run, step, val_loss)``: the best step seen before stopping, and the step it stops at.
 
-    Training stops once ``patience`` steps in a row brought no lower loss. A run has as many rows as it has epochs.
+    Each run's curve is followed by :class:`EarlyStop`, as in training; a run has as many rows as it has epochs.
     """
-    seen = Window.partitionBy(run).orderBy("step")
-    lowest_before = F.min("val_loss").over(seen.rowsBetween(Window.unboundedPreceding, -1))
-    better = F.when(lowest_before.isNull() | (F.col("val_loss") < lowest_before), F.col("step"))
-    traced = history.withColumn("_better", better)
-    traced = traced.withColumn("_last", F.max("_better").over(seen))
-    stops = F.min(F.when(F.col("step") - F.col("_last") >= patience, F.col("step"))).over(Window.partitionBy(run))
-    traced = traced.withColumn("_stop", F.coalesce(stops, F.max("step").over(Window.partitionBy(run))))
-    return (
-        traced.filter(F.col("step") <= F.col("_stop"))
-        .groupBy(run)
-        .agg(F.max("_better").alias("best_step"), F.max("_stop").alias("stop_step"), F.min("val_loss").alias("best_loss"))
-    )
+
+    def follow(key, curve):
+        import pandas as pd
+
+        rule, last = EarlyStop(patience), None
+        for step, loss in curve.sort_values("step")[["step", "val_loss"]].itertuples(index=False):
+            last = step
+            rule.see(step, loss)
+            if rule.stopped:
+                break
+        return pd.DataFrame([[key[0], rule.best_step, last, rule.best_loss]], columns=[run, "best_step", "stop_step", "best_loss"])
+
+    kind = history.schema[run].dataType.simpleString()
+    schema = f"`{run}` {kind}, best_step bigint, stop_step bigint, best_loss double"
+    return history.groupBy(run).applyInPandas(follow, schema)

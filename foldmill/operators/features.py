@@ -14,6 +14,7 @@ import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasOutputCols
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foldmill.operators import stats
+from foldmill.operators.evaluate import listed
 
 log = logging.getLogger(__name__)
 
@@ -135,6 +137,44 @@ class FeaturePlan:
         return PipelineModel(stages)
 
 
+class Rows:
+    """Feature rows as numbers and, for each category column, the slot that is one (-1: none); one-hot slots are never filled in."""
+
+    def __init__(self, numbers: np.ndarray, slots: Sequence[np.ndarray] = (), width: int | None = None):
+        self.numbers, self.slots, self.width = numbers, list(slots), width or numbers.shape[1]
+
+    def __len__(self) -> int:
+        return len(self.numbers)
+
+    def __getitem__(self, rows) -> Rows:
+        return Rows(self.numbers[rows], [s[rows] for s in self.slots], self.width)
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        """``rows @ w``, picking the rows of ``w`` that the slots name."""
+        out = self.numbers @ w[: self.numbers.shape[1]]
+        for s in self.slots:
+            hit = s >= 0
+            out[hit] += w[s[hit]]
+        return out
+
+    def times_transposed(self, delta: np.ndarray) -> np.ndarray:
+        """``rows.T @ delta``."""
+        out = np.zeros((self.width, delta.shape[1]))
+        out[: self.numbers.shape[1]] = self.numbers.T @ delta
+        for s in self.slots:
+            hit = s >= 0
+            np.add.at(out, s[hit], delta[hit])
+        return out
+
+    def dense(self) -> np.ndarray:
+        out = np.zeros((len(self), self.width))
+        out[:, : self.numbers.shape[1]] = self.numbers
+        for s in self.slots:
+            hit = np.flatnonzero(s >= 0)
+            out[hit, s[hit]] = 1.0
+        return out
+
+
 @dataclass
 class View:
     """A plan as arrays: turns raw rows of :func:`raw_rows` into the same vectors as the plan's pipeline.
@@ -148,16 +188,14 @@ class View:
     codes: list[tuple[int, np.ndarray]]
     width: int
 
-    def vectors(self, raw: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(raw), self.width))
+    def rows(self, raw: np.ndarray) -> Rows:
         known = raw[:, self.columns]
         known = np.where(np.isnan(known), self.means, known)
-        out[:, : len(self.columns)] = (known - self.means) / self.deviations
-        for column, slot_of in self.codes:
-            slots = slot_of[raw[:, column].astype(np.int64)]
-            hit = np.flatnonzero(slots >= 0)
-            out[hit, slots[hit]] = 1.0
-        return out
+        slots = [slot_of[raw[:, column].astype(np.int64)] for column, slot_of in self.codes]
+        return Rows((known - self.means) / self.deviations, slots, self.width)
+
+    def vectors(self, raw: np.ndarray) -> np.ndarray:
+        return self.rows(raw).dense()
 
 
 def union_vocabulary(plans: Sequence[FeaturePlan]) -> dict[str, list[str]]:
@@ -219,18 +257,17 @@ def _plans(number_rows, count_rows, mode_rows, numeric, categorical, drop_first)
     return plans
 
 
-def _collect_plans(numbers, counts, numeric, categorical, drop_first, folds: int = 1) -> dict[int, FeaturePlan]:
+def _collect_plans(numbers, counts, numeric, categorical, drop_first) -> dict[int, FeaturePlan]:
+    """Plans from a moments row per fold and column, one mode per fold and column, and the vocabularies: the names of vector slots, a row
+    for each value whatever the number of folds."""
     number_rows = numbers.collect() if numeric else []
     count_rows, mode_rows = [], []
     if categorical:
-        count_rows = stats.collect_bounded(
-            counts.select("fold", "column_name", "value", "n"), stats.MAX_CATEGORIES * folds, "feature vocabulary"
-        )
-        best: dict[tuple, tuple] = {}
-        for r in count_rows:
-            group, rank = (r["fold"], r["column_name"]), (-r["n"], r["value"])
-            best[group] = min(best.get(group, rank), rank)
-        mode_rows = [{"fold": f, "column_name": c, "mode": value} for (f, c), (_, value) in best.items()]
+        values = counts.groupBy("column_name", "value").agg(F.collect_set("fold").alias("folds"))
+        count_rows = [
+            {"fold": fold, "column_name": r["column_name"], "value": r["value"]} for r in values.collect() for fold in r["folds"]
+        ]
+        mode_rows = stats.most_frequent(counts, ["fold"]).collect()
     return _plans(number_rows, count_rows, mode_rows, numeric, categorical, drop_first)
 
 
@@ -262,7 +299,7 @@ def fit_fold_features(
         )
     if categorical:
         counts = stats.train_category_counts(stats.category_counts(folded, categorical, ["fold"]), folds)
-    return _collect_plans(numbers, counts, numeric, categorical, False, folds)
+    return _collect_plans(numbers, counts, numeric, categorical, False)
 
 
 # --- the same steps as plain columns, for SQL-style use -------------------------------------------------
@@ -314,24 +351,48 @@ def transform_fold(
 def transform_all_folds(
     folded: DataFrame, folds: int, plans: dict[int, FeaturePlan], label: str, classes: Sequence[str]
 ) -> DataFrame:
-    """The rows of every fold's train and test set, one below the other, for a partitioned table."""
-    parts = [
-        transform_fold(folded, f, plans[f], label, classes).select(
-            F.lit(f).cast("bigint").alias("fold"), "role", *[c for c in folded.columns if c != "fold"],
-            "target", "features",
-        )
-        for f in range(folds)
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    """The rows of every fold's train and test set, for a partitioned table.
+
+    The table is read once: categories are coded once with all folds' values, each row is repeated for every fold, and meets
+    that fold's numbers (means, deviations, the slot of each code), a row a fold, in a join that Spark broadcasts if it is small.
+    """
+    vocabulary = union_vocabulary([plans[f] for f in range(folds)])
+    numeric, texts = plans[0].numeric, plans[0].categorical
+    raw = raw_rows(folded.withColumn("target", target_ordinal(label, classes)), numeric, texts, vocabulary, "_raw")
+    known = []
+    for f in range(folds):
+        view = view_of(plans[f], vocabulary)
+        numbers = [(int(c), float(m), float(d)) for c, m, d in zip(view.columns, view.means, view.deviations)]
+        known.append((f, numbers, [(c, [int(v) for v in slots]) for c, slots in view.codes], view.width))
+    table = folded.sparkSession.createDataFrame(
+        known, "_fold bigint, _numbers array<struct<c:int,mu:double,sd:double>>, _codes array<struct<c:int,slots:array<int>>>, _width int"
+    )
+    every = F.array(*[F.lit(f).cast("bigint") for f in range(folds)])
+    rows = raw.withColumn("_fold", F.explode(every)).join(table, "_fold")
+
+    def number(n: Column) -> Column:
+        value = F.element_at("_raw", n["c"] + 1)
+        return (F.when(F.isnan(value), n["mu"]).otherwise(value) - n["mu"]) / n["sd"]
+
+    def slot(n: Column) -> Column:
+        code = F.element_at("_raw", n["c"] + 1).cast("int")
+        return F.element_at(n["slots"], F.when(code < 0, -1).otherwise(code + 1))
+
+    first = F.size("_numbers")
+    onehot = F.transform(
+        F.sequence(first, F.col("_width") - 1), lambda j: F.when(F.array_contains("_hot", j), 1.0).otherwise(0.0)
+    )
+    onehot = F.when(F.col("_width") > first, onehot).otherwise(F.array().cast("array<double>"))
+    rows = rows.withColumn("_hot", F.transform("_codes", slot))
+    vector = array_to_vector(F.concat(F.transform("_numbers", number), onehot))
+    role = F.when(F.col("fold") == F.col("_fold"), F.lit("test")).otherwise(F.lit("train"))
+    kept = [c for c in folded.columns if c != "fold"]
+    return rows.select(F.col("_fold").alias("fold"), role.alias("role"), *kept, "target", vector.alias("features"))
 
 
 def target_ordinal(label: str, classes: Sequence[str]) -> Column:
     """Place of the label in the sorted class list; an unknown label is an error, not a class."""
-    known = F.array(*[F.lit(c) for c in classes])
-    place = F.array_position(known, F.col(label))
+    place = F.array_position(listed(classes), F.col(label).cast("string"))
     unknown = F.raise_error(F.concat(F.lit(f"unknown {label}: "), F.coalesce(F.col(label).cast("string"), F.lit("null"))))
     return F.when(place > 0, place - 1).otherwise(unknown).cast("bigint")
 
@@ -346,6 +407,5 @@ def onehot_columns(column: str, vocabulary: Sequence[str], drop_first: bool = Fa
 
 
 def onehot_array(column: str, vocabulary: Sequence[str], drop_first: bool = False) -> Column:
-    kept = vocabulary[1:] if drop_first else vocabulary
-    slots = [F.when(F.col(column) == v, F.lit(1.0)).otherwise(F.lit(0.0)) for v in kept]
-    return F.array(*slots) if slots else F.array().cast("array<double>")
+    kept = listed(vocabulary[1:] if drop_first else vocabulary)
+    return F.transform(kept, lambda v: F.when(F.col(column).cast("string") == v, F.lit(1.0)).otherwise(F.lit(0.0)))

@@ -5,34 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Up to so many copies are written out where they were counted; more are first cut into pieces and spread over tasks.
-INLINE_COPIES = 16
 COPIES_PER_PIECE = 10_000
 
 
-def with_row_key(
-    df: DataFrame, name: str = "row_key", inline: int = INLINE_COPIES, piece: int = COPIES_PER_PIECE
-) -> DataFrame:
+def with_row_key(df: DataFrame, name: str = "row_key", piece: int = COPIES_PER_PIECE) -> DataFrame:
     """Add ``md5(row):copy``. Copies of a row are interchangeable, so it is enough to count them.
 
     Equal rows are counted first (combined before the shuffle, so a group holding a third of the table
-    travels as one row per task), then written out again with copy numbers. Where few rows stand for many, the pieces are
-    spread over a fixed number of tasks: sized by what they are before they are written out, they would be put together again.
+    travels as one row per task), then written out again with copy numbers, in pieces that are spread over a fixed number of
+    tasks: sized by what they are before they are written out, they would be put together again.
     """
     cols = df.columns
     counted = df.groupBy(*cols).agg(F.count("*").alias("_copies"))
     content = F.md5(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}))
-    zero = F.lit(0).cast("bigint")
-
-    few = counted.filter(F.col("_copies") <= inline).withColumn(
-        "_copy", F.explode(F.sequence(zero, F.col("_copies") - 1))
-    )
-    starts = F.sequence(zero, F.col("_copies") - 1, F.lit(piece).cast("bigint"))
-    pieces = counted.filter(F.col("_copies") > inline).withColumn("_from", F.explode(starts))
+    starts = F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1, F.lit(piece).cast("bigint"))
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pieces = pieces.repartition(tasks, *[F.col(c) for c in cols], F.col("_from"))
+    pieces = counted.withColumn("_from", F.explode(starts)).repartition(tasks, *[F.col(c) for c in cols], F.col("_from"))
     upto = F.least(F.col("_from") + piece, F.col("_copies")) - 1
-    many = pieces.withColumn("_copy", F.explode(F.sequence(F.col("_from"), upto))).drop("_from")
-
-    numbered = few.unionByName(many)
+    numbered = pieces.withColumn("_copy", F.explode(F.sequence(F.col("_from"), upto)))
     return numbered.select(F.concat_ws(":", content, F.col("_copy").cast("string")).alias(name), *cols)

@@ -16,7 +16,6 @@ from foldmill.schemas import FOLD_METRICS
 
 # Hidden layer sizes of the standard network (fixed values).
 HIDDEN = [10, 8]
-ROWS_PER_FIT_TASK = 10_000
 
 
 @dataclass
@@ -44,7 +43,7 @@ class Job:
 
 def fit_dense(
     df: DataFrame, cols: Columns, classes: Sequence, jobs: Sequence[Job], part: Column | None = None,
-    shards: int | None = None,
+    tasks: int | None = None,
 ) -> list[dense_net.Fitted]:
     """Train one network per job, all by the same passes; see :func:`as_pipeline` to apply one.
 
@@ -53,7 +52,7 @@ def fit_dense(
     vocabulary = features.union_vocabulary([j.plan for j in jobs])
     raw = features.raw_rows(with_target(df, cols.label, classes), cols.numeric, cols.categorical, vocabulary)
     part = F.lit(0) if part is None else part
-    rows = dense_net.training_rows(raw, "raw", "target", part, cols.key, shards, jobs[0].setting.seed)
+    rows = dense_net.training_rows(raw, "raw", "target", part, cols.key, tasks)
     members = [
         dense_net.Member(features.view_of(j.plan, vocabulary), len(classes), j.setting, j.held) for j in jobs
     ]
@@ -73,7 +72,7 @@ def fit_perceptron(
     stages = plan.pipeline(df.sparkSession)
     prepared = with_target(stages.transform(df), cols.label, classes)
     # Read once per iteration, so worth a shuffle that gives every core a share.
-    tasks = dense_net.default_shards(df, ROWS_PER_FIT_TASK)
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = prepared.select(cols.key, "features", F.col("target").cast("double").alias("target")).repartition(tasks, cols.key)
     fit = MultilayerPerceptronClassifier(
         featuresCol="features", labelCol="target", probabilityCol="probability", predictionCol="prediction_index",
@@ -133,21 +132,10 @@ def final_model(
     plan = features.fit_features(df, cols.numeric, cols.categorical)
     marked = split.holdout_tail(df, cols.key, share, setting.seed, "held_out")
     [fitted] = fit_dense(marked, cols, classes, [Job(plan, setting, (1,))], F.col("held_out").cast("long"))
-    model = as_pipeline(df.sparkSession, plan, fitted)
-    by_part = {
-        r["held_out"]: r
-        for r in evaluate.accuracy_and_loss(
-            predict(model, marked, classes), cols.label, "prediction",
-            evaluate.true_probability("probability", cols.label, classes), ["held_out"],
-        ).collect()
-    }
-    scores = {}
-    for held, name in ((False, "train"), (True, "holdout")):
-        if held in by_part:
-            scores[f"{name}_accuracy"], scores[f"{name}_loss"] = by_part[held]["accuracy"], by_part[held]["loss"]
-            scores[f"{name}_rows"] = by_part[held]["n_rows"]
-    return model, fitted, plan, scores
-
-
-def class_list(df: DataFrame, label: str) -> list:
-    return stats.class_list(df, label)
+    # the last pass has scored the held-out rows with the final weights, and the train rows with those before the last update
+    last, scores = fitted.history[-1], {}
+    for name, prefix in (("train", ""), ("holdout", "val_")):
+        if f"{prefix}accuracy" in last:
+            scores |= {f"{name}_accuracy": last[f"{prefix}accuracy"], f"{name}_loss": last[f"{prefix}loss"]}
+    scores |= {"train_rows": fitted.train_rows, "holdout_rows": fitted.held_rows}
+    return as_pipeline(df.sparkSession, plan, fitted), fitted, plan, scores

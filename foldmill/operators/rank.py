@@ -26,10 +26,6 @@ from foldmill.functions.hashing import key_hash
 PREFIX_DIGITS = 4
 
 
-class RepeatedKeyError(ValueError):
-    """The key does not identify a row; derive one with ``keys.with_row_key``."""
-
-
 @dataclass(frozen=True)
 class RankCut:
     """The row with the given rank: rows from it onwards lie behind the cut."""
@@ -43,27 +39,23 @@ class RankCut:
         return F.coalesce(behind, F.lit(False))
 
 
-def _prefix_counts(hashed: DataFrame, prefix: str, key: str, digits: int) -> list[tuple[str, int]]:
-    """Rows per hash prefix in order: at most 16**digits of them.
-
-    Unique keys spread evenly, so a prefix far above the mean can only come from a repeated key. It is refused here,
-    before any task has to sort all its rows.
-    """
+def _prefix_counts(hashed: DataFrame, prefix: str) -> list[tuple[str, int]]:
+    """Rows per hash prefix in order: at most 16**digits of them."""
     counted = hashed.groupBy(prefix).agg(F.count("*").alias("n")).toArrow()
-    counts = sorted(zip(counted[prefix].to_pylist(), counted["n"].to_pylist()))
-    mean = sum(c for _, c in counts) / 16**digits
-    if any(c > mean + 10 * mean**0.5 + 10_000 for _, c in counts):
-        raise RepeatedKeyError(f"{key} repeats too often to identify rows")
-    return counts
+    return sorted(zip(counted[prefix].to_pylist(), counted["n"].to_pylist()))
 
 
 def rank_cuts(
     df: DataFrame, key: str, seed: int | str, ranks: Callable[[int], list[int]], digits: int = PREFIX_DIGITS
 ) -> tuple[int, list[RankCut | None]]:
-    """Row count, and the cut at each rank of ``ranks(row_count)``; ``None`` past the last row."""
+    """Row count, and the cut at each rank of ``ranks(row_count)``; ``None`` past the last row.
+
+    Rows that share a key lie on one side of every cut, behind it if the rank falls among them. They are counted before
+    they are ranked, so a key that holds a third of the table is one row here.
+    """
     hashed = df.select(F.col(key).alias("k"), key_hash(key, seed).alias("h"))
     hashed = hashed.withColumn("p", F.substring("h", 1, digits))
-    counts = _prefix_counts(hashed, "p", key, digits)
+    counts = _prefix_counts(hashed, "p")
     total = sum(c for _, c in counts)
 
     places: dict[int, tuple[str, int]] = {}
@@ -78,21 +70,17 @@ def rank_cuts(
     if not places:
         return total, [None for _ in asked]
 
-    by_prefix = Window.partitionBy("p").orderBy("h", "k")
-    numbered = hashed.filter(F.col("p").isin(sorted({p for p, _ in places.values()}))).withColumn(
-        "n", F.row_number().over(by_prefix) - 1
-    )
+    before = Window.partitionBy("p").orderBy("h", "k").rowsBetween(Window.unboundedPreceding, -1)
+    keys = hashed.filter(F.col("p").isin(sorted({p for p, _ in places.values()}))).groupBy("p", "h", "k").agg(F.count("*").alias("c"))
+    keys = keys.withColumn("n", F.coalesce(F.sum("c").over(before), F.lit(0)))
     at_border = F.lit(False)
     for prefix, offset in places.values():
-        at_border = at_border | ((F.col("p") == prefix) & F.col("n").isin(offset - 1, offset))
-    found = {(r["p"], r["n"]): r for r in numbered.filter(at_border).collect()}
+        at_border = at_border | ((F.col("p") == prefix) & (F.col("n") <= offset) & (F.col("n") + F.col("c") > offset))
+    found = keys.filter(at_border).collect()  # a row for each cut at most
 
     cuts: dict[int, RankCut] = {}
     for rank, (prefix, offset) in places.items():
-        row = found[prefix, offset]
-        previous = found.get((prefix, offset - 1))
-        if previous is not None and (previous["h"], previous["k"]) == (row["h"], row["k"]):
-            raise RepeatedKeyError(f"{key} does not identify rows: {row['k']!r} appears more than once")
+        row = next(r for r in found if r["p"] == prefix and r["n"] <= offset < r["n"] + r["c"])
         cuts[rank] = RankCut(row["h"], row["k"])
     return total, [cuts.get(r) for r in asked]
 
@@ -109,16 +97,21 @@ def cuts_passed(cuts: list[RankCut | None], key: str, seed: int | str) -> Column
 def global_rank(
     df: DataFrame, key: str, seed: int | str, name: str = "position", digits: int = PREFIX_DIGITS
 ) -> DataFrame:
-    """Add the exact zero-based position of every row in the seeded order."""
+    """Add the exact zero-based position of every row in the seeded order.
+
+    A key that repeats has no defined positions: the job fails with its name, however often it repeats.
+    """
     hashed = df.withColumn("_h", key_hash(key, seed)).withColumn("_p", F.substring("_h", 1, digits))
-    counts = _prefix_counts(hashed, "_p", key, digits)
+    counts = _prefix_counts(hashed, "_p")
     starts = list(accumulate((c for _, c in counts), initial=0))[:-1]
     # At most 16**digits rows, so the broadcast is safe.
     offsets = pa.table({"_p": pa.array([p for p, _ in counts], pa.string()), "_before": pa.array(starts, pa.int64())})
     table = df.sparkSession.createDataFrame(offsets)
     within = Window.partitionBy("_p").orderBy("_h", key)
+    again = F.col("_h").eqNullSafe(F.lag("_h").over(within)) & F.col(key).eqNullSafe(F.lag(key).over(within)) & (F.row_number().over(within) > 1)
+    refused = F.raise_error(F.concat(F.lit(f"RepeatedKey: {key} does not identify rows: "), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
     return (
-        hashed.withColumn("_n", F.row_number().over(within) - 1)
+        hashed.withColumn("_n", F.when(again, refused.cast("int")).otherwise(F.row_number().over(within) - 1))
         .join(F.broadcast(table), "_p")
         .withColumn(name, (F.col("_before") + F.col("_n")).cast("bigint"))
         .drop("_h", "_p", "_n", "_before")

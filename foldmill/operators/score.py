@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from foldmill.operators import clean, evaluate, model
 from foldmill.sources import tables
@@ -29,20 +32,38 @@ def attach_predictions(inputs: DataFrame, predictions: DataFrame, key: str) -> D
 
 
 def index_to_label(df: DataFrame, index: str, classes: Sequence[str], name: str = "prediction") -> DataFrame:
-    known = F.array(*[F.lit(c) for c in classes])
-    return df.withColumn(name, F.try_element_at(known, (F.col(index) + 1).cast("int")))
+    return df.withColumn(name, F.try_element_at(evaluate.listed(classes), (F.col(index) + 1).cast("int")))
 
 
-def capture(scored: DataFrame, path: str, columns: Sequence[str], enabled: bool = True) -> DataFrame:
-    """Append the inputs with their predictions to the log and return the batch unchanged.
+PREDICTED = [("prediction", T.StringType()), ("confidence", T.DoubleType()), ("prediction_time", T.TimestampType())]
 
-    Using the returned batch scores it once more; what was logged can be read back by its prediction time instead.
+
+def log_rows(scored: DataFrame, inputs: Sequence[T.StructField]) -> DataFrame:
+    """A batch as the log takes it: the declared inputs and the predictions in their declared types, every other column as text,
+    so that batches of any origin can be read together. Declared inputs that a batch lacks are left out and read as null."""
+    declared = [f for f in inputs if f.name in scored.columns] + [T.StructField(n, t) for n, t in PREDICTED]
+    known = clean.conform_schema(scored.select(*[f.name for f in declared]), T.StructType(declared))
+    names = {f.name for f in declared}
+    others = [c for c in scored.columns if c not in names]
+    if not others:
+        return known
+    every = T.StructType([*declared, *[T.StructField(c, T.StringType()) for c in others]])
+    return clean.conform_schema(scored, every)
+
+
+def capture(scored: DataFrame, path: str, inputs: Sequence[T.StructField], enabled: bool = True) -> DataFrame:
+    """Append a scored batch to the log and return the logged rows; without ``enabled`` the batch comes back as it is.
+
+    Each batch is written once, to a folder of its own below ``path``, and read back from there, so it is scored once.
     """
-    if enabled:
-        kept = [*columns, "prediction", "confidence", "prediction_time"]
-        tables.append(scored.select(*kept), path)
-    return scored
+    if not enabled:
+        return scored
+    rows = log_rows(scored, inputs)
+    folder = os.path.join(path, f"batch={uuid.uuid4().hex}")
+    tables.write_path(rows, folder)
+    return tables.read_path(scored.sparkSession, folder, rows.schema)
 
 
-def prediction_report(scored: DataFrame, label: str) -> DataFrame:
-    return evaluate.confusion(scored, label, "prediction")
+def read_log(spark, path: str) -> DataFrame:
+    """All logged batches under the union of their columns."""
+    return tables.read_merged(spark, path).drop("batch")

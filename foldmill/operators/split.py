@@ -20,7 +20,8 @@ def fold_starts(rows: int, folds: int) -> list[int]:
 def kfold(df: DataFrame, key: str, folds: int = 5, seed: int = 42, name: str = "fold") -> DataFrame:
     """Seeded shuffled k-fold with sizes that differ by at most one.
 
-    The rows themselves are not moved: each is compared with the k-1 border rows.
+    The rows themselves are not moved: each is compared with the k-1 border rows. Rows that share a key share a fold, so
+    sizes differ by more where keys repeat.
     """
     _, cuts = rank_cuts(df, key, seed, lambda n: fold_starts(n, folds))
     return df.withColumn(name, cuts_passed(cuts, key, seed))
@@ -107,13 +108,7 @@ def shuffled_positions(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
     return global_rank(df, key, seed, "position")
 
 
-# Up to here the first rows are kept in memory while sorting; larger samples are cut at a border row instead.
-LARGEST_SORTED_SAMPLE = 10_000
-
-
 def sample_n(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """Exactly ``n`` rows (or all, if fewer), the first in the seeded order."""
-    if n <= LARGEST_SORTED_SAMPLE:
-        return df.orderBy(key_hash(key, seed), key).limit(n)
+    """Exactly ``n`` rows (or all, if fewer), the first in the seeded order; rows of one key are taken or left together."""
     _, cuts = rank_cuts(df, key, seed, lambda _: [n])
     return df.filter(cuts_passed(cuts, key, seed) == 0)

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from foldmill.operators.clean import numeric_columns, text_columns
 
-# More distinct labels or categories than this do not become vector slots; the fit fails instead.
-MAX_CATEGORIES = 100_000
-
 
 def row_count(df: DataFrame, name: str = "n_rows") -> DataFrame:
     return df.agg(F.count("*").alias(name))
@@ -132,28 +129,16 @@ def most_frequent(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return counts.groupBy(*by, "column_name").agg(F.min_by("value", rank).alias("mode"))
 
 
-def collect_bounded(df: DataFrame, limit: int, what: str) -> list:
-    """Collect a table that has to be small, failing rather than cutting it when it is not."""
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{what}: more than {limit} rows")
-    return rows
-
-
-def class_list(df: DataFrame, label: str, limit: int = MAX_CATEGORIES) -> list:
-    """The sorted distinct labels."""
-    distinct = df.select(label).filter(F.col(label).isNotNull()).distinct()
-    return sorted(r[0] for r in collect_bounded(distinct, limit, f"classes of {label}"))
+def class_list(df: DataFrame, label: str) -> list:
+    """The sorted distinct labels: the names of a classifier's outputs."""
+    return sorted(r[0] for r in df.select(label).filter(F.col(label).isNotNull()).distinct().collect())
 
 
-def categories(df: DataFrame, cols: Sequence[str], limit: int = MAX_CATEGORIES) -> DataFrame:
+def categories(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Distinct non-null values per column with their place in sorted order.
 
-    The counting is distributed; only the vocabulary itself, which has to be small to be of use, is put in order here.
+    Values are made distinct before they are ranked, and stay on the executors.
     """
+    order = Window.partitionBy("column_name").orderBy("value")
     counts = category_counts(df, cols).select("column_name", "value")
-    rows, place = [], 0
-    for r in sorted(collect_bounded(counts, limit, "categories")):
-        place = place + 1 if rows and rows[-1][0] == r["column_name"] else 0
-        rows.append((r["column_name"], r["value"], place))
-    return df.sparkSession.createDataFrame(rows, "column_name string, value string, idx bigint")
+    return counts.withColumn("idx", (F.row_number().over(order) - 1).cast("bigint"))

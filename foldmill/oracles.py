@@ -1,6 +1,6 @@
 """The registered queries again as SQL for another engine, written from the definitions, not from the Spark code.
 
-Only the queries that train by shuffled mini-batches have none.
+For queries that train for many epochs it states what was trained on what and that it learned; ``train_history`` follows the numbers themselves.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ raw_samples as (
            ln.n_lines, ln.peak, o.o_orderpriority prio, c.c_mktsegment seg,
            case when coalesce(net, 0) < {LOW} then '1-small' when coalesce(net, 0) < {HIGH} then '2-medium'
                 else '3-large' end band
-    from orders o join customer c on o.o_custkey = c.c_custkey left join ln on ln.l_orderkey = o.o_orderkey),
+    from orders o left join customer c on o.o_custkey = c.c_custkey left join ln on ln.l_orderkey = o.o_orderkey),
 samples as (select * replace (nullif(prio, '4-NOT SPECIFIED') as prio) from raw_samples)
 """
 HASH = "md5(concat('42:', cast(id as string)))"
@@ -42,26 +42,32 @@ def flag(condition: str) -> str:
     return f"case when {condition} then {ONE} else {ZERO} end"
 
 
-def _softmax(a: str, b: str, c: str, source: str, kept: str) -> str:
-    """CTEs that end in ``pr`` with class probabilities pf, po, pp."""
-    return f""", lg as (select {kept}, {a} a, {b} b, {c} c from {source}),
-    ex as (select *, exp(a) ea, exp(b) eb, exp(c) ec from lg),
-    pr as (select *, ea/(ea+eb+ec) pf, eb/(ea+eb+ec) po, ec/(ea+eb+ec) pp from ex)"""
-
-
-FIXED_PRICE, FIXED_BAL, FIXED_C = "price / 100000.0", "bal / 10000.0", "cast(0.5 as double)"
+def _logit(j: int) -> str:
+    """The given classifier's score of class ``j``."""
+    plan, w = q.FIXED, [row[j] for row in q.FIXED_WEIGHTS]
+    terms = [
+        f"{w[i]} * (coalesce({c}, {plan.means[c]}) - {plan.means[c]}) / {plan.deviations[c]}" for i, c in enumerate(plan.numeric)
+    ]
+    at = len(plan.numeric)
+    terms += [
+        f"{w[at + i]} * {flag(f'coalesce(prio, {plan.fills['prio']!r}) = {v!r}')}" for i, v in enumerate(plan.vocabulary["prio"])
+    ]
+    return "cast(" + " + ".join(terms) + f" + {w[-1]} as double)"
 
 
-def scored(source: str = "samples where qty is not null", head: str = RAW) -> str:
-    kept = "id, label, price, bal, qty, disc, prio, seg" + (", fold" if head == FOLDED else "")
-    return head + _softmax(FIXED_PRICE, FIXED_BAL, FIXED_C, source, kept) + """,
+def scored(source: str = "samples", head: str = RAW) -> str:
+    kept = "id, label, price, bal, qty, disc, n_lines, prio, seg" + (", fold" if head == FOLDED else "")
+    return head + f""", lg as (select {kept}, {_logit(0)} a, {_logit(1)} b, {_logit(2)} c from {source}),
+    ex as (select *, exp(a) ea, exp(b) eb, exp(c) ec from lg),
+    pr as (select *, ea/(ea+eb+ec) pf, eb/(ea+eb+ec) po, ec/(ea+eb+ec) pp from ex),
     sc as (select *, case when pf >= po and pf >= pp then 'F' when po >= pp then 'O' else 'P' end prediction,
            greatest(pf, po, pp) confidence, case label when 'F' then pf when 'O' then po else pp end p_true from pr)"""
 
 
+FIXED_PRICE, FIXED_BAL = "price / 100000.0", "bal / 10000.0"
 LOSS = "avg(-ln(greatest(p_true, cast(1e-7 as double))))"
 HIT = f"avg({flag('prediction = label')})"
-FOLD_METRICS = scored("f where qty is not null", FOLDED) + f""",
+FOLD_METRICS = scored("f", FOLDED) + f""",
     per as (select fold, {HIT} test_accuracy, {LOSS} test_loss from sc group by fold),
     fm as (select fold, 'test_accuracy' metric, test_accuracy as value from per
            union all select fold, 'test_loss', test_loss from per)"""
@@ -136,6 +142,21 @@ PARTS = f""", r as (select *, row_number() over (order by {HASH}, id) - 1 r, cou
 COMPLETE = ", base as (select {} from samples where price is not null and bal is not null and qty is not null " \
            "and disc is not null and prio is not null and seg is not null)".format(COLUMNS)
 
+LEARNED = ", base as (select id, band, qty, n_lines, peak, bal, prio, seg from samples where band is not null and qty is not null and " \
+          "n_lines is not null and peak is not null and bal is not null and prio is not null and seg is not null)"
+
+
+def _trained(columns: str) -> str:
+    """One row about a network that learned from all but the last fifth of the seeded order."""
+    return RAW + f""", r as (select *, row_number() over (order by {HASH}, id) - 1 r, count(*) over () n from samples),
+    m as (select *, r >= (n * 8) // 10 held from r),
+    c as (select any_value(n) n, count(*) filter (where not held) n_train, count(*) filter (where held) n_test,
+          4 + count(distinct prio) filter (where not held) + count(distinct seg) filter (where not held) n_features,
+          4 + count(distinct prio) + count(distinct seg) n_all_features from m),
+    w as (select *, (n_features + 1) * {HIDDEN[0]} + {(HIDDEN[0] + 1) * HIDDEN[1] + (HIDDEN[1] + 1) * 3} n_weights from c)
+    select {columns} from w"""
+
+
 # Train statistics of each fold vf straight from its train rows.
 FOLD_STATS = """, k as (select distinct fold vf from f),
     mm as (select vf, avg(price) mu_price, avg(qty) mu_qty from k join f on f.fold <> k.vf group by vf),
@@ -164,7 +185,7 @@ def _early_stop() -> str:
         true = f"case label when 'F' then {a} when 'O' then {b} else {ONE} end / ({a} + {b} + {ONE})"
         steps.append(
             f"select fold, cast({step} as bigint) step, avg(-ln(greatest({true}, cast(1e-7 as double)))) val_loss "
-            "from f where qty is not null group by fold"
+            "from f group by fold"
         )
     return FOLDED + f""", h as ({' union all '.join(steps)}),
     imp as (select a.fold, a.step from h a where not exists
@@ -191,7 +212,7 @@ def _trial_results() -> str:
                     f"select cast({trial} as bigint) trial, {execution} execution, '{name}' metric, avg({value}) as value "
                     "from parts where part = 'val'"
                 )
-    return RAW + ", base as (select * from samples where qty is not null)" + PARTS + f""",
+    return RAW + ", base as (select * from samples)" + PARTS + f""",
     res as ({' union all '.join(parts)}),
     red as (select trial, metric, case when metric = 'val_loss' then min(value) else max(value) end as value
             from res group by trial, metric)"""
@@ -369,9 +390,10 @@ ORACLES: dict[str, str] = {
     "assemble_features": RAW + _assemble("samples", "id", "select * from samples", True, False),
     "assemble_drop_first": RAW + COMPLETE + PARTS
     + _assemble("parts", "id, part", "select * from parts where part = 'train'", False, True),
-    "feature_names": RAW + ", c as (" + CATEGORIES + ") select 'categorical' kind, idx place, concat(column_name, '_', value) "
-    "as name from c where column_name <> 'label' union all select 'numeric', cast(i as bigint), "
-    "['price', 'bal', 'qty', 'disc'][i + 1] from range(4) z(i)",
+    "feature_names": RAW + ", c as (" + CATEGORIES + """), n as (select i part, cast(0 as bigint) idx, ['price', 'bal', 'qty', 'disc'][i + 1] as name
+        from range(4) z(i) union all select case column_name when 'prio' then 4 else 5 end, idx, concat(column_name, '_', value) from c
+        where column_name <> 'label')
+        select row_number() over (order by part, idx) - 1 place, name from n""",
     "fold_fit_stats": FOLDED + ", k as (select distinct fold vf from f) " + " union all ".join(
         f"select vf fold, '{c}' column_name, cast(count(*) as bigint) n_rows, cast(count({c}) as bigint) n, "
         f"{rnd(f'avg({c})', 4)} mu, {rnd(f'stddev_pop({c})', 4)} sd from k join f on f.fold <> k.vf group by vf"
@@ -386,14 +408,27 @@ ORACLES: dict[str, str] = {
     "early_stop_epoch": _early_stop(),
     "score_batch": scored() + f"select id, prediction, {rnd('confidence', 6)} confidence, {STAMP} prediction_time from sc",
     "capture_predictions": scored() + f"select id, price, bal, qty, prio, seg, prediction, {rnd('confidence', 6)} confidence, "
-    f"{STAMP} prediction_time, case when label = 'P' then disc end disc from sc",
+    f"{STAMP} prediction_time, case when label = 'P' then cast(cast(n_lines as int) as varchar) end n_lines from sc",
     "prediction_report": scored() + f"select id, label, prediction, {rnd('confidence', 6)} confidence from sc "
     f"order by {HASH}, id limit 5",
+    "registry_round_trip": scored() + f"""select cast(2 as bigint) as version, 'run-3' run_id, '{','.join(fx.CLASSES)}' target_classes,
+        '{','.join(q.FIXED.names())}' feature_names, prediction, count(*) n from sc group by prediction""",
+    "mlp_fit": _trained("n_train, n_test, n_features, n_weights, true beats_majority"),
+    "train_minibatch": _trained("n_train, n_test, n_features, n_weights, cast(50 as bigint) epochs, true beats_majority"),
+    "early_stop_fit": _trained("n_test, true stopped_early, true kept_best_epoch, true after_patience, true weights_restored"),
+    "cv_metrics": FOLDED + "select fold, count(*) n_test, cast(50 as bigint) epochs, true beats_majority from f group by fold",
+    "final_model": _trained("cast(1 as bigint) as version, n_all_features n_features, n_train, n_test n_holdout, n n_scored, true beats_majority"),
     # search
     "trial_grid": _trial_grid(),
     "trial_reduce": _trial_results() + f"select trial, metric, {rnd('value', 6)} as value from red",
     "best_trial": _trial_results() + f"select trial, {rnd('value', 6)} as value from red where metric = 'val_accuracy' "
     "order by red.value desc, trial limit 1",
+    "tune_trials": f"""select cast(t as bigint) trial, cast(0 as bigint) execution, cast(4 as bigint) n_metrics, true in_range,
+        cast(32 * (1 + {_u('u')} % 4) as bigint) units, cast(10 + 5 * ({_u('e')} % 3) as bigint) epochs from range(5) z(t)""",
+    "tune_winner": RAW + LEARNED + PARTS + """, tr as (select * from parts where part = 'train')
+        select (select count(*) from parts where part = 'test') n_test,
+        4 + (select count(distinct prio) - 1 from tr) + (select count(distinct seg) - 1 from tr) n_features,
+        true is_best, true own_units, true within_epochs, true beats_majority""",
     # run records and registry
     "run_params": RAW + ", c as (" + CATEGORIES + f"""), p as (select 'n_samples' as key, cast(count(*) as varchar) str from samples
         union all select concat('n_', column_name), cast(count(*) as varchar) from c group by column_name)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from foldmill.operators import score as scoring
 from foldmill.schemas import SCORING, SENTINELS
@@ -16,16 +17,17 @@ class BatchScorer:
 
     def __init__(
         self, spark: SparkSession, registry_root: str, name: str, log_path: str,
-        required: list[str] | None = None, sentinels: dict[str, str] | None = None, capture: bool = True,
+        inputs: StructType | None = None, sentinels: dict[str, str] | None = None, capture: bool = True,
     ):
         self.model, self.version = registry.load_latest(spark, registry_root, name)
         self.classes = self.version["target_classes"]
-        self.required = required or SCORING.fieldNames()
+        self.inputs = inputs or SCORING
+        self.required = self.inputs.fieldNames()
         self.sentinels = SENTINELS if sentinels is None else sentinels
         self.log_path, self.capture = log_path, capture
 
     def score(self, batch: DataFrame, when: datetime, capture: bool | None = None) -> DataFrame:
-        """The batch with predictions; ``capture`` overrides the scorer's own setting for this call."""
+        """The batch with predictions, read back from the log if it was logged; ``capture`` overrides the scorer's own setting for this call."""
         scored = scoring.score_batch(self.model, batch, self.required, self.classes, when, self.sentinels)
         wanted = self.capture if capture is None else capture
-        return scoring.capture(scored, self.log_path, self.required, wanted)
+        return scoring.capture(scored, self.log_path, self.inputs, wanted)

@@ -9,8 +9,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from foldmill import schemas
-from foldmill.operators import clean, dense_net, evaluate, model, split
-from foldmill.session import new_folder
+from foldmill.operators import clean, dense_net, evaluate, model, split, stats
+from foldmill.session import new_folder, remove_folder
 from foldmill.sources import registry, runs, tables
 
 log = logging.getLogger(__name__)
@@ -41,7 +41,7 @@ def train(
     setting = setting or dense_net.Training(hidden=list(model.HIDDEN))
     clean.require_columns(samples, [cols.key, cols.label, *cols.numeric, *cols.categorical])
     clean.require_target(samples, cols.label)
-    classes = model.class_list(samples, cols.label)
+    classes = stats.class_list(samples, cols.label)
 
     # Stored with its folds: every later pass reads just these columns and compares no hashes again.
     path = new_folder(spark, "folded")
@@ -52,7 +52,9 @@ def train(
 
     results = model.cross_validate(folded, folds, cols, classes, setting)
     metrics = model.fold_metric_rows(spark, results)
-    averages = {r["metric"]: r["value"] for r in evaluate.cv_average(metrics).collect()}
+    averaged = evaluate.cv_average(metrics)
+    averages = {r["metric"]: r["value"] for r in averaged.collect()}
+    gate = evaluate.quality_gate(averaged, "test_accuracy", threshold).first()
     share = evaluate.majority_share(folded, cols.label).first()[0]
 
     parent = runs.Run(schemas.RUN_CROSS_VALIDATION, when)
@@ -68,7 +70,7 @@ def train(
     parent.metric("majority_share", share)
 
     version, scores = None, {}
-    if averages["test_accuracy"] >= threshold:
+    if gate["passed"]:
         final = runs.Run(schemas.RUN_FINAL, when)
         fitted, history, plan, scores = model.final_model(folded, cols, classes, setting)
         prepared, trained, saved = (final.child(step) for step in schemas.RUN_FINAL_STEPS)
@@ -88,4 +90,5 @@ def train(
         log.warning("accuracy %.4f below %.2f: no final model", averages["test_accuracy"], threshold)
     if runs_path:
         runs.append_runs(spark, runs_path, records)
+    remove_folder(spark, path)
     return Outcome(results, averages["test_accuracy"], averages["test_loss"], share, version, scores)

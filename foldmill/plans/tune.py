@@ -7,9 +7,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from foldmill import schemas
-from foldmill.operators import clean, evaluate, model, split, tune
+from foldmill.operators import clean, evaluate, model, split, stats, tune
 from foldmill.plans.train import SAMPLE_COLUMNS
-from foldmill.session import new_folder
+from foldmill.session import new_folder, remove_folder
 from foldmill.sources import registry, runs, tables
 
 
@@ -23,7 +23,7 @@ def search(
     path = new_folder(spark, "parts")
     tables.write_path(split.train_val_test(clean.drop_missing(kept), cols.key, seed), path)
     parts = tables.read_path(spark, path)
-    classes = model.class_list(parts, cols.label)
+    classes = stats.class_list(parts, cols.label)
 
     found = tune.search(parts, cols, classes, trials, executions, seed, settings)
     names = found["plan"].names()
@@ -51,4 +51,6 @@ def search(
     version = registry.register(spark, registry_root, name, found["model"], parent.run_id, names, classes, when)
     if runs_path:
         runs.append_runs(spark, runs_path, records)
-    return found | {"version": version}
+    reduced_results = found["results"].toArrow()  # a row per trial, execution and metric
+    remove_folder(spark, path)
+    return found | {"version": version, "results": spark.createDataFrame(reduced_results)}

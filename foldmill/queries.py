@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timezone
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from foldmill.operators import clean, dense_net, evaluate, features, keys, model
 from foldmill.session import new_folder, ship_package
 from foldmill.sources import registry, runs, tables
 
-FOLDS, IDS_PER_LIST = 5, 1000
+FOLDS, IDS_PER_LIST = 5, 1000  # shorter lists than the flow's 10,000, so that small tables have several
 WHEN = datetime(2024, 1, 2, 3, 4, 5, tzinfo=timezone.utc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,14 +60,37 @@ def fold_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.fold_id_lists(rows, "id", FOLDS, pieces)
 
 
-def with_fixed_scores(df: DataFrame) -> DataFrame:
-    """Class scores by a fixed rule instead of trained weights, so that the results can be stated in SQL."""
-    scores = [F.col("price") / 100000.0, F.col("bal") / 10000.0, F.lit(0.5)]
-    return df.filter(F.col("qty").isNotNull()).withColumn("probability", evaluate.softmax(scores))
+#: A fitted classifier with given numbers, so that its results can be stated in SQL: features of three numbers and one text column whose
+#: vocabulary leaves out a value that occurs, and a network without hidden layers.
+FIXED = features.FeaturePlan(
+    ["price", "bal", "qty"], ["prio"],
+    means={"price": 150000.0, "bal": 4500.0, "qty": 100.0}, deviations={"price": 80000.0, "bal": 3000.0, "qty": 50.0},
+    fills={"prio": "2-HIGH"}, vocabulary={"prio": ["1-URGENT", "2-HIGH", "3-MEDIUM"]},
+)
+FIXED_WEIGHTS = [
+    [1.0, -0.5, 0.0], [0.2, 0.1, -0.3], [0.3, 0.2, -0.1], [0.5, 0.0, 0.0], [0.0, 0.4, 0.1], [0.0, 0.0, 0.6], [0.1, 0.0, -0.1],
+]
+SCORED_INPUTS = T.StructType([
+    T.StructField("id", T.LongType()), T.StructField("price", T.DoubleType()), T.StructField("bal", T.DoubleType()),
+    T.StructField("qty", T.DoubleType()), T.StructField("prio", T.StringType()), T.StructField("seg", T.StringType()),
+])
+
+
+def fixed_model(spark: SparkSession) -> PipelineModel:
+    weights = [w for row in FIXED_WEIGHTS for w in row]
+    net = dense_net.DenseNetModel(layers=[len(FIXED.names()), len(fx.CLASSES)], weights=weights)
+    return PipelineModel([*FIXED.pipeline(spark).stages, net])
 
 
 def fixed_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluate.with_prediction(with_fixed_scores(fx.samples(spark, sf_dir)), "probability", fx.CLASSES)
+    """All samples with the probabilities, prediction and confidence of the given classifier."""
+    return model.predict(fixed_model(spark), fx.samples(spark, sf_dir), fx.CLASSES)
+
+
+def fixed_batch(spark: SparkSession, rows: DataFrame, fitted: PipelineModel | None = None) -> DataFrame:
+    """Raw rows (sentinels, nulls and unknown categories in them) through the scoring of the flows."""
+    required = FIXED.numeric + FIXED.categorical
+    return score.score_batch(fitted or fixed_model(spark), rows, required, fx.CLASSES, WHEN, fx.SENTINELS)
 
 
 # --- reading and writing ---------------------------------------------------------------------------------
@@ -254,7 +278,7 @@ def confusion(spark, sf_dir):
 
 def fixed_fold_metrics(spark, sf_dir) -> DataFrame:
     """Long fold metrics of the fixed-score classifier."""
-    scored = evaluate.with_prediction(with_fixed_scores(folded(spark, sf_dir)), "probability", fx.CLASSES)
+    scored = model.predict(fixed_model(spark), folded(spark, sf_dir), fx.CLASSES)
     per_fold = evaluate.accuracy_and_loss(
         scored, "label", "prediction", evaluate.true_probability("probability", "label", fx.CLASSES), ["fold"]
     )
@@ -403,16 +427,8 @@ def assemble_drop_first(spark, sf_dir):
 
 @query
 def feature_names(spark, sf_dir):
-    rows = fx.samples(spark, sf_dir)
-    names = clean.numeric_columns(rows.select(*fx.NUMERIC).schema)
-    slots = stats.categories(rows, fx.CATEGORICAL).select(
-        F.lit("categorical").alias("kind"), F.col("idx").alias("place"),
-        F.concat_ws("_", "column_name", "value").alias("name"),
-    )
-    numeric = stats.row_count(rows).select(
-        F.posexplode(F.array(*[F.lit(n) for n in names])).alias("place", "name")
-    ).select(F.lit("numeric").alias("kind"), F.col("place").cast("bigint").alias("place"), "name")
-    return numeric.unionByName(slots)
+    names = features.fit_features(fx.samples(spark, sf_dir), fx.NUMERIC, fx.CATEGORICAL).names()
+    return spark.createDataFrame(list(enumerate(names)), "place bigint, name string")
 
 
 @query
@@ -455,26 +471,40 @@ def folds_partitioned(spark, sf_dir):
 
 
 def _network(**changes) -> dense_net.Training:
-    return dense_net.Training(**({"hidden": list(model.HIDDEN), "epochs": 5, "rate": 0.01, "batch": 32} | changes))
+    return dense_net.Training(**({"hidden": list(model.HIDDEN)} | changes))
 
 
 def _classes(rows: DataFrame) -> list[str]:
     return stats.class_list(rows, "band")
 
 
+def _majority(rows: DataFrame) -> float:
+    return evaluate.majority_share(rows, "band").first()[0]
+
+
+def _weights(plan: features.FeaturePlan, hidden, classes) -> int:
+    return dense_net.weight_count([len(plan.names()), *hidden, len(classes)])
+
+
+TRAINED = "n_train bigint, n_test bigint, n_features bigint, n_weights bigint, epochs bigint, beats_majority boolean"
+
+
 @query
 def mlp_fit(spark, sf_dir):
+    """Fit on the train rows, scored on the tail: what was fitted on what, and whether it beats a constant prediction."""
     cols, rows = fx.LEARNABLE, learnable(spark, sf_dir)
     marked = split.holdout_tail(rows, "id")
     train, test = marked.filter("not is_holdout"), marked.filter("is_holdout")
     classes = _classes(rows)
     plan = features.fit_features(train, cols.numeric, cols.categorical)
-    fitted = model.fit_perceptron(train, plan, cols, classes, iterations=20)
-    return model.evaluate_model(fitted, test, "band", classes)
+    fitted = model.fit_perceptron(train, plan, cols, classes)
+    tested = model.evaluate_model(fitted, test, "band", classes).first()
+    row = (train.count(), tested["n_rows"], len(plan.names()), fitted.stages[-1].weights.size, tested["accuracy"] > _majority(rows))
+    return spark.createDataFrame([row], TRAINED.replace("epochs bigint, ", ""))
 
 
 HISTORY_NUMERIC = ["qty", "n_lines", "peak", "price"]
-HISTORY_EPOCHS, HISTORY_RATE = 3, 0.5
+HISTORY_EPOCHS, HISTORY_RATE = 5, 0.5
 
 
 @query
@@ -483,26 +513,46 @@ def train_history(spark, sf_dir):
     rows = stored(fx.samples(spark, sf_dir).select("id", "band", *HISTORY_NUMERIC))
     rows = split.holdout_tail(rows, "id", name="held_out")
     plan = features.fit_features(rows.filter("not held_out"), HISTORY_NUMERIC, [])
-    setting = _network(step="pass", epochs=HISTORY_EPOCHS, rate=HISTORY_RATE)
+    setting = _network(optimizer="sgd", epochs=HISTORY_EPOCHS, rate=HISTORY_RATE)
     job = model.Job(plan, setting, (1,))
     [fitted] = model.fit_dense(rows, cols, _classes(rows), [job], F.col("held_out").cast("long"))
     names = ["train_loss", "train_accuracy", "val_loss", "val_accuracy"]
     return dense_net.history_rows(spark, fitted).select("step", *[rounded(n, 5).alias(n) for n in names])
 
 
-@query
-def train_minibatch(spark, sf_dir):
+def _held_out_job(spark, sf_dir, setting: dense_net.Training):
+    """One network on all but the tail; returns rows, classes, plan and the fit."""
     cols, rows = fx.LEARNABLE, split.holdout_tail(learnable(spark, sf_dir), "id", name="held_out")
     plan = features.fit_features(rows.filter("not held_out"), cols.numeric, cols.categorical)
-    job = model.Job(plan, _network(), (1,))
-    [fitted] = model.fit_dense(rows, cols, _classes(rows), [job], F.col("held_out").cast("long"))
-    return dense_net.history_rows(spark, fitted)
+    classes = _classes(rows)
+    [fitted] = model.fit_dense(rows, cols, classes, [model.Job(plan, setting, (1,))], F.col("held_out").cast("long"))
+    return rows, classes, plan, fitted
+
+
+@query
+def train_minibatch(spark, sf_dir):
+    rows, classes, plan, fitted = _held_out_job(spark, sf_dir, _network())
+    row = (fitted.train_rows, fitted.held_rows, len(plan.names()), len(fitted.weights), len(fitted.history),
+           fitted.history[-1]["val_accuracy"] > _majority(rows))
+    return spark.createDataFrame([row], TRAINED)
+
+
+@query
+def early_stop_fit(spark, sf_dir):
+    """Training with steps so large that the held-out loss rises: it stops early and keeps the weights of its best epoch."""
+    rows, classes, plan, fitted = _held_out_job(spark, sf_dir, _network(optimizer="sgd", rate=6.0, patience=2))
+    losses = [h["val_loss"] for h in fitted.history]
+    best = min(range(len(losses)), key=losses.__getitem__)
+    kept = model.evaluate_model(model.as_pipeline(spark, plan, fitted), rows.filter("held_out"), "band", classes).first()
+    row = (kept["n_rows"], len(losses) < _network().epochs, fitted.best_epoch == best, len(losses) - 1 - best == 2,
+           abs(kept["loss"] - losses[best]) < 1e-9)
+    return spark.createDataFrame([row], "n_test bigint, stopped_early boolean, kept_best_epoch boolean, after_patience boolean, weights_restored boolean")
 
 
 @query
 def early_stop_epoch(spark, sf_dir):
     """Loss curves per fold, from the fixed scores weighted by a slope that grows with the step."""
-    rows = folded(spark, sf_dir).filter(F.col("qty").isNotNull())
+    rows = folded(spark, sf_dir)
     losses = []
     for step in range(10):
         slope = (step - 4) / 10.0
@@ -517,46 +567,76 @@ def early_stop_epoch(spark, sf_dir):
 
 @query
 def cv_metrics(spark, sf_dir):
+    """All folds at full epochs: rows tested, epochs run, and whether the fold beats a constant prediction."""
     rows = stored(split.kfold(learnable(spark, sf_dir), "id", FOLDS))
+    share = _majority(rows)
     results = model.cross_validate(rows, FOLDS, fx.LEARNABLE, _classes(rows), _network())
-    return model.fold_metric_rows(spark, results)
+    found = [(r["fold"], r["n_test"], len(r["history"]), r["test_accuracy"] > share) for r in results]
+    return spark.createDataFrame(found, "fold bigint, n_test bigint, epochs bigint, beats_majority boolean")
 
 
 @query
 def final_model(spark, sf_dir):
-    """Train, register, load the newest version and score the whole table with it."""
+    """Train, register, load the newest version and score the whole table with it: what the version knows, and what it scored."""
     rows, root = learnable(spark, sf_dir), new_folder(spark, "registry")
     classes = _classes(rows)
-    fitted, _, plan, _ = model.final_model(rows, fx.LEARNABLE, classes, _network())
+    fitted, _, plan, scores = model.final_model(rows, fx.LEARNABLE, classes, _network())
     registry.register(spark, root, "band_classifier", fitted, "run-1", plan.names(), classes, WHEN)
     loaded, row = registry.load_latest(spark, root, "band_classifier")
     required = fx.LEARNABLE.numeric + fx.LEARNABLE.categorical
     scored = score.score_batch(loaded, rows, required, row["target_classes"], WHEN, fx.SENTINELS)
-    return score.prediction_report(scored, "band")
+    hits = F.avg((F.col("band") == F.col("prediction")).cast("double"))
+    return scored.groupBy().agg(F.count("prediction").alias("n_scored"), (hits > _majority(rows)).alias("beats_majority")).select(
+        F.lit(row["version"]).cast("bigint").alias("version"), F.lit(len(row["feature_names"])).cast("bigint").alias("n_features"),
+        F.lit(scores["train_rows"]).cast("bigint").alias("n_train"), F.lit(scores["holdout_rows"]).cast("bigint").alias("n_holdout"),
+        "n_scored", "beats_majority",
+    )
+
+
+@query
+def registry_round_trip(spark, sf_dir):
+    """Two versions registered, the newest loaded with its metadata and applied to all raw rows."""
+    root, fitted = new_folder(spark, "registry"), fixed_model(spark)
+    older = PipelineModel([*FIXED.pipeline(spark).stages, dense_net.DenseNetModel(layers=[6, 3], weights=[0.0] * 21)])
+    registry.register(spark, root, "fixed", older, "run-1", ["none"], ["?"], WHEN)
+    registry.register(spark, root, "other", older, "run-2", ["none"], ["?"], WHEN)
+    registry.register(spark, root, "fixed", fitted, "run-3", FIXED.names(), fx.CLASSES, WHEN)
+    loaded, row = registry.load_latest(spark, root, "fixed")
+    scored = fixed_batch(spark, fx.raw_samples(spark, sf_dir), loaded)
+    return scored.groupBy("prediction").agg(F.count("*").alias("n")).select(
+        F.lit(row["version"]).cast("bigint").alias("version"), F.lit(row["run_id"]).alias("run_id"),
+        F.lit(",".join(row["target_classes"])).alias("target_classes"), F.lit(",".join(row["feature_names"])).alias("feature_names"),
+        "prediction", "n",
+    )
 
 
 @query
 def score_batch(spark, sf_dir):
-    scored = clean.stamp_batch(fixed_predictions(spark, sf_dir), WHEN)
+    scored = fixed_batch(spark, fx.raw_samples(spark, sf_dir))
     return scored.select("id", "prediction", rounded("confidence", 6).alias("confidence"), "prediction_time")
 
 
 @query
 def capture_predictions(spark, sf_dir):
-    path = new_folder(spark, "predictions")
-    scored = clean.stamp_batch(fixed_predictions(spark, sf_dir), WHEN)
-    inputs = ["id", "price", "bal", "qty", "prio", "seg"]
-    score.capture(scored.filter("label <> 'P'"), path, inputs)
-    score.capture(scored.filter("label = 'P'"), path, [*inputs, "disc"])
-    score.capture(scored.filter("label = 'O'"), path, inputs, enabled=False)
-    return tables.read_merged(spark, path).withColumn("confidence", rounded("confidence", 6))
+    """Batches of unlike types in one log: the second brings whole numbers and a column more, the third is not logged."""
+    path, raw = new_folder(spark, "predictions"), fx.raw_samples(spark, sf_dir).select(*SAMPLE_COLUMNS, "n_lines")
+    inputs = [f.name for f in SCORED_INPUTS]
+    predicted = ["prediction", "confidence", "prediction_time"]
+    batches = [
+        (fixed_batch(spark, raw.filter("label <> 'P'")), inputs, True),
+        (fixed_batch(spark, raw.filter("label = 'P'")).withColumn("qty", F.col("qty").cast("int"))
+         .withColumn("n_lines", F.col("n_lines").cast("int")), [*inputs, "n_lines"], True),
+        (fixed_batch(spark, raw.filter("label = 'O'")), inputs, False),
+    ]
+    for scored, kept, enabled in batches:
+        score.capture(scored.select(*kept, *predicted), path, SCORED_INPUTS.fields, enabled)
+    return score.read_log(spark, path).withColumn("confidence", rounded("confidence", 6))
 
 
 @query
 def prediction_report(spark, sf_dir):
     """A few sampled rows, true class beside predicted class."""
-    taken = split.sample_n(fx.samples(spark, sf_dir).filter("qty is not null"), "id", 5)
-    scored = evaluate.with_prediction(with_fixed_scores(taken), "probability", fx.CLASSES)
+    scored = fixed_batch(spark, split.sample_n(fx.raw_samples(spark, sf_dir), "id", 5))
     return scored.select("id", "label", "prediction", rounded("confidence", 6).alias("confidence"))
 
 
@@ -572,7 +652,7 @@ def trial_grid(spark, sf_dir):
 
 def fixed_trial_results(spark, sf_dir) -> DataFrame:
     """Scores of the fixed-score classifier per trial and execution, where a trial sets how steep its scores are."""
-    rows = split.train_val_test(fx.samples(spark, sf_dir).filter(F.col("qty").isNotNull()), "id")
+    rows = split.train_val_test(fx.samples(spark, sf_dir), "id")
     rows = rows.filter(F.col("part") == "val")
     aggs = []
     for trial in range(3):
@@ -600,48 +680,65 @@ def best_trial(spark, sf_dir):
     return evaluate.best_trial(reduced).withColumn("value", rounded("value", 6))
 
 
-@query
-def tune_trials(spark, sf_dir):
+def _searched(spark, sf_dir):
+    """The whole search with the drawn settings: parts, classes and what was found."""
     cols = fx.LEARNABLE
     parts = stored(split.train_val_test(clean.drop_missing(learnable(spark, sf_dir)), "id"))
-    settings = [t | {"epochs": 4} for t in tune.trial_settings(5)]
-    results, _ = tune.run_trials(parts, cols, _classes(parts), settings)
-    return results
+    classes = _classes(parts)
+    return parts, classes, tune.search(parts, cols, classes, 5)
 
 
-# --- run records and registry ----------------------------------------------------------------------------
+@query
+def tune_trials(spark, sf_dir):
+    """What each trial reports: four scores in their ranges, at the drawn settings."""
+    _, _, found = _searched(spark, sf_dir)
+    sane = F.when(F.col("metric").endswith("accuracy"), F.col("value").between(0.0, 1.0)).otherwise(F.col("value").between(0.0, 20.0))
+    grid = tune.trial_grid(spark, 5).select("trial", "units", "epochs")
+    results = found["results"].groupBy("trial", "execution").agg(F.count("*").alias("n_metrics"), F.min(sane).alias("in_range"))
+    return results.join(grid, "trial")
+
+
+@query
+def tune_winner(spark, sf_dir):
+    """The best trial refitted with its own settings and scored on the test part."""
+    parts, classes, found = _searched(spark, sf_dir)
+    scores = found["results"].filter("metric = 'val_accuracy'")
+    top = scores.groupBy("trial").agg(F.max("value").alias("v")).orderBy(F.desc("v"), "trial").first()["trial"]
+    best, fitted = found["best"], found["fitted"]
+    row = (found["test"]["n_rows"], len(found["plan"].names()), best["trial"] == top, fitted.layers[1:-1] == [best["units"]],
+           len(fitted.history) <= best["epochs"], found["test"]["accuracy"] > _majority(parts))
+    return spark.createDataFrame([row], "n_test bigint, n_features bigint, is_best boolean, own_units boolean, within_epochs boolean, beats_majority boolean")
 
 
-def _ts() -> Column:
-    return F.to_timestamp(F.lit(WHEN.isoformat()))
+# --- run records and registry ----------------------------------------------------------------------------
 
 
 @query
 def run_params(spark, sf_dir):
-    rows = fx.samples(spark, sf_dir)
-    known = stats.categories(rows, ["label", "prio", "seg"]).groupBy("column_name").agg(
-        F.max("idx").alias("last")).select(F.concat(F.lit("n_"), "column_name").alias("key"),
-                                           (F.col("last") + 1).cast("string").alias("str"))
-    counted = rows.agg(F.count("*").cast("string").alias("str")).select(F.lit("n_samples").alias("key"), "str")
-    return runs.param_rows(counted.unionByName(known), "run-1", "start", _ts())
+    rows, run = fx.samples(spark, sf_dir), runs.Run("start", WHEN, run_id="run-1")
+    run.param("n_samples", stats.row_count(rows).first()[0])
+    for r in stats.categories(rows, ["label", "prio", "seg"]).groupBy("column_name").count().collect():
+        run.param(f"n_{r['column_name']}", r["count"])
+    return runs.run_rows(spark, [run]).filter("kind = 'param'")
 
 
-def _fold_runs(spark, sf_dir) -> DataFrame:
-    metrics = fixed_fold_metrics(spark, sf_dir).withColumn("step", F.col("fold"))
-    child = F.concat(F.lit("cv-"), F.col("fold").cast("string"))
-    return runs.metric_rows(metrics, "cv", child, F.concat(F.lit("cross-validation-"), child), _ts())
+def _fold_runs(spark, sf_dir) -> list[runs.Run]:
+    parent = runs.Run("cross-validation", WHEN, run_id="cv")
+    children = {f: runs.Run(f"cross-validation-cv-{f}", WHEN, parent, f"cv-{f}") for f in range(FOLDS)}
+    for r in fixed_fold_metrics(spark, sf_dir).collect():
+        children[r["fold"]].metric(r["metric"], r["value"], r["fold"])
+    return [parent, *children.values()]
 
 
 @query
 def run_metrics(spark, sf_dir):
-    return _fold_runs(spark, sf_dir).withColumn("num", rounded("num", 6))
+    table = runs.run_rows(spark, _fold_runs(spark, sf_dir)).filter("kind = 'metric'")
+    return table.withColumn("num", rounded("num", 6))
 
 
 @query
 def run_rollup(spark, sf_dir):
-    parent = runs.Run("cross-validation", WHEN, run_id="cv")
-    table = spark.createDataFrame(parent.records, runs.RUNS).unionByName(_fold_runs(spark, sf_dir))
-    return runs.rollup(table).withColumn("avg_num", rounded("avg_num", 6))
+    return runs.rollup(runs.run_rows(spark, _fold_runs(spark, sf_dir))).withColumn("avg_num", rounded("avg_num", 6))
 
 
 @query

@@ -33,6 +33,8 @@ def shared_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
+        if not spark.sparkContext.master.startswith("local") and is_machine_local(spark, folder):
+            raise ValueError(f"{folder} lies on each machine's own disk; name a folder all executors share")
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
@@ -41,6 +43,21 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def is_machine_local(spark: SparkSession, folder: str) -> bool:
+    """Whether a path belongs to the machine's own file system."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getScheme() == "file"
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete an intermediate table that :func:`new_folder` made room for."""
+    if f"{os.sep}foldmill{os.sep}" not in folder:
+        raise ValueError(f"{folder} is not an intermediate folder")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; no two calls return the same one."""
     return os.path.join(shared_folder(spark), "foldmill", f"{name}-{uuid.uuid4().hex}")

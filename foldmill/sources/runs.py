@@ -42,33 +42,19 @@ class Run:
                     self.metric(names.get(key, key), value, row["step"])
 
 
+def run_rows(spark: SparkSession, runs: list[Run]) -> DataFrame:
+    """The records of some runs as rows of the run table."""
+    return spark.createDataFrame([r for run in runs for r in run.records], RUNS)
+
+
 def append_runs(spark: SparkSession, path: str, runs: list[Run]) -> None:
-    records = [r for run in runs for r in run.records]
-    append(spark.createDataFrame(records, RUNS).coalesce(1), path)
+    append(run_rows(spark, runs).coalesce(1), path)
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
     return read_merged(spark, path)
 
 
-def param_rows(values: DataFrame, run_id: str, run_name: str, ts) -> DataFrame:
-    """Run-table rows from a ``(key, str)`` table."""
-    return values.select(
-        F.lit(run_id).alias("run_id"), F.lit(None).cast("string").alias("parent_run_id"),
-        F.lit(run_name).alias("run_name"), F.lit("param").alias("kind"), "key",
-        F.lit(None).cast("bigint").alias("step"), F.lit(None).cast("double").alias("num"), "str", ts.alias("ts"),
-    )
-
-
-def metric_rows(metrics: DataFrame, parent_run_id: str, run_id, run_name, ts) -> DataFrame:
-    """Run-table rows of child runs from a table with ``metric, step, value``; ids are given as columns."""
-    return metrics.select(
-        run_id.alias("run_id"), F.lit(parent_run_id).alias("parent_run_id"), run_name.alias("run_name"),
-        F.lit("metric").alias("kind"), F.col("metric").alias("key"), "step", F.col("value").alias("num"),
-        F.lit(None).cast("string").alias("str"), ts.alias("ts"),
-    )
-
-
 def rollup(runs: DataFrame) -> DataFrame:
     """Per parent run, the mean of each metric over its children's last steps."""
     last = (

@@ -112,10 +112,17 @@ def test_unknown_label_fails(make):
         df.select(features.target_ordinal("y", ["a"])).collect()
 
 
-def test_too_many_categories_fail_instead_of_being_cut(spark):
-    df = spark.range(50).select(F.col("id").cast("string").alias("s"))
-    with pytest.raises(ValueError, match="more than 10"):
-        stats.categories(df, ["s"], limit=10)
+def test_any_number_of_categories(spark):
+    """150,000 values of one column, two columns of 60,000, and as many classes."""
+    df = spark.range(150_000).select("id", F.concat(F.lit("v"), F.col("id")).alias("s"))
+    ranked = stats.categories(df, ["s"])
+    assert ranked.count() == 150_000 and ranked.agg(F.max("idx")).first()[0] == 149_999
+    classes = stats.class_list(df, "s")
+    assert len(classes) == 150_000 == len(features.fit_features(df, [], ["s"]).vocabulary["s"])
+    two = spark.range(60_000).select(F.concat(F.lit("a"), F.col("id")).alias("s"), F.concat(F.lit("b"), F.col("id")).alias("t"))
+    assert len(features.fit_features(two, [], ["s", "t"]).names()) == 120_000
+    got = df.limit(3).select("s", features.target_ordinal("s", classes).alias("t")).collect()
+    assert [classes[r["t"]] for r in got] == [r["s"] for r in got]
 
 
 def test_describe_of_an_empty_and_a_single_row(make):

@@ -5,13 +5,16 @@ from __future__ import annotations
 import random
 from datetime import datetime, timezone
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from foldmill.operators import clean, dense_net, model
+from foldmill.operators import clean, dense_net, model, stats
+from foldmill.operators import score as scoring
 from foldmill.plans import ingest, score, train, tune
 from foldmill.schemas import SCORING
-from foldmill.sources import runs, tables
+from foldmill.session import shared_folder
+from foldmill.sources import runs
 
 WHEN = datetime(2024, 1, 2, tzinfo=timezone.utc)
 
@@ -58,7 +61,7 @@ def test_folds(spark, samples, tmp_path):
     assert lists.agg(F.sum(F.size("ids"))).first()[0] == 5 * 331
 
 
-SETTING = dense_net.Training(hidden=list(model.HIDDEN), epochs=15, rate=0.05, batch=8)
+SETTING = dense_net.Training(hidden=list(model.HIDDEN), epochs=50)
 
 
 def test_train_then_score(spark, samples, tmp_path):
@@ -79,7 +82,7 @@ def test_train_then_score(spark, samples, tmp_path):
     assert scored.count() == 331
     scorer.score(batch, WHEN)
     scorer.score(batch, WHEN, capture=False)
-    logged = tables.read_merged(spark, log_path)
+    logged = scoring.read_log(spark, log_path)
     assert logged.count() == 2 * 331
     assert logged.columns == [*SCORING.fieldNames(), "prediction", "confidence", "prediction_time"]
     assert logged.filter("island in ('None', 'nan')").count() == 0
@@ -103,8 +106,8 @@ def test_gate_stops_training_on_shuffled_labels(spark, samples, tmp_path):
 def test_search(spark, samples, tmp_path):
     stored, _ = samples
     settings = [
-        {"trial": 0, "learning_rate": 1e-6, "units": 32, "dropout_rate": 0.1, "batch_size": 32, "epochs": 2},
-        {"trial": 1, "learning_rate": 1e-2, "units": 32, "dropout_rate": 0.1, "batch_size": 32, "epochs": 4},
+        {"trial": 0, "learning_rate": 1e-6, "units": 32, "dropout_rate": 0.1, "batch_size": 32, "epochs": 10},
+        {"trial": 1, "learning_rate": 5e-2, "units": 32, "dropout_rate": 0.1, "batch_size": 32, "epochs": 20},
     ]
     runs_path = str(tmp_path / "runs")
     found = tune.search(spark, stored, str(tmp_path / "registry"), "tuned", WHEN, settings=settings, runs_path=runs_path)
@@ -118,7 +121,39 @@ def test_perceptron(spark, samples):
 
     stored, _ = samples
     cols = train.SAMPLE_COLUMNS
-    classes = model.class_list(stored, "species")
+    classes = stats.class_list(stored, "species")
     plan = features.fit_features(stored, cols.numeric, cols.categorical)
     fitted = model.fit_perceptron(stored, plan, cols, classes, iterations=30)
     assert model.evaluate_model(fitted, stored, "species", classes).first()["accuracy"] > 0.85
+
+
+def test_batches_of_unlike_types_stay_readable(spark, tmp_path, make):
+    """Whole numbers where the log has doubles, a column more, and one less; each batch is scored once."""
+    from pyspark.sql import types as T
+
+    path, calls = str(tmp_path / "log"), spark.sparkContext.accumulator(0)
+
+    @F.arrow_udf("double")
+    def counted(v: pa.Array) -> pa.Array:
+        calls.add(len(v))
+        return pa.array([0.5] * len(v))
+
+    inputs = [T.StructField("a", T.DoubleType()), T.StructField("b", T.StringType())]
+    for rows, schema in (([(1.5, "x")], "a double, b string"), ([(2, "y", 7)], "a int, b string, more int"), ([(3,)], "a int")):
+        batch = make(rows, schema).withColumns({"prediction": F.lit("p"), "confidence": counted(F.col("a").cast("double"))})
+        got = scoring.capture(clean.stamp_batch(batch, WHEN), path, inputs)
+        assert got.count() == 1 and got.count() == 1
+    assert calls.value == 3
+    log = sorted((r["a"], r["b"] or "", r["more"] or "") for r in scoring.read_log(spark, path).collect())
+    assert log == [(1.5, "x", ""), (2.0, "y", "7"), (3.0, "", "")]
+
+
+def test_flows_leave_only_their_outputs(spark, samples, tmp_path):
+    import os
+
+    stored, _ = samples
+    folder = os.path.join(shared_folder(spark), "foldmill")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    train.train(spark, stored, str(tmp_path / "r"), "m", WHEN, folds=2, setting=dense_net.Training([4], epochs=2))
+    tune.search(spark, stored, str(tmp_path / "r"), "t", WHEN, settings=[{"trial": 0, "learning_rate": 1e-2, "units": 4, "dropout_rate": 0.1, "batch_size": 32, "epochs": 1}])
+    assert set(os.listdir(folder)) <= before

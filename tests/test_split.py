@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from foldmill.operators import split
 from foldmill.operators.keys import with_row_key
-from foldmill.operators.rank import RepeatedKeyError, global_rank
+from foldmill.operators.rank import global_rank
 
 
 def sizes(df, name):
@@ -56,21 +56,40 @@ def test_assigning_folds_needs_no_shuffle(spark, capsys):
     assert "Exchange" not in capsys.readouterr().out
 
 
-def test_repeated_key_at_a_border_is_refused(spark):
-    with pytest.raises(RepeatedKeyError):
-        split.kfold(spark.range(100).withColumn("id", F.lit(7)), "id", 5)
+REPEATS = [2, 50, 5_000, 9_000, 12_000]
 
 
-def test_a_key_holding_a_third_of_the_rows_is_refused(spark):
-    df = spark.range(60_000).withColumn("id", F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")))
-    with pytest.raises(RepeatedKeyError):
-        split.kfold(df, "id", 5)
+def with_repeats(spark, times, rows=20_000):
+    """``rows`` rows of which ``times`` share one key."""
+    return spark.range(rows).select(F.when(F.col("id") < times, F.lit(-1)).otherwise(F.col("id")).alias("id"), F.col("id").alias("v"))
 
 
-def test_rank_of_a_hot_key_is_refused(spark):
-    df = spark.range(60_000).withColumn("id", F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")))
-    with pytest.raises(RepeatedKeyError):
-        global_rank(df, "id", 42)
+@pytest.mark.parametrize("times", REPEATS)
+def test_rows_of_one_key_share_a_fold(spark, times):
+    folded = split.kfold(with_repeats(spark, times), "id", 5).cache()
+    assert folded.filter("id = -1").select("fold").distinct().count() == 1
+    found = sizes(folded, "fold")
+    assert sum(found.values()) == 20_000 and max(found.values()) <= max(4_000, times) + 4_000
+    parts = split.train_val_test(with_repeats(spark, times), "id").filter("id = -1")
+    assert parts.select("part").distinct().count() == 1
+    folded.unpersist()
+
+
+def test_one_key_only(spark):
+    assert len(sizes(split.kfold(spark.range(100).withColumn("id", F.lit(7)), "id", 5), "fold")) == 1
+
+
+@pytest.mark.parametrize("times", REPEATS)
+def test_positions_of_a_repeated_key_are_refused(spark, times):
+    with pytest.raises(Exception, match="RepeatedKey"):
+        global_rank(with_repeats(spark, times), "id", 42).select("position").collect()
+
+
+def test_every_key_twice(spark):
+    twice = spark.range(500).unionByName(spark.range(500))
+    assert split.kfold(twice, "id", 5).groupBy("id").agg(F.countDistinct("fold").alias("n")).filter("n > 1").count() == 0
+    with pytest.raises(Exception, match="RepeatedKey"):
+        global_rank(twice, "id", 42).select("position").collect()
 
 
 def test_rank_of_an_empty_table(spark):
@@ -98,12 +117,11 @@ def test_global_rank_is_the_sorted_position(spark):
     assert [r[0] for r in global_rank(df, "id", 42).select("position").orderBy("position").collect()] == list(range(3000))
 
 
-def test_large_samples_equal_sorted_ones(spark, monkeypatch):
+def test_samples_are_the_first_of_the_order(spark):
     df = spark.range(2000)
-    small = {r["id"] for r in split.sample_n(df, "id", 300).collect()}
-    monkeypatch.setattr(split, "LARGEST_SORTED_SAMPLE", 10)
-    assert {r["id"] for r in split.sample_n(df, "id", 300).collect()} == small
-    assert split.sample_n(df, "id", 5000).count() == 2000
+    order = [r["id"] for r in split.stable_shuffle(df, "id").collect()]
+    for n in (0, 1, 300, 1999, 5000):
+        assert {r["id"] for r in split.sample_n(df, "id", n).collect()} == set(order[:n])
 
 
 def test_id_lists_hold_every_id_in_each_fold(spark):
@@ -115,12 +133,12 @@ def test_id_lists_hold_every_id_in_each_fold(spark):
         assert sorted(ids) == list(range(90))
 
 
-@pytest.mark.parametrize("inline,piece", [(0, 1), (1, 7), (16, 1000), (1000, 1000)])
-def test_row_keys_with_many_copies(spark, inline, piece):
+@pytest.mark.parametrize("piece", [1, 7, 1000])
+def test_row_keys_with_many_copies(spark, piece):
     """A third of the rows are one and the same; another part differs only by null."""
     rows = [("a", 1.0)] * 40 + [(None, 1.0), (None, None), ("", None)] + [(f"x{i}", float(i)) for i in range(60)]
     df = spark.createDataFrame(rows, "s string, v double")
-    keyed = with_row_key(df, inline=inline, piece=piece)
+    keyed = with_row_key(df, piece=piece)
     assert keyed.count() == len(rows)
     assert keyed.select("row_key").distinct().count() == len(rows)
     assert sorted(map(repr, keyed.select("s", "v").collect())) == sorted(map(repr, df.collect()))
