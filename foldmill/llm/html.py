@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foldmill.llm import trees
-from foldmill.llm.common import ready, slices
+from foldmill.llm.common import ready, slices, stored
 
 SAMPLE = 150
 SAMPLE_CHARS = 20_000
@@ -234,7 +234,7 @@ class Forest:
         gain = np.clip(odds, -6, 6) * weight
         empty = self.is_text & (self.chars == 0)
         gain[empty] = 0.0
-        enter = 0.25
+        enter = 0.8  # each separate start of main text costs, so an article is taken whole rather than in pieces
         # a paragraph or a piece of a sentence is rarely anything else than the text around it
         prune = np.where(np.isin(self.tag, [TAGS.index(t) for t in ("inline", "p", "h", "a")]), 4.0, 1.0)
         n = len(gain)
@@ -375,20 +375,16 @@ def known_parts(source: str) -> tuple[Page, np.ndarray]:
     return page, main
 
 
-def training_pages(sources: list[str], composed: int = COMPOSED, seed: int = 5) -> list[tuple[Page, np.ndarray]]:
-    """Pages of the table that mark their article, and composed ones around their paragraphs."""
-    real, paragraphs = [], []
-    for source in sources:
-        marked = re.sub(r"(<article\b[^>]*>)(.*?)(</article>)", rf"\1{_IN}\2{_OUT}\3", source, flags=re.S | re.I)
-        if marked.count(_IN) == 1:
-            real.append(known_parts(re.sub(r"<!--(?!in-->|out-->).*?-->", "", marked, flags=re.S)))
-        for text in re.findall(r"<p[^>]*>([^<]{20,600})", source):
-            paragraphs.append(html.unescape(text))
-    if not paragraphs:
-        paragraphs = [" ".join(_FILL), "Read more about this. It is what it was, and more."]
-    short = [" ".join(p.split()[:2]) for p in paragraphs[:2000]]
-    rng = random.Random(seed)
-    return real + [known_parts(compose(rng, paragraphs, short)) for _ in range(composed)]
+def marked_article(source: str) -> str | None:
+    """A page of the table with marks in its article, if it has one article."""
+    marked = re.sub(r"(<article\b[^>]*>)(.*?)(</article>)", rf"\1{_IN}\2{_OUT}\3", source, flags=re.S | re.I)
+    return re.sub(r"<!--(?!in-->|out-->).*?-->", "", marked, flags=re.S) if marked.count(_IN) == 1 else None
+
+
+def training_page(i: int, sources: list[str], said: list[str], short: list[str], seed: int = 5) -> tuple[Page, np.ndarray] | None:
+    """The i-th training page: first the pages of the table that mark their article, then composed ones around their paragraphs."""
+    source = marked_article(sources[i]) if i < len(sources) else compose(random.Random(seed * 1_000_003 + i), said, short)
+    return None if source is None else known_parts(source)
 
 
 def training_rows(pages: list[tuple[Page, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -407,10 +403,25 @@ def fitted(pages: DataFrame) -> trees.Boosted:
     rows = sample.orderBy(F.xxhash64("page_id"), "html").limit(SAMPLE).collect()
     if not rows:
         return trees.Boosted()
-    x, y = training_rows(training_pages([r["html"] for r in rows]))
-    spark = pages.sparkSession
-    table = pa.table({"features": pa.array(list(x), pa.list_(pa.float64())), "label": pa.array(y)})
-    return trees.fit(spark.createDataFrame(table).coalesce(2).cache(), rounds=16, depth=4)
+    sources = [r["html"] for r in rows]
+    said = [html.unescape(x) for source in sources for x in re.findall(r"<p[^>]*>([^<]{20,600})", source)]
+    said = said or [" ".join(_FILL), "Read more about this. It is what it was, and more."]
+    short = [" ".join(p.split()[:2]) for p in said[:2000]]
+    spark = ready(pages.sparkSession)
+    shared = spark.sparkContext.broadcast((sources, said, short))  # SAMPLE * SAMPLE_CHARS characters at most
+
+    def run(batches):
+        for batch in batches:
+            numbers = batch.column(0).to_pylist()
+            for at in range(0, len(numbers), 25):
+                found = [training_page(i, *shared.value) for i in numbers[at : at + 25]]
+                if found := [x for x in found if x is not None]:
+                    x, y = training_rows(found)
+                    ends = np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)
+                    yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(ends), pa.array(x.ravel())), pa.array(y, pa.int32())], names=["features", "label"])
+
+    made = spark.range(0, len(sources) + COMPOSED, 1, 6).mapInArrow(run, "features array<double>, label int")
+    return trees.fit(stored(made, "nodes").coalesce(2), rounds=16, depth=4)
 
 
 def extracted(pages: DataFrame, model: trees.Boosted) -> DataFrame:
