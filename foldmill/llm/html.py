@@ -6,7 +6,7 @@ text. Decoding picks for each element one of three states: outside (main text ma
 element all is excluded, main text only contains main text and excluded parts, so ancestors and descendants never contradict each other; among all
 consistent choices the one with the largest sum of log-odds is taken, in one pass up and one down the tree.
 
-Trees are fitted on at most ``SAMPLE`` pages of the table, the first in the order of a hash of page_id and html of at most ``SAMPLE_CHARS``, and on
+Trees are fitted on at most ``SAMPLE`` pages of the table, the first in the order of a hash of page_id among those of at most ``SAMPLE_CHARS``, and on
 layouts composed around their own paragraphs (``compose``), whose parts are known. Whole pages are extracted whatever their length.
 
 Null or empty html gives an empty text. Character references are decoded, white space in a block (line breaks too) becomes one blank, blocks are
@@ -399,8 +399,10 @@ def training_rows(pages: list[tuple[Page, np.ndarray]]) -> tuple[np.ndarray, np.
 
 def fitted(pages: DataFrame) -> trees.Boosted:
     """Boosted trees from the bounded sample of ``pages``."""
-    sample = pages.select("page_id", F.col("html").cast("string").alias("html")).where(F.length("html") <= SAMPLE_CHARS)
-    rows = sample.orderBy(F.xxhash64("page_id"), "html").limit(SAMPLE).collect()
+    usable = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("html").cast("string").alias("html")).where(F.col("page_id").isNotNull() & (F.length("html") <= SAMPLE_CHARS))
+    # ids first: what a task sends is then bounded by SAMPLE numbers rather than SAMPLE pages
+    ids = [r["page_id"] for r in usable.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLE).collect()]
+    rows = usable.where(F.col("page_id").isin(ids)).groupBy("page_id").agg(F.min("html").alias("html")).orderBy("page_id").collect()  # a row for each id
     if not rows:
         return trees.Boosted()
     sources = [r["html"] for r in rows]
