@@ -38,10 +38,6 @@ def rounded(value: Column | str, digits: int) -> Column:
     return F.round(value, digits) + F.lit(0.0)
 
 
-def folded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return split.kfold(fx.samples(spark, sf_dir), "id", FOLDS)
-
-
 def stored(df: DataFrame) -> DataFrame:
     """Write a table that several passes will read, so that its joins run once."""
     spark, path = df.sparkSession, new_folder(df.sparkSession, "stored")
@@ -49,6 +45,10 @@ def stored(df: DataFrame) -> DataFrame:
     return tables.read_path(spark, path, df.schema)
 
 
+def folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split.kfold(stored(fx.samples(spark, sf_dir)), "id", FOLDS)
+
+
 def learnable(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = fx.LEARNABLE
     return stored(fx.samples(spark, sf_dir).select(cols.key, cols.label, *cols.numeric, *cols.categorical))
@@ -319,7 +319,7 @@ def fold_id_lists(spark, sf_dir):
 
 @query
 def split_70_15_15(spark, sf_dir):
-    return split.train_val_test(fx.samples(spark, sf_dir), "id").select("id", "part")
+    return split.train_val_test(stored(fx.samples(spark, sf_dir).select("id")), "id").select("id", "part")
 
 
 @query
@@ -360,7 +360,7 @@ def target_onehot(spark, sf_dir):
 
 @query
 def impute_mean(spark, sf_dir):
-    rows = fx.samples(spark, sf_dir)
+    rows = stored(fx.samples(spark, sf_dir).select("id", "qty", "disc"))
     plan = features.fit_features(rows, ["qty", "disc"], [])
     filled = {c: rounded(F.coalesce(c, F.lit(plan.means[c])), 4) for c in ("qty", "disc")}
     return rows.select("id", *[e.alias(c) for c, e in filled.items()])
@@ -375,7 +375,7 @@ def impute_mode(spark, sf_dir):
 
 @query
 def standard_scale(spark, sf_dir):
-    rows = fx.samples(spark, sf_dir)
+    rows = stored(fx.samples(spark, sf_dir).select("id", "price", "bal"))
     plan = features.fit_features(rows, ["price", "bal"], [])
     cols = [features.scaled(F.col(c), F.lit(plan.means[c]), F.lit(plan.deviations[c])) for c in ("price", "bal")]
     return rows.select("id", rounded(cols[0], 6).alias("price_scaled"), rounded(cols[1], 6).alias("bal_scaled"))
@@ -412,14 +412,14 @@ def _slot_columns(df: DataFrame, kept: list[str], slots: int) -> DataFrame:
 
 @query
 def assemble_features(spark, sf_dir):
-    rows = fx.samples(spark, sf_dir)
+    rows = stored(fx.samples(spark, sf_dir).select("id", *fx.NUMERIC, *fx.CATEGORICAL))
     plan = features.fit_features(rows, fx.NUMERIC, fx.CATEGORICAL)
     return _slot_columns(plan.pipeline(spark).transform(rows), ["id"], len(plan.names()))
 
 
 @query
 def assemble_drop_first(spark, sf_dir):
-    rows = split.train_val_test(clean.drop_missing(fx.samples(spark, sf_dir).select(*SAMPLE_COLUMNS)), "id")
+    rows = split.train_val_test(stored(clean.drop_missing(fx.samples(spark, sf_dir).select(*SAMPLE_COLUMNS))), "id")
     train = rows.filter(F.col("part") == "train")
     plan = features.fit_features(train, fx.NUMERIC, fx.CATEGORICAL, imputed=False, drop_first=True)
     return _slot_columns(plan.pipeline(spark).transform(rows), ["id", "part"], len(plan.names()))
