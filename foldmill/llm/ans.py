@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from foldmill import session
 from foldmill.llm import tokens
-from foldmill.llm.common import partitions, ready, slices, stored
+from foldmill.llm.common import discard, partitions, ready, slices, stored
 
 LANES = 2048
 CHECKPOINT_STEPS = 64
@@ -247,6 +247,7 @@ def write_token_files(docs: DataFrame, folder: str, end_id: int = 1, path: str |
     raw = stored(raw_blocks(docs, path, end_id), "raw-tokens")
     table = id_table(raw, max(size, end_id + 1))
     encode_blocks(raw, table, "<u4" if size > 65536 else "<u2").write.partitionBy("part").option("compression", "none").parquet(f"{folder}/blocks")
+    discard(raw)
     spark.createDataFrame([(table.bits, bytearray(table.frequencies.astype("<u4").tobytes()))], TABLE_SCHEMA).coalesce(1).write.parquet(f"{folder}/table")
     return folder
 

@@ -12,7 +12,14 @@ def stored(df: DataFrame, name: str, compression: str = "zstd", by: list[str] |
     path = session.new_folder(df.sparkSession, name)
     writer = df.write.option("compression", compression)
     (writer.partitionBy(*by) if by else writer).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found.stored_at = path
+    return found
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table of :func:`stored` that no later step reads."""
+    session.remove_folder(df.sparkSession, df.stored_at)
 
 
 def partitions(spark: SparkSession) -> int:

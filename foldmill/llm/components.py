@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foldmill.llm.common import stored
+from foldmill.llm.common import discard, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -28,4 +28,5 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         joined = large.join(least, "a")
         small = joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
-        links = stored(small, "links")
+        done, links = links, stored(small, "links")
+        discard(done)

@@ -84,9 +84,14 @@ def _tile(a: _Block, b: _Block, k: int, floor: np.ndarray) -> tuple[np.ndarray,
     least = np.partition(lower, -k, axis=1)[:, -k] if lower.shape[1] > k else np.full(len(lower), -np.inf)
     i, j = np.nonzero(~(upper < np.maximum(least, floor)[:, None]) & ~own)
     scores = np.empty(len(i))
-    for s in range(0, len(i), 65536):
-        scores[s : s + 65536] = (a.v[i[s : s + 65536]] * b.v[j[s : s + 65536]]).sum(axis=1)
-    return i, j, scores
+    step = max(1, 2_000_000 // a.v.shape[1])
+    for s in range(0, len(i), step):
+        scores[s : s + step] = (a.v[i[s : s + step]] * b.v[j[s : s + step]]).sum(axis=1)
+    # a row of a has at most k of them in the result, so copies of one vector do not reach its heap by the thousand
+    order = np.lexsort((b.rids[j], b.ids[j], ~b.named[j], -scores, i))
+    first = np.searchsorted(i[order], np.arange(len(a.rids)))
+    kept = order[np.arange(len(order)) - first[i[order]] < k]
+    return i[kept], j[kept], scores[kept]
 
 
 def nearest(vectors: DataFrame, every: int = 20, k: int = 20, block: int = BLOCK) -> DataFrame:
