@@ -68,4 +68,40 @@ QUERIES: dict[str, Query] = {
     "op9_chat_format": op9_chat_format,
     "op10_token_counts": op10_token_counts,
 }
-ORACLES: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _words(table_name: str, key: str) -> str:
+    return rf"select {key}, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from {table_name}"
+
+
+_DECONTAMINATION = f"""
+with d as ({_words('documents', 'doc_id')}), b as ({_words('benchmark', 'item_id')}),
+items as (select item_id, w, least(10, len(w)) n from b where len(w) > 0),
+windows as (select distinct item_id, n, array_to_string(w[i : i + n - 1], ' ') t from
+    (select item_id, w, n, unnest(range(1, len(w) - n + 2)) i from items)),
+places as (select doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') t from
+    (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) i from d, (select distinct n from windows) where len(w) >= n)),
+hits as (select p.doc_id, p.i, p.n, x.item_id from places p join windows x on x.n = p.n and x.t = p.t),
+covered as (select doc_id, count(distinct k) n_hit from (select doc_id, unnest(range(i, i + n)) k from hits) group by doc_id),
+named as (select doc_id, count(*) n_items, string_agg(s, ',' order by s) s from
+    (select distinct doc_id, cast(item_id as varchar) s from hits) group by doc_id)
+select d.doc_id, cast(len(w) as bigint) n_words, coalesce(n_hit, 0) n_hit, coalesce(n_items, 0) n_items, sha256(coalesce(s, '')) items_sha256,
+    coalesce(n_hit, 0) > 0 contaminated from d left join covered using (doc_id) left join named using (doc_id)"""
+
+
+def _escaped(column: str) -> str:
+    return rf"regexp_replace({column}, '<(\\*)\|', '<\1\\|', 'g')"
+
+
+_CHAT = f"""
+with r as (select conv_id, turn, coalesce(role, '') role, coalesce(text, '') text from conversations union all
+    select -1, i, ['user', 'assistant'][i + 1], '</s>[INST] ok [/INST]' from range(2) z(i))
+select conv_id, count(*) n_turns, sha256(string_agg(concat(role, chr(10), text, chr(10)), '' order by turn, role, text)) turns_sha256,
+    cast(sum(case when role = 'assistant' then length(text) else 0 end) as bigint) loss_chars,
+    sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) loss_sha256,
+    cast(sum(length({_escaped('role')}) + length({_escaped('text')}) + {len(chat.TURN + chat.TEXT + chat.END)}) as bigint) formatted_chars
+from r group by conv_id"""
+
+#: The other operators give hashes, token ids, trained scores or sums in another order of addition that the other engine lacks.
+ORACLES: dict[str, str] = {"op5_decontamination": _DECONTAMINATION, "op9_chat_format": _CHAT}

@@ -29,7 +29,7 @@ from foldmill.llm.components import components
 
 WORDS = 4
 DISTANCE = 4
-#: Bytes in an index key. 3 bytes make 20 keys for a distance of 4; each list then holds one in 16.7 million fingerprints.
+#: Bytes in an index key. 3 bytes make 23 keys for a distance of 4; each list then holds one in 16.7 million fingerprints.
 KEY_BYTES = 3
 #: Longest list that one task compares by itself.
 LONGEST_LIST = 20_000
@@ -69,7 +69,7 @@ def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
 def key_groups(distance: int = DISTANCE, size: int = KEY_BYTES) -> list[tuple[int, ...]]:
     """Groups of ``size`` byte positions such that any ``8 - distance`` positions hold one of them whole.
 
-    Positions are dealt to as many rings as needed; for the sizes in use the known smallest families are found by a greedy cover.
+    A greedy cover: the group that lies in most of the choices still open comes next.
     """
     shared = [frozenset(x) for x in itertools.combinations(range(8), 8 - distance)]
     size = min(size, 8 - distance)

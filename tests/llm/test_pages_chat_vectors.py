@@ -170,5 +170,12 @@ def test_wide_scales_and_nothing(make):
     assert neighbours.nearest(make([], "vec_id long, embedding array<double>")).count() == 0
 
 
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_equals_sql(spark, sf_dir, name):
+    from oracle import difference
+
+    assert difference(queries.QUERIES[name](spark, sf_dir), queries.ORACLES[name], sf_dir) is None
+
+
 def test_query_names():
     assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in queries.QUERIES) == list(range(1, 11))
