@@ -8,8 +8,9 @@ tokens, and each iteration takes a Newton step of all sources' duals at once (a
 Rates become whole copies so that totals come out: per source, the documents are grouped by size, sizes are walked from the largest to the
 smallest, and each group gets the number of copies that brings the running total closest to its expectation, so an error is
 passed on to smaller documents and ends below the smallest. Within a group all documents get the same
-number, but for a remainder that goes to the documents of the lowest rank by a seeded hash; ranks are counted in ``SHARES`` shares, so a group
-that holds a third of all rows is still ranked by many tasks.
+number, but for a remainder that goes to the documents of the lowest rank by a hash of doc_id, so it does not depend on how the table is cut; ranks are
+counted in ``SHARES`` shares, so a group that holds a third of all rows is still ranked by many tasks. Rows of one doc_id (and size and source) are counted
+before they are ranked; only where the remainder ends among them are they told apart, by their place in the table.
 
 Null text has size 0; documents of size 0 take no words and get their rounded rate of copies. A null source is a source of its own, last in
 order. Sources without words have target 0. Repeated rows count as often as they occur. Extra columns are kept apart. An empty table gives no rows.
@@ -99,22 +100,44 @@ def copies(sized_docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: floa
         return pd.DataFrame({"source": rows["source"], "size": rows["size"], "n": rows["n"], "whole": out})
 
     groups = stored(groups.groupBy("source").applyInPandas(walk, "source string, size long, n long, whole long"), "groups")
-    hashed = F.xxhash64(F.lit("mix"), "doc_id", "rid")
-    shared = sized_docs.withColumn("hashed", hashed).withColumn("share", F.pmod("hashed", F.lit(SHARES)))
-    counts = shared.groupBy("source", "size", "share").agg(F.count("*").alias("k"))
-    before = Window.partitionBy("source", "size").orderBy("share").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("before", F.coalesce(F.sum("k").over(before), F.lit(0)))
-    counts = counts.join(groups.withColumnsRenamed({"source": "s", "size": "z"}), F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")))
-    counts = counts.select(F.col("source").alias("s"), F.col("size").alias("z"), F.col("share").alias("h"), "before", "n", "whole")
-    rank = F.row_number().over(Window.partitionBy("source", "size", "share").orderBy("hashed", "rid"))
-    ranked = shared.withColumn("rank", rank).join(counts, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("share") == F.col("h")))
+    cell = lambda a, b: F.col(f"{a}.source").eqNullSafe(F.col(f"{b}.source")) & (F.col(f"{a}.size") == F.col(f"{b}.size"))
+    hashed = F.xxhash64(F.lit("mix"), "doc_id")
+    docs = sized_docs.groupBy("source", "size", "doc_id").agg(F.count("*").alias("m")).withColumn("hashed", hashed).withColumn("share", F.pmod("hashed", F.lit(SHARES)))
+    counts = docs.groupBy("source", "size", "share").agg(F.sum("m").alias("k"))
+    counts = counts.withColumn("before", F.coalesce(F.sum("k").over(_before(["source", "size"], ["share"])), F.lit(0)))
+    counts = counts.alias("c").join(groups.alias("g"), cell("c", "g")).select("c.source", "c.size", "c.share", "c.before", "g.n", "g.whole")
+    inner = F.coalesce(F.sum("m").over(_before(["source", "size", "share"], ["hashed", "doc_id"])), F.lit(0))
+    docs = docs.withColumn("inner", inner).alias("d").join(counts.alias("c"), cell("d", "c") & (F.col("d.share") == F.col("c.share")))
     base = F.floor(F.col("whole") / F.col("n"))
-    extra = F.col("before") + F.col("rank") <= F.col("whole") - base * F.col("n")
-    ranked = ranked.select("rid", "doc_id", "source", "size", (base + extra.cast("long")).alias("copies"))
+    extra = F.least(F.greatest(F.col("whole") - base * F.col("n") - F.col("before") - F.col("inner"), F.lit(0)), F.col("m"))
+    docs = docs.select("d.source", "d.size", "d.doc_id", "m", base.alias("base"), extra.alias("extra"))
+    found_docs = stored(sized_docs.alias("r").join(docs.alias("d"), cell("r", "d") & F.col("r.doc_id").eqNullSafe(F.col("d.doc_id"))).select("r.rid", "r.doc_id", "r.source", "r.size", "m", "base", "extra"), "copies")
+    partly = (F.col("extra") > 0) & (F.col("extra") < F.col("m"))
+    kept = ["rid", "doc_id", "source", "size"]
+    alike = found_docs.where(~partly).select(*kept, (F.col("base") + (F.col("extra") > 0).cast("long")).alias("copies"))
+    ranked = alike.unionByName(_ranked(found_docs.where(partly)).select(*kept, (F.col("base") + (F.col("rank") <= F.col("extra")).cast("long")).alias("copies")))
     small = found.select(F.col("source").alias("s"), F.col("tokens").alias("source_size"), "target")
     return ranked.join(small, ranked["source"].eqNullSafe(small["s"])).drop("s")
 
 
+def _before(by: list[str], order: list[str]):
+    return Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _ranked(rows: DataFrame) -> DataFrame:
+    """``rows`` with their rank among the rows of one source, size and doc_id, counted in shares of rid."""
+    one = ["source", "size", "doc_id"]
+    rows = rows.withColumn("share", F.pmod(F.xxhash64("rid"), F.lit(SHARES)))
+    counts = rows.groupBy(*one, "share").agg(F.count("*").alias("k"))
+    counts = counts.withColumn("before", F.coalesce(F.sum("k").over(_before(one, ["share"])), F.lit(0)))
+    rows = rows.withColumn("inner", F.row_number().over(Window.partitionBy(*one, "share").orderBy("rid")))
+    same = F.col("share") == F.col("c_share")
+    for name in one:
+        same = same & F.col(name).eqNullSafe(F.col(f"c_{name}"))
+    counts = counts.select(*(F.col(x).alias(f"c_{x}") for x in [*one, "share"]), "before")
+    return rows.join(counts, same).withColumn("rank", F.col("before") + F.col("inner"))
+
+
 def mixture(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, size, source_size, target, taken, copies."""
     return copies(sized(docs)).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")

@@ -199,6 +199,21 @@ def test_mixture_meets_targets(docs, plain):
     assert mixed.columns == docs.columns and mixed.count() == sum(r.copies for r in rows)
 
 
+def test_mixture_does_not_depend_on_partitioning(docs):
+    got = [Counter(map(tuple, mixing.mixture(docs.repartition(n, "text") if n > 1 else docs.coalesce(1)).collect())) for n in (1, 7)]
+    assert got[0] == got[1]
+
+
+def test_one_row_repeated_very_often(make):
+    rows = [(7, "a b c", "x")] * 400 + [(i, "w " * (i % 9), "y" if i % 2 else "z") for i in range(300)] + [(None, "a b c", "x")] * 50
+    found = mixing.mixture(make(rows, "doc_id long, text string, source string")).collect()
+    assert len(found) == len(rows)
+    taken: Counter = Counter()
+    for r in found:
+        taken[r.source_size, r.target] += r.taken
+    assert all(abs(n - target) <= 3 for (_, target), n in taken.items())
+
+
 def test_rates_solve_the_dual(docs):
     for r in mixing.rates(mixing.sized(docs)).collect():
         assert abs(r.rate * r.tokens - r.target) <= 1e-9 * max(1.0, r.target)
