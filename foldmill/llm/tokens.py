@@ -9,7 +9,7 @@ import itertools
 import numpy as np
 
 #: Distinct words a worker remembers before it starts anew; bounds memory, has no effect on ids.
-REMEMBERED = 800_000
+REMEMBERED = 500_000
 #: Punctuation that ends a word in its own token run and is neither a letter, a number nor white space.
 TAIL = ".,!?;:*#$%&|)("
 
