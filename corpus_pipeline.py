@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foldmill.llm import ans, decontaminate, mixing, near_copies, quality
+from foldmill.llm import ans, decontaminate, mixing, quality, simhash
 from foldmill.llm.common import discard, stored
 
 
@@ -18,8 +18,8 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word Jaccard 0.8)."""
-    return near_copies.one_of_each(docs)
+    """One document of each group that SimHash fingerprints link: four-word shingles, at most four differing bits."""
+    return simhash.one_of_each(docs)
 
 
 def unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,8 +44,7 @@ STAGES = [
     ("mixing sources to target weights", mixture),
     ("token-ID / binary output", tokens),
 ]
-#: Tokenizers and trained scores have no SQL form. tests/llm/test_near_copies.py compares the near copies with brute force; test_pipeline.py compares
-#: stages with the same operators only, and the last one by its number of rows.
+#: Tokenizers and trained scores have no SQL form; tests/llm/test_pipeline.py compares the stages with plain versions.
 ORACLE_SQL = None
 
 
