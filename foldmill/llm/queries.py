@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from foldmill.llm import ans, chat, decontaminate, html, mixing, neighbours, pii, quality, separators, simhash
+from foldmill.llm import ans, chat, decontaminate, gnat, html, language, mixing, neighbours, pii, quality, separators, simhash, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +56,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return separators.document_counts(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gnat.report(table(spark, sf_dir, "embeddings"))
+
+
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.report(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_main_text": op1_main_text,
     "op2_personal_data": op2_personal_data,
@@ -67,6 +79,9 @@ QUERIES: dict[str, Query] = {
     "op8_nearest_vectors": op8_nearest_vectors,
     "op9_chat_format": op9_chat_format,
     "op10_token_counts": op10_token_counts,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_language": op12_language,
+    "op13_whitening": op13_whitening,
 }
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -103,5 +118,31 @@ select conv_id, count(*) n_turns, sha256(string_agg(concat(role, chr(10), text,
     cast(sum(length({_escaped('role')}) + length({_escaped('text')}) + {len(chat.TURN + chat.TEXT + chat.END)}) as bigint) formatted_chars
 from r group by conv_id"""
 
+
+
+def _vector_codes() -> str:
+    """Codebooks of 16 parts and 64 entries: two rounds of assignment and rounded means, then a last assignment, all entries compared."""
+    away = "list_sum(list_transform(list_zip(p.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    sql = f"""
+with v as (select vec_id, label, list_transform(embedding, lambda c: cast(floor(256 * cast(c as double)) as bigint)) x from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0),
+p as materialized (select vec_id, label, pos, x[pos * len(x) // 16 + 1 : (pos + 1) * len(x) // 16] v from v, (select unnest(range(16)) pos)),
+b_0 as materialized (select pos, place, v from p join (select vec_id, row_number() over (order by vec_id) - 1 place from v order by vec_id limit 64) using (vec_id))"""
+    for step in range(gnat.ROUNDS + 1):
+        sql += f""",
+a_{step} as materialized (select p.vec_id, p.label, p.pos, p.v, min({away} * 64 + b.place) best from p join b_{step} b using (pos) group by all)"""
+        if step < gnat.ROUNDS:
+            sql += f""",
+m_{step} as (select pos, place, list(mean order by k) v from (
+    select pos, best % 64 place, k, (sum(c) - ((sum(c) % count(*)) + count(*)) % count(*)) // count(*) mean from
+        (select pos, best, unnest(v) c, unnest(range(len(v))) k from a_{step}) group by all) group by all),
+b_{step + 1} as materialized (select b.pos, b.place, coalesce(list_transform(m.v, lambda c: cast(c as bigint)), b.v) v from b_{step} b left join m_{step} m using (pos, place))"""
+    last = gnat.ROUNDS
+    return sql + f""",
+books as (select sha256(string_agg(array_to_string(v, ','), ',' order by pos, place)) codebooks_sha256 from b_{last}),
+r as (select vec_id, any_value(label) label, string_agg(lower(printf('%02x', cast(best % 64 as bigint))), '' order by pos) code, cast(sum(best // 64) as bigint) error from a_{last} group by vec_id)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) label_error, codebooks_sha256 from r, books"""
+
+
 #: The other operators give hashes, token ids, trained scores or sums in another order of addition that the other engine lacks.
-ORACLES: dict[str, str] = {"op5_decontamination": _DECONTAMINATION, "op9_chat_format": _CHAT}
+ORACLES: dict[str, str] = {"op5_decontamination": _DECONTAMINATION, "op9_chat_format": _CHAT, "op11_vector_codes": _vector_codes()}
