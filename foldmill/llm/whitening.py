@@ -34,6 +34,8 @@ from foldmill.llm.integer_vectors import integer_vectors, matrix_of
 COMPONENTS = 4
 EPSILON = np.finfo(np.float64).eps
 MOST_STEPS = 60
+#: Steps of the roots end below this relative change; the next one would be its square, and the vectors are orthogonal for any roots between the poles.
+ACCURACY = 1e-8
 SPECTRUM = "shard long, n long, sums array<long>, eigenvalues array<double>, eigenvectors array<double>"
 
 
@@ -52,26 +54,39 @@ def roots(d: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         low, high = np.where(left, 0.0, -half), np.where(left, half, 0.0)
         if not left[-1]:
             low[-1], high[-1] = half[-1], 2 * half[-1]
-        before = np.tri(m, dtype=bool)
-        rows = np.arange(m)
+        before, rows = np.tri(m), np.arange(m)
         p, q = poles[rows, rows], poles[rows, np.minimum(rows + 1, m - 1)]
-        t = (low + high) / 2
-        for _ in range(MOST_STEPS):
-            gap = poles - t[:, None]
-            terms = squares / gap
-            slopes = terms / gap
-            value = 1 + np.where(before, terms, 0).sum(axis=1) + np.where(before, 0, terms).sum(axis=1)
-            low, high = np.where(value < 0, t, low), np.where(value >= 0, t, high)
-            a = np.where(before, slopes, 0).sum(axis=1) * (p - t) ** 2
-            b = np.where(before, 0, slopes).sum(axis=1) * (q - t) ** 2
-            c = value - a / (p - t) - np.where(rows < m - 1, b / (q - t), 0)
+        inner = rows < m - 1
+        upper = np.where(inner, q, np.inf)
+
+        def crossing(a, b, c):
+            """Where c + a / (p - x) + b / (q - x) is zero between its poles, kept within the bracket; the last root has no pole above it."""
             middle, last = c * (p + q) + a + b, c * p * q + a * q + b * p
             side = (middle + np.copysign(np.sqrt(np.maximum(middle**2 - 4 * c * last, 0)), middle)) / 2
             first, second = side / c, last / side
             first[-1] = second[-1] = p[-1] + a[-1] / c[-1]
-            inside = lambda x: (x > low) & (x < high)
-            moved = np.where(inside(first), first, np.where(inside(second), second, (low + high) / 2))
-            done = (np.abs(moved - t) <= 2 * EPSILON * np.abs(moved)) | (value == 0)
+            between = lambda x: (x > p) & (x < upper)
+            found = np.where(between(first), first, np.where(between(second), second, (low + high) / 2))
+            return np.clip(found, low, high)
+
+        # first with the two nearest poles as they are and the others as seen from the middle
+        t = (low + high) / 2
+        a, b = squares, np.where(inner, np.append(squares[1:], 0), 0)
+        gap = poles - t[:, None]
+        c = 1 + (squares / gap).sum(axis=1) - a / (p - t) - np.where(inner, b / (q - t), 0)
+        t = crossing(a, b, c)
+        for _ in range(MOST_STEPS):
+            np.subtract(poles, t[:, None], out=gap)
+            terms = squares / gap
+            value = 1 + terms.sum(axis=1)
+            high, low = np.where(value >= 0, t, high), np.where(value < 0, t, low)
+            terms /= gap
+            a = np.einsum("ij,ij->i", terms, before)
+            b = (terms.sum(axis=1) - a) * (q - t) ** 2
+            a *= (p - t) ** 2
+            c = value - a / (p - t) - np.where(inner, b / (q - t), 0)
+            moved = crossing(a, b, c)
+            done = (np.abs(moved - t) <= ACCURACY * np.abs(moved)) | (value == 0)
             t = np.where(value == 0, t, moved)
             if done.all():
                 break
