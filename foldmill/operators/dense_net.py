@@ -1,13 +1,17 @@
 """Small dense classifiers (ReLU layers, softmax output) trained by Spark jobs.
 
-Every epoch is one pass over the rows and one update, by SGD or Adam, with the exact gradient over all rows that are not held out.
-The result therefore does not depend on the number of rows in a task, tasks, cores or rows of an Arrow batch (but for the last
-digits of sums). Where libraries take one update per 32 rows, this takes one per epoch, so it learns with
-larger steps: see ``Training.rate``.
+An epoch makes ``Training.slices`` updates, by SGD or Adam, each with the exact gradient over the rows of one slice that are not held out. With one
+slice that is the whole table. The slices of an epoch are drawn anew from seed and epoch: a row lies in one of ``BUCKETS`` by a hash of its key, and
+an epoch deals the buckets to its slices in the order of a hash. Their number never follows from rows, tasks or cores, so neither does the result (but for the last
+digits of sums). Rows are stored by bucket, and an update reads the buckets of its slice only. Where libraries take one update per 32 rows, this takes a few per
+epoch, so it learns with larger steps: see ``Training.rate``.
+
+Dropout masks hidden units of train rows and scales the others up; scoring uses all units. Whether a unit is kept is read off
+``md5(seed:epoch:key:block)``, 16 bits a unit and 8 units a block, so it depends on nothing else (a row meets one slice in an epoch).
 
 Several networks are trained by the same passes: the folds of a cross-validation or the trials of a search
 differ in their features, settings and held-out rows, but read the same stored rows. So five folds of fifty epochs cost
-fifty passes over the table, not two hundred and fifty.
+fifty passes over the table, not two hundred and fifty. Networks with different numbers of slices share an epoch's passes as far as they have them.
 
 The job of one pass returns, per network, sums of the length of its weights, added up on the executors; only those
 reach the driver, and the weights travel back with the next job. The model family, loss and update rule are those of the
@@ -31,12 +35,18 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foldmill.functions.hashing import draw, hash32
 from foldmill.operators.evaluate import PROBABILITY_FLOOR, EarlyStop
 from foldmill.operators.features import Rows, View
-from foldmill.session import checkpoint
+from foldmill.session import checkpoint, new_folder, remove_folder
 
 # Adam's usual settings (fixed values).
 ADAM_DECAY_1, ADAM_DECAY_2, ADAM_EPSILON = 0.9, 0.999, 1e-7
+#: Rows are stored in so many buckets by key; an epoch has this many slices at most.
+BUCKETS = 48
+UNITS_PER_BLOCK = 8
+#: The sums of so many tasks are added up in one level.
+FEW_SHARDS = 64
 
 
 def weight_count(layers: Sequence[int]) -> int:
@@ -65,12 +75,12 @@ def probabilities(flat: np.ndarray, layers: Sequence[int], x: Rows | np.ndarray)
     return _forward(_unpack(flat, layers), x if isinstance(x, Rows) else Rows(x))[-1]
 
 
-def _forward(weights, x: Rows) -> list:
+def _forward(weights, x: Rows, masks: Sequence[np.ndarray] = ()) -> list:
     outs: list = [x]
     for depth, (w, b) in enumerate(weights):
         z = (outs[-1] @ w if depth else x.times(w)) + b
         if depth < len(weights) - 1:
-            outs.append(np.maximum(z, 0.0))
+            outs.append(np.maximum(z, 0.0) * masks[depth] if masks else np.maximum(z, 0.0))
         else:
             e = np.exp(z - z.max(axis=1, keepdims=True))
             outs.append(e / e.sum(axis=1, keepdims=True))
@@ -83,11 +93,11 @@ def _score(p: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
     return float(len(y)), float(-np.log(p_true).sum()), float((p.argmax(axis=1) == y).sum())
 
 
-def _gradient(flat, layers, x: Rows | np.ndarray, y) -> tuple[np.ndarray, tuple[float, float, float]]:
-    """Summed gradient of the cross-entropy, and the scores at the given weights."""
+def _gradient(flat, layers, x: Rows | np.ndarray, y, masks: Sequence[np.ndarray] = ()) -> tuple[np.ndarray, tuple[float, float, float]]:
+    """Summed gradient of the cross-entropy, and the scores at the given weights, both behind the masks of the hidden layers."""
     x = x if isinstance(x, Rows) else Rows(x)
     weights = _unpack(flat, layers)
-    outs = _forward(weights, x)
+    outs = _forward(weights, x, masks)
     delta = outs[-1].copy()
     delta[np.arange(len(y)), y] -= 1.0
     parts: list[np.ndarray] = []
@@ -96,6 +106,8 @@ def _gradient(flat, layers, x: Rows | np.ndarray, y) -> tuple[np.ndarray, tuple[
         parts = [inputs.ravel(), delta.sum(axis=0), *parts]
         if depth:
             delta = (delta @ weights[depth][0].T) * (outs[depth] > 0)
+            if masks:
+                delta *= masks[depth - 1]
     return np.concatenate(parts), _score(outs[-1], y)
 
 
@@ -127,7 +139,10 @@ class Updater:
 
 @dataclass
 class Training:
-    """Settings of one network; ``hidden`` are the sizes between the features and the classes. ``rate`` suits one update an epoch."""
+    """Settings of one network; ``hidden`` are the sizes between the features and the classes. ``rate`` suits one update an epoch.
+
+    ``slices`` is the number of updates an epoch makes, ``dropout`` the share of hidden units that a train row does without.
+    """
 
     hidden: list[int]
     epochs: int = 50
@@ -135,6 +150,17 @@ class Training:
     optimizer: str = "adam"
     patience: int | None = None
     seed: int = 42
+    slices: int = 1
+    dropout: float = 0.0
+
+    def __post_init__(self):
+        if not 1 <= self.slices <= BUCKETS or not 0.0 <= self.dropout < 1.0:
+            raise ValueError(f"slices must lie in 1..{BUCKETS}, dropout in [0, 1)")
+
+    def slice_buckets(self, epoch: int, step: int) -> list[int]:
+        """The buckets of one slice of an epoch."""
+        order = sorted(range(BUCKETS), key=lambda b: (draw(self.seed, f"slice{epoch}", b), b))
+        return sorted(b for place, b in enumerate(order) if place * self.slices // BUCKETS == step)
 
 
 @dataclass
@@ -163,42 +189,82 @@ class Fitted:
     best_epoch: int = 0
     held_rows: int = 0
     train_rows: int = 0
+    updates: int = 0
 
     def model(self, **cols) -> "DenseNetModel":
         return DenseNetModel(layers=self.layers, weights=[float(w) for w in self.weights], **cols)
 
 
+def bucket(key: str) -> Column:
+    return hash32(key, "bucket") % BUCKETS
+
+
+def mask_bytes(key: str, seed: int, epoch: int, units: int) -> Column:
+    """16 random bits for each of ``units`` hidden units, big-endian, as one binary value."""
+    blocks = range(-(-units // UNITS_PER_BLOCK))
+    return F.concat(*[F.unhex(F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit(str(epoch)), F.col(key), F.lit(str(b))))) for b in blocks])
+
+
 def training_rows(
-    df: DataFrame, raw: str, target: str, part: Column, key: str, tasks: int | None = None
+    df: DataFrame, raw: str, target: str, part: Column, key: str, tasks: int | None = None, members: Sequence[Member] = ()
 ) -> DataFrame:
     """The rows the passes read: raw features, target and part, spread over tasks by key.
 
-    Stored by ``checkpoint``, so that a pass reads finished partitions and a lost executor costs no re-preparation.
+    For members that make one update an epoch they are stored by ``checkpoint``, so that a pass reads finished partitions and a lost executor costs no re-preparation.
+    If one has slices or dropout they are written as a table partitioned by bucket (and with their key), to be removed by :func:`discard_rows`.
     ``tasks`` defaults to the session's shuffle partitions; it changes how the work is spread, not the result.
     """
     rows = df.select(
         F.col(raw).alias("raw"), F.col(target).cast("long").alias("y"), part.cast("long").alias("part"),
-        F.col(key).alias("_key"),
+        F.col(key).cast("string").alias("key"),
     )
-    tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return checkpoint(rows.repartition(tasks, "_key").drop("_key"))
+    spark = df.sparkSession
+    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if all(m.setting.slices == 1 and not m.setting.dropout for m in members):
+        return checkpoint(rows.repartition(tasks, "key").drop("key"))
+    # so many pieces that all tasks have a bucket's piece to write, whatever their number
+    piece = F.pmod(F.xxhash64("key"), F.lit(-(-tasks // BUCKETS)))
+    path = new_folder(spark, "training")
+    rows = rows.withColumn("bucket", bucket("key"))
+    rows.repartition(tasks, F.col("bucket"), piece).write.partitionBy("bucket").parquet(path)
+    stored = spark.read.schema(rows.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def discard_rows(rows: DataFrame) -> None:
+    path = getattr(rows, "stored_at", None)
+    if path:
+        remove_folder(rows.sparkSession, path)
 
 
 class _Share:
     """One network's work on one task's rows during one pass."""
 
-    def __init__(self, member: Member, state: np.ndarray, epoch: int):
+    def __init__(self, member: Member, state: np.ndarray, epoch: int, step: int):
         self.member, self.layers = member, member.layers
-        size = weight_count(self.layers)
-        self.learning = epoch < member.setting.epochs
+        setting, size = member.setting, weight_count(self.layers)
+        self.scoring, self.learning = step == 0, epoch < setting.epochs
+        self.buckets = setting.slice_buckets(epoch, step) if setting.slices > 1 else None
         self.weights, self.total, self.scores = state[:size], np.zeros(size), np.zeros(6)
 
-    def see(self, raw: np.ndarray, y: np.ndarray, part: np.ndarray) -> None:
+    def masks(self, drawn: np.ndarray | None) -> list[np.ndarray]:
+        """Factors of the hidden units, from 16 bits for each."""
+        setting = self.member.setting
+        if not setting.dropout:
+            return []
+        kept = (drawn >= setting.dropout * 65536) / (1 - setting.dropout)
+        ends = np.cumsum(setting.hidden)
+        return [kept[:, end - n : end] for end, n in zip(ends, setting.hidden)]
+
+    def see(self, raw: np.ndarray, y: np.ndarray, part: np.ndarray, buckets: np.ndarray | None, drawn: dict[int, np.ndarray]) -> None:
         x, held = self.member.view.rows(raw), np.isin(part, self.member.held)
-        if held.any():
+        if self.scoring and held.any():
             self.scores[3:] += _score(probabilities(self.weights, self.layers, x[held]), y[held])
-        if self.learning and not held.all():
-            gradient, got = _gradient(self.weights, self.layers, x[~held], y[~held])
+        used = ~held if self.buckets is None else ~held & np.isin(buckets, self.buckets)
+        if self.learning and used.any():
+            bits = drawn.get(self.member.setting.seed)
+            gradient, got = _gradient(self.weights, self.layers, x[used], y[used], self.masks(None if bits is None else bits[used]))
             self.total += gradient
             self.scores[:3] += got
 
@@ -208,24 +274,40 @@ class _Share:
 
 
 def _one_pass(
-    rows: DataFrame, active: dict[int, tuple[Member, np.ndarray]], epoch: int, fan: int
+    rows: DataFrame, active: dict[int, tuple[Member, np.ndarray]], epoch: int, step: int, fan: int
 ) -> dict[int, np.ndarray]:
     """Run one pass for the active networks; returns each one's sums.
 
-    A network's pass after its last epoch only scores the held-out rows.
+    The first pass of an epoch scores the held-out rows, and a network's pass after its last epoch does nothing else.
     """
+    learning = [m for m, _ in active.values() if epoch < m.setting.epochs]
+    units: dict[int, int] = {}
+    for m in learning:
+        if m.setting.dropout:
+            units[m.setting.seed] = max(units.get(m.setting.seed, 0), sum(m.setting.hidden))
+    if "bucket" in rows.columns:
+        wanted = set(range(BUCKETS)) if any(m.setting.slices == 1 for m in learning) else {b for m in learning for b in m.setting.slice_buckets(epoch, step)}
+        needed = F.col("bucket").isin(sorted(wanted))
+        if step == 0:
+            needed = needed | F.col("part").isin(sorted({h for m, _ in active.values() for h in m.held}))
+        rows = rows.filter(needed) if len(wanted) < BUCKETS else rows
+        # Masks are drawn by generated code; the tasks only compare them with the rates.
+        rows = rows.withColumns({f"mask_{seed}": mask_bytes("key", seed, epoch, n) for seed, n in units.items()}).drop("key")
 
     def work(batches):
         from pyspark import TaskContext
 
         shard = TaskContext.get().partitionId()
-        runs = {i: _Share(member, state, epoch) for i, (member, state) in active.items()}
+        runs = {i: _Share(member, state, epoch, step) for i, (member, state) in active.items()}
         for b in batches:
             if b.num_rows:
                 raw = b.column("raw").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
                 y, part = (b.column(c).to_numpy(zero_copy_only=False) for c in ("y", "part"))
+                buckets = b.column("bucket").to_numpy(zero_copy_only=False) if "bucket" in b.schema.names else None
+                drawn = {seed: np.frombuffer(b"".join(b.column(f"mask_{seed}").to_pylist()), ">u2").reshape(b.num_rows, -1) for seed in units}
                 for run in runs.values():
-                    run.see(raw, y, part)
+                    mine = {seed: bits[:, : sum(run.member.setting.hidden)] for seed, bits in drawn.items()}
+                    run.see(raw, y, part, buckets, mine)
         for i, run in runs.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array([i], pa.int64()), pa.array([shard], pa.int64()), pa.array([run.sums()], pa.list_(pa.float64()))],
@@ -233,7 +315,7 @@ def _one_pass(
             )
 
     parts = rows.mapInArrow(work, "member long, shard long, sums array<double>")
-    # Added up in two levels, so that neither one task nor the driver receives a vector per shard.
+    # Added up in two levels if there are many, so that neither one task nor the driver receives a vector per shard.
     sums = parts.select("member", (F.col("shard") % fan).alias("g"), array_to_vector("sums").alias("v"))
     if fan > 1:
         sums = sums.groupBy("member", "g").agg(Summarizer.sum(F.col("v")).alias("v"))
@@ -249,55 +331,70 @@ class _Progress:
         self.state = member.updater.start(initial_weights(member.layers, member.setting.seed))
         self.history: list[dict] = []
         self.stop, self.best = EarlyStop(member.setting.patience), self.state[: self.size].copy()
-        self.held_rows = self.train_rows = 0
+        self.held_rows = self.train_rows = self.updates = 0
+        self.seen = np.zeros(3)
         self.done = False
 
-    def take(self, epoch: int, sums: np.ndarray) -> None:
+    def steps(self, epoch: int) -> int:
+        """Passes that this network takes part in during an epoch; after its last one it is scored once more."""
+        return 0 if self.done else self.member.setting.slices if epoch < self.member.setting.epochs else 1
+
+    def take(self, epoch: int, step: int, sums: np.ndarray) -> None:
         setting, total = self.member.setting, sums[6:]
-        n, loss, hits, held_n, held_loss, held_hits = (float(v) for v in sums[:6])
-        self.held_rows = int(held_n)
-        if epoch and held_n:
-            val_loss = held_loss / held_n
-            self.history[-1] |= {"val_loss": val_loss, "val_accuracy": held_hits / held_n}
-            if self.stop.see(epoch - 1, val_loss):
-                self.best = self.state[: self.size].copy()
-            elif self.stop.stopped:
-                self.done = True
-                return
+        if step == 0:
+            held_n, held_loss, held_hits = (float(v) for v in sums[3:6])
+            self.held_rows, self.seen = round(held_n), np.zeros(3)
+            if epoch and held_n:
+                val_loss = held_loss / held_n
+                self.history[-1] |= {"val_loss": val_loss, "val_accuracy": held_hits / held_n}
+                if self.stop.see(epoch - 1, val_loss):
+                    self.best = self.state[: self.size].copy()
+                elif self.stop.stopped:
+                    self.done = True
+                    return
         if epoch == setting.epochs:
             self.done = True
             return
-        if n == 0:
-            raise ValueError("no rows to train on")
-        self.train_rows = int(n)
-        self.history.append({"step": epoch, "loss": loss / n, "accuracy": hits / n})
-        self.member.updater.apply(self.state, total / n)
-        # Without held-out rows there is nothing to score after the last epoch.
-        self.done = epoch == setting.epochs - 1 and not held_n
+        self.seen += sums[:3]
+        if sums[0]:
+            self.member.updater.apply(self.state, total / sums[0])
+            self.updates += 1
+        if step == setting.slices - 1:
+            n, loss, hits = (float(v) for v in self.seen)
+            if n == 0:
+                raise ValueError("no rows to train on")
+            self.train_rows = round(n)
+            self.history.append({"step": epoch, "loss": loss / n, "accuracy": hits / n})
+            # Without held-out rows there is nothing to score after the last epoch.
+            self.done = epoch == setting.epochs - 1 and not self.held_rows
 
     def fitted(self) -> Fitted:
         if self.member.setting.patience and self.stop.best_step is not None:
             weights, epoch = self.best, self.stop.best_step
         else:
             weights, epoch = self.state[: self.size].copy(), len(self.history) - 1
-        return Fitted(self.member.layers, weights, self.history, epoch, self.held_rows, self.train_rows)
+        return Fitted(self.member.layers, weights, self.history, epoch, self.held_rows, self.train_rows, self.updates)
 
 
 def train(rows: DataFrame, members: Sequence[Member]) -> list[Fitted]:
     """Train all members on rows from :func:`training_rows`.
 
     The held-out scores of an epoch are taken by the pass that follows it, which starts from the weights that epoch
-    ended with; so ``epochs`` epochs cost ``epochs + 1`` passes, not twice as many. With ``patience`` the best
+    ended with; so ``epochs`` epochs of one slice cost ``epochs + 1`` passes, not twice as many. With ``patience`` the best
     held-out loss decides which weights are kept. Members that are done leave the passes to the others.
     """
-    fan = max(1, int(rows.rdd.getNumPartitions() ** 0.5))
+    shards = rows.rdd.getNumPartitions()
+    fan = int(shards**0.5) if shards > FEW_SHARDS else 1
     progress = [_Progress(m) for m in members]
     for epoch in range(max(m.setting.epochs for m in members) + 1):
-        active = {i: (p.member, p.state) for i, p in enumerate(progress) if not p.done}
-        if not active:
+        step = 0
+        while active := {i: (p.member, p.state) for i, p in enumerate(progress) if step < p.steps(epoch)}:
+            found = _one_pass(rows, active, epoch, step, fan)
+            for i in active:  # no task runs, and no sums come, where a slice has no rows at all
+                progress[i].take(epoch, step, found.get(i, np.zeros(6 + progress[i].size)))
+            step += 1
+        if not step:
             break
-        for i, sums in _one_pass(rows, active, epoch, fan).items():
-            progress[i].take(epoch, sums)
     return [p.fitted() for p in progress]
 
 

@@ -52,11 +52,14 @@ def fit_dense(
     vocabulary = features.union_vocabulary([j.plan for j in jobs])
     raw = features.raw_rows(with_target(df, cols.label, classes), cols.numeric, cols.categorical, vocabulary)
     part = F.lit(0) if part is None else part
-    rows = dense_net.training_rows(raw, "raw", "target", part, cols.key, tasks)
     members = [
         dense_net.Member(features.view_of(j.plan, vocabulary), len(classes), j.setting, j.held) for j in jobs
     ]
-    return dense_net.train(rows, members)
+    rows = dense_net.training_rows(raw, "raw", "target", part, cols.key, tasks, members)
+    try:
+        return dense_net.train(rows, members)
+    finally:
+        dense_net.discard_rows(rows)
 
 
 def as_pipeline(spark: SparkSession, plan: features.FeaturePlan, fitted: dense_net.Fitted) -> PipelineModel:

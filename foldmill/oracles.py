@@ -7,8 +7,9 @@ from __future__ import annotations
 
 from foldmill import fixtures as fx
 from foldmill import queries as q
-from foldmill.operators.dense_net import initial_weights
+from foldmill.operators.dense_net import BUCKETS, initial_weights
 from foldmill.operators.model import HIDDEN
+from foldmill.operators.tune import BATCH_SLICES
 
 LOW, HIGH = fx.BAND_BORDERS
 
@@ -231,12 +232,11 @@ def _trial_grid() -> str:
                else cast(0.3 as double) end dropout_rate,
           cast(32 * (1 + {_u('b')} % 2) as bigint) batch_size, cast(10 + 5 * ({_u('e')} % 3) as bigint) epochs
           from range(5) z(t))
-    select g.*, train_rows, (train_rows + batch_size - 1) // batch_size updates_per_epoch,
-           ((train_rows + batch_size - 1) // batch_size) * epochs updates from g, n"""
+    select g.*, train_rows, {BATCH_SLICES} // batch_size updates_per_epoch, ({BATCH_SLICES} // batch_size) * epochs updates from g, n"""
 
 
-def _train_history() -> str:
-    """Gradient descent on the dense network, each epoch spelled out as sums over the train rows."""
+def _descent(epochs: int, rate: float, slices: int = 1, dropout: float = 0.0) -> str:
+    """Gradient descent on the dense network, each update spelled out as sums over the train rows of its slice."""
     inputs = q.HISTORY_NUMERIC
     layers = [len(inputs), *HIDDEN, 3]
     start = initial_weights(layers, 42)
@@ -254,6 +254,26 @@ def _train_history() -> str:
             for j in range(size_out)
         ]
 
+    def kept(unit: int) -> str:
+        return f" * m{unit}" if dropout else ""
+
+    def forward(name: str, source: str, weights: str, masked: bool) -> str:
+        """Tables h1, h2, z, p of this name: both hidden layers, raised scores, probabilities."""
+        mask = kept if masked else lambda unit: ""
+        hidden1 = ", ".join(f"greatest({z}, {ZERO}){mask(j)} a{j}" for j, z in enumerate(dense("x", n0, n1, at1, b1)))
+        hidden2 = ", ".join(f"greatest({z}, {ZERO}){mask(n1 + j)} c{j}" for j, z in enumerate(dense("a", n1, n2, at2, b2)))
+        scores = ", ".join(f"exp({z}) e{j}" for j, z in enumerate(dense("c", n2, n3, at3, b3)))
+        total = " + ".join(f"e{j}" for j in range(n3))
+        probs = ", ".join(f"e{j} / ({total}) p{j}" for j in range(n3))
+        return f""",
+    h1_{name} as (select *, {hidden1} from ({source}), {weights}),
+    h2_{name} as (select *, {hidden2} from h1_{name}),
+    z_{name} as (select *, {scores} from h2_{name}),
+    p_{name} as (select *, {probs} from z_{name}),
+    s_{name} as materialized (select count(*) n, sum(-ln(greatest(case y when 0 then p0 when 1 then p1 else p2 end,
+        cast(1e-7 as double)))) loss, sum({flag('y = case when p0 >= p1 and p0 >= p2 then 0 when p1 >= p2 then 1 else 2 end')})
+        hits from p_{name})"""
+
     means = ", ".join(f"avg({c}) mu{i}" for i, c in enumerate(inputs))
     devs = ", ".join(f"sqrt(avg(power(coalesce({c}, mu{i}) - mu{i}, 2))) sd{i}" for i, c in enumerate(inputs))
     xs = ", ".join(f"(coalesce({c}, mu{i}) - mu{i}) / sd{i} x{i}" for i, c in enumerate(inputs))
@@ -262,56 +282,55 @@ def _train_history() -> str:
     b0 as (select *, r >= (n * 8) // 10 held, case band when '1-small' then 0 when '2-medium' then 1 else 2 end y from r),
     mu as (select {means} from b0 where not held),
     sd as (select {devs} from b0, mu where not held),
-    base as materialized (select y, held, {xs} from b0, mu, sd),
+    base as materialized (select id, y, held, cast('0x' || substr(md5(concat('bucket:', cast(id as string))), 1, 8) as bigint) % {BUCKETS} bucket, {xs} from b0, mu, sd),
     w_0 as materialized (select {', '.join(f'cast({float(w)!r} as double) w{i}' for i, w in enumerate(start))})"""
-    for epoch in range(q.HISTORY_EPOCHS + 1):
-        hidden1 = ", ".join(f"greatest({z}, {ZERO}) a{j}" for j, z in enumerate(dense("x", n0, n1, at1, b1)))
-        hidden2 = ", ".join(f"greatest({z}, {ZERO}) c{j}" for j, z in enumerate(dense("a", n1, n2, at2, b2)))
-        scores = ", ".join(f"exp({z}) e{j}" for j, z in enumerate(dense("c", n2, n3, at3, b3)))
-        total = " + ".join(f"e{j}" for j in range(n3))
-        probs = ", ".join(f"e{j} / ({total}) p{j}" for j in range(n3))
-        delta3 = ", ".join(f"p{j} - {flag(f'y = {j}')} t{j}" for j in range(n3))
-        back2 = ", ".join(
-            f"case when c{i} > 0 then {' + '.join(f't{j}*w{at3 + i * n3 + j}' for j in range(n3))} else {ZERO} end u{i}"
-            for i in range(n2)
-        )
-        back1 = ", ".join(
-            f"case when a{i} > 0 then {' + '.join(f'u{j}*w{at2 + i * n2 + j}' for j in range(n2))} else {ZERO} end v{i}"
-            for i in range(n1)
-        )
-        grads = {}
-        for i in range(n0):
-            grads |= {at1 + i * n1 + j: f"x{i}*v{j}" for j in range(n1)}
-        grads |= {b1 + j: f"v{j}" for j in range(n1)}
-        for i in range(n1):
-            grads |= {at2 + i * n2 + j: f"a{i}*u{j}" for j in range(n2)}
-        grads |= {b2 + j: f"u{j}" for j in range(n2)}
-        for i in range(n2):
-            grads |= {at3 + i * n3 + j: f"c{i}*t{j}" for j in range(n3)}
-        grads |= {b3 + j: f"t{j}" for j in range(n3)}
-        updates = ", ".join(
-            f"any_value(w{k}) - {q.HISTORY_RATE} * avg({grads[k]}) w{k}" for k in range(b3 + n3)
+    delta3 = ", ".join(f"p{j} - {flag(f'y = {j}')} t{j}" for j in range(n3))
+    back2 = ", ".join(
+        f"case when c{i} > 0 then ({' + '.join(f't{j}*w{at3 + i * n3 + j}' for j in range(n3))}){kept(n1 + i)} else {ZERO} end u{i}"
+        for i in range(n2)
+    )
+    back1 = ", ".join(
+        f"case when a{i} > 0 then ({' + '.join(f'u{j}*w{at2 + i * n2 + j}' for j in range(n2))}){kept(i)} else {ZERO} end v{i}"
+        for i in range(n1)
+    )
+    grads = {}
+    for i in range(n0):
+        grads |= {at1 + i * n1 + j: f"x{i}*v{j}" for j in range(n1)}
+    grads |= {b1 + j: f"v{j}" for j in range(n1)}
+    for i in range(n1):
+        grads |= {at2 + i * n2 + j: f"a{i}*u{j}" for j in range(n2)}
+    grads |= {b2 + j: f"u{j}" for j in range(n2)}
+    for i in range(n2):
+        grads |= {at3 + i * n3 + j: f"c{i}*t{j}" for j in range(n3)}
+    grads |= {b3 + j: f"t{j}" for j in range(n3)}
+    updates = ", ".join(f"any_value(w{k}) - {rate} * avg({grads[k]}) w{k}" for k in range(b3 + n3))
+    for k in range(epochs * slices):
+        epoch, step = divmod(k, slices)
+        drawn = "".join(
+            f", case when cast('0x' || substr(md5(concat_ws(':', '42', '{epoch}', cast(id as string), '{u // 8}')), {4 * (u % 8) + 1}, 4) as bigint) "
+            f">= {dropout} * 65536 then 1 / (1 - cast({dropout} as double)) else {ZERO} end m{u}"
+            for u in range(n1 + n2 if dropout else 0)
         )
-        sql += f""",
-    h1_{epoch} as (select *, {hidden1} from base, w_{epoch}),
-    h2_{epoch} as (select *, {hidden2} from h1_{epoch}),
-    z_{epoch} as (select *, {scores} from h2_{epoch}),
-    p_{epoch} as (select *, {probs} from z_{epoch}),
-    s_{epoch} as materialized (select held, avg(-ln(greatest(case y when 0 then p0 when 1 then p1 else p2 end,
-        cast(1e-7 as double)))) loss, avg({flag('case y when 0 then p0 when 1 then p1 else p2 end = greatest(p0, p1, p2)')})
-        accuracy from p_{epoch} group by held)"""
-        if epoch < q.HISTORY_EPOCHS:
+        if step == 0:
             sql += f""",
-    t_{epoch} as (select *, {delta3} from p_{epoch} where not held),
-    u_{epoch} as (select *, {back2} from t_{epoch}),
-    v_{epoch} as (select *, {back1} from u_{epoch}),
-    w_{epoch + 1} as materialized (select {updates} from v_{epoch})"""
-    rows = [
-        f"select cast({e} as bigint) step, {rnd('a.loss', 5)} train_loss, {rnd('a.accuracy', 5)} train_accuracy, "
-        f"{rnd('b.loss', 5)} val_loss, {rnd('b.accuracy', 5)} val_accuracy "
-        f"from s_{e} a, s_{e + 1} b where not a.held and b.held"
-        for e in range(q.HISTORY_EPOCHS)
-    ]
+    d_{epoch} as (select b, ((row_number() over (order by cast('0x' || substr(md5(concat('42:slice{epoch}:', cast(b as string))), 1, 8) as bigint), b) - 1)
+        * {slices}) // {BUCKETS} part from range({BUCKETS}) z(b))"""
+        source = f"select base.*{drawn} from base join d_{epoch} on bucket = b where not held and part = {step}"
+        sql += forward(str(k), source, f"w_{k}", True) + f""",
+    t_{k} as (select *, {delta3} from p_{k}),
+    u_{k} as (select *, {back2} from t_{k}),
+    v_{k} as (select *, {back1} from u_{k}),
+    w_{k + 1} as materialized (select {updates} from v_{k})"""
+    for epoch in range(epochs):
+        sql += forward(f"held{epoch}", "select * from base where held", f"w_{(epoch + 1) * slices}", False)
+    rows = []
+    for e in range(epochs):
+        seen = " union all ".join(f"select * from s_{k}" for k in range(e * slices, (e + 1) * slices))
+        rows.append(
+            f"select cast({e} as bigint) step, {rnd('a.loss / a.n', 5)} train_loss, {rnd('a.hits / a.n', 5)} train_accuracy, "
+            f"{rnd('b.loss / b.n', 5)} val_loss, {rnd('b.hits / b.n', 5)} val_accuracy "
+            f"from (select sum(n) n, sum(loss) loss, sum(hits) hits from ({seen})) a, s_held{e} b"
+        )
     return sql + " " + " union all ".join(rows)
 
 
@@ -404,7 +423,9 @@ ORACLES: dict[str, str] = {
     "transform_fold": FOLDED + FOLD_STATS + f"select id, {FOLD_ROLE}, {FOLD_SLOTS} from f cross join fs where vf = 2",
     "folds_partitioned": FOLDED + FOLD_STATS + f"select vf fold, {FOLD_ROLE}, id, {FOLD_SLOTS} from f cross join fs",
     # models
-    "train_history": _train_history(),
+    "train_history": _descent(q.HISTORY_EPOCHS, q.HISTORY_RATE),
+    "train_slices": _descent(q.SLICED["epochs"], q.SLICED["rate"], q.SLICED["slices"]),
+    "train_dropout": _descent(q.DROPPED["epochs"], q.DROPPED["rate"], q.DROPPED["slices"], q.DROPPED["dropout"]),
     "early_stop_epoch": _early_stop(),
     "score_batch": scored() + f"select id, prediction, {rnd('confidence', 6)} confidence, {STAMP} prediction_time from sc",
     "capture_predictions": scored() + f"select id, price, bal, qty, prio, seg, prediction, {rnd('confidence', 6)} confidence, "
@@ -414,7 +435,7 @@ ORACLES: dict[str, str] = {
     "registry_round_trip": scored() + f"""select cast(2 as bigint) as version, 'run-3' run_id, '{','.join(fx.CLASSES)}' target_classes,
         '{','.join(q.FIXED.names())}' feature_names, prediction, count(*) n from sc group by prediction""",
     "mlp_fit": _trained("n_train, n_test, n_features, n_weights, true beats_majority"),
-    "train_minibatch": _trained("n_train, n_test, n_features, n_weights, cast(50 as bigint) epochs, true beats_majority"),
+    "train_minibatch": _trained("n_train, n_test, n_features, n_weights, cast(5 as bigint) epochs, cast(40 as bigint) updates, true beats_majority, true beats_whole_table"),
     "early_stop_fit": _trained("n_test, true stopped_early, true kept_best_epoch, true after_patience, true weights_restored"),
     "cv_metrics": FOLDED + "select fold, count(*) n_test, cast(50 as bigint) epochs, true beats_majority from f group by fold",
     "final_model": _trained("cast(1 as bigint) as version, n_all_features n_features, n_train, n_test n_holdout, n n_scored, true beats_majority"),
@@ -424,7 +445,8 @@ ORACLES: dict[str, str] = {
     "best_trial": _trial_results() + f"select trial, {rnd('value', 6)} as value from red where metric = 'val_accuracy' "
     "order by red.value desc, trial limit 1",
     "tune_trials": f"""select cast(t as bigint) trial, cast(0 as bigint) execution, cast(4 as bigint) n_metrics, true in_range,
-        cast(32 * (1 + {_u('u')} % 4) as bigint) units, cast(10 + 5 * ({_u('e')} % 3) as bigint) epochs from range(5) z(t)""",
+        cast(32 * (1 + {_u('u')} % 4) as bigint) units, cast(10 + 5 * ({_u('e')} % 3) as bigint) epochs,
+        {BATCH_SLICES} // cast(32 * (1 + {_u('b')} % 2) as bigint) updates_per_epoch, true loss_falls from range(5) z(t)""",
     "tune_winner": RAW + LEARNED + PARTS + """, tr as (select * from parts where part = 'train')
         select (select count(*) from parts where part = 'test') n_test,
         4 + (select count(distinct prio) - 1 from tr) + (select count(distinct seg) - 1 from tr) n_features,

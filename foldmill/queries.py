@@ -507,34 +507,56 @@ HISTORY_NUMERIC = ["qty", "n_lines", "peak", "price"]
 HISTORY_EPOCHS, HISTORY_RATE = 5, 0.5
 
 
-@query
-def train_history(spark, sf_dir):
+#: Settings that the SQL follows update by update.
+SLICED = {"epochs": 2, "rate": HISTORY_RATE, "slices": 3}
+DROPPED = {"epochs": 1, "rate": HISTORY_RATE, "slices": 2, "dropout": 0.3}
+
+
+def _history(spark, sf_dir, **changes) -> DataFrame:
     cols = model.Columns("id", "band", HISTORY_NUMERIC, [])
     rows = stored(fx.samples(spark, sf_dir).select("id", "band", *HISTORY_NUMERIC))
     rows = split.holdout_tail(rows, "id", name="held_out")
     plan = features.fit_features(rows.filter("not held_out"), HISTORY_NUMERIC, [])
-    setting = _network(optimizer="sgd", epochs=HISTORY_EPOCHS, rate=HISTORY_RATE)
-    job = model.Job(plan, setting, (1,))
+    job = model.Job(plan, _network(optimizer="sgd", **changes), (1,))
     [fitted] = model.fit_dense(rows, cols, _classes(rows), [job], F.col("held_out").cast("long"))
     names = ["train_loss", "train_accuracy", "val_loss", "val_accuracy"]
     return dense_net.history_rows(spark, fitted).select("step", *[rounded(n, 5).alias(n) for n in names])
 
 
-def _held_out_job(spark, sf_dir, setting: dense_net.Training):
-    """One network on all but the tail; returns rows, classes, plan and the fit."""
+@query
+def train_history(spark, sf_dir):
+    return _history(spark, sf_dir, epochs=HISTORY_EPOCHS, rate=HISTORY_RATE)
+
+
+@query
+def train_slices(spark, sf_dir):
+    """Three updates an epoch, each over a slice of the rows."""
+    return _history(spark, sf_dir, **SLICED)
+
+
+@query
+def train_dropout(spark, sf_dir):
+    """The same with hidden units masked by hashes of seed, epoch, key and unit."""
+    return _history(spark, sf_dir, **DROPPED)
+
+
+def _held_out_job(spark, sf_dir, *settings: dense_net.Training):
+    """Networks on all but the tail; returns rows, classes, plan and the fits."""
     cols, rows = fx.LEARNABLE, split.holdout_tail(learnable(spark, sf_dir), "id", name="held_out")
     plan = features.fit_features(rows.filter("not held_out"), cols.numeric, cols.categorical)
     classes = _classes(rows)
-    [fitted] = model.fit_dense(rows, cols, classes, [model.Job(plan, setting, (1,))], F.col("held_out").cast("long"))
-    return rows, classes, plan, fitted
+    fits = model.fit_dense(rows, cols, classes, [model.Job(plan, s, (1,)) for s in settings], F.col("held_out").cast("long"))
+    return rows, classes, plan, *fits
 
 
 @query
 def train_minibatch(spark, sf_dir):
-    rows, classes, plan, fitted = _held_out_job(spark, sf_dir, _network())
-    row = (fitted.train_rows, fitted.held_rows, len(plan.names()), len(fitted.weights), len(fitted.history),
-           fitted.history[-1]["val_accuracy"] > _majority(rows))
-    return spark.createDataFrame([row], TRAINED)
+    """Five epochs of eight updates, and beside them, by the same passes, five epochs of one update over the whole table."""
+    rows, classes, plan, fitted, whole = _held_out_job(spark, sf_dir, _network(epochs=5, slices=8), _network(epochs=5))
+    last = fitted.history[-1]
+    row = (fitted.train_rows, fitted.held_rows, len(plan.names()), len(fitted.weights), len(fitted.history), fitted.updates,
+           last["val_accuracy"] > _majority(rows), last["val_loss"] < 0.9 * whole.history[-1]["val_loss"])
+    return spark.createDataFrame([row], TRAINED.replace("beats_majority", "updates bigint, beats_majority") + ", beats_whole_table boolean")
 
 
 @query
@@ -690,12 +712,13 @@ def _searched(spark, sf_dir):
 
 @query
 def tune_trials(spark, sf_dir):
-    """What each trial reports: four scores in their ranges, at the drawn settings."""
+    """What each trial reports: four scores in their ranges, at the drawn settings, and whether its training loss falls."""
     _, _, found = _searched(spark, sf_dir)
     sane = F.when(F.col("metric").endswith("accuracy"), F.col("value").between(0.0, 1.0)).otherwise(F.col("value").between(0.0, 20.0))
     grid = tune.trial_grid(spark, 5).select("trial", "units", "epochs")
     results = found["results"].groupBy("trial", "execution").agg(F.count("*").alias("n_metrics"), F.min(sane).alias("in_range"))
-    return results.join(grid, "trial")
+    learned = [(t, slices, first - last > 0.02 * first) for t, slices, first, last in found["losses"]]
+    return results.join(grid, "trial").join(spark.createDataFrame(learned, "trial bigint, updates_per_epoch bigint, loss_falls boolean"), "trial")
 
 
 @query

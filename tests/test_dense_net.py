@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
@@ -185,3 +187,111 @@ def test_cross_validation_scores_are_those_of_the_test_fold(spark):
         assert results[fold]["n_test"] == scores["n_rows"]
         assert results[fold]["test_accuracy"] == pytest.approx(scores["accuracy"])
         assert results[fold]["test_loss"] == pytest.approx(scores["loss"])
+
+
+def bits(seed: int, epoch: int, key, units: int) -> list[int]:
+    """16 bits for each unit, from the digests of its block."""
+    digests = [hashlib.md5(f"{seed}:{epoch}:{key}:{block}".encode()).hexdigest() for block in range(-(-units // 8))]
+    return [int(digests[u // 8][4 * (u % 8) : 4 * (u % 8) + 4], 16) for u in range(units)]
+
+
+def buckets_of(n: int) -> np.ndarray:
+    return np.array([int(hashlib.md5(f"bucket:{i}".encode()).hexdigest()[:8], 16) % dense_net.BUCKETS for i in range(n)])
+
+
+def plain_descent(x, y, setting: Training) -> np.ndarray:
+    """SGD by slices with dropout, with numpy alone."""
+    layers = [3, *setting.hidden, 3]
+    flat, own = initial_weights(layers, setting.seed), buckets_of(len(y))
+    ends = np.cumsum(setting.hidden)
+    for epoch in range(setting.epochs):
+        drawn = np.array([bits(setting.seed, epoch, i, sum(setting.hidden)) for i in range(len(y))])
+        kept = (drawn >= setting.dropout * 65536) / (1 - setting.dropout)
+        for step in range(setting.slices):
+            at = np.flatnonzero(np.isin(own, setting.slice_buckets(epoch, step)))
+            masks = [kept[at, e - n : e] for e, n in zip(ends, setting.hidden)] if setting.dropout else []
+            if len(at):
+                flat = flat - setting.rate * _gradient(flat, layers, x[at], y[at], masks)[0] / len(at)
+    return flat
+
+
+def fit_sliced(df, *settings, tasks=None):
+    members = [Member(PLAIN, 3, s, (1,)) for s in settings]
+    rows = dense_net.training_rows(df, "raw", "target", F.col("held"), "id", tasks, members)
+    out = dense_net.train(rows, members)
+    dense_net.discard_rows(rows)
+    return out
+
+
+def test_slices_of_an_epoch_hold_all_buckets_once():
+    setting = Training([4], slices=5)
+    dealt = [setting.slice_buckets(3, step) for step in range(5)]
+    assert sorted(b for part in dealt for b in part) == list(range(dense_net.BUCKETS))
+    assert max(map(len, dealt)) - min(map(len, dealt)) <= 1
+    assert dealt != [setting.slice_buckets(4, step) for step in range(5)]
+    with pytest.raises(ValueError):
+        Training([4], slices=dense_net.BUCKETS + 1)
+    with pytest.raises(ValueError):
+        Training([4], dropout=1.0)
+
+
+@pytest.mark.parametrize("dropout", [0.0, 0.3])
+def test_slices_and_dropout_equal_plain_descent(spark, dropout):
+    x, y = data(200)
+    setting = Training([5, 4], epochs=2, rate=0.3, optimizer="sgd", slices=3, dropout=dropout)
+    [fitted] = fit_sliced(rows_of(spark, x, y), setting)
+    assert fitted.weights == pytest.approx(plain_descent(x, y, setting), abs=1e-9)
+    assert fitted.updates == 6 and len(fitted.history) == 2 and fitted.train_rows == 200
+
+
+def test_slices_do_not_depend_on_partitions(spark):
+    x, y = data(600)
+    held, setting, got = np.arange(600) % 5 == 0, Training([6], epochs=2, slices=3, dropout=0.2), []
+    for tasks, partitions in ((1, 1), (7, 3), (211, 5)):
+        got.append(fit_sliced(rows_of(spark, x, y, held, partitions), setting, tasks=tasks)[0])
+    for other in got[1:]:
+        assert other.weights == pytest.approx(got[0].weights, abs=1e-9)
+        assert other.history == [pytest.approx(h) for h in got[0].history]
+
+
+def test_an_update_reads_the_buckets_of_its_slice(spark, capsys):
+    x, y = data(300)
+    members = [Member(PLAIN, 3, Training([4], slices=4))]
+    rows = dense_net.training_rows(rows_of(spark, x, y), "raw", "target", F.col("held"), "id", None, members)
+    rows.filter(F.col("bucket").isin(members[0].setting.slice_buckets(0, 1))).explain()
+    assert "PartitionFilters: [bucket" in capsys.readouterr().out
+    dense_net.discard_rows(rows)
+
+
+def test_networks_with_other_slices_share_passes(spark):
+    x, y = data(240)
+    held = np.arange(240) % 4 == 0
+    settings = [Training([5], epochs=3, slices=4, dropout=0.5), Training([5], epochs=2), Training([7, 3], epochs=4, slices=2, seed=7, dropout=0.2)]
+    df = rows_of(spark, x, y, held)
+    for setting, joint in zip(settings, fit_sliced(df, *settings)):
+        [alone] = fit_sliced(df, setting)
+        assert joint.weights == pytest.approx(alone.weights, abs=1e-12)
+        assert joint.history == [pytest.approx(h) for h in alone.history] and joint.updates == setting.epochs * setting.slices
+
+
+def test_scores_use_all_units_and_the_rate_acts(spark):
+    x, y = data(160)
+    held = np.arange(160) % 4 == 0
+    fits = fit_sliced(rows_of(spark, x, y, held), *[Training([6], epochs=2, dropout=d) for d in (0.0, 0.1, 0.3)])
+    for fitted in fits:
+        n, loss, _ = _score(probabilities(fitted.weights, [3, 6, 3], x[held]), y[held])
+        assert fitted.history[-1]["val_loss"] == pytest.approx(loss / n)
+    assert np.abs(fits[0].weights - fits[1].weights).max() > 1e-4 < np.abs(fits[1].weights - fits[2].weights).max()
+
+
+def test_slices_learn_faster_than_whole_tables(spark):
+    x, y = data(400)
+    sliced, whole = fit_sliced(rows_of(spark, x, y), Training([8], epochs=5, slices=8), Training([8], epochs=5))
+    assert sliced.history[-1]["loss"] < 0.8 * whole.history[-1]["loss"]
+
+
+def test_empty_slices_make_no_update(spark):
+    x, y = data(4)
+    setting, own = Training([4], epochs=1, slices=48), set(buckets_of(4).tolist())
+    [fitted] = fit_sliced(rows_of(spark, x, y), setting)
+    assert (fitted.updates, fitted.train_rows) == (sum(bool(set(setting.slice_buckets(e, s)) & own) for e in range(1) for s in range(48)), 4)
