@@ -28,7 +28,7 @@ LEARNABLE = Columns(key="id", label="band", numeric=["qty", "n_lines", "peak", "
 # The columns used of the given tables, declared so that opening them reads no file footers.
 SCHEMAS = {
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderpriority string",
-    "customer": "c_custkey bigint, c_acctbal double, c_mktsegment string",
+    "customer": "c_custkey bigint, c_name string, c_acctbal double, c_mktsegment string",
     "lineitem": "l_orderkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, "
     "l_returnflag string",
 }

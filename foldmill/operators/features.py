@@ -2,12 +2,16 @@
 
 The fit reads the table twice however many folds there are: once for the moments of the numeric columns and once
 for the category counts. What it returns is a pipeline of ML stages that can be saved and loaded.
+
+Categories stay on the executors: a fit numbers them in a stored dictionary (see ``dictionary``), and the driver holds its widths and each column's mode. Names of one-hot slots
+are collected only by who asks for them (``FeaturePlan.names``, ``vocabulary``). A plan may also be given short vocabularies of its own.
 """
 
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+import os
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -17,12 +21,14 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssemble
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasOutputCols
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldmill.operators import stats
+from foldmill.operators import dictionary, stats
+from foldmill.operators.dictionary import MISSING, Dictionary
 from foldmill.operators.evaluate import listed
+from foldmill.session import remove_folder
 
 log = logging.getLogger(__name__)
 
@@ -72,34 +78,122 @@ class FillCategories(Transformer, HasInputCols, HasOutputCols, DefaultParamsRead
         )
 
 
+class _CoderWriter(DefaultParamsWriter):
+    """The dictionary is saved with the stage."""
+
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        stage = self.instance
+        table = self.sparkSession.read.schema(dictionary.SCHEMA).parquet(stage.getOrDefault(stage.path))
+        table.write.parquet(os.path.join(path, "dictionary"))
+
+
+class _CoderReader(DefaultParamsReader):
+    def load(self, path: str):
+        return super().load(path)._set(path=os.path.join(path, "dictionary"))
+
+
+class DictionaryCoder(Transformer, HasInputCols, HasOutputCols, DefaultParamsReadable, DefaultParamsWritable):
+    """Category codes by a join with a stored dictionary: null takes the fitted mode's code, an unknown value the number of known ones."""
+
+    path = Param(Params._dummy(), "path", "the dictionary", TypeConverters.toString)
+    plan = Param(Params._dummy(), "plan", "which of the dictionary's codes", TypeConverters.toInt)
+    plans = Param(Params._dummy(), "plans", "codes of each value", TypeConverters.toInt)
+    fills = Param(Params._dummy(), "fills", "code of null per input column", TypeConverters.toListInt)
+    widths = Param(Params._dummy(), "widths", "codes in use per input column", TypeConverters.toListInt)
+    first = Param(Params._dummy(), "first", "the lowest code that has a slot", TypeConverters.toInt)
+
+    @keyword_only
+    def __init__(self, *, inputCols=None, outputCols=None, path=None, plan=None, plans=None, fills=None, widths=None, first=None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def write(self):
+        return _CoderWriter(self)
+
+    @classmethod
+    def read(cls):
+        return _CoderReader(cls)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        table = dataset.sparkSession.read.schema(dictionary.SCHEMA).parquet(self.getOrDefault(self.path))
+        sources, targets, first = self.getInputCols(), self.getOutputCols(), self.getOrDefault(self.first)
+        coded = dictionary.encode(dataset, table, sources, targets, self.getOrDefault(self.plans))
+        out = []
+        for target, fill, width in zip(targets, self.getOrDefault(self.fills), self.getOrDefault(self.widths)):
+            code = F.col(target)[self.getOrDefault(self.plan)]
+            slot = F.when(code == MISSING, fill).otherwise(code) - first
+            slots = width - first
+            attributes = {"ml_attr": {"type": "nominal", "name": target, "num_vals": slots + 1}}
+            out.append(F.when(slot >= 0, slot).otherwise(slots).cast("double").alias(target, metadata=attributes))
+        return coded.select(*dataset.columns, *out)
+
+
+class StoredVocabulary(Mapping):
+    """A plan's values by column, collected from its dictionary when somebody looks."""
+
+    def __init__(self, spark, stored: Dictionary, plan: int):
+        self._spark, self._stored, self._plan = spark, stored, plan
+
+    def _all(self) -> dict[str, list[str]]:
+        return self._stored.values(self._spark, self._plan)
+
+    def __getitem__(self, column: str) -> list[str]:
+        return self._all()[column]
+
+    def __iter__(self):
+        return iter(self._all())
+
+    def __len__(self) -> int:
+        return len(self._all())
+
+
 @dataclass
 class FeaturePlan:
-    """Everything a fit has to know: means, deviations, fills and vocabularies, by column."""
+    """Everything a fit has to know: means, deviations and fills by column, and the dictionary with its codes, or short vocabularies."""
 
     numeric: list[str]
     categorical: list[str]
     means: dict[str, float] = field(default_factory=dict)
     deviations: dict[str, float] = field(default_factory=dict)
     fills: dict[str, str] = field(default_factory=dict)
-    vocabulary: dict[str, list[str]] = field(default_factory=dict)
+    vocabulary: Mapping[str, list[str]] = field(default_factory=dict)
     drop_first: bool = False
+    stored: Dictionary | None = None
+    index: int = 0
+    fill_codes: dict[str, int] = field(default_factory=dict)
 
     def slots(self, column: str) -> list[str]:
         values = self.vocabulary.get(column, [])
         return values[1:] if self.drop_first else values
 
+    def size(self, column: str) -> int:
+        """Slots of a category column, without looking at its values."""
+        known = self.stored.widths[self.index].get(column, 0) if self.stored else len(self.vocabulary.get(column, []))
+        return max(known - self.drop_first, 0)
+
     @property
     def used_numeric(self) -> list[str]:
         return [c for c in self.numeric if c in self.means]
 
     @property
     def used_categorical(self) -> list[str]:
-        return [c for c in self.categorical if self.slots(c)]
+        return [c for c in self.categorical if self.size(c)]
+
+    @property
+    def width(self) -> int:
+        """Slots of the feature vector."""
+        return len(self.used_numeric) + sum(map(self.size, self.categorical))
 
     def names(self) -> list[str]:
-        """One name per slot of the feature vector."""
+        """One name per slot of the feature vector; collects the categories."""
         return self.used_numeric + [f"{c}_{v}" for c in self.used_categorical for v in self.slots(c)]
 
+    def discard(self, spark) -> None:
+        """Delete the fit's dictionary; saved models keep a copy."""
+        if self.stored:
+            remove_folder(spark, self.stored.path)
+
     def pipeline(self, spark, output: str = "features") -> PipelineModel:
         """The fitted stages. A value outside the vocabulary has no slot, so it encodes as zeros; with
         ``drop_first`` the first category is treated the same way."""
@@ -115,7 +209,17 @@ class FeaturePlan:
                     deviations=[self.deviations[c] for c in numbers],
                 )
             )
-        if texts:
+        if texts and self.stored:
+            index, onehot = [f"{c}_index" for c in texts], [f"{c}_onehot" for c in texts]
+            parts += onehot
+            coder = DictionaryCoder(
+                inputCols=texts, outputCols=index, path=self.stored.path, plan=self.index, plans=len(self.stored.widths), first=int(self.drop_first),
+                fills=[self.fill_codes[c] for c in texts], widths=[self.stored.widths[self.index][c] for c in texts],
+            )
+            # The encoder's sizes come from the columns' metadata: no rows are needed to fit it.
+            no_rows = spark.createDataFrame([], ", ".join(f"`{c}` string" for c in texts))
+            stages += [coder, OneHotEncoder(inputCols=index, outputCols=onehot, dropLast=True).fit(coder.transform(no_rows))]
+        elif texts:
             filled = [f"{c}_filled" for c in texts]
             index, onehot = [f"{c}_index" for c in texts], [f"{c}_onehot" for c in texts]
             parts += onehot
@@ -175,9 +279,22 @@ class Rows:
         return out
 
 
+@dataclass
+class CodeSlots:
+    """The slots of dictionary codes from ``base`` on; codes below ``first`` have none, ``MISSING`` takes the code ``fill``."""
+
+    base: int
+    first: int
+    fill: int
+
+    def __getitem__(self, codes: np.ndarray) -> np.ndarray:
+        place = np.where(codes == MISSING, self.fill, codes) - self.first
+        return np.where(place >= 0, self.base + place, -1)
+
+
 @dataclass
 class View:
-    """A plan as arrays: turns raw rows of :func:`raw_rows` into the same vectors as the plan's pipeline.
+    """A plan as arrays: turns raw rows into the same vectors as the plan's pipeline.
 
     Several plans can look at one stored set of raw rows, so folds share it, and one-hot slots are never stored.
     """
@@ -185,7 +302,7 @@ class View:
     columns: np.ndarray
     means: np.ndarray
     deviations: np.ndarray
-    codes: list[tuple[int, np.ndarray]]
+    codes: list[tuple[int, np.ndarray | CodeSlots]]
     width: int
 
     def rows(self, raw: np.ndarray) -> Rows:
@@ -198,6 +315,39 @@ class View:
         return self.rows(raw).dense()
 
 
+def coded_rows(df: DataFrame, plans: Sequence[FeaturePlan], name: str = "raw") -> tuple[DataFrame, list[View]]:
+    """Add an array of numeric values (NaN where missing) and dictionary codes, and the view of each plan on it.
+
+    Plans of one fit share a dictionary, whose join brings the codes of all of them.
+    """
+    if not all(p.stored for p in plans):
+        vocabulary = union_vocabulary(plans)
+        return raw_rows(df, plans[0].numeric, plans[0].categorical, vocabulary, name), [view_of(p, vocabulary) for p in plans]
+    numeric, categorical, columns = plans[0].numeric, plans[0].categorical, df.columns
+    parts = [F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in numeric]
+    place: dict[tuple[str, int, str], int] = {}
+    for number, path in enumerate(dict.fromkeys(p.stored.path for p in plans)):
+        mine = [p for p in plans if p.stored.path == path]
+        coded = [f"_code{number}_{k}" for k in range(len(categorical))]
+        df = dictionary.encode(df, mine[0].stored.table(df.sparkSession), categorical, coded, len(mine[0].stored.widths))
+        for index in sorted({p.index for p in mine}):
+            for c, code in zip(categorical, coded):
+                place[path, index, c] = len(parts)
+                parts.append(F.col(code)[index].cast("double"))
+    views = []
+    for plan in plans:
+        used = plan.used_numeric
+        at, codes = len(used), []
+        for c in plan.used_categorical:
+            codes.append((place[plan.stored.path, plan.index, c], CodeSlots(at, int(plan.drop_first), plan.fill_codes[c])))
+            at += plan.size(c)
+        views.append(View(
+            np.array([numeric.index(c) for c in used], dtype=np.int64), np.array([plan.means[c] for c in used]),
+            np.array([plan.deviations[c] or 1.0 for c in used]), codes, at,
+        ))
+    return df.select(*columns, F.array(*parts).alias(name)), views
+
+
 def union_vocabulary(plans: Sequence[FeaturePlan]) -> dict[str, list[str]]:
     names = {c for p in plans for c in p.vocabulary}
     return {c: sorted({v for p in plans for v in p.vocabulary.get(c, [])}) for c in names}
@@ -235,11 +385,24 @@ def raw_rows(
     return df.withColumn(name, F.array(*parts)).drop(*[f"_{c}" for c in categorical])
 
 
-def _plans(number_rows, count_rows, mode_rows, numeric, categorical, drop_first) -> dict[int, FeaturePlan]:
+def _collect_plans(numbers, counts, numeric, categorical, drop_first, folds: int = 1) -> dict[int, FeaturePlan]:
+    """Plans from a moments row per fold and column, and one mode and width per fold and column; the categories stay in their dictionary."""
+    number_rows = numbers.collect() if numeric else []
+    stored, mode_rows = None, []
+    if categorical:
+        stored = dictionary.build(counts, folds)
+        table = stored.table(counts.sparkSession).select("column_name", F.col("value").alias("mode"), "codes")
+        modes = stats.most_frequent(counts, ["fold"]).join(table, ["column_name", "mode"])
+        mode_rows = modes.select("fold", "column_name", "mode", F.element_at("codes", (F.col("fold") + 1).cast("int")).alias("code")).collect()
     plans: dict[int, FeaturePlan] = {}
 
     def plan(fold: int) -> FeaturePlan:
-        return plans.setdefault(fold, FeaturePlan(list(numeric), list(categorical), drop_first=drop_first))
+        if fold not in plans:
+            plans[fold] = FeaturePlan(list(numeric), list(categorical), drop_first=drop_first)
+            if stored:
+                plans[fold].stored, plans[fold].index = stored, fold
+                plans[fold].vocabulary = StoredVocabulary(counts.sparkSession, stored, fold)
+        return plans[fold]
 
     for r in number_rows:
         if r["mu"] is None:
@@ -247,30 +410,12 @@ def _plans(number_rows, count_rows, mode_rows, numeric, categorical, drop_first)
             continue
         plan(r["fold"]).means[r["column_name"]] = r["mu"]
         plan(r["fold"]).deviations[r["column_name"]] = r["sd"]
-    for r in count_rows:
-        plan(r["fold"]).vocabulary.setdefault(r["column_name"], []).append(r["value"])
     for r in mode_rows:
         plan(r["fold"]).fills[r["column_name"]] = r["mode"]
-    for p in plans.values():
-        for values in p.vocabulary.values():
-            values.sort()
+        plan(r["fold"]).fill_codes[r["column_name"]] = r["code"]
     return plans
 
 
-def _collect_plans(numbers, counts, numeric, categorical, drop_first) -> dict[int, FeaturePlan]:
-    """Plans from a moments row per fold and column, one mode per fold and column, and the vocabularies: the names of vector slots, a row
-    for each value whatever the number of folds."""
-    number_rows = numbers.collect() if numeric else []
-    count_rows, mode_rows = [], []
-    if categorical:
-        values = counts.groupBy("column_name", "value").agg(F.collect_set("fold").alias("folds"))
-        count_rows = [
-            {"fold": fold, "column_name": r["column_name"], "value": r["value"]} for r in values.collect() for fold in r["folds"]
-        ]
-        mode_rows = stats.most_frequent(counts, ["fold"]).collect()
-    return _plans(number_rows, count_rows, mode_rows, numeric, categorical, drop_first)
-
-
 def fit_features(
     train: DataFrame,
     numeric: Sequence[str],
@@ -299,7 +444,7 @@ def fit_fold_features(
         )
     if categorical:
         counts = stats.train_category_counts(stats.category_counts(folded, categorical, ["fold"]), folds)
-    return _collect_plans(numbers, counts, numeric, categorical, False)
+    return _collect_plans(numbers, counts, numeric, categorical, False, folds)
 
 
 # --- the same steps as plain columns, for SQL-style use -------------------------------------------------
@@ -353,19 +498,16 @@ def transform_all_folds(
 ) -> DataFrame:
     """The rows of every fold's train and test set, for a partitioned table.
 
-    The table is read once: categories are coded once with all folds' values, each row is repeated for every fold, and meets
-    that fold's numbers (means, deviations, the slot of each code), a row a fold, in a join that Spark broadcasts if it is small.
+    The table is read once: a join brings each category's codes in all folds, each row is repeated for every fold, and meets
+    that fold's numbers (means, deviations, the first slot of each column), a row a fold, in a join that Spark broadcasts.
     """
-    vocabulary = union_vocabulary([plans[f] for f in range(folds)])
-    numeric, texts = plans[0].numeric, plans[0].categorical
-    raw = raw_rows(folded.withColumn("target", target_ordinal(label, classes)), numeric, texts, vocabulary, "_raw")
+    raw, views = coded_rows(folded.withColumn("target", target_ordinal(label, classes)), [plans[f] for f in range(folds)], "_raw")
     known = []
-    for f in range(folds):
-        view = view_of(plans[f], vocabulary)
+    for f, view in enumerate(views):
         numbers = [(int(c), float(m), float(d)) for c, m, d in zip(view.columns, view.means, view.deviations)]
-        known.append((f, numbers, [(c, [int(v) for v in slots]) for c, slots in view.codes], view.width))
+        known.append((f, numbers, [(c, s.base, s.fill) for c, s in view.codes], view.width))
     table = folded.sparkSession.createDataFrame(
-        known, "_fold bigint, _numbers array<struct<c:int,mu:double,sd:double>>, _codes array<struct<c:int,slots:array<int>>>, _width int"
+        known, "_fold bigint, _numbers array<struct<c:int,mu:double,sd:double>>, _codes array<struct<c:int,base:int,fill:int>>, _width int"
     )
     every = F.array(*[F.lit(f).cast("bigint") for f in range(folds)])
     rows = raw.withColumn("_fold", F.explode(every)).join(table, "_fold")
@@ -376,7 +518,7 @@ def transform_all_folds(
 
     def slot(n: Column) -> Column:
         code = F.element_at("_raw", n["c"] + 1).cast("int")
-        return F.element_at(n["slots"], F.when(code < 0, -1).otherwise(code + 1))
+        return F.when(code == MISSING, n["base"] + n["fill"]).when(code >= 0, n["base"] + code).otherwise(-1)
 
     first = F.size("_numbers")
     onehot = F.transform(

@@ -49,12 +49,9 @@ def fit_dense(
 
     ``part`` numbers the parts of the table that jobs may hold out.
     """
-    vocabulary = features.union_vocabulary([j.plan for j in jobs])
-    raw = features.raw_rows(with_target(df, cols.label, classes), cols.numeric, cols.categorical, vocabulary)
+    raw, views = features.coded_rows(with_target(df, cols.label, classes), [j.plan for j in jobs])
     part = F.lit(0) if part is None else part
-    members = [
-        dense_net.Member(features.view_of(j.plan, vocabulary), len(classes), j.setting, j.held) for j in jobs
-    ]
+    members = [dense_net.Member(view, len(classes), j.setting, j.held) for j, view in zip(jobs, views)]
     rows = dense_net.training_rows(raw, "raw", "target", part, cols.key, tasks, members)
     try:
         return dense_net.train(rows, members)
@@ -79,7 +76,7 @@ def fit_perceptron(
     spread = prepared.select(cols.key, "features", F.col("target").cast("double").alias("target")).repartition(tasks, cols.key)
     fit = MultilayerPerceptronClassifier(
         featuresCol="features", labelCol="target", probabilityCol="probability", predictionCol="prediction_index",
-        layers=[len(plan.names()), *hidden, len(classes)], maxIter=iterations, seed=seed,
+        layers=[plan.width, *hidden, len(classes)], maxIter=iterations, seed=seed,
     ).fit(spread.select("features", "target"))
     return PipelineModel([*stages.stages, fit])
 
@@ -109,8 +106,9 @@ def cross_validate(
     """
     plans = features.fit_fold_features(folded, folds, cols.numeric, cols.categorical)
     jobs = [Job(plans[f], setting, (f,)) for f in range(folds)]
-    results = []
-    for fold, fitted in enumerate(fit_dense(folded, cols, classes, jobs, F.col("fold"))):
+    fits, results = fit_dense(folded, cols, classes, jobs, F.col("fold")), []
+    plans[0].discard(folded.sparkSession)
+    for fold, fitted in enumerate(fits):
         if not fitted.held_rows:
             raise ValueError(f"fold {fold} has no rows to test on")
         last = fitted.history[-1]

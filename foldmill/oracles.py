@@ -341,6 +341,8 @@ LISTS = FOLDED + """, pieces as (select fold home,
     lists as (select k.fold, case when k.fold = home then 'test' else 'train' end role, home source_fold, piece, ids
               from pieces cross join (select distinct fold from f) k)"""
 
+CLERKS = """with n as (select o_orderkey id, c_name as name, o_orderpriority prio from orders left join customer on o_custkey = c_custkey)"""
+
 ORACLES: dict[str, str] = {
     # reading and writing
     "csv_declared_schema": RAW + f"select {COLUMNS} from samples",
@@ -422,6 +424,21 @@ ORACLES: dict[str, str] = {
     "coalesce(prio, mode_prio) prio_filled from f join fs on fs.vf = f.fold",
     "transform_fold": FOLDED + FOLD_STATS + f"select id, {FOLD_ROLE}, {FOLD_SLOTS} from f cross join fs where vf = 2",
     "folds_partitioned": FOLDED + FOLD_STATS + f"select vf fold, {FOLD_ROLE}, id, {FOLD_SLOTS} from f cross join fs",
+    "dictionary_codes": CLERKS + """, f as (select id, name, cast('0x' || substr(md5(concat('42:', cast(id as string))), 1, 8) as bigint) % 5 fold from n),
+        w as (select name, dense_rank() over (order by name) - 1 code from (select distinct name from n where name is not null)),
+        k as (select k.fold, f.name from range(5) k(fold) join f on f.fold <> k.fold where name is not null group by all),
+        d as (select fold, name, dense_rank() over (partition by fold order by name) - 1 code from k)
+        select id, f.fold, case when f.name is null then -2 else w.code end code,
+               case when f.name is null then -2 else coalesce(d.code, -1) end code_in_fold
+        from f left join w using (name) left join d on d.fold = f.fold and d.name = f.name""",
+    "dictionary_onehot": CLERKS + """, a as (select name, dense_rank() over (order by name) - 2 place from (select distinct name from n where name is not null)),
+        p as (select prio, dense_rank() over (order by prio) - 2 place from (select distinct prio from n where prio is not null)),
+        m as (select (select name from n where name is not null group by name order by count(*) desc, name limit 1) name,
+                     (select prio from n where prio is not null group by prio order by count(*) desc, prio limit 1) prio,
+                     (select count(*) - 1 from a) names, (select count(*) - 1 from p) prios),
+        s as (select n.id, names + prios size, list_filter([a.place, case when p.place >= 0 then names + p.place else -1 end], lambda x: x >= 0) slots
+              from n, m join a on a.name = coalesce(n.name, m.name) join p on p.prio = coalesce(n.prio, m.prio))
+        select id, size, cast(to_json(slots) as varchar) slots, cast(len(slots) as double) total from s""",
     # models
     "train_history": _descent(q.HISTORY_EPOCHS, q.HISTORY_RATE),
     "train_slices": _descent(q.SLICED["epochs"], q.SLICED["rate"], q.SLICED["slices"]),

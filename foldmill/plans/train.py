@@ -75,15 +75,17 @@ def train(
         fitted, history, plan, scores = model.final_model(folded, cols, classes, setting)
         prepared, trained, saved = (final.child(step) for step in schemas.RUN_FINAL_STEPS)
         prepared.param("target_classes", classes)
-        prepared.param("n_features", len(plan.names()))
+        names = plan.names()  # the registry's row lists them
+        prepared.param("n_features", plan.width)
         prepared.param("n_samples", scores.get("train_rows", 0) + scores.get("holdout_rows", 0))
-        prepared.param("feature_names", plan.names())
+        prepared.param("feature_names", names)
         trained.history(history.history)
         for key, value in scores.items():
             trained.metric(key, value)
         version = registry.register(
-            spark, registry_root, name, fitted, final.run_id, plan.names(), classes, when
+            spark, registry_root, name, fitted, final.run_id, names, classes, when
         )
+        plan.discard(spark)
         saved.param("version", version)
         records += [final, prepared, trained, saved]
     else:

@@ -53,4 +53,6 @@ def search(
         runs.append_runs(spark, runs_path, records)
     reduced_results = found["results"].toArrow()  # a row per trial, execution and metric
     remove_folder(spark, path)
-    return found | {"version": version, "results": spark.createDataFrame(reduced_results)}
+    found["plan"].discard(spark)  # the registered model has its own copy of the dictionary
+    saved, _ = registry.load_latest(spark, registry_root, name)
+    return found | {"version": version, "results": spark.createDataFrame(reduced_results), "model": saved}

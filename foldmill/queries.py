@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from foldmill import fixtures as fx
 from foldmill.functions.hashing import hash32
-from foldmill.operators import clean, dense_net, evaluate, features, keys, model, score, split, stats, tune
+from foldmill.operators import clean, dense_net, dictionary, evaluate, features, keys, model, score, split, stats, tune
 from foldmill.session import new_folder, ship_package
 from foldmill.sources import registry, runs, tables
 
@@ -425,6 +425,36 @@ def assemble_drop_first(spark, sf_dir):
     return _slot_columns(plan.pipeline(spark).transform(rows), ["id", "part"], len(plan.names()))
 
 
+def clerks(spark, sf_dir) -> DataFrame:
+    """Orders with their customer's name: a text column with as many values as customers."""
+    names = fx.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("cust"), "c_name")
+    orders = fx.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("cust"), F.col("o_orderpriority").alias("prio"))
+    return stored(orders.join(names, "cust", "left").select("id", F.col("c_name").alias("name"), "prio"))
+
+
+@query
+def dictionary_codes(spark, sf_dir):
+    """The code of each customer's name among those of all orders, and among those of the other folds' orders."""
+    rows = split.kfold_by_hash(clerks(spark, sf_dir), "id", FOLDS)
+    plans = features.fit_fold_features(rows, FOLDS, [], ["name"])
+    whole = features.fit_features(rows, [], ["name"])
+    coded = dictionary.encode(rows, whole.stored.table(spark), ["name"], ["codes"])
+    coded = dictionary.encode(coded, plans[0].stored.table(spark), ["name"], ["fold_codes"], FOLDS)
+    own = F.element_at("fold_codes", (F.col("fold") + 1).cast("int"))
+    return coded.select("id", "fold", F.col("codes")[0].cast("bigint").alias("code"), own.cast("bigint").alias("code_in_fold"))
+
+
+@query
+def dictionary_onehot(spark, sf_dir):
+    """Sparse one-hot vectors of names and priorities: the slots in use and the width."""
+    rows = clerks(spark, sf_dir)
+    plan = features.fit_features(rows, [], ["name", "prio"], drop_first=True)
+    vector = F.to_json(F.struct("features"))
+    out = plan.pipeline(spark).transform(rows)
+    parsed = F.from_json(vector, "features struct<type:int,size:bigint,indices:array<bigint>,values:array<double>>")
+    return out.select("id", parsed["features"].alias("v")).select("id", "v.size", F.to_json("v.indices").alias("slots"), F.aggregate("v.values", F.lit(0.0), lambda a, x: a + x).alias("total"))
+
+
 @query
 def feature_names(spark, sf_dir):
     names = features.fit_features(fx.samples(spark, sf_dir), fx.NUMERIC, fx.CATEGORICAL).names()
@@ -483,7 +513,7 @@ def _majority(rows: DataFrame) -> float:
 
 
 def _weights(plan: features.FeaturePlan, hidden, classes) -> int:
-    return dense_net.weight_count([len(plan.names()), *hidden, len(classes)])
+    return dense_net.weight_count([plan.width, *hidden, len(classes)])
 
 
 TRAINED = "n_train bigint, n_test bigint, n_features bigint, n_weights bigint, epochs bigint, beats_majority boolean"
@@ -499,7 +529,7 @@ def mlp_fit(spark, sf_dir):
     plan = features.fit_features(train, cols.numeric, cols.categorical)
     fitted = model.fit_perceptron(train, plan, cols, classes)
     tested = model.evaluate_model(fitted, test, "band", classes).first()
-    row = (train.count(), tested["n_rows"], len(plan.names()), fitted.stages[-1].weights.size, tested["accuracy"] > _majority(rows))
+    row = (train.count(), tested["n_rows"], plan.width, fitted.stages[-1].weights.size, tested["accuracy"] > _majority(rows))
     return spark.createDataFrame([row], TRAINED.replace("epochs bigint, ", ""))
 
 
@@ -554,7 +584,7 @@ def train_minibatch(spark, sf_dir):
     """Five epochs of eight updates, and beside them, by the same passes, five epochs of one update over the whole table."""
     rows, classes, plan, fitted, whole = _held_out_job(spark, sf_dir, _network(epochs=5, slices=8), _network(epochs=5))
     last = fitted.history[-1]
-    row = (fitted.train_rows, fitted.held_rows, len(plan.names()), len(fitted.weights), len(fitted.history), fitted.updates,
+    row = (fitted.train_rows, fitted.held_rows, plan.width, len(fitted.weights), len(fitted.history), fitted.updates,
            last["val_accuracy"] > _majority(rows), last["val_loss"] < 0.9 * whole.history[-1]["val_loss"])
     return spark.createDataFrame([row], TRAINED.replace("beats_majority", "updates bigint, beats_majority") + ", beats_whole_table boolean")
 
@@ -728,7 +758,7 @@ def tune_winner(spark, sf_dir):
     scores = found["results"].filter("metric = 'val_accuracy'")
     top = scores.groupBy("trial").agg(F.max("value").alias("v")).orderBy(F.desc("v"), "trial").first()["trial"]
     best, fitted = found["best"], found["fitted"]
-    row = (found["test"]["n_rows"], len(found["plan"].names()), best["trial"] == top, fitted.layers[1:-1] == [best["units"]],
+    row = (found["test"]["n_rows"], found["plan"].width, best["trial"] == top, fitted.layers[1:-1] == [best["units"]],
            len(fitted.history) <= best["epochs"], found["test"]["accuracy"] > _majority(parts))
     return spark.createDataFrame([row], "n_test bigint, n_features bigint, is_best boolean, own_units boolean, within_epochs boolean, beats_majority boolean")
 

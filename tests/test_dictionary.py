@@ -1,0 +1,103 @@
+"""Category dictionaries: dense codes per plan, unknown and missing values, hot values, and nothing of it on the driver."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from foldmill.operators import dictionary, features, split, stats
+from foldmill.operators.dictionary import MISSING, UNKNOWN
+
+
+@pytest.mark.parametrize("partitions", [1, 7, 40])
+def test_codes_are_places_in_order(spark, partitions):
+    """For every fold's train rows, whatever the number of tasks; two columns share the table."""
+    rng = random.Random(0)
+    rows = [(i, f"v{rng.randrange(300)}" if i % 9 else None, rng.choice("xyz"), i % 3) for i in range(900)]
+    df = spark.createDataFrame(rows, "id long, s string, t string, fold long")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        counts = stats.train_category_counts(stats.category_counts(df, ["s", "t"], ["fold"]), 3)
+        built = dictionary.build(counts, 3)
+        found = {(r["column_name"], r["value"]): r["codes"] for r in built.table(spark).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for fold in range(3):
+        for name, at in (("s", 1), ("t", 2)):
+            seen = sorted({r[at] for r in rows if r[3] != fold and r[at] is not None})
+            assert built.widths[fold][name] == len(seen)
+            assert {v: c[fold] for (n, v), c in found.items() if n == name and c[fold] != UNKNOWN} == {v: i for i, v in enumerate(seen)}
+
+
+def test_unknown_missing_and_hot_values(spark, monkeypatch):
+    from foldmill.operators import lookup
+
+    monkeypatch.setattr(dictionary, "lookup", lambda *a: lookup.lookup(*a, most=0))  # as for a long dictionary
+    train = spark.range(3_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 1_500)).alias("s"))
+    built = dictionary.build(stats.category_counts(train.withColumn("fold", F.lit(0)), ["s"], ["fold"]))
+    rows = train.union(spark.createDataFrame([(None,), ("new",)], "s string")).withColumn("n", F.lit("mine"))
+    got = dictionary.encode(rows, built.table(spark), ["s"], ["c"])
+    assert got.columns == ["s", "n", "c"] and got.count() == 3_002
+    places = {v: i for i, v in enumerate(sorted({r["s"] for r in train.collect()}))}
+    for r in got.collect():
+        assert r["c"] == [MISSING if r["s"] is None else places.get(r["s"], UNKNOWN)] and r["n"] == "mine"
+
+
+def test_nothing_to_number(spark, make):
+    built = dictionary.build(stats.category_counts(make([(None, 0)], "s string, fold long"), ["s"], ["fold"]))
+    assert built.table(spark).count() == 0 and built.widths == [{}]
+    got = dictionary.encode(make([("a",), (None,)], "s string"), built.table(spark), ["s"], ["c"]).collect()
+    assert sorted(r["c"][0] for r in got) == [MISSING, UNKNOWN]
+
+
+def test_the_driver_gets_no_categories(spark, monkeypatch):
+    """A fit over 20,000 values of each of two columns, and sparse vectors from it."""
+    df = spark.range(20_000).select("id", F.concat(F.lit("a"), F.col("id")).alias("s"), F.concat(F.lit("b"), F.col("id")).alias("t"))
+    monkeypatch.setattr(dictionary.Dictionary, "values", lambda *_: pytest.fail("categories were collected"))
+    folded = split.kfold(df, "id", 5)
+    plans = features.fit_fold_features(folded, 5, [], ["s", "t"])
+    assert [p.width for p in plans.values()] == [32_000] * 5
+    plan = features.fit_features(df, [], ["s", "t"])
+    out = plan.pipeline(spark).transform(df.limit(50))
+    vectors = [r["features"] for r in out.select("features").collect()]
+    assert all(v.size == 40_000 and len(v.indices) == 2 and set(v.values) == {1.0} for v in vectors)
+    raw, views = features.coded_rows(folded, [plans[2]])
+    assert raw.count() == 20_000 and views[0].width == 32_000
+
+
+def test_a_saved_model_keeps_its_dictionary(spark, make, tmp_path):
+    train = make([("a", 1.0), ("b", 2.0), ("b", 3.0)], "s string, v double")
+    plan = features.fit_features(train, ["v"], ["s"])
+    plan.pipeline(spark).write().save(str(tmp_path / "m"))
+    plan.discard(spark)
+    loaded = PipelineModel.load(str(tmp_path / "m"))
+    got = loaded.transform(make([("a", 2.0), (None, 2.0), ("zzz", None)], "s string, v double")).select(vector_to_array("features").alias("a"))
+    assert sorted(list(r["a"]) for r in got.collect()) == [[0.0, 0.0, 0.0], [0.0, 0.0, 1.0], [0.0, 1.0, 0.0]]
+    again = str(tmp_path / "again")
+    loaded.write().save(again)  # and can be saved again
+    assert PipelineModel.load(again).transform(train).count() == 3
+
+
+@pytest.mark.parametrize("drop_first", [False, True])
+def test_views_give_the_vectors_of_the_stages(spark, drop_first):
+    """With missing values, values no plan knows, a value only another plan knows, and a constant column."""
+    import numpy as np
+
+    train = spark.createDataFrame(
+        [(1.0, 5.0, None, "a", "x"), (None, 5.0, None, "b", None), (4.0, 5.0, None, "b", None)],
+        "v double, k double, gone double, s string, t string")
+    other = spark.createDataFrame([(1.0, 1.0, 1.0, "c", "z")], train.schema)
+    rows = train.unionByName(other).union(spark.createDataFrame([(float("nan"), 7.0, 2.0, "zzz", "x"), (2.0, 1.0, None, None, "q")], train.schema))
+    plans = [features.fit_features(part, ["v", "k", "gone"], ["s", "t"], drop_first=drop_first) for part in (train, other)]
+    raw, views = features.coded_rows(rows, plans)
+    found = np.array([r["raw"] for r in raw.select("raw").collect()])
+    for plan, view in zip(plans, views):
+        want = np.array([list(r[0]) for r in plan.pipeline(spark).transform(rows).select(vector_to_array("features")).collect()])
+        assert view.width == plan.width == len(plan.names()) == want.shape[1]
+        assert sorted(view.vectors(found).round(9).tolist()) == sorted(want.round(9).tolist())
