@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 from collections.abc import Sequence
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foldmill.operators import clean, evaluate, model
-from foldmill.sources import tables
+from foldmill.sources import files, tables
 
 
 def score_batch(
@@ -51,19 +52,47 @@ def log_rows(scored: DataFrame, inputs: Sequence[T.StructField]) -> DataFrame:
     return clean.conform_schema(scored, every)
 
 
-def capture(scored: DataFrame, path: str, inputs: Sequence[T.StructField], enabled: bool = True) -> DataFrame:
-    """Append a scored batch to the log and return the logged rows; without ``enabled`` the batch comes back as it is.
+def _folder(batch: str) -> str:
+    return f"b{batch.encode().hex()}"
 
-    Each batch is written once, to a folder of its own below ``path``, and read back from there, so it is scored once.
+
+def write_attempt(rows: DataFrame, path: str, batch: str) -> str:
+    """Write a batch to a folder of its own; it is not in the log before :func:`commit`."""
+    attempt = f"a{uuid.uuid4().hex}"
+    tables.write_path(rows, os.path.join(path, "batches", f"batch={_folder(batch)}", f"attempt={attempt}"))
+    return attempt
+
+
+def commit(spark, path: str, batch: str, attempt: str) -> bool:
+    """Make an attempt the batch's one; False if another one is."""
+    marker = {"batch": _folder(batch), "attempt": attempt}
+    return files.create(spark, os.path.join(path, "commits", f"{_folder(batch)}.json"), json.dumps(marker))
+
+
+def capture(
+    scored: DataFrame, path: str, inputs: Sequence[T.StructField], enabled: bool = True, batch: str | None = None
+) -> DataFrame:
+    """Add a scored batch to the log and return the logged rows; without ``enabled`` the batch comes back as it is.
+
+    ``batch`` is the caller's name for the batch: however often it is captured, by retries or by two jobs at once, it is in the log
+    once, as first committed. Without a name each call is a batch of its own. Rows are written once and read back, so a batch is scored once, and one that is
+    in the log already is not scored at all.
     """
     if not enabled:
         return scored
+    spark, batch = scored.sparkSession, batch or uuid.uuid4().hex
     rows = log_rows(scored, inputs)
-    folder = os.path.join(path, f"batch={uuid.uuid4().hex}")
-    tables.write_path(rows, folder)
-    return tables.read_path(scored.sparkSession, folder, rows.schema)
+    if not files.exists(spark, os.path.join(path, "commits", f"{_folder(batch)}.json")):
+        commit(spark, path, batch, write_attempt(rows, path, batch))
+    kept = spark.read.schema(COMMITS).json(os.path.join(path, "commits", f"{_folder(batch)}.json")).first()
+    folder = os.path.join(path, "batches", f"batch={kept['batch']}", f"attempt={kept['attempt']}")
+    return tables.read_path(spark, folder, rows.schema)
+
+
+COMMITS = "batch string, attempt string"
 
 
 def read_log(spark, path: str) -> DataFrame:
-    """All logged batches under the union of their columns."""
-    return tables.read_merged(spark, path).drop("batch")
+    """All committed batches under the union of their columns; what failed or lost attempts left is not read."""
+    done = spark.read.schema(COMMITS).json(os.path.join(path, "commits"))
+    return tables.read_merged(spark, os.path.join(path, "batches")).join(done, ["batch", "attempt"], "left_semi").drop("batch", "attempt")

@@ -346,6 +346,11 @@ CLERKS = """with n as (select o_orderkey id, c_name as name, o_orderpriority pri
 ORACLES: dict[str, str] = {
     # reading and writing
     "csv_declared_schema": RAW + f"select {COLUMNS} from samples",
+    "csv_inferred_schema": RAW + """select id, label, price, qty, cast(n_lines as bigint) n_lines, case when seg <> 'BUILDING' then true end flag,
+        cast(date '2020-01-01' + cast(id % 1000 as int) as date) as day, case when label = 'P' then 'unknown' else cast(id as varchar) end mixed,
+        cast(null as varchar) nothing from raw_samples""",
+    "table_replace": RAW + f"select {COLUMNS}, (select count(*) from samples) n_before from samples where label <> 'F'",
+    "table_truncated": RAW + f"select count(*) n_before, cast(0 as bigint) n_after, '{','.join(q.SAMPLE_COLUMNS)}' as columns from samples",
     "table_by_path": RAW + f"select {COLUMNS} from samples",
     "table_by_name": RAW + f"select {COLUMNS} from samples",
     "append_merge_schema": RAW + "select id, label, qty, case when label <> 'F' then disc end disc from samples",
@@ -447,6 +452,7 @@ ORACLES: dict[str, str] = {
     "score_batch": scored() + f"select id, prediction, {rnd('confidence', 6)} confidence, {STAMP} prediction_time from sc",
     "capture_predictions": scored() + f"select id, price, bal, qty, prio, seg, prediction, {rnd('confidence', 6)} confidence, "
     f"{STAMP} prediction_time, case when label = 'P' then cast(cast(n_lines as int) as varchar) end n_lines from sc",
+    "capture_once": scored() + f"select id, price, bal, qty, prio, seg, prediction, {rnd('confidence', 6)} confidence, {STAMP} prediction_time from sc",
     "prediction_report": scored() + f"select id, label, prediction, {rnd('confidence', 6)} confidence from sc "
     f"order by {HASH}, id limit 5",
     "registry_round_trip": scored() + f"""select cast(2 as bigint) as version, 'run-3' run_id, '{','.join(fx.CLASSES)}' target_classes,
@@ -478,6 +484,18 @@ ORACLES: dict[str, str] = {
         cast(null as varchar) str, {STAMP} ts from fm""",
     "run_rollup": FOLD_METRICS + f"""select 'cv' parent_run_id, 'cross-validation' parent_name, metric as key,
         {rnd('avg(value)', 6)} avg_num, count(*) n_children from fm group by metric""",
+    "run_tree": FOLD_METRICS + f""", pc as (select fold, label, {HIT} accuracy from sc group by all),
+        runs as (select 'job' run_id, cast(null as varchar) parent, 'job' as name union all select 'cv', 'job', 'cross-validation'
+            union all select distinct concat('cv-', fold), 'cv', concat('cross-validation-cv-', fold) from per
+            union all select concat('cv-', fold, '-', label), concat('cv-', fold), concat('class-', label) from pc),
+        metrics as (select concat('cv-', fold) run_id, metric as key, value as num from fm
+            union all select concat('cv-', fold, '-', label), 'class_accuracy', accuracy from pc),
+        tree as (with recursive t as (
+            select run_id, run_id root_id, cast(0 as bigint) depth, name as path, [run_id] above from runs where parent is null
+            union all select c.run_id, t.root_id, t.depth + 1, concat(t.path, '/', c.name), list_append(t.above, c.run_id) from t join runs c on c.parent = t.run_id)
+            select * from t),
+        below as (select anc, key, avg(num) avg_num, count(*) n_runs from (select run_id, unnest(above) anc from tree) join metrics using (run_id) group by all)
+        select run_id, root_id, depth, path, key, {rnd('avg_num', 6)} avg_num, n_runs from tree left join below on anc = run_id""",
     "registry_latest": RAW + """, v as (select *, row_number() over (partition by seg order by id desc) rn from samples)
         select seg as name, id as version, concat('models/', seg, '/', id) as path, concat('run-', label) run_id from v where rn = 1""",
 }

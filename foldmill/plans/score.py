@@ -26,8 +26,9 @@ class BatchScorer:
         self.sentinels = SENTINELS if sentinels is None else sentinels
         self.log_path, self.capture = log_path, capture
 
-    def score(self, batch: DataFrame, when: datetime, capture: bool | None = None) -> DataFrame:
-        """The batch with predictions, read back from the log if it was logged; ``capture`` overrides the scorer's own setting for this call."""
+    def score(self, batch: DataFrame, when: datetime, capture: bool | None = None, batch_id: str | None = None) -> DataFrame:
+        """The batch with predictions, read back from the log if it was logged; ``capture`` overrides the scorer's own setting for this call. A retry that
+        gives the same ``batch_id`` logs nothing twice."""
         scored = scoring.score_batch(self.model, batch, self.required, self.classes, when, self.sentinels)
         wanted = self.capture if capture is None else capture
-        return scoring.capture(scored, self.log_path, self.inputs, wanted)
+        return scoring.capture(scored, self.log_path, self.inputs, wanted, batch_id)

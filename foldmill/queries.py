@@ -114,6 +114,20 @@ def csv_declared_schema(spark, sf_dir):
     return clean.clean(tables.read_csv(spark, path, SAMPLE_SCHEMA), fx.SENTINELS)
 
 
+@query
+def csv_inferred_schema(spark, sf_dir):
+    """Types found from the texts: numbers stay numeric beside sentinels, a column of ten-digit texts with one word is text."""
+    path, rows = new_folder(spark, "csv"), fx.raw_samples(spark, sf_dir)
+    texts = rows.select(
+        "id", "label", F.coalesce(F.col("price").cast("string"), F.lit("NA")).alias("price"), F.coalesce(F.col("qty").cast("string"), F.lit(".")).alias("qty"),
+        F.coalesce(F.col("n_lines").cast("int").cast("string"), F.lit("NA")).alias("n_lines"), F.when(F.col("seg") == "BUILDING", "NA").otherwise("true").alias("flag"),
+        F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 1000).cast("int")).cast("string").alias("day"),
+        F.when(F.col("label") == "P", "unknown").otherwise(F.col("id").cast("string")).alias("mixed"), F.lit(".").alias("nothing"),
+    )
+    tables.write_csv(texts, path)
+    return tables.infer_csv(spark, path)
+
+
 @query
 def table_by_path(spark, sf_dir):
     path = new_folder(spark, "table")
@@ -127,6 +141,27 @@ def table_by_name(spark, sf_dir):
     return tables.write_name(fx.samples(spark, sf_dir).select(*SAMPLE_COLUMNS), "foldmill_samples", path)
 
 
+@query
+def table_replace(spark, sf_dir):
+    """A table replaced by a part of itself, and what a plan made before still counts."""
+    name, root = "foldmill_replaced", new_folder(spark, "versions")
+    rows = fx.samples(spark, sf_dir).select(*SAMPLE_COLUMNS)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    before = tables.replace_name(rows, name, root).agg(F.count("*").alias("n_before"))
+    after = tables.replace_name(tables.read_name(spark, name).filter("label <> 'F'"), name, root)
+    return after.crossJoin(F.broadcast(before))  # one row
+
+
+@query
+def table_truncated(spark, sf_dir):
+    """An emptied table keeps its columns; a plan made before still reads its rows."""
+    name, root = "foldmill_emptied", new_folder(spark, "versions")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    before = tables.replace_name(fx.samples(spark, sf_dir).select(*SAMPLE_COLUMNS), name, root)
+    after = tables.empty_name(spark, name, root)
+    return before.agg(F.count("*").alias("n_before")).crossJoin(after.agg(F.count("*").alias("n_after"))).withColumn("columns", F.lit(",".join(after.columns)))
+
+
 @query
 def append_merge_schema(spark, sf_dir):
     path, rows = new_folder(spark, "batches"), fx.samples(spark, sf_dir)
@@ -685,6 +720,19 @@ def capture_predictions(spark, sf_dir):
     return score.read_log(spark, path).withColumn("confidence", rounded("confidence", 6))
 
 
+@query
+def capture_once(spark, sf_dir):
+    """Two batches in a log: one captured twice, the other after an attempt that wrote its rows and failed before it was committed."""
+    path, raw = new_folder(spark, "predictions"), fx.raw_samples(spark, sf_dir).select(*SAMPLE_COLUMNS)
+    kept = [*[f.name for f in SCORED_INPUTS], "prediction", "confidence", "prediction_time"]
+    first, second = (fixed_batch(spark, raw.filter(f"label {sign} 'P'")).select(*kept) for sign in ("<>", "="))
+    for _ in range(2):
+        score.capture(first, path, SCORED_INPUTS.fields, batch="first")
+    score.write_attempt(score.log_rows(second, SCORED_INPUTS.fields), path, "second")
+    score.capture(second, path, SCORED_INPUTS.fields, batch="second")
+    return score.read_log(spark, path).withColumn("confidence", rounded("confidence", 6))
+
+
 @query
 def prediction_report(spark, sf_dir):
     """A few sampled rows, true class beside predicted class."""
@@ -794,6 +842,22 @@ def run_rollup(spark, sf_dir):
     return runs.rollup(runs.run_rows(spark, _fold_runs(spark, sf_dir))).withColumn("avg_num", rounded("avg_num", 6))
 
 
+@query
+def run_tree(spark, sf_dir):
+    """The runs of a whole job, four levels deep: the job, its cross-validation, the folds, and a run for each class of a fold."""
+    scored = model.predict(fixed_model(spark), folded(spark, sf_dir), fx.CLASSES)
+    p_true = evaluate.true_probability("probability", "label", fx.CLASSES)
+    per_class = evaluate.accuracy_and_loss(scored, "label", "prediction", p_true, ["fold", "label"]).collect()  # a row a fold and class
+    job, (cv, *children) = runs.Run("job", WHEN, run_id="job"), _fold_runs(spark, sf_dir)
+    cv.parent, records = job, [job, cv, *children]
+    cv.records = [(r[0], job.run_id, *r[2:]) for r in cv.records]
+    for r in per_class:
+        child = runs.Run(f"class-{r['label']}", WHEN, children[r["fold"]], f"cv-{r['fold']}-{r['label']}")
+        child.metric("class_accuracy", r["accuracy"])
+        records.append(child)
+    return runs.run_tree(runs.run_rows(spark, records)).withColumns({"avg_num": rounded("avg_num", 6), "depth": F.col("depth").cast("bigint")})
+
+
 @query
 def registry_latest(spark, sf_dir):
     """A registry with one version per order: the newest version of each segment's model."""

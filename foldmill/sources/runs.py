@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foldmill.schemas import RUNS
+from foldmill.session import checkpoint
 from foldmill.sources.tables import append, read_merged
 
 
@@ -70,3 +71,37 @@ def rollup(runs: DataFrame) -> DataFrame:
         .groupBy("parent_run_id", "parent_name", "key")
         .agg(F.avg("num").alias("avg_num"), F.count("*").alias("n_children"))
     )
+
+
+#: Deepest tree that is followed.
+LEVELS = 1_000
+
+
+def run_tree(runs: DataFrame) -> DataFrame:
+    """Every run below a root: run_id, root_id, depth, path (names from the root), and for each metric the mean of its last steps over the run and all below it, with their number.
+
+    Runs without any metric in their subtree have one row with null. A recursive query follows children from the runs that have no known parent; a run that would meet itself again
+    is not followed, and runs whose parents form a ring have no root and no rows.
+    """
+    spark, view = runs.sparkSession, f"runs_{uuid.uuid4().hex}"
+    runs.filter("kind = 'run'").select("run_id", "parent_run_id", "run_name").distinct().createOrReplaceTempView(view)
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.cteRecursionLevelLimit", "spark.sql.cteRecursionRowLimit")}
+    spark.conf.set("spark.sql.cteRecursionLevelLimit", LEVELS)
+    spark.conf.set("spark.sql.cteRecursionRowLimit", -1)
+    try:
+        tree = spark.sql(f"""
+            with recursive tree(run_id, root_id, depth, path, above) as (
+                select run_id, run_id, 0, run_name, array(run_id) from {view} r
+                where not exists (select 1 from {view} p where p.run_id = r.parent_run_id)
+                union all
+                select c.run_id, t.root_id, t.depth + 1, concat(t.path, '/', c.run_name), concat(t.above, array(c.run_id))
+                from tree t join {view} c on c.parent_run_id = t.run_id where not array_contains(t.above, c.run_id))
+            select * from tree""")
+        tree = checkpoint(tree)  # run once, while the limits hold
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+        spark.catalog.dropTempView(view)
+    last = runs.filter("kind = 'metric'").groupBy("run_id", "key").agg(F.max_by("num", F.coalesce("step", F.lit(-1))).alias("num"))
+    below = tree.select("run_id", F.explode("above").alias("over")).join(last, "run_id").groupBy("over", "key").agg(F.avg("num").alias("avg_num"), F.count("*").alias("n_runs"))
+    return tree.join(below, tree["run_id"] == below["over"], "left").select(tree["run_id"], "root_id", "depth", "path", "key", "avg_num", "n_runs")

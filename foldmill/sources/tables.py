@@ -8,7 +8,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -24,6 +24,38 @@ def read_csv(
     return reader.option("inferSchema", infer).csv(path)
 
 
+#: What an inferred column can be, the narrowest first, with the form that its texts must have. Numbers come before dates, as a year is one.
+LATTICE = [
+    ("bigint", r"[+-]?[0-9]+"), ("double", r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"), ("boolean", r"(?i)true|false"),
+    ("date", r"[0-9]{4}-[0-9]{2}-[0-9]{2}"), ("timestamp", r"[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9].*"),
+]
+
+
+def infer_csv(spark: SparkSession, path: str, sentinels: tuple[str, ...] = ("", "NA", ".")) -> DataFrame:
+    """CSV with a header, types inferred from all rows: one pass counts for each column the texts that are no bigint, double, boolean, date or timestamp.
+
+    Texts that stand for missing values are null first, so a column of numbers with a few of them is numeric. A column without values is text, and so is one that fits nothing else;
+    text columns keep all their other texts as they are, blanks around them included.
+    """
+    texts = spark.read.option("header", True).csv(path)
+
+    def known(c: str) -> Column:
+        return F.when(~F.trim(F.col(f"`{c}`")).isin(*sentinels), F.col(f"`{c}`"))
+
+    def fits(c: str, kind: str, form: str) -> Column:
+        text = F.trim(known(c))
+        return F.when(text.rlike(f"^({form})$"), text.try_cast(kind))
+
+    counts = [F.count(known(c)).alias(f"{i}") for i, c in enumerate(texts.columns)]
+    counts += [F.count_if(known(c).isNotNull() & fits(c, *kind).isNull()).alias(f"{i}_{kind[0]}") for i, c in enumerate(texts.columns) for kind in LATTICE]
+    found = texts.agg(*counts).first()
+    columns = []
+    for i, c in enumerate(texts.columns):
+        kind = next((kind for kind in LATTICE if found[f"{i}"] and not found[f"{i}_{kind[0]}"]), None)
+        columns.append((fits(c, *kind) if kind else known(c)).alias(c))
+    return texts.select(*columns)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").option("header", True).option("nullValue", "NA").csv(path)
 
@@ -65,6 +97,30 @@ def truncate(spark: SparkSession, name: str) -> None:
     spark.sql(f"TRUNCATE TABLE {name}")
 
 
+def replace_name(df: DataFrame, name: str, root: str) -> DataFrame:
+    """Replace a catalog table's rows by writing its next version below ``root`` and pointing the table at it in one step.
+
+    Readers see the old rows or the new ones, and plans made before finish on the old files, so ``df`` may read the table itself. A table of other columns is declared anew.
+    """
+    spark, path = df.sparkSession, write_version(df, root)
+    known = spark.catalog.tableExists(name)
+    fields = lambda schema: [(f.name, f.dataType) for f in schema]
+    if known and fields(spark.table(name).schema) == fields(df.schema):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    else:
+        if known:
+            spark.sql(f"DROP TABLE {name}")
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{path}'")
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
+def empty_name(spark: SparkSession, name: str, root: str) -> DataFrame:
+    """Delete all rows of a catalog table by pointing it at an empty version, with what :func:`replace_name` says of readers."""
+    return replace_name(spark.table(name).limit(0), name, root)
+
+
 def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Append a batch. A batch may bring columns that earlier ones lack; see :func:`read_merged`."""
     df.write.mode("append").format(fmt).option("mergeSchema", True).save(path)

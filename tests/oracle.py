@@ -39,7 +39,7 @@ def duck_side(sql: str, sf_dir: str):
 
 # Spark type -> the name DuckDB uses for the same type.
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
-         "timestamp": "TIMESTAMP", "array<bigint>": "BIGINT[]", "array<double>": "DOUBLE[]",
+         "timestamp": "TIMESTAMP", "date": "DATE", "array<bigint>": "BIGINT[]", "array<double>": "DOUBLE[]",
          "array<string>": "VARCHAR[]"}
 
 
