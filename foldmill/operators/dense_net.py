@@ -20,8 +20,9 @@ usual libraries; the trained weights are not, since the order of updates differs
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,7 @@ from foldmill.functions.hashing import draw, hash32
 from foldmill.operators.evaluate import PROBABILITY_FLOOR, EarlyStop
 from foldmill.operators.features import Rows, View
 from foldmill.session import checkpoint, new_folder, remove_folder
+from foldmill.sources import files
 
 # Adam's usual settings (fixed values).
 ADAM_DECAY_1, ADAM_DECAY_2, ADAM_EPSILON = 0.9, 0.999, 1e-7
@@ -368,6 +370,21 @@ class _Progress:
             # Without held-out rows there is nothing to score after the last epoch.
             self.done = epoch == setting.epochs - 1 and not self.held_rows
 
+    def saved(self) -> dict:
+        """Everything the next epoch depends on; numbers survive JSON to the last bit."""
+        return {
+            "member": [self.member.layers, asdict(self.member.setting), list(self.member.held)], "state": self.state.tolist(), "best": self.best.tolist(),
+            "stop": [self.stop.best_step, self.stop.best_loss, self.stop.stopped], "history": self.history, "done": self.done,
+            "counts": [self.held_rows, self.train_rows, self.updates],
+        }
+
+    def restore(self, saved: dict) -> None:
+        if saved["member"] != json.loads(json.dumps(self.saved()["member"])):
+            raise ValueError("the saved state is that of another network")
+        self.state, self.best, self.history, self.done = np.array(saved["state"]), np.array(saved["best"]), saved["history"], saved["done"]
+        self.stop.best_step, self.stop.best_loss, self.stop.stopped = saved["stop"]
+        self.held_rows, self.train_rows, self.updates = saved["counts"]
+
     def fitted(self) -> Fitted:
         if self.member.setting.patience and self.stop.best_step is not None:
             weights, epoch = self.best, self.stop.best_step
@@ -376,17 +393,28 @@ class _Progress:
         return Fitted(self.member.layers, weights, self.history, epoch, self.held_rows, self.train_rows, self.updates)
 
 
-def train(rows: DataFrame, members: Sequence[Member]) -> list[Fitted]:
+def train(rows: DataFrame, members: Sequence[Member], state: str | None = None, most: int | None = None) -> list[Fitted]:
     """Train all members on rows from :func:`training_rows`.
 
     The held-out scores of an epoch are taken by the pass that follows it, which starts from the weights that epoch
     ended with; so ``epochs`` epochs of one slice cost ``epochs + 1`` passes, not twice as many. With ``patience`` the best
     held-out loss decides which weights are kept. Members that are done leave the passes to the others.
+
+    With ``state``, a folder all drivers share, each finished epoch is committed there (weights, moments, stop rule, history), and a call that finds one
+    goes on behind it: a driver that was lost costs the epoch it was in. ``most`` ends a call after so many epochs, to be resumed.
     """
-    shards = rows.rdd.getNumPartitions()
+    spark, shards = rows.sparkSession, rows.rdd.getNumPartitions()
     fan = int(shards**0.5) if shards > FEW_SHARDS else 1
-    progress = [_Progress(m) for m in members]
-    for epoch in range(max(m.setting.epochs for m in members) + 1):
+    progress, start = [_Progress(m) for m in members], 0
+    if state and (found := files.newest(spark, state)):
+        saved = json.loads(found[1])
+        if len(saved) != len(progress):
+            raise ValueError("the saved state is that of another training")
+        start = int(found[0].split(".")[0]) + 1
+        for p, one in zip(progress, saved):
+            p.restore(one)
+    last = max(m.setting.epochs for m in members)
+    for epoch in range(start, last + 1 if most is None else min(last + 1, start + most)):
         step = 0
         while active := {i: (p.member, p.state) for i, p in enumerate(progress) if step < p.steps(epoch)}:
             found = _one_pass(rows, active, epoch, step, fan)
@@ -395,6 +423,10 @@ def train(rows: DataFrame, members: Sequence[Member]) -> list[Fitted]:
             step += 1
         if not step:
             break
+        if state:
+            files.create(spark, f"{state}/{epoch:06d}.json", json.dumps([p.saved() for p in progress]))
+            if epoch:
+                files.remove(spark, f"{state}/{epoch - 1:06d}.json")
     return [p.fitted() for p in progress]
 
 

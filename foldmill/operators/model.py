@@ -43,18 +43,18 @@ class Job:
 
 def fit_dense(
     df: DataFrame, cols: Columns, classes: Sequence, jobs: Sequence[Job], part: Column | None = None,
-    tasks: int | None = None,
+    tasks: int | None = None, state: str | None = None, most: int | None = None,
 ) -> list[dense_net.Fitted]:
     """Train one network per job, all by the same passes; see :func:`as_pipeline` to apply one.
 
-    ``part`` numbers the parts of the table that jobs may hold out.
+    ``part`` numbers the parts of the table that jobs may hold out; ``state`` and ``most`` are those of ``dense_net.train``.
     """
     raw, views = features.coded_rows(with_target(df, cols.label, classes), [j.plan for j in jobs])
     part = F.lit(0) if part is None else part
     members = [dense_net.Member(view, len(classes), j.setting, j.held) for j, view in zip(jobs, views)]
     rows = dense_net.training_rows(raw, "raw", "target", part, cols.key, tasks, members)
     try:
-        return dense_net.train(rows, members)
+        return dense_net.train(rows, members, state, most)
     finally:
         dense_net.discard_rows(rows)
 
@@ -97,7 +97,7 @@ def evaluate_model(model: PipelineModel, df: DataFrame, label: str, classes: Seq
 
 
 def cross_validate(
-    folded: DataFrame, folds: int, cols: Columns, classes: Sequence, setting: dense_net.Training
+    folded: DataFrame, folds: int, cols: Columns, classes: Sequence, setting: dense_net.Training, state: str | None = None
 ) -> list[dict]:
     """Fresh transformers and a fresh network per fold, scored on the fold left out.
 
@@ -106,7 +106,7 @@ def cross_validate(
     """
     plans = features.fit_fold_features(folded, folds, cols.numeric, cols.categorical)
     jobs = [Job(plans[f], setting, (f,)) for f in range(folds)]
-    fits, results = fit_dense(folded, cols, classes, jobs, F.col("fold")), []
+    fits, results = fit_dense(folded, cols, classes, jobs, F.col("fold"), state=state), []
     plans[0].discard(folded.sparkSession)
     for fold, fitted in enumerate(fits):
         if not fitted.held_rows:
@@ -127,12 +127,12 @@ def fold_metric_rows(spark, results: list[dict]) -> DataFrame:
 
 
 def final_model(
-    df: DataFrame, cols: Columns, classes: Sequence, setting: dense_net.Training, share: float = 0.2
+    df: DataFrame, cols: Columns, classes: Sequence, setting: dense_net.Training, share: float = 0.2, state: str | None = None
 ) -> tuple[PipelineModel, dense_net.Fitted, features.FeaturePlan, dict]:
     """Fit transformers on all rows and the network on all but the tail, which validates it."""
     plan = features.fit_features(df, cols.numeric, cols.categorical)
     marked = split.holdout_tail(df, cols.key, share, setting.seed, "held_out")
-    [fitted] = fit_dense(marked, cols, classes, [Job(plan, setting, (1,))], F.col("held_out").cast("long"))
+    [fitted] = fit_dense(marked, cols, classes, [Job(plan, setting, (1,))], F.col("held_out").cast("long"), state=state)
     # the last pass has scored the held-out rows with the final weights, and the train rows with those before the last update
     last, scores = fitted.history[-1], {}
     for name, prefix in (("train", ""), ("holdout", "val_")):

@@ -446,6 +446,7 @@ ORACLES: dict[str, str] = {
         select id, size, cast(to_json(slots) as varchar) slots, cast(len(slots) as double) total from s""",
     # models
     "train_history": _descent(q.HISTORY_EPOCHS, q.HISTORY_RATE),
+    "train_resumed": _descent(q.HISTORY_EPOCHS, q.HISTORY_RATE),
     "train_slices": _descent(q.SLICED["epochs"], q.SLICED["rate"], q.SLICED["slices"]),
     "train_dropout": _descent(q.DROPPED["epochs"], q.DROPPED["rate"], q.DROPPED["slices"], q.DROPPED["dropout"]),
     "early_stop_epoch": _early_stop(),

@@ -35,9 +35,12 @@ class Outcome:
 def train(
     spark: SparkSession, samples: DataFrame, registry_root: str, name: str, when: datetime,
     cols: model.Columns = SAMPLE_COLUMNS, folds: int = 5, threshold: float = 0.7, runs_path: str | None = None,
-    setting: dense_net.Training | None = None,
+    setting: dense_net.Training | None = None, state: str | None = None,
 ) -> Outcome:
-    """The whole training job over a stored, cleaned sample table with a unique key."""
+    """The whole training job over a stored, cleaned sample table with a unique key.
+
+    With ``state``, a shared folder, finished epochs are kept there, and a job started again with the same table and settings goes on from them.
+    """
     setting = setting or dense_net.Training(hidden=list(model.HIDDEN))
     clean.require_columns(samples, [cols.key, cols.label, *cols.numeric, *cols.categorical])
     clean.require_target(samples, cols.label)
@@ -50,7 +53,7 @@ def train(
     tables.write_path(assigned, path)
     folded = tables.read_path(spark, path, assigned.schema)
 
-    results = model.cross_validate(folded, folds, cols, classes, setting)
+    results = model.cross_validate(folded, folds, cols, classes, setting, state and f"{state}/folds")
     metrics = model.fold_metric_rows(spark, results)
     averaged = evaluate.cv_average(metrics)
     averages = {r["metric"]: r["value"] for r in averaged.collect()}
@@ -72,7 +75,7 @@ def train(
     version, scores = None, {}
     if gate["passed"]:
         final = runs.Run(schemas.RUN_FINAL, when)
-        fitted, history, plan, scores = model.final_model(folded, cols, classes, setting)
+        fitted, history, plan, scores = model.final_model(folded, cols, classes, setting, state=state and f"{state}/final")
         prepared, trained, saved = (final.child(step) for step in schemas.RUN_FINAL_STEPS)
         prepared.param("target_classes", classes)
         names = plan.names()  # the registry's row lists them

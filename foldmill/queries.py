@@ -577,13 +577,16 @@ SLICED = {"epochs": 2, "rate": HISTORY_RATE, "slices": 3}
 DROPPED = {"epochs": 1, "rate": HISTORY_RATE, "slices": 2, "dropout": 0.3}
 
 
-def _history(spark, sf_dir, **changes) -> DataFrame:
+def _history(spark, sf_dir, calls=(None,), **changes) -> DataFrame:
+    """The history of one network, trained by a call for each of ``calls`` (the most epochs it runs) that takes up the last one's state."""
     cols = model.Columns("id", "band", HISTORY_NUMERIC, [])
     rows = stored(fx.samples(spark, sf_dir).select("id", "band", *HISTORY_NUMERIC))
     rows = split.holdout_tail(rows, "id", name="held_out")
     plan = features.fit_features(rows.filter("not held_out"), HISTORY_NUMERIC, [])
     job = model.Job(plan, _network(optimizer="sgd", **changes), (1,))
-    [fitted] = model.fit_dense(rows, cols, _classes(rows), [job], F.col("held_out").cast("long"))
+    state = new_folder(spark, "state") if len(calls) > 1 else None
+    for most in calls:
+        [fitted] = model.fit_dense(rows, cols, _classes(rows), [job], F.col("held_out").cast("long"), state=state, most=most)
     names = ["train_loss", "train_accuracy", "val_loss", "val_accuracy"]
     return dense_net.history_rows(spark, fitted).select("step", *[rounded(n, 5).alias(n) for n in names])
 
@@ -593,6 +596,12 @@ def train_history(spark, sf_dir):
     return _history(spark, sf_dir, epochs=HISTORY_EPOCHS, rate=HISTORY_RATE)
 
 
+@query
+def train_resumed(spark, sf_dir):
+    """The same training cut off after two epochs and taken up again from its stored state."""
+    return _history(spark, sf_dir, (2, None), epochs=HISTORY_EPOCHS, rate=HISTORY_RATE)
+
+
 @query
 def train_slices(spark, sf_dir):
     """Three updates an epoch, each over a slice of the rows."""

@@ -44,3 +44,24 @@ def create(spark: SparkSession, path: str, text: str) -> bool:
         return True
     finally:
         system.delete(draft, False)
+
+
+def newest(spark: SparkSession, folder: str) -> tuple[str, str] | None:
+    """Name and content of the file of the highest name in a folder, if there is one."""
+    target, system = _handle(spark, folder)
+    if not system.exists(target):
+        return None
+    names = sorted(s.getPath().getName() for s in system.listStatus(target))
+    names = [n for n in names if not n.startswith(".")]
+    if not names:
+        return None
+    stream = system.open(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder, names[-1]))
+    try:
+        return names[-1], bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    target, system = _handle(spark, path)
+    system.delete(target, False)

@@ -295,3 +295,22 @@ def test_empty_slices_make_no_update(spark):
     setting, own = Training([4], epochs=1, slices=48), set(buckets_of(4).tolist())
     [fitted] = fit_sliced(rows_of(spark, x, y), setting)
     assert (fitted.updates, fitted.train_rows) == (sum(bool(set(setting.slice_buckets(e, s)) & own) for e in range(1) for s in range(48)), 4)
+
+
+def test_a_resumed_training_ends_with_the_same_weights(spark, tmp_path):
+    """Cut off after each epoch, with Adam's moments, slices, dropout and a stop rule, and two networks that end at different times."""
+    x, y = data(120)
+    held = np.arange(120) % 3 == 0
+    members = [Member(PLAIN, 3, s, (1,)) for s in (Training([5], epochs=4, slices=2, dropout=0.2), Training([4], epochs=6, rate=2.0, optimizer="sgd", patience=1))]
+    rows = dense_net.training_rows(rows_of(spark, x, y, held), "raw", "target", F.col("held"), "id", 2, members)
+    whole = dense_net.train(rows, members)
+    for _ in range(8):
+        parts = dense_net.train(rows, members, str(tmp_path / "state"), most=1)
+    for a, b in zip(whole, parts):
+        assert b.weights == pytest.approx(a.weights, abs=1e-12) and b.history == [pytest.approx(h) for h in a.history]
+        assert (a.best_epoch, a.held_rows, a.train_rows, a.updates) == (b.best_epoch, b.held_rows, b.train_rows, b.updates)
+    with pytest.raises(ValueError, match="another"):
+        dense_net.train(rows, members[:1], str(tmp_path / "state"))
+    with pytest.raises(ValueError, match="another network"):
+        dense_net.train(rows, members[::-1], str(tmp_path / "state"))
+    dense_net.discard_rows(rows)
