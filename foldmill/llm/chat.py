@@ -9,7 +9,7 @@ is left there; taking one away gives the text back. Each turn is formatted by it
 separate rows, so a conversation of any length never sits in memory.
 
 Null roles and texts count as empty, records that are null or not objects give no turns, a record with an unknown fingerprint raises unless a fallback is
-given. Turns of equal number are ordered by role and text. Repeated rows are turns of their own; an empty table gives no rows.
+given. Turns of equal number are ordered by role and text. Repeated rows are turns of their own; an empty table gives no rows (the report then has conversation -1 alone).
 """
 
 from __future__ import annotations
