@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from fractions import Fraction
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foldmill.functions.hashing import hash32, key_hash
@@ -108,7 +108,19 @@ def shuffled_positions(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
     return global_rank(df, key, seed, "position")
 
 
+#: Samples up to this size are taken by one scan that keeps the first rows of each task.
+SMALL_SAMPLE = 10_000
+
+
 def sample_n(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """Exactly ``n`` rows (or all, if fewer), the first in the seeded order; rows of one key are taken or left together."""
-    _, cuts = rank_cuts(df, key, seed, lambda _: [n])
-    return df.filter(cuts_passed(cuts, key, seed) == 0)
+    """Exactly ``n`` rows (or all, if fewer), the first in the seeded order; rows of one key are taken or left together.
+
+    A small sample reads the table once: one row more than asked for tells whether the last key goes on behind the sample. A large one is cut at its border row.
+    """
+    if n > SMALL_SAMPLE:
+        _, cuts = rank_cuts(df, key, seed, lambda _: [n])
+        return df.filter(cuts_passed(cuts, key, seed) == 0)
+    every = Window.partitionBy(F.lit(0))  # n + 1 rows
+    first = df.withColumn("_place", F.struct(key_hash(key, seed).alias("h"), F.col(key).alias("k"))).orderBy("_place").limit(n + 1)
+    first = first.withColumn("_rows", F.count("*").over(every)).withColumn("_last", F.max("_place").over(every))
+    return first.filter((F.col("_rows") <= n) | ~F.col("_place").eqNullSafe(F.col("_last"))).select(*df.columns)

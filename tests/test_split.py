@@ -159,3 +159,16 @@ def test_many_copies_are_spread_over_tasks(spark):
     keyed = with_row_key(spark.range(200_000).select(F.lit("x").alias("v")), piece=1000)
     per_task = [r["count"] for r in keyed.groupBy(F.spark_partition_id().alias("p")).count().collect()]
     assert sum(per_task) == 200_000 and max(per_task) < 60_000
+
+
+def test_small_and_large_samples_agree(spark, make, monkeypatch):
+    """With repeated and null keys: a key is taken or left whole, also where the border falls among its rows."""
+    df = make([(None if i % 7 == 0 else i % 11, i) for i in range(60)], "k long, v long")
+    for n in (0, 1, 4, 9, 23, 59, 60, 100):
+        small = sorted(r["v"] for r in split.sample_n(df, "k", n).collect())
+        monkeypatch.setattr(split, "SMALL_SAMPLE", -1)
+        large = sorted(r["v"] for r in split.sample_n(df, "k", n).collect())
+        monkeypatch.undo()
+        assert len(small) <= n or n >= 60
+        if n:
+            assert small == large
