@@ -4,7 +4,8 @@ A page becomes a tree of elements and text runs. Each node has features of its t
 subtree (text, links, punctuation, blocks, density), its depth and its siblings. Boosted trees give each node log-odds of being main
 text. Decoding picks for each element one of three states: outside (main text may begin below), main text, excluded. Below an excluded
 element all is excluded, main text only contains main text and excluded parts, so ancestors and descendants never contradict each other; among all
-consistent choices the one with the largest sum of log-odds is taken, in one pass up and one down the tree.
+consistent choices the one with the largest sum of log-odds is taken, in one pass up and one down the tree. Reading, features and decoding take time linear in
+the page, whatever is nested or left unclosed.
 
 Trees are fitted on at most ``SAMPLE`` pages of the table, the first in the order of a hash of page_id among those of at most ``SAMPLE_CHARS``, and on
 layouts composed around their own paragraphs (``compose``), whose parts are known. Whole pages are extracted whatever their length.
@@ -78,11 +79,16 @@ def attribute_groups(attributes: str) -> int:
 
 
 class Page:
-    """Nodes in page order: parent, tag, attribute groups, and for text runs the text and its block's number. Node 0 is the page itself."""
+    """Nodes in page order: parent, depth, tag, attribute groups, and for text runs the text and its block's number. Node 0 is the page itself.
+
+    Beside the stack of open elements the places of each name on it are kept, and those of the names that end a search. So an end tag, or an opening one
+    that ends others, finds its element at once, and reading takes time linear in the page however deep or badly closed it is.
+    """
 
     def __init__(self, source: str):
-        self.parent, self.tag, self.groups, self.text, self.block = [-1], ["div"], [0], [None], [0]
-        stack, names, at, block, hidden = [0], [""], 0, 0, 0
+        self.parent, self.depth, self.tag, self.groups, self.text, self.block = [-1], [0], ["div"], [0], [None], [0]
+        self._stack, self._names, self._places, self._stops, self._hidden = [0], [""], {}, [0], 0
+        at, block = 0, 0
         match_at = _MARKUP.match
         while at < len(source):
             match = match_at(source, at)
@@ -91,46 +97,58 @@ class Page:
             if tag is None:
                 if source[match.start()] == "<" and at - match.start() > 1:
                     continue
-                if hidden == 0:
-                    self._node(stack[-1], "#text", 0, html.unescape(match[0]), block)
+                if self._hidden == 0:
+                    self._node("#text", 0, html.unescape(match[0]), block)
                 continue
             tag = tag.lower()
             if tag in BLOCKS:
                 block += 1
             if match[1]:
-                if tag in names:
-                    i = len(names) - 1 - names[::-1].index(tag)
-                    if tag in _STOPS or tag in ("head",) or not any(x in _STOPS for x in names[i + 1 :]):
-                        hidden -= sum(x in HIDDEN for x in names[i:])
-                        del stack[i:], names[i:]
+                i = self._highest((tag,))
+                if i and (tag in _STOPS or tag == "head" or self._stops[-1] <= i):
+                    self._cut(i)
                 continue
             if tag == "br":
-                if hidden == 0:
-                    self._node(stack[-1], "#text", 0, "\n", block)
+                if self._hidden == 0:
+                    self._node("#text", 0, "\n", block)
                 continue
             if tag in VOID:
                 continue
             closes = ("p",) if tag in BLOCKS and tag not in _CLOSES else _CLOSES.get(tag, ())
-            for i in range(len(names) - 1, 0, -1):
-                if names[i] in closes:
-                    hidden -= sum(x in HIDDEN for x in names[i:])
-                    del stack[i:], names[i:]
-                    if tag not in ("tr",):
-                        break
-                elif names[i] in _STOPS and names[i] not in closes:
+            while (i := self._highest(closes)) and i >= self._stops[-1]:
+                self._cut(i)
+                if tag != "tr":
                     break
             if tag in RAW:
                 end = re.compile(rf"</{tag}[\s/>]", re.I).search(source, at)
                 at = end.start() if end else len(source)
                 continue
-            node = self._node(stack[-1], tag, attribute_groups(match[3]) if match[3] else 0, None, block)
+            node = self._node(tag, attribute_groups(match[3]) if match[3] else 0, None, block)
             if not match[3].endswith("/") or tag in BLOCKS:
-                stack.append(node)
-                names.append(tag)
-                hidden += tag in HIDDEN
-
-    def _node(self, parent: int, tag: str, groups: int, text: str | None, block: int) -> int:
+                self._places.setdefault(tag, []).append(len(self._stack))
+                if tag in _STOPS:
+                    self._stops.append(len(self._stack))
+                self._stack.append(node)
+                self._names.append(tag)
+                self._hidden += tag in HIDDEN
+
+    def _highest(self, names) -> int:
+        """The place on the stack of the last open element of one of these names, 0 if there is none."""
+        return max((places[-1] for places in map(self._places.get, names) if places), default=0)
+
+    def _cut(self, i: int) -> None:
+        """End the open elements from place ``i`` on."""
+        for tag in self._names[i:]:
+            self._places[tag].pop()
+            self._hidden -= tag in HIDDEN
+        while self._stops[-1] >= i:
+            self._stops.pop()
+        del self._stack[i:], self._names[i:]
+
+    def _node(self, tag: str, groups: int, text: str | None, block: int) -> int:
+        parent = self._stack[-1]
         self.parent.append(parent)
+        self.depth.append(self.depth[parent] + 1)
         self.tag.append(tag)
         self.groups.append(groups)
         self.text.append(text)
@@ -146,8 +164,19 @@ class Page:
         return "\n".join(x for x in (" ".join("".join(parts).split()) for parts in blocks.values()) if x)
 
 
+def _grid(x):
+    """Numbers as multiples of 2^-20, whose sums are exact in any order."""
+    return np.round(np.ldexp(x, 20)) / (1 << 20)
+
+
+#: Each separate start of main text costs, so an article is taken whole rather than in pieces; passing a node by costs a little.
+ENTER, BEGIN_BELOW = float(_grid(0.8)), float(_grid(0.05))
+#: What it costs to leave a node out of main text; a paragraph or a piece of a sentence is rarely anything else than the text around it.
+PRUNE, PRUNE_PIECE = 1.0, 4.0
+
+
 class Forest:
-    """The nodes of several pages as arrays, by level."""
+    """The nodes of several pages as arrays, parents before their children: a subtree is the range from its root to ``end``."""
 
     def __init__(self, pages: list[Page]):
         sizes = np.array([len(p.parent) for p in pages])
@@ -164,33 +193,25 @@ class Forest:
         self.words = np.array([len(t.split()) for t in texts], float)
         self.marks = np.array([t.count(".") + t.count(",") + t.count("?") + t.count("!") for t in texts], float)
         self.is_text = self.tag == 0
-        self.depth = self._depths()
-        order = np.argsort(self.depth, kind="stable")
-        self.levels = np.split(order, np.flatnonzero(np.diff(self.depth[order])) + 1)
-
-    def _depths(self) -> np.ndarray:
-        depth = np.zeros(len(self.parent), np.int64)
-        at = np.arange(len(self.parent))
-        while True:
-            up = at != self.root
-            if not up.any():
-                return depth
-            depth += up
-            at = self.parent[at]
+        self.depth = np.concatenate([np.array(p.depth) for p in pages])
+        self.end = np.arange(len(self.parent)) + self._sizes()
+
+    def _sizes(self) -> np.ndarray:
+        size, parent = [1] * len(self.parent), self.parent.tolist()
+        for i in range(len(size) - 1, -1, -1):
+            if parent[i] != i:
+                size[parent[i]] += size[i]
+        return np.array(size)
 
     def up(self, values: np.ndarray) -> np.ndarray:
-        """Sums over subtrees."""
-        total = values.astype(float).copy()
-        for level in reversed(self.levels[1:]):
-            np.add.at(total, self.parent[level], total[level])
-        return total
+        """Sums over subtrees; exact for whole numbers and for those of :func:`_grid`."""
+        before = np.concatenate([[0.0], np.cumsum(values.astype(float))])
+        return before[self.end] - before[:-1]
 
     def down(self, values: np.ndarray) -> np.ndarray:
-        """Sums over proper ancestors."""
-        total = np.zeros(len(values))
-        for level in self.levels[1:]:
-            total[level] = total[self.parent[level]] + values[self.parent[level]]
-        return total
+        """Sums over proper ancestors: what began before, less what ended; exact as :meth:`up`."""
+        ended = np.cumsum(np.bincount(self.end, values, minlength=len(values) + 1))[:-1]
+        return np.cumsum(values.astype(float)) - values - ended
 
     def features(self) -> np.ndarray:
         n = len(self.parent)
@@ -230,35 +251,37 @@ class Forest:
 
     def decode(self, odds: np.ndarray) -> np.ndarray:
         """Which nodes are main text, by the best consistent states."""
+        return self.states(self.gains(odds)) == 1
+
+    def gains(self, odds: np.ndarray) -> np.ndarray:
+        """What each node adds as main text and costs as excluded: log-odds, weighted by text."""
         weight = np.where(self.is_text, np.log1p(self.chars) / 2, 0.25)
-        gain = np.clip(odds, -6, 6) * weight
-        empty = self.is_text & (self.chars == 0)
-        gain[empty] = 0.0
-        enter = 0.8  # each separate start of main text costs, so an article is taken whole rather than in pieces
-        # a paragraph or a piece of a sentence is rarely anything else than the text around it
-        prune = np.where(np.isin(self.tag, [TAGS.index(t) for t in ("inline", "p", "h", "a")]), 4.0, 1.0)
-        n = len(gain)
-        inside, outside = np.zeros(n), np.zeros(n)
+        gain = _grid(np.clip(odds, -6, 6) * weight)
+        gain[self.is_text & (self.chars == 0)] = 0.0
+        return gain
+
+    def states(self, gain: np.ndarray) -> np.ndarray:
+        """The best consistent states: 0 outside, 1 main text, 2 excluded."""
+        best_free, best_within = self._choices(gain)
+        state, parent = best_free.tolist(), self.parent.tolist()
+        for i, within in enumerate(best_within.tolist()):
+            if parent[i] != i and (above := state[parent[i]]):
+                state[i] = within if above == 1 else 2
+        return np.array(state)
+
+    def _choices(self, gain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each node's best state below an outside parent and below one in main text, from the largest sums of its subtree."""
         excluded = -self.up(gain)
-        for level in reversed(self.levels):
-            text = self.is_text[level]
-            inside[level] += gain[level]
-            outside[level] = np.where(text, -np.inf, outside[level] - 0.05)
-            if len(level) and self.depth[level[0]]:
-                up = self.parent[level]
-                np.add.at(inside, up, np.where(text, inside[level], np.maximum(inside[level], excluded[level] - prune[level])))
-                np.add.at(outside, up, np.maximum(np.maximum(inside[level] - enter, excluded[level]), outside[level]))
-        state = np.zeros(n, np.int8)  # 0 outside, 1 main text, 2 excluded
-        for k, level in enumerate(self.levels):
-            text = self.is_text[level]
-            free = np.argmax(np.column_stack([outside[level], inside[level] - enter, excluded[level]]), axis=1)
-            if k == 0:
-                state[level] = free
-                continue
-            up = state[self.parent[level]]
-            within = np.where(text | (inside[level] >= excluded[level] - prune[level]), 1, 2)
-            state[level] = np.where(up == 0, free, np.where(up == 1, within, 2))
-        return state == 1
+        cut = excluded - np.where(np.isin(self.tag, [TAGS.index(t) for t in ("inline", "p", "h", "a")]), PRUNE_PIECE, PRUNE)
+        inside, outside = gain.tolist(), np.where(self.is_text, -np.inf, -BEGIN_BELOW).tolist()
+        for i, (parent, text, gone, pruned) in enumerate(zip(self.parent[::-1].tolist(), self.is_text[::-1].tolist(), excluded[::-1].tolist(), cut[::-1].tolist())):
+            i = len(inside) - 1 - i
+            if parent != i:
+                inside[parent] += inside[i] if text else max(inside[i], pruned)
+                outside[parent] += max(inside[i] - ENTER, gone, outside[i])
+        inside, outside = np.array(inside), np.array(outside)
+        free = np.argmax(np.column_stack([outside, inside - ENTER, excluded]), axis=1)
+        return free, np.where(self.is_text | (inside >= cut), 1, 2)
 
 
 _IN, _OUT = "<!--in-->", "<!--out-->"

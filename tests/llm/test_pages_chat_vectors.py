@@ -7,6 +7,7 @@ import html as entities
 import json
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -69,6 +70,93 @@ def test_any_markup_is_read(source, model):
     assert isinstance(page.main_text(forest.decode(2 * model.margins(forest.features()))), str)
 
 
+def plain_parents(source: str) -> list[int]:
+    """The parents of a page's nodes by walking the whole stack at every tag."""
+    parent, stack, names = [-1], [0], [""]
+    for end, tag, text in re.findall(r"<(/?)(\w+)>|([^<]+)", source):
+        if text:
+            parent.append(stack[-1])
+        elif end:
+            at = max((i for i, x in enumerate(names) if x == tag), default=0)
+            if at and (tag in html._STOPS or not any(x in html._STOPS for x in names[at + 1 :])):
+                del stack[at:], names[at:]
+        else:
+            closes = ("p",) if tag in html.BLOCKS and tag not in html._CLOSES else html._CLOSES.get(tag, ())
+            for i in range(len(names) - 1, 0, -1):
+                if names[i] in closes:
+                    del stack[i:], names[i:]
+                    if tag != "tr":
+                        break
+                elif names[i] in html._STOPS:
+                    break
+            parent.append(stack[-1])
+            stack.append(len(parent) - 1)
+            names.append(tag)
+    return parent
+
+
+def soup(rng: random.Random, n: int, tags: str) -> str:
+    return "".join(rng.choice(["x", f"<{t}>", f"<{t}>", f"</{t}>"]) for t in rng.choices(tags.split(), k=n))
+
+
+def test_nesting_equals_a_walk_of_the_stack():
+    rng = random.Random(4)
+    for n in (3, 10, 40, 200) * 40:
+        source = soup(rng, n, "p p b div li ul td th tr table dt dd span article h2 body")
+        assert html.Page(source).parent == plain_parents(re.sub("x+", "x", source)), source
+
+
+def test_sums_over_subtrees_and_ancestors():
+    rng = random.Random(6)
+    forest = html.Forest([html.Page(soup(rng, n, "p b div li ul")) for n in (0, 5, 60, 1)])
+    values = np.arange(len(forest.parent)) % 7 + 1
+    up, down = values.copy(), np.zeros(len(values))
+    for i in range(len(values)):
+        at, depth = i, 0
+        while at != forest.root[i]:
+            at, depth = forest.parent[at], depth + 1
+            up[at] += values[i]
+            down[i] += values[at]
+        assert forest.depth[i] == depth
+    assert forest.up(values).tolist() == up.tolist() and forest.down(values).tolist() == down.tolist()
+
+
+def test_decoding_equals_all_assignments():
+    rng, numbers = random.Random(8), np.random.default_rng(8)
+    for n in [2, 3, 5, 7, 8, 9, 10, 10] * 4 + [12]:
+        page = html.Page("")
+        while len(page.parent) != n:
+            page = html.Page(soup(rng, n, "p b div section"))
+        forest = html.Forest([page])
+        gain = html._grid(numbers.normal(0, 2, n))
+        every = np.indices((3,) * n).reshape(n, -1)
+        score, fine = np.zeros(every.shape[1]), np.ones(every.shape[1], bool)
+        for i, (state, up) in enumerate(zip(every, every[forest.parent])):
+            text, root = forest.is_text[i], i == 0
+            fine &= ~((state == 0) & text)
+            if not root:
+                fine &= (up == 0) | ((up == 1) & (state != 0) & ((state == 1) | (not text))) | ((up == 2) & (state == 2))
+            piece = html.TAGS[forest.tag[i]] in ("inline", "p", "h", "a")
+            score += np.select([state == 1, state == 2], [gain[i], -gain[i]], -html.BEGIN_BELOW)
+            score -= html.ENTER * ((state == 1) & ((up == 0) | root))
+            score -= np.where(~np.bool_(root) & (state == 2) & (up == 1), html.PRUNE_PIECE if piece else html.PRUNE, 0)
+        best = score[fine].max()
+        found = (every == forest.states(gain)[:, None]).all(axis=0)
+        assert fine[found].all() and score[found][0] == best
+
+
+@pytest.mark.parametrize("piece", ["<b>", "<p><i>", "<div>", "</b><b>x", "<li><td>", "<table><tr>", "<script></script><i>"])
+def test_a_long_page_of_open_tags_takes_linear_time(piece, model):
+    seconds = []
+    for size in (100_000, 800_000):
+        began = time.process_time()
+        page = html.Page(piece * (size // len(piece)) + "end")
+        forest = html.Forest([page])
+        page.main_text(forest.decode(2 * model.margins(forest.features())))
+        seconds.append(time.process_time() - began)
+    assert seconds[1] < 24 * seconds[0] + 2 and seconds[1] < 60
+
+
 def test_page_edges(spark, make, model):
     rows = [(1, "u", None, "x"), (2, None, "", "x"), (None, "u", "<article><p>One two, three four.</p><p>Five&nbsp;six \n seven.</article>", "x"), (2, None, "", "x")]
     pages = make(rows, "page_id long, url string, html string, text string")
