@@ -1,92 +1,120 @@
 """Token counts of flat token files: vectorised search for end-of-document ids, stitched by a prefix scan.
 
-A flat token file is a run of little-endian ids without any index, cut in blocks at arbitrary places: rows (file, block,
-ids binary). A document is what stands before an end-of-document id, which it includes; ids after a
+A flat token file is a run of little-endian ids without any index. Tasks open byte ranges of it by seek, so a file may have any length and is read by
+many tasks: rows (file, block, ids binary). A document is what stands before an end-of-document id, which it includes; ids after a
 file's last end id are a document that is not complete.
 
 Each block is searched by itself in one vector operation. What its first document has before the block comes from an exclusive
 prefix scan over (ids, separators, place of the last separator) of the file's blocks, in two levels, so that one task never scans
 more than ``SPAN`` blocks or the sums of the spans of a file.
 
-Blocks without ids are allowed; a file without ids has no documents; null ``ids`` count as none. An empty table gives
-no rows. Extra columns are not read.
+Blocks without ids are allowed; a file without ids has no documents; null ``ids`` count as none; a file that ends within an id is an error. An empty table gives
+no rows. A document may be longer than any block. Repeated rows (also of one doc_id) are documents of their own; there are no ties, as places in a file are unique. Extra columns are not read.
+
+Files are opened in the tasks through Arrow's file systems (local paths, hdfs, s3, gs, abfs).
 """
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foldmill.llm import tokens
-from foldmill.llm.common import ready, slices, stored
+from foldmill.llm.common import discard, partitions, ready, slices, stored
+from foldmill.session import new_folder
 
 #: Blocks that one window of the first level scans.
 SPAN = 1024
-BLOCK_BYTES = 1 << 19
-FLAT_SCHEMA = "file int, block long, ids binary, first_doc long, doc_ids array<long>"
+#: Bytes that one read of a file takes; a multiple of any id's width.
+BLOCK_BYTES = 1 << 21
+WRITTEN = "file int, path string, length long, first_doc long, doc_ids array<long>"
+
+
+def _place(path: str):
+    """Arrow's file system for a path or URI, and the path in it."""
+    from pyarrow import fs
+
+    local = path.removeprefix("file:")
+    if local.startswith("/"):
+        return fs.LocalFileSystem(), local
+    return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
 
 
 def read_flat_files(spark: SparkSession, path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Blocks of the flat files at ``path`` (columns file, block, ids). A file is read by one task and must be under
-    2 GB, as that reader demands; its name is its id."""
-    ready(spark)
+    """Blocks of the flat files at ``path`` (columns file, block, ids); a file's name is its id. Files are listed, not read, here."""
+    listed = spark.read.format("binaryFile").load(path)
+    return read_ranges(listed.select(F.col("path").alias("file"), "path", "length"), block_bytes)
+
+
+def read_ranges(files: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Blocks (file, block, ids) of the files in rows (file, path, length). Ranges are dealt to all tasks, whichever file they are of; an empty file has one empty block."""
+    if block_bytes % 8:
+        raise ValueError("a block must hold whole ids: take a multiple of 8 bytes")
+    spark = ready(files.sparkSession)
+    starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(block_bytes).cast("long"))
+    ranges = files.select("file", "path", "length", F.posexplode(starts).alias("block", "at"))
+    ranges = ranges.select("file", F.col("block").cast("long").alias("block"), "path", "at", F.least(F.col("length") - F.col("at"), F.lit(block_bytes)).alias("size"))
 
     def run(batches):
         for batch in batches:
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                held = memoryview(content.as_buffer())
-                for i, at in enumerate(range(0, max(len(held), 1), block_bytes)):
-                    yield pa.RecordBatch.from_pydict({"file": [name], "block": pa.array([i], pa.int64()), "ids": pa.array([held[at : at + block_bytes].tobytes()], pa.binary())})
+            for i, (path, at, size) in enumerate(zip(*(batch.column(c).to_pylist() for c in (2, 3, 4)))):
+                system, name = _place(path)
+                held = b""
+                if size:
+                    with system.open_input_file(name) as file:
+                        held = file.read_at(size, at)
+                if len(held) != size:
+                    raise OSError(f"{path} is shorter than it was listed")
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), pa.array([held], pa.binary())], names=["file", "block", "ids"])
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "file string, block long, ids binary")
+    return ranges.repartition(partitions(spark), "file", "block").mapInArrow(run, f"file {files.schema['file'].dataType.simpleString()}, block long, ids binary")
 
 
-def flat_tokens(docs: DataFrame, path: str | None = None, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
-    """Documents as flat token files, one for each task that reads them, and the end-of-document id.
+def write_flat_files(docs: DataFrame, folder: str, path: str | None = None) -> tuple[DataFrame, int]:
+    """Write documents as flat token files in ``folder``, one for each task that reads them; what was written, and the end-of-document id.
 
-    The end id is the first one the tokenizer cannot give, so texts never hold it. Beside the blocks stand
-    rows (``doc_ids`` set) with the documents' ids in their order; they hold no lengths. Null text: the end id only.
+    The end id is the first one the tokenizer cannot give, so texts never hold it. The rows name each file (file, path, length) and, apart (``doc_ids`` set), the
+    documents' ids in their order; they hold no lengths. Null text: the end id only. Each attempt of a task writes a file of its own name, so only
+    the files that the rows name are whole; others, of lost attempts, are not read. The folder must be new: the rows are written once, at this call.
     """
     path = path or tokens.default_path()
     end_id = tokens.encoder(path).vocabulary
     wide = "<u2" if end_id < 65536 else "<u4"
 
+    def row(file, name=None, length=None, first=None, names=None):
+        columns = [pa.array([file], pa.int32()), pa.array([name], pa.string()), pa.array([length], pa.int64()), pa.array([first], pa.int64()), pa.array([names], pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays(columns, names=["file", "path", "length", "first_doc", "doc_ids"])
+
     def run(batches):
         from pyspark import TaskContext
 
         coder, file = tokens.encoder(path), TaskContext.get().partitionId()
-        block, seen, rest = 0, 0, b""
-
-        def row(ids=None, first=None, names=None):
-            nonlocal block
-            columns = [pa.array([file], pa.int32()), pa.array([block], pa.int64()), pa.array([ids], pa.binary()), pa.array([first], pa.int64()), pa.array([names], pa.list_(pa.int64()))]
-            block += ids is not None
-            return pa.RecordBatch.from_arrays(columns, names=["file", "block", "ids", "first_doc", "doc_ids"])
-
-        for batch in batches:
-            names, texts = batch.column(0).to_pylist(), ["" if x is None else x for x in batch.column(1).to_pylist()]
-            for a, b in slices([len(x) for x in texts], 2_000_000):
-                found, n = coder.encode(texts[a:b])
-                ends = np.cumsum(n + 1)
-                flat = np.empty(int(ends[-1]), wide)
-                flat[ends - 1] = end_id
-                inner = np.ones(len(flat), bool)
-                inner[ends - 1] = False
-                flat[inner] = found
-                rest += flat.tobytes()
-                whole = len(rest) // block_bytes * block_bytes
-                for at in range(0, whole, block_bytes):
-                    yield row(rest[at : at + block_bytes])
-                rest = rest[whole:]
-            yield row(None, seen, names)
-            seen += len(names)
-        if rest:
-            yield row(rest)
+        target = f"{folder}/{file:06d}-{uuid.uuid4().hex}.ids"
+        system, name = _place(target)
+        system.create_dir(name.rsplit("/", 1)[0], recursive=True)
+        seen = length = 0
+        with system.open_output_stream(name) as out:
+            for batch in batches:
+                names, texts = batch.column(0).to_pylist(), ["" if x is None else x for x in batch.column(1).to_pylist()]
+                for a, b in slices([len(x) for x in texts], 2_000_000):
+                    found, n = coder.encode(texts[a:b])
+                    ends = np.cumsum(n + 1)
+                    flat = np.full(int(ends[-1]), end_id, wide)
+                    inner = np.ones(len(flat), bool)
+                    inner[ends - 1] = False
+                    flat[inner] = found
+                    out.write(flat.tobytes())
+                    length += flat.nbytes
+                yield row(file, first=seen, names=names)
+                seen += len(names)
+        yield row(file, target, length)
 
     ready(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, FLAT_SCHEMA), end_id
+    return stored(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, WRITTEN), "flat-files"), end_id
 
 
 def separators(blocks: DataFrame, end_id: int, wide: str = "<u2") -> DataFrame:
@@ -124,7 +152,9 @@ def scanned(found: DataFrame, span: int = SPAN) -> DataFrame:
 
 def token_counts(blocks: DataFrame, end_id: int, wide: str = "<u2", span: int = SPAN) -> DataFrame:
     """Per document of the flat files: file, ordinal (from 0 in its file), start (in ids), n_tokens, complete."""
-    rows = stored(scanned(stored(separators(blocks, end_id, wide), "separators"), span), "scanned")
+    found = stored(separators(blocks, end_id, wide), "separators")
+    rows = stored(scanned(found, span), "scanned")
+    discard(found)
     ends = F.transform("places", lambda p: p + F.col("at") + 1)
     whole = rows.where(F.size("places") > 0).select("file", "docs", "last", F.posexplode(F.arrays_zip(ends.alias("end"), F.concat(F.array("last"), F.slice(ends, 1, F.size("places") - 1)).alias("start"))))
     whole = whole.select("file", (F.col("docs") + F.col("pos")).alias("ordinal"), F.col("col.start").alias("start"), (F.col("col.end") - F.col("col.start")).alias("n_tokens"), F.lit(True).alias("complete"))
@@ -135,9 +165,9 @@ def token_counts(blocks: DataFrame, end_id: int, wide: str = "<u2", span: int =
 
 def document_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``docs`` as flat token files in the shared folder, count by separators, and name the documents again."""
-    flat, end_id = flat_tokens(docs, path)
-    flat = stored(flat, "flat-tokens")
-    counts = token_counts(flat.where("ids is not null"), end_id, "<u2" if end_id < 65536 else "<u4")
-    names = flat.where("doc_ids is not null").select("file", "first_doc", F.posexplode("doc_ids").alias("pos", "doc_id"))
+    written, end_id = write_flat_files(docs, new_folder(docs.sparkSession, "tokens"), path)
+    blocks = read_ranges(written.where("path is not null").select("file", "path", "length"))
+    counts = token_counts(blocks, end_id, "<u2" if end_id < 65536 else "<u4")
+    names = written.where("doc_ids is not null").select("file", "first_doc", F.posexplode("doc_ids").alias("pos", "doc_id"))
     names = names.select("file", (F.col("first_doc") + F.col("pos")).alias("ordinal"), "doc_id")
     return names.join(counts, ["file", "ordinal"]).select("doc_id", "file", "ordinal", "start", "n_tokens", "complete")

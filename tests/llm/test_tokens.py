@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from foldmill.llm import ans, separators, tokens
 
@@ -123,3 +124,45 @@ def test_real_flat_files(spark, tmp_path):
     blocks = separators.read_flat_files(spark, str(tmp_path), block_bytes=8)
     got = sorted((r.ordinal, r.start, r.n_tokens, r.complete) for r in separators.token_counts(blocks, 7, "<u4").collect())
     assert got == [(0, 0, 2, True), (1, 2, 3, True), (2, 5, 1, False)]
+
+
+def test_byte_ranges_equal_a_plain_loop(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    want = []
+    for name, n, wide in (("a", 0, 50), ("b", 1, 50), ("c", 40_000, 50), ("d", 40_000, 60_000), ("e", 4096, 8)):
+        ids = rng.integers(0, wide, n).astype("<u2")
+        (tmp_path / f"{name}.ids").write_bytes(ids.tobytes())
+        start = 0
+        for ordinal, end in enumerate([*(np.flatnonzero(ids == 7) + 1).tolist(), n]):
+            if end > start:
+                want.append((f"{name}.ids", ordinal, start, end - start, bool(ids[end - 1] == 7)))
+            start = end
+    for block_bytes in (64, 8192, 1 << 20):
+        blocks = separators.read_flat_files(spark, str(tmp_path), block_bytes)
+        got = separators.token_counts(blocks, 7, span=16).collect()
+        assert sorted((r.file.rsplit("/", 1)[1], *r[1:]) for r in got) == sorted(want)
+    assert separators.read_flat_files(spark, str(tmp_path), 64).rdd.getNumPartitions() > 1
+
+
+def test_ranges_hold_whole_ids(spark, tmp_path):
+    (tmp_path / "a.ids").write_bytes(b"123")
+    with pytest.raises(ValueError):
+        separators.read_flat_files(spark, str(tmp_path), 9)
+    with pytest.raises(Exception):
+        separators.token_counts(separators.read_flat_files(spark, str(tmp_path)), 7).collect()
+
+
+def test_files_of_lost_attempts_are_not_read(spark, make, tmp_path):
+    docs = make([(i, "one two three") for i in range(30)], "doc_id long, text string").withColumn("ids", F.lit(b"x")).withColumn("file", F.lit(5))
+    written, end_id = separators.write_flat_files(docs, str(tmp_path))
+    (tmp_path / "000000-lost.ids").write_bytes(b"12")
+    files = written.where("path is not null").select("file", "path", "length")
+    got = separators.token_counts(separators.read_ranges(files, 8), end_id).collect()
+    assert len(got) == 30 and len({r.n_tokens for r in got}) == 1 and all(r.complete for r in got)
+
+
+def test_repeated_ids_and_clashing_columns(make, library):
+    docs = make([(1, "a b", 0, "x"), (1, "a b", 0, "y"), (None, None, 1, "z"), (2, "long " * 200_000, 2, "")], "doc_id long, text string, file int, ids string")
+    got = sorted((r.doc_id or 0, r.n_tokens) for r in separators.document_counts(docs).collect())
+    n = [len(library.encode(t, add_special_tokens=False).ids) + 1 for t in ("a b", "long " * 200_000)]
+    assert got == [(0, 1), (1, n[0]), (1, n[0]), (2, n[1])]
