@@ -307,3 +307,47 @@ def test_no_documents_no_spans(make):
     assert pii.report(make([], "doc_id long, text string")).count() == 0
     only = pii.report(make([(1, "nothing here"), (2, None)], "doc_id long, text string")).collect()
     assert [r.spans for r in only] == ["", ""]
+
+
+PLANTED = [
+    ("national", "please call 555-123-4567 today"), ("national", "the desk (212) 555-0187 is open"), ("national", "phone: 030 1234567, ask for Ann"), ("number", "card 3782 822463 10005 expires soon"), ("number", "paid with 378282246310005 yesterday"),
+    ("number", "card 4111 1111 1111 1111 7 as said"), ("ipv6", "host 2001:db8:85a3::7334 answered"), ("ipv6", "it came from fe80::1ff:fe23:4567:890a again"), ("written", "ask john at example dot com for it"),
+    ("written", "ask john [at] example.com for it"), ("ssn", "my ssn 219-09-9999 is on file"), ("credential", "use password=hunter2 to get in"),
+]
+CLEAN = [
+    "pages 120-135 of the book", "the order 1234 5678 was late", "about 12 500 people came", "it starts at 12:30 and ends at 14:45:10", "mac 00:1a:2b:3c:4d:5e was seen", "look at example.com for more", "part 219-09-9999 is out of stock",
+    "tracking 37828224631000 1", "version 10.123.456 came out", "password: required for all", "the token: something that stands for a word", "between 1999 2005 it grew", "see you at noon. Then we go", "",
+]
+
+
+def test_wider_kinds_are_found_and_look_alikes_are_left_alone(make):
+    rows = [(i, text) for i, (_, text) in enumerate(PLANTED)] + [(100 + i, text) for i, text in enumerate(CLEAN)]
+    found = {r.doc_id: {s.split(":")[0] for s in r.spans.split(",")} - {""} for r in pii.report(make(rows, "doc_id long, text string")).collect()}
+    missed = [PLANTED[i] for i in range(len(PLANTED)) if PLANTED[i][0] not in found[i]]
+    wrong = [(text, found[100 + i]) for i, text in enumerate(CLEAN) if found[100 + i]]
+    assert len(missed) <= 1 and len(wrong) <= 1, (missed, wrong)
+
+
+def test_trees_do_not_see_their_labels():
+    assert not any("valid" in x or "label" in x for x in pii.FEATURES)
+
+
+def test_composed_lines_hold_what_they_say(spark):
+    rows = pii.composed(spark, 10).collect()
+    seen = Counter((pii.KINDS[r.kind], r.label) for r in rows)
+    for (kind, label), templates in pii.TEMPLATES.items():
+        assert 10 * len(templates) * 0.8 <= seen[kind, label] <= 10 * len(templates) * 1.3, (kind, label, seen[kind, label])
+
+    def luhn(value):
+        digits = [int(c) for c in value if c.isdigit()][::-1]
+        return sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(digits)) % 10 == 0
+
+    assert all(luhn(r.value) == bool(r.label) for r in rows if pii.KINDS[r.kind] == "number" and "#" not in r.value)
+
+
+def test_overlap_is_settled_span_by_span(make):
+    rows = [(1, "call 555-123-4567 219-09-9999 password=hunter2 a@b.co"), (2, "x" * 50_000 + " call 555-123-4567 " + "1 2 3 4 " * 5000)]
+    docs = make([(*r, "clash", 0) for r in rows], "doc_id long, text string, kind string, rid int")
+    for r in pii.report(docs).collect():
+        spans = sorted((int(a), int(b)) for _, a, b in (s.split(":") for s in r.spans.split(",") if s))
+        assert spans and all(b <= c for (_, b), (c, _) in zip(spans, spans[1:]))
