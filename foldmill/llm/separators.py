@@ -50,28 +50,39 @@ def read_flat_files(spark: SparkSession, path: str, block_bytes: int = BLOCK_BYT
     return read_ranges(listed.select(F.col("path").alias("file"), "path", "length"), block_bytes)
 
 
-def read_ranges(files: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Blocks (file, block, ids) of the files in rows (file, path, length). Ranges are dealt to all tasks, whichever file they are of; an empty file has one empty block."""
+def _ranges(files: DataFrame, block_bytes: int) -> DataFrame:
+    """Byte ranges (file, block, path, at, size) of the files in rows (file, path, length), dealt to all tasks, whichever file they are of; an empty file has one empty range."""
     if block_bytes % 8:
         raise ValueError("a block must hold whole ids: take a multiple of 8 bytes")
-    spark = ready(files.sparkSession)
     starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0)), F.lit(block_bytes).cast("long"))
     ranges = files.select("file", "path", "length", F.posexplode(starts).alias("block", "at"))
     ranges = ranges.select("file", F.col("block").cast("long").alias("block"), "path", "at", F.least(F.col("length") - F.col("at"), F.lit(block_bytes)).alias("size"))
+    return ranges.repartition(partitions(ready(files.sparkSession)), "file", "block")
+
+
+def _opened(batch):
+    """The bytes of each range of a batch, one after another."""
+    for path, at, size in zip(*(batch.column(c).to_pylist() for c in (2, 3, 4))):
+        system, name = _place(path)
+        held = b""
+        if size:
+            with system.open_input_file(name) as file:
+                held = file.read_at(size, at)
+        if len(held) != size:
+            raise OSError(f"{path} is shorter than it was listed")
+        yield held
+
+
+def read_ranges(files: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Blocks (file, block, ids) of the files in rows (file, path, length)."""
+    ranges = _ranges(files, block_bytes)
 
     def run(batches):
         for batch in batches:
-            for i, (path, at, size) in enumerate(zip(*(batch.column(c).to_pylist() for c in (2, 3, 4)))):
-                system, name = _place(path)
-                held = b""
-                if size:
-                    with system.open_input_file(name) as file:
-                        held = file.read_at(size, at)
-                if len(held) != size:
-                    raise OSError(f"{path} is shorter than it was listed")
+            for i, held in enumerate(_opened(batch)):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), batch.column(1).slice(i, 1), pa.array([held], pa.binary())], names=["file", "block", "ids"])
 
-    return ranges.repartition(partitions(spark), "file", "block").mapInArrow(run, f"file {files.schema['file'].dataType.simpleString()}, block long, ids binary")
+    return ranges.mapInArrow(run, f"file {files.schema['file'].dataType.simpleString()}, block long, ids binary")
 
 
 def write_flat_files(docs: DataFrame, folder: str, path: str | None = None) -> tuple[DataFrame, int]:
@@ -107,7 +118,7 @@ def write_flat_files(docs: DataFrame, folder: str, path: str | None = None) -> t
                     inner = np.ones(len(flat), bool)
                     inner[ends - 1] = False
                     flat[inner] = found
-                    out.write(flat.tobytes())
+                    out.write(pa.py_buffer(flat))
                     length += flat.nbytes
                 yield row(file, first=seen, names=names)
                 seen += len(names)
@@ -117,23 +128,36 @@ def write_flat_files(docs: DataFrame, folder: str, path: str | None = None) -> t
     return stored(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, WRITTEN), "flat-files"), end_id
 
 
+def _searched(batch, ids: list[np.ndarray], end_id: int):
+    places = [np.flatnonzero(x == end_id).astype(np.int64) for x in ids]
+    lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(x) for x in places]), pa.int32()), pa.array(np.concatenate(places)))
+    return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(x) for x in ids], pa.int64()), lists], names=["file", "block", "n", "places"])
+
+
 def separators(blocks: DataFrame, end_id: int, wide: str = "<u2") -> DataFrame:
     """For each block: its number of ids and the places of its end ids."""
     kind = np.dtype(wide)
 
     def run(batches):
         for batch in batches:
-            ids = [np.frombuffer(x.as_buffer(), kind) if x.is_valid else np.zeros(0, kind) for x in batch.column(2)]
-            places = [np.flatnonzero(x == end_id).astype(np.int64) for x in ids]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([len(x) for x in ids], pa.int64()), pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(x) for x in places]), pa.int32()), pa.array(np.concatenate(places)))],
-                names=["file", "block", "n", "places"],
-            )
+            yield _searched(batch, [np.frombuffer(x.as_buffer(), kind) if x.is_valid else np.zeros(0, kind) for x in batch.column(2)], end_id)
 
     ready(blocks.sparkSession)
     return blocks.select("file", "block", "ids").mapInArrow(run, f"file {blocks.schema['file'].dataType.simpleString()}, block long, n long, places array<long>")
 
 
+def file_separators(files: DataFrame, end_id: int, wide: str = "<u2", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """What :func:`separators` gives for the blocks of files (file, path, length); ranges are read and searched by the same worker, their ids go nowhere else."""
+    kind = np.dtype(wide)
+
+    def run(batches):
+        for batch in batches:
+            for i, held in enumerate(_opened(batch)):
+                yield _searched(batch.slice(i, 1), [np.frombuffer(held, kind)], end_id)
+
+    return _ranges(files, block_bytes).mapInArrow(run, f"file {files.schema['file'].dataType.simpleString()}, block long, n long, places array<long>")
+
+
 def scanned(found: DataFrame, span: int = SPAN) -> DataFrame:
     """Add to each block what stands before it in its file: ``at`` ids, ``docs`` separators, and ``last``, the end of the
     last complete document (0 if none)."""
@@ -151,8 +175,18 @@ def scanned(found: DataFrame, span: int = SPAN) -> DataFrame:
 
 
 def token_counts(blocks: DataFrame, end_id: int, wide: str = "<u2", span: int = SPAN) -> DataFrame:
-    """Per document of the flat files: file, ordinal (from 0 in its file), start (in ids), n_tokens, complete."""
-    found = stored(separators(blocks, end_id, wide), "separators")
+    """Per document of the flat files in ``blocks``: file, ordinal (from 0 in its file), start (in ids), n_tokens, complete."""
+    return counted(separators(blocks, end_id, wide), span)
+
+
+def file_counts(files: DataFrame, end_id: int, wide: str = "<u2", span: int = SPAN, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """:func:`token_counts` of files (file, path, length) by byte ranges."""
+    return counted(file_separators(files, end_id, wide, block_bytes), span)
+
+
+def counted(found: DataFrame, span: int = SPAN) -> DataFrame:
+    """Documents from the blocks' separators."""
+    found = stored(found, "separators")
     rows = stored(scanned(found, span), "scanned")
     discard(found)
     ends = F.transform("places", lambda p: p + F.col("at") + 1)
@@ -166,8 +200,8 @@ def token_counts(blocks: DataFrame, end_id: int, wide: str = "<u2", span: int =
 def document_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``docs`` as flat token files in the shared folder, count by separators, and name the documents again."""
     written, end_id = write_flat_files(docs, new_folder(docs.sparkSession, "tokens"), path)
-    blocks = read_ranges(written.where("path is not null").select("file", "path", "length"))
-    counts = token_counts(blocks, end_id, "<u2" if end_id < 65536 else "<u4")
+    files = written.where("path is not null").select("file", "path", "length")
+    counts = file_counts(files, end_id, "<u2" if end_id < 65536 else "<u4")
     names = written.where("doc_ids is not null").select("file", "first_doc", F.posexplode("doc_ids").alias("pos", "doc_id"))
     names = names.select("file", (F.col("first_doc") + F.col("pos")).alias("ordinal"), "doc_id")
     return names.join(counts, ["file", "ordinal"]).select("doc_id", "file", "ordinal", "start", "n_tokens", "complete")
