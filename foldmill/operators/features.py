@@ -25,7 +25,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultP
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foldmill.operators import dictionary, stats
+from foldmill.operators import dictionary, exact, stats
 from foldmill.operators.dictionary import MISSING, Dictionary
 from foldmill.operators.evaluate import listed
 from foldmill.session import remove_folder
@@ -422,10 +422,12 @@ def fit_features(
     categorical: Sequence[str],
     imputed: bool = True,
     drop_first: bool = False,
+    exactly: bool = False,
 ) -> FeaturePlan:
-    """Fit on all given rows. ``imputed=False`` is for tables whose incomplete rows were dropped before."""
+    """Fit on all given rows. ``imputed=False`` is for tables whose incomplete rows were dropped before, ``exactly`` takes moments whose bits do not depend on partitioning."""
     one = train.withColumn("fold", F.lit(0).cast("bigint"))
-    numbers = stats.mean_and_deviation(stats.moments(one, numeric, ["fold"]), imputed) if numeric else None
+    found = (exact.moments(exact.cells(one, numeric, ["fold"]), ["fold"]) if exactly else stats.moments(one, numeric, ["fold"])) if numeric else None
+    numbers = stats.mean_and_deviation(found, imputed) if numeric else None
     counts = stats.category_counts(one, categorical, ["fold"]) if categorical else None
     plans = _collect_plans(numbers, counts, numeric, categorical, drop_first)
     if 0 not in plans:
@@ -433,15 +435,19 @@ def fit_features(
     return plans[0]
 
 
+def train_moments_exactly(folded: DataFrame, folds: int, numeric: Sequence[str]) -> DataFrame:
+    """Moments of the train rows of every fold, from exact sums."""
+    return exact.moments(exact.train_cells(exact.cells(folded, numeric, ["fold"]), folds), ["fold"])
+
+
 def fit_fold_features(
-    folded: DataFrame, folds: int, numeric: Sequence[str], categorical: Sequence[str], imputed: bool = True
+    folded: DataFrame, folds: int, numeric: Sequence[str], categorical: Sequence[str], imputed: bool = True, exactly: bool = False
 ) -> dict[int, FeaturePlan]:
-    """Per fold, the fit on the rows of all other folds; two passes over the table in all."""
+    """Per fold, the fit on the rows of all other folds; two passes over the table in all. ``exactly`` as in :func:`fit_features`."""
     numbers = counts = None
     if numeric:
-        numbers = stats.mean_and_deviation(
-            stats.train_moments(stats.moments(folded, numeric, ["fold"]), folds), imputed
-        )
+        found = train_moments_exactly(folded, folds, numeric) if exactly else stats.train_moments(stats.moments(folded, numeric, ["fold"]), folds)
+        numbers = stats.mean_and_deviation(found, imputed)
     if categorical:
         counts = stats.train_category_counts(stats.category_counts(folded, categorical, ["fold"]), folds)
     return _collect_plans(numbers, counts, numeric, categorical, False, folds)

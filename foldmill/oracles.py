@@ -425,6 +425,16 @@ ORACLES: dict[str, str] = {
         f"{rnd(f'avg({c})', 4)} mu, {rnd(f'stddev_pop({c})', 4)} sd from k join f on f.fold <> k.vf group by vf"
         for c in ("price", "qty")
     ),
+    "exact_moments": FOLDED + ", k as (select distinct fold vf from f), " + "s as (" + " union all ".join(
+        f"select vf fold, '{c}' column_name, cast(count(*) as bigint) n_rows, cast(count({c}) as bigint) n, sum(cast({c} as hugeint)) t, "
+        f"sum(cast({c} as hugeint) * cast({c} as hugeint)) q from k join f on f.fold <> k.vf group by vf"
+        for c in ("qty", "n_lines")
+    ) + ") select fold, column_name, n_rows, n, cast(t as double) / n mu, cast(n * q - t * t as double) / n m2 from s",
+    "exact_totals": RAW + " union all ".join(
+        f"select '{c}' column_name, cast(count(*) as bigint) n_rows, cast(count({c}) as bigint) n, "
+        f"cast(sum(cast({c} * 1152921504606846976 as hugeint)) as varchar) units from samples"
+        for c in ("price", "bal", "disc", "peak")
+    ),
     "fold_transform": FOLDED + FOLD_STATS + f"select id, fold, {PRICE_SCALED} price_scaled, {QTY_SCALED} qty_scaled, "
     "coalesce(prio, mode_prio) prio_filled from f join fs on fs.vf = f.fold",
     "transform_fold": FOLDED + FOLD_STATS + f"select id, {FOLD_ROLE}, {FOLD_SLOTS} from f cross join fs where vf = 2",

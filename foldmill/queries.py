@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from foldmill import fixtures as fx
 from foldmill.functions.hashing import hash32
-from foldmill.operators import clean, dense_net, dictionary, evaluate, features, keys, model, score, split, stats, tune
+from foldmill.operators import clean, dense_net, dictionary, evaluate, exact, features, keys, model, score, split, stats, tune
 from foldmill.session import new_folder, ship_package
 from foldmill.sources import registry, runs, tables
 
@@ -502,6 +502,20 @@ def fold_fit_stats(spark, sf_dir):
     return out.select("fold", "column_name", "n_rows", "n", rounded("mu", 4).alias("mu"), rounded("sd", 4).alias("sd"))
 
 
+@query
+def exact_moments(spark, sf_dir):
+    """Per fold the train rows' moments from exact sums, unrounded."""
+    out = features.train_moments_exactly(folded(spark, sf_dir), FOLDS, ["qty", "n_lines"])
+    return out.select("fold", "column_name", "n_rows", "n", "mu", "m2")
+
+
+@query
+def exact_totals(spark, sf_dir):
+    """The exact sums of the columns' doubles, in units of 2^-60."""
+    cols = ["price", "bal", "disc", "peak"]
+    return exact.moments(exact.cells(fx.samples(spark, sf_dir), cols)).select("column_name", "n_rows", "n", "units")
+
+
 @query
 def fold_transform(spark, sf_dir):
     rows = stored(fx.samples(spark, sf_dir).select("id", "price", "qty", "prio"))
