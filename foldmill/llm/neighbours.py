@@ -1,10 +1,13 @@
 """Nearest neighbours by largest inner product: a block matrix join over int8 tiles with error bounds.
 
-Vectors are packed in blocks. Every query block meets every candidate block once, as an equi-join on the candidate block's number. In
+Vectors are packed in blocks, in the table's own type (float stays float), and the blocks dealt over a grid of tasks: a cell holds up to ``HELD`` query blocks, and a share of
+the candidate blocks goes past them. A query block is sent along its row of cells, a candidate block along its column, so the shuffle carries each
+candidate once for every ``HELD`` query blocks, not a pair of blocks for every tile, and a task's memory does not grow with the table. Every query block meets every candidate block once. A tile
+whose largest product of norms is below what all its queries already have is passed over. In
 a tile the vectors' int8 forms are multiplied (as whole numbers in float32, which is exact up to 1,040 dimensions; float64 beyond); with
 the norms of the rounding errors this bounds each product from both sides. A pair survives unless its upper bound is below the
 ``k``-th largest lower bound, or below the ``k``-th best score that the query already has. Survivors are computed in double precision, and
-each query's best are kept in a heap while its block stays in the task; the tasks' heaps are merged by a grouped top-k.
+each query's best are kept in a heap while its block stays in the cell; the tasks' heaps are merged by a grouped top-k.
 
 The result is exact: recall is 1. Vectors that are null, zero, or hold null or non-finite components take no part, neither as
 query nor as candidate. Vectors of another length are compared among themselves only. Ties go to the smaller vec_id; a
@@ -23,13 +26,16 @@ from pyspark.sql import functions as F
 from foldmill.llm.common import partitions, ready, stored
 
 BLOCK = 2048
-BLOCK_SCHEMA = "block long, dim int, rids binary, ids binary, named binary, vectors binary"
+#: Query blocks that a cell holds at once, and the bytes of doubles they may take.
+HELD, HELD_BYTES = 8, 64 << 20
+PAYLOAD = ("rids", "ids", "named", "vectors")
 FOUND_SCHEMA = "query long, query_id long, rid long, vec_id long, score double"
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """rid, vec_id, v (array of double), dim of the vectors that take part, written once."""
-    v = F.col("embedding").cast("array<double>")
+    """rid, vec_id, v (array of float if the table has floats, else of double), dim of the vectors that take part, written once."""
+    floats = vectors.schema["embedding"].dataType.simpleString() == "array<float>"
+    v = F.col("embedding") if floats else F.col("embedding").cast("array<double>")
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     rows = vectors.select(F.monotonically_increasing_id().alias("rid"), F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).where(F.col("v").isNotNull() & fine)
     return stored(rows.withColumn("dim", F.size("v")), "vectors")
@@ -38,11 +44,12 @@ def usable(vectors: DataFrame) -> DataFrame:
 def packed(rows: DataFrame, count: int, block: int = BLOCK) -> DataFrame:
     """Blocks of about ``block`` vectors of one length; a block's number is dense from 0."""
     n = max(1, -(-count // block))
+    kind = np.float32 if rows.schema["v"].dataType.simpleString() == "array<float>" else np.float64
 
     def pack(key, pdf):
         rid, ids = pdf["rid"].to_numpy(np.int64), pdf["vec_id"]
         named = ids.notna().to_numpy()
-        matrix = np.array(pdf["v"].tolist(), np.float64)
+        matrix = np.array(pdf["v"].tolist(), kind)
         import pandas as pd
 
         return pd.DataFrame([[key[0], key[1], rid.tobytes(), ids.fillna(0).to_numpy(np.int64).tobytes(), named.tobytes(), matrix.tobytes()]], columns=["part", "dim", "rids", "ids", "named", "vectors"])
@@ -53,15 +60,29 @@ def packed(rows: DataFrame, count: int, block: int = BLOCK) -> DataFrame:
 
 
 def numbered(parts: DataFrame) -> DataFrame:
-    """Blocks with dense numbers, one row a block."""
-    keys = parts.select("part", "dim").withColumn("block", F.row_number().over(Window.orderBy("dim", "part")).cast("long") - 1)
-    return parts.join(keys, ["part", "dim"]).select("block", "dim", "rids", "ids", "named", "vectors")
+    """Blocks with numbers dense within their length, one row a block."""
+    keys = parts.select("part", "dim").withColumn("block", F.row_number().over(Window.partitionBy("dim").orderBy("part")).cast("long") - 1)
+    return parts.join(keys, ["part", "dim"]).select("block", "dim", *PAYLOAD)
+
+
+def dealt(queries: DataFrame, candidates: DataFrame, tasks: int, held: int = HELD, block: int = BLOCK) -> DataFrame:
+    """All blocks of a cell (dim, row, column) in one task: its query blocks first, then its candidate blocks."""
+    fit = F.greatest(F.lit(1), F.least(F.lit(held), F.floor(F.lit(HELD_BYTES) / (F.col("dim") * 8 * block)))).cast("long")
+    asked = queries.groupBy("dim").agg(F.count("*").alias("asked")).withColumn("held", fit).withColumn("rows", F.ceil(F.col("asked") / F.col("held")))
+    there = candidates.groupBy("dim").agg(F.count("*").alias("there"))
+    # columns as far as rows alone would leave tasks idle
+    grid = asked.join(there, "dim").select("dim", "held", "rows", F.least("there", F.greatest(F.lit(1), F.ceil(F.lit(2 * tasks) / F.col("rows")))).cast("long").alias("columns"))
+    zero = F.lit(0).cast("long")
+    along_row = queries.join(grid, "dim").select("dim", F.floor(F.col("block") / F.col("held")).alias("row"), F.explode(F.sequence(zero, F.col("columns") - 1)).alias("column"), F.lit(0).alias("side"), "block", *PAYLOAD)
+    along_column = candidates.join(grid, "dim").select("dim", F.explode(F.sequence(zero, F.col("rows") - 1)).alias("row"), F.pmod("block", "columns").alias("column"), F.lit(1).alias("side"), "block", *PAYLOAD)
+    return along_row.unionByName(along_column).repartition(tasks, "dim", "row", "column").sortWithinPartitions("dim", "row", "column", "side", "block")
 
 
 class _Block:
     def __init__(self, dim, rids, ids, named, vectors):
         self.rids, self.ids, self.named = np.frombuffer(rids, np.int64), np.frombuffer(ids, np.int64), np.frombuffer(named, bool)
-        self.v = np.frombuffer(vectors, np.float64).reshape(-1, dim)
+        kind = np.float32 if len(vectors) == 4 * dim * len(self.rids) else np.float64
+        self.v = np.frombuffer(vectors, kind).reshape(-1, dim).astype(np.float64)
         top = np.abs(self.v).max(axis=1, keepdims=True)
         unit = self.v / top  # so that tiny and huge vectors have int8 forms too
         q = np.rint(unit * 127)
@@ -94,44 +115,53 @@ def _tile(a: _Block, b: _Block, k: int, floor: np.ndarray) -> tuple[np.ndarray,
     return i[kept], j[kept], scores[kept]
 
 
+def _meet(mine: _Block, heaps: list[list], other: _Block, k: int) -> None:
+    """Put the best of one tile into the heaps of its queries."""
+    floor = np.array([h[0][0] if len(h) == k else -np.inf for h in heaps])
+    with np.errstate(over="ignore", invalid="ignore"):
+        if (mine.norm * other.norm.max() * (1 + 1e-9) < floor).all():
+            return
+    for i, j, score in zip(*(x.tolist() for x in _tile(mine, other, k, floor))):
+        entry = (score, bool(other.named[j]), -int(other.ids[j]), -int(other.rids[j]))
+        if len(heaps[i]) < k:
+            heapq.heappush(heaps[i], entry)
+        elif entry > heaps[i][0]:
+            heapq.heapreplace(heaps[i], entry)
+
+
 def nearest(vectors: DataFrame, every: int = 20, k: int = 20, block: int = BLOCK) -> DataFrame:
     """For each vector whose vec_id is divisible by ``every`` its ``k`` nearest others: query_id, rank, vec_id, score."""
     spark = vectors.sparkSession
     rows = usable(vectors)
     asked = rows.where(F.pmod("vec_id", F.lit(every)) == 0)
     candidates = stored(numbered(packed(rows, rows.count(), block)), "blocks")
-    queries = numbered(packed(asked, asked.count(), block))
-    here = candidates.groupBy("dim").agg(F.min("block").alias("first"), F.max("block").alias("last"))
-    queries = queries.join(here, "dim").withColumn("other", F.explode(F.sequence("first", "last"))).select(F.col("block").alias("q_block"), "other", *(F.col(c).alias(f"q_{c}") for c in ("dim", "rids", "ids", "named", "vectors")))
-    tiles = queries.join(candidates, queries["other"] == candidates["block"]).repartition(partitions(spark), "block").sortWithinPartitions("q_block", "block")
+    queries = stored(numbered(packed(asked, asked.count(), block)), "queries")
+    cells = dealt(queries, candidates, partitions(spark), block=block)
     schema = pa.schema([("query", pa.int64()), ("query_id", pa.int64()), ("rid", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
     def run(batches):
-        held, block_no, heaps = None, None, []
+        cell, held = None, []
 
-        def flush():
-            found = [(int(held.rids[n]), int(held.ids[n]), rid, None if none else i, score) for n, heap in enumerate(heaps) for score, none, i, rid in ((s, not m, -i, -r) for s, m, i, r in heap)]
-            return pa.RecordBatch.from_pylist([dict(zip(schema.names, x)) for x in found], schema=schema)
+        def found():
+            for mine, heaps in held:
+                entries = [(int(mine.rids[n]), int(mine.ids[n]), -rid, -i if named else None, score) for n, heap in enumerate(heaps) for score, named, i, rid in heap]
+                yield pa.RecordBatch.from_pylist([dict(zip(schema.names, x)) for x in entries], schema=schema)
 
         for batch in batches:
             for n in range(batch.num_rows):
                 row = batch.slice(n, 1).to_pylist()[0]
-                if row["q_block"] != block_no:
-                    if heaps:
-                        yield flush()
-                    held, block_no = _Block(*(row[f"q_{c}"] for c in ("dim", "rids", "ids", "named", "vectors"))), row["q_block"]
-                    heaps = [[] for _ in held.rids]
-                other = _Block(*(row[c] for c in ("dim", "rids", "ids", "named", "vectors")))
-                floor = np.array([h[0][0] if len(h) == k else -np.inf for h in heaps])
-                for i, j, score in zip(*(x.tolist() for x in _tile(held, other, k, floor))):
-                    entry = (score, bool(other.named[j]), -int(other.ids[j]), -int(other.rids[j]))
-                    if len(heaps[i]) < k:
-                        heapq.heappush(heaps[i], entry)
-                    elif entry > heaps[i][0]:
-                        heapq.heapreplace(heaps[i], entry)
-        if heaps:
-            yield flush()
-
-    found = tiles.mapInArrow(run, FOUND_SCHEMA)
+                at = (row["dim"], row["row"], row["column"])
+                if at != cell:
+                    yield from found()
+                    cell, held = at, []
+                this = _Block(row["dim"], *(row[c] for c in PAYLOAD))
+                if row["side"] == 0:
+                    held.append((this, [[] for _ in this.rids]))
+                    continue
+                for mine, heaps in held:
+                    _meet(mine, heaps, this, k)
+        yield from found()
+
+    found = cells.mapInArrow(run, FOUND_SCHEMA)
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.col("score").desc(), F.col("vec_id").asc_nulls_last(), "rid"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

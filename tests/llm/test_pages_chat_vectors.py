@@ -258,6 +258,28 @@ def test_wide_scales_and_nothing(make):
     assert neighbours.nearest(make([], "vec_id long, embedding array<double>")).count() == 0
 
 
+@pytest.mark.parametrize("tasks", [1, 3, 16])
+def test_grid_brings_each_pair_of_blocks_together_once(make, tasks):
+    schema = "block long, dim int, rids binary, ids binary, named binary, vectors binary"
+    blocks = lambda n, dim: [(i, dim, b"", b"", b"", b"") for i in range(n)]
+    asked, there = make([*blocks(7, 2), *blocks(1, 3)], schema), make([*blocks(11, 2), *blocks(2, 3), *blocks(2, 4)], schema)
+    cells: dict = {}
+    for r in neighbours.dealt(asked, there, tasks, held=3).collect():
+        cells.setdefault((r.dim, r.row, r.column), ([], []))[r.side].append(r.block)
+    assert all(len(mine) <= 3 for mine, _ in cells.values())
+    pairs = Counter((dim, q, c) for (dim, _, _), (mine, others) in cells.items() for q in mine for c in others)
+    assert pairs == Counter([(2, q, c) for q in range(7) for c in range(11)] + [(3, 0, 0), (3, 0, 1)])
+    # a candidate is sent once for three query blocks
+    assert sum(len(others) for (dim, _, _), (_, others) in cells.items() if dim == 2) == 3 * 11
+
+
+def test_nearest_with_columns_of_its_own_names(make):
+    rows = [(i, [float(i), 1.0], i, "x", 2, 3) for i in range(30)]
+    plain = neighbours.nearest(make([r[:2] for r in rows], "vec_id long, embedding array<float>")).collect()
+    named = neighbours.nearest(make(rows, "vec_id long, embedding array<float>, rid long, v string, dim int, block int")).collect()
+    assert sorted(plain) == sorted(named) and len(plain) == 40
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_sql(spark, sf_dir, name):
     from oracle import difference
@@ -266,4 +288,4 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 
 def test_query_names():
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in queries.QUERIES) == list(range(1, 14))
