@@ -25,9 +25,12 @@ from pyspark.sql import functions as F
 
 from foldmill.llm.common import partitions, ready, stored
 
-BLOCK = 2048
+#: Vectors of a candidate block and of a query block.
+BLOCK, ASKED = 2048, 256
 #: Query blocks that a cell holds at once, and the bytes of doubles they may take.
-HELD, HELD_BYTES = 8, 64 << 20
+HELD, HELD_BYTES = 64, 64 << 20
+#: About the bytes of one found pair in the shuffle.
+PAIR = 40
 PAYLOAD = ("rids", "ids", "named", "vectors")
 FOUND_SCHEMA = "query long, query_id long, rid long, vec_id long, score double"
 
@@ -65,17 +68,25 @@ def numbered(parts: DataFrame) -> DataFrame:
     return parts.join(keys, ["part", "dim"]).select("block", "dim", *PAYLOAD)
 
 
-def dealt(queries: DataFrame, candidates: DataFrame, tasks: int, held: int = HELD, block: int = BLOCK) -> DataFrame:
-    """All blocks of a cell (dim, row, column) in one task: its query blocks first, then its candidate blocks."""
-    fit = F.greatest(F.lit(1), F.least(F.lit(held), F.floor(F.lit(HELD_BYTES) / (F.col("dim") * 8 * block)))).cast("long")
-    asked = queries.groupBy("dim").agg(F.count("*").alias("asked")).withColumn("held", fit).withColumn("rows", F.ceil(F.col("asked") / F.col("held")))
-    there = candidates.groupBy("dim").agg(F.count("*").alias("there"))
-    # columns as far as rows alone would leave tasks idle
-    grid = asked.join(there, "dim").select("dim", "held", "rows", F.least("there", F.greatest(F.lit(1), F.ceil(F.lit(2 * tasks) / F.col("rows")))).cast("long").alias("columns"))
+def dealt(queries: DataFrame, candidates: DataFrame, tasks: int, k: int = 20, held: int = HELD, block: int = ASKED) -> DataFrame:
+    """All blocks of a cell (dim, row, column) in one task: its query blocks first, then its candidate blocks.
+
+    More rows send candidates more often, more columns send queries more often and return more pairs; the grid has about as many cells as there are tasks, in the shape
+    that moves the fewest bytes, and more rows where a cell could not hold its queries.
+    """
+    asked = queries.groupBy("dim").agg(F.count("*").alias("asked"), F.sum(F.length("rids")).alias("asked_bytes"))
+    there = candidates.groupBy("dim").agg(F.count("*").alias("there"), F.sum(F.length("rids")).alias("there_bytes"))
+    share = F.col("asked_bytes") / F.greatest("there_bytes", F.lit(1))  # of vectors, since all have one rid
+    best = F.ceil(F.sqrt(tasks * share * (1 + k * PAIR / (4 * F.col("dim")))))
+    fit = F.greatest(F.lit(1), F.least(F.lit(held), F.floor(F.lit(HELD_BYTES) / (F.col("dim") * 8 * block))))
+    grid = asked.join(there, "dim").withColumn("held", F.least(fit, F.ceil(F.col("asked") / F.greatest(best, F.lit(1)))).cast("long"))
+    grid = grid.withColumn("rows", F.ceil(F.col("asked") / F.col("held")))
+    grid = grid.select("dim", "held", "rows", F.least("there", F.greatest(F.lit(1), F.ceil(F.lit(tasks) / F.col("rows")))).cast("long").alias("columns"))
     zero = F.lit(0).cast("long")
-    along_row = queries.join(grid, "dim").select("dim", F.floor(F.col("block") / F.col("held")).alias("row"), F.explode(F.sequence(zero, F.col("columns") - 1)).alias("column"), F.lit(0).alias("side"), "block", *PAYLOAD)
-    along_column = candidates.join(grid, "dim").select("dim", F.explode(F.sequence(zero, F.col("rows") - 1)).alias("row"), F.pmod("block", "columns").alias("column"), F.lit(1).alias("side"), "block", *PAYLOAD)
-    return along_row.unionByName(along_column).repartition(tasks, "dim", "row", "column").sortWithinPartitions("dim", "row", "column", "side", "block")
+    along_row = queries.join(grid, "dim").select("dim", "columns", F.floor(F.col("block") / F.col("held")).alias("row"), F.explode(F.sequence(zero, F.col("columns") - 1)).alias("column"), F.lit(0).alias("side"), "block", *PAYLOAD)
+    along_column = candidates.join(grid, "dim").select("dim", "columns", F.explode(F.sequence(zero, F.col("rows") - 1)).alias("row"), F.pmod("block", "columns").alias("column"), F.lit(1).alias("side"), "block", *PAYLOAD)
+    both = along_row.unionByName(along_column).withColumn("task", F.pmod(F.col("row") * F.col("columns") + F.col("column") + F.xxhash64("dim"), F.lit(tasks)).cast("int"))
+    return both.repartitionById(tasks, "task").drop("task", "columns").sortWithinPartitions("dim", "row", "column", "side", "block")
 
 
 class _Block:
@@ -135,8 +146,8 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, block: int = BLOCK
     rows = usable(vectors)
     asked = rows.where(F.pmod("vec_id", F.lit(every)) == 0)
     candidates = stored(numbered(packed(rows, rows.count(), block)), "blocks")
-    queries = stored(numbered(packed(asked, asked.count(), block)), "queries")
-    cells = dealt(queries, candidates, partitions(spark), block=block)
+    queries = stored(numbered(packed(asked, asked.count(), min(block, ASKED))), "queries")
+    cells = dealt(queries, candidates, partitions(spark), k)
     schema = pa.schema([("query", pa.int64()), ("query_id", pa.int64()), ("rid", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
     def run(batches):
