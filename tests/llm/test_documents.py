@@ -237,6 +237,102 @@ def test_held_out_accuracy(spark):
     assert all(r.held_out == (__import__("zlib").crc32(str(r.doc_id).encode()) % 4 == 2) and r.predicted == (r.score >= 0.7) for r in rows)
 
 
+def plain_features(text: str | None) -> list[float]:
+    """The features counted by characters and words."""
+    text = text or ""
+    words = [w for w in re.split("[ \n\t\r\x0b\x0c]+", text) if w]
+    if not words:
+        return [0.0] * 15 + [1.0, 0.0, 0.0]
+    data = text.encode()
+    shown = sum(b not in b" \n\t\r\x0b\x0c" for b in data)
+    lines = [x for x in text.split("\n") if x]
+    bigrams = list(zip(words, words[1:]))
+    share = lambda marks: (sum(chr(b) in marks for b in data if b < 128) / shown) ** 0.5
+    classes = ["ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", ".", ",", "|", "!", "*#%&$@^~_=+<>{}[]\\/", "\"'()-:;?`"]
+    counted = Counter(b for b in data if b > 32)
+    return [
+        np.log(1 + len(words)) / 5, min(shown / len(words), 40) / 10, (sum(a == b for a, b in bigrams) / max(len(bigrams), 1)) ** 0.5,
+        np.log(1 + len(set(words))) / np.log(1 + len(words)), (1 - len(set(bigrams)) / len(bigrams)) ** 0.5 if bigrams else 0.0,
+        (1 - len(set(lines)) / max(len(lines), 1)) ** 0.5, np.log(1 + len(data) / max(len(lines), 1)) / 5, *(share(c) for c in classes), 0.0,
+        max(counted.values()) / shown, (sum(len(w.encode()) == 1 for w in words) / len(words)) ** 0.5,
+    ]
+
+
+def test_features_equal_plain_counts(plain):
+    for _, text, _ in plain:
+        assert np.allclose(quality.features((text or "").encode()), plain_features(text), rtol=1e-9, atol=1e-9), text
+
+
+def test_scores_equal_a_plain_fit(spark, docs, plain):
+    """The whole query against rows picked, paired, fitted and cut at the quantile by plain loops; the fit by gradient descent."""
+    import zlib
+
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    votes: dict = {}
+    for r in labels.collect():
+        if r.doc_id is not None and r.quality is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != 2:
+            votes.setdefault(r.doc_id, []).append(r.quality)
+    wanted = {d: int(sum(v) / len(v) >= 0.5) for d, v in votes.items()}
+    texts: dict = {}
+    for d, text, _ in plain:
+        if d in wanted:
+            texts.setdefault(d, []).append(plain_features(text))
+    ids = sorted(texts)
+    x, y = np.array([min(texts[d]) for d in ids]), np.array([wanted[d] for d in ids])
+    assert len(y) < quality.SAMPLE
+    mean, sd = x.mean(axis=0), x.std(axis=0) + 1e-9
+    z = (x - mean) / sd
+    good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
+    rng = np.random.default_rng(0)
+    pairs = [(g, None) for g in good for _ in range(quality.PAIRS_EACH)]
+    first = [*(g for g, _ in pairs), *rng.choice(good, quality.PAIRS_EACH * len(bad))]
+    second = [*rng.choice(bad, quality.PAIRS_EACH * len(good)), *(b for b in bad for _ in range(quality.PAIRS_EACH))]
+    d = z[first] - z[second]
+    w = np.zeros(x.shape[1])
+    rate = 1 / (np.linalg.norm(d, 2) ** 2 / len(d) / 4 + quality.RIDGE)
+    ahead, speed = w.copy(), 1.0
+    for _ in range(20_000):  # gradient descent with momentum
+        before = w
+        w = ahead - rate * (-d.T @ (1 / (1 + np.exp(d @ ahead))) / len(d) + quality.RIDGE * ahead)
+        faster = (1 + (1 + 4 * speed**2) ** 0.5) / 2
+        ahead, speed = w + (speed - 1) / faster * (w - before), faster
+    strength = z @ w
+    share = sum(v == 0 for v in wanted.values()) / len(wanted)
+    weight = {0: share / len(bad), 1: (1 - share) / len(good)}
+    ranked, passed, at = sorted(range(len(y)), key=lambda i: strength[i]), 0.0, 0
+    for at, i in enumerate(ranked):
+        passed += weight[y[i]]
+        if passed >= share * (1 - 1e-9):
+            break
+    threshold = (strength[ranked[at]] + strength[ranked[min(at + 1, len(y) - 1)]]) / 2
+    got = [(r.doc_id, r.score, r.predicted) for r in quality.report(docs, labels).collect()]
+    strengths = {(i, t): float((np.array(plain_features(t)) - mean) / sd @ w) for i, t, _ in plain}
+    assert len(got) == len(plain)
+    sure = {i: s > threshold for (i, _), s in strengths.items() if abs(s - threshold) > 1e-3}
+    assert len(sure) > 0.9 * len({i for i, _ in strengths})
+    repeated = {i for i, n in Counter(i for i, _, _ in plain).items() if n > 1}
+    assert all(p == int(sure[i]) for i, _, p in got if i in sure and i not in repeated)
+    scores = {i: s for i, s, _ in got}
+    order = sorted((i for i in sure if i not in repeated), key=lambda i: scores[i])
+    by_id = {i: s for (i, _), s in strengths.items()}
+    # ends of the logistic curve are flat, so only neighbours that its scores tell apart are compared
+    assert all(by_id[a] < by_id[b] + 1e-3 for a, b in zip(order, order[1:]) if scores[a] < scores[b])
+
+
+def test_quality_of_an_empty_table(docs):
+    assert quality.report(docs.limit(0), docs.sparkSession.read.parquet("/root/testdata/sf0.001/labels.parquet")).count() == 0
+
+
+def test_components_of_nothing_and_with_columns_of_their_own_names(docs, make):
+    assert simhash.near_duplicates(docs.limit(0)).count() == 0 and simhash.one_of_each(docs.limit(0)).count() == 0
+    rows = [(1, "a b c d e", 7, "x", 9), (2, "a b c d e", 8, "y", 9), (3, "other words are said here", 9, None, 9)]
+    named = make(rows, "doc_id long, text string, component_id long, fingerprint string, b long")
+    plain_rows = simhash.near_duplicates(make([r[:2] for r in rows], "doc_id long, text string")).collect()
+    assert sorted(simhash.near_duplicates(named).collect()) == sorted(plain_rows)
+    kept = simhash.one_of_each(named)
+    assert kept.columns == named.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3]
+
+
 def test_quality_without_labels_and_on_edges(docs, make):
     none = make([], "doc_id long, quality int")
     assert {r.score for r in quality.report(docs, none).collect()} == {quality.KEEP}
