@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from foldmill.llm.common import stored
+from foldmill.llm.common import partitions, stored
 
 WEIGHTS = (1, 2, 3)
 MOST = 3.0
@@ -39,28 +39,39 @@ def sized(docs: DataFrame) -> DataFrame:
     return stored(docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", F.col("source").cast("string").alias("source"), size.alias("size")), "sizes")
 
 
+def weighted(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
+    """Sources (source, tokens) with the weight of their place in code point order, null last; written once.
+
+    Places are counted within the tasks of a range shuffle, which are as many as the session has, and offset by the counts of the tasks before.
+    """
+    order = [F.col("source").isNull(), F.col("source")]
+    tasks = partitions(sources.sparkSession)
+    rows = stored(sources.repartitionByRange(tasks, *order).withColumn("part", F.spark_partition_id()), "sources")
+    offsets = rows.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    rows = rows.withColumn("inner", F.row_number().over(Window.partitionBy("part").orderBy(*order)) - 1).join(F.broadcast(offsets), "part")
+    weight = F.element_at(F.array(*(F.lit(w) for w in weights)), (F.pmod(F.col("before") + F.col("inner"), F.lit(len(weights))) + 1).cast("int"))
+    return stored(rows.select("source", "tokens", weight.cast("double").alias("weight")), "weights")
+
+
 def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: float = MOST) -> DataFrame:
     """Sources (source, tokens) with their target: all tokens shared by weight, at most ``most`` times a source's own, the excess
-    shared again among the others until none is above. One row a source; the shares need each other, so they are computed in one small group."""
-
-    def share(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.assign(key=[(x is None, b"" if x is None else x.encode()) for x in rows["source"]]).sort_values("key", ignore_index=True)
-        tokens = rows["tokens"].to_numpy(float)
-        weight = np.array([weights[i % len(weights)] for i in range(len(rows))], float)
-        target, open_ = np.zeros(len(rows)), tokens > 0
-        left = tokens.sum()
-        while open_.any():
-            part = np.where(open_, weight * left / weight[open_].sum(), 0.0)
-            above = open_ & (part > most * tokens)
-            if not above.any():
-                target[open_] = part[open_]
-                break
-            target[above] = most * tokens[above]
-            left -= target[above].sum()
-            open_ &= ~above
-        return pd.DataFrame({"source": rows["source"], "tokens": rows["tokens"], "target": target})
-
-    return sources.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(share, "source string, tokens long, target double")
+    shared again among the others until none is above. A round is one sum over the sources; the level only rises, so the driver holds nothing but the last one."""
+    rows = weighted(sources, weights)
+    total = rows.agg(F.sum("tokens")).first()[0] or 0
+    left, share, closed = float(total), 0.0, -1
+    above = F.lit(False)
+    while True:
+        open_ = (F.col("tokens") > 0) & ~above
+        found = rows.agg(F.sum(above.cast("long")), F.sum(F.when(above, F.col("tokens"))), F.sum(F.when(open_, F.col("weight")))).first()
+        if (found[0] or 0) == closed:
+            break
+        closed, left, share = found[0] or 0, total - most * (found[1] or 0), found[2] or 0.0
+        if not share:
+            break
+        above = (F.col("tokens") > 0) & (F.col("weight") * F.lit(left) / F.lit(share) > most * F.col("tokens"))
+    part = F.col("weight") * F.lit(left) / F.lit(share) if share else F.lit(0.0)
+    target = F.when(F.col("tokens") <= 0, 0.0).when(above, most * F.col("tokens")).otherwise(part)
+    return rows.select("source", "tokens", target.alias("target"))
 
 
 def rates(sized_docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: float = MOST) -> DataFrame:

@@ -199,6 +199,30 @@ def test_mixture_meets_targets(docs, plain):
     assert mixed.columns == docs.columns and mixed.count() == sum(r.copies for r in rows)
 
 
+def shared_out(tokens: dict) -> dict:
+    """Targets by plain rounds."""
+    names = sorted(tokens, key=lambda x: (x is None, x or ""))
+    weight = {s: mixing.WEIGHTS[i % 3] for i, s in enumerate(names)}
+    target, open_, left = dict.fromkeys(names, 0.0), {s for s in names if tokens[s]}, float(sum(tokens.values()))
+    while open_:
+        part = {s: weight[s] * left / sum(weight[o] for o in open_) for s in open_}
+        above = {s for s in open_ if part[s] > 3 * tokens[s]}
+        target.update({s: 3.0 * tokens[s] for s in above} if above else part)
+        left -= sum(3.0 * tokens[s] for s in above)
+        open_ = open_ - above if above else set()
+    return target
+
+
+@pytest.mark.parametrize("tokens", [
+    {}, {"a": 0}, {"a": 5}, {None: 7, "b": 0}, {"a": 1, "b": 1000, "c": 1}, {"é": 3, "z": 50, "\U0001d11e": 4, "Z": 900, "": 2, None: 100},
+    {f"s{i}": 2**i for i in range(30)}, {f"s{i:04}": (i * 7919) % 1000 for i in range(3000)},
+])
+def test_targets_equal_plain_rounds(make, tokens):
+    got = {r.source: r.target for r in mixing.targets(make(list(tokens.items()), "source string, tokens long")).collect()}
+    want = shared_out(tokens)
+    assert set(got) == set(want) and all(np.isclose(got[s], want[s], rtol=1e-12) for s in want)
+
+
 def test_mixture_does_not_depend_on_partitioning(docs):
     got = [Counter(map(tuple, mixing.mixture(docs.repartition(n, "text") if n > 1 else docs.coalesce(1)).collect())) for n in (1, 7)]
     assert got[0] == got[1]
