@@ -160,5 +160,6 @@ def mixed(docs: DataFrame) -> DataFrame:
     size = F.regexp_count(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
     thin = stored(held.select(F.col("__rid").alias("rid"), "doc_id", F.col("source").cast("string").alias("source"), size.alias("size")), "sizes")
     wanted = copies(thin).where("copies > 0").select(F.col("rid").alias("__rid"), F.col("copies").alias("__copies"))
-    rows = held.join(wanted, "__rid").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies")))
+    # the thin side is hashed, so that the texts are streamed through the join and never sorted
+    rows = held.join(wanted.hint("shuffle_hash"), "__rid").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies")))
     return rows.select(*docs.columns)
