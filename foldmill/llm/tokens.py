@@ -12,6 +12,8 @@ import numpy as np
 REMEMBERED = 500_000
 #: Punctuation that ends a word in its own token run and is neither a letter, a number nor white space.
 TAIL = ".,!?;:*#$%&|)("
+#: Stands between stems that are encoded together; it is in none, and a token of its own.
+STOP = "."
 
 
 class _Numbered(dict):
@@ -67,10 +69,13 @@ class WordEncoder:
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
+        from tokenizers.pre_tokenizers import ByteLevel, Split
 
         self.whole = Tokenizer.from_file(path)
         self.model = Tokenizer(self.whole.model)
+        stop = self.model.encode(STOP, add_special_tokens=False).ids
+        self.stop = stop[0] if len(stop) == 1 else None
+        self.model.pre_tokenizer = Split(STOP, "isolated")
         self.remembered = remembered
         level = ByteLevel(add_prefix_space=False, use_regex=False)
         shown = {low: level.pre_tokenize_str(chr(low)) for low in range(0x250)}
@@ -92,6 +97,18 @@ class WordEncoder:
             self.pool[name].add(lengths, np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(lengths.sum())))
         numbered.new = []
 
+    def _add_stems(self, numbered: _Numbered) -> None:
+        """As :meth:`_add`, with thousands of stems in one text: an answer of the library for each would cost more than its ids."""
+        for i in range(0, len(numbered.new), 5000):
+            text = STOP.join(numbered.new[i : i + 5000]) + STOP
+            ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            stops = ids == self.stop
+            lengths = np.diff(np.flatnonzero(stops), prepend=-1) - 1
+            if len(lengths) != len(numbered.new[i : i + 5000]):
+                raise ValueError("stems and their ids differ in number")
+            self.pool["stems"].add(lengths, ids[~stops])
+        numbered.new = []
+
     def _learn(self) -> None:
         """Encode the words that were new."""
         new, stems, others = self.words.new, self.stems, self.others
@@ -111,7 +128,10 @@ class WordEncoder:
             else:
                 first.append(-1)
                 second.append(others[word])
-        self._add("stems", stems, self.model)
+        if self.stop is None:
+            self._add("stems", stems, self.model)
+        else:
+            self._add_stems(stems)
         self._add("others", others, self.whole)
         lengths, runs = np.zeros((len(new), 2), np.int64), []
         for k, (name, index) in enumerate((("stems", np.array(first)), ("others", np.array(second)))):
