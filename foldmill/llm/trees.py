@@ -64,10 +64,12 @@ def _nodes(tree) -> tuple:
 
 
 def fit(rows: DataFrame, rounds: int = 15, depth: int = 4, step: float = 0.3, seed: int = 7) -> Boosted:
-    """Boost on rows (features array<double>, label 0 or 1); labels of one class only give no trees."""
+    """Boost on rows (features array<double>, label 0 or 1, and a weight if there is such a column); labels of one class only give no trees."""
     seen = rows.agg(F.min("label"), F.max("label")).first()
     if seen[0] is None or seen[0] == seen[1]:
         return Boosted()
-    ready = rows.select(array_to_vector("features").alias("features"), F.col("label").cast("double").alias("label"))
-    model = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=step, seed=seed, minInstancesPerNode=5, cacheNodeIds=False).fit(ready)
+    weight = ["weight"] if "weight" in rows.columns else []
+    ready = rows.select(array_to_vector("features").alias("features"), F.col("label").cast("double").alias("label"), *weight)
+    boosted = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=step, seed=seed, minInstancesPerNode=5, cacheNodeIds=False)
+    model = (boosted.setWeightCol("weight") if weight else boosted).fit(ready)
     return Boosted(tuple((float(w), _nodes(tree)) for w, tree in zip(model.treeWeights, model.trees)))
