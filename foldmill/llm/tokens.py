@@ -5,16 +5,18 @@ from __future__ import annotations
 import functools
 import gc
 import itertools
+import re
 
 import numpy as np
 
 #: Distinct words a worker remembers before it starts anew; bounds memory, has no effect on ids.
-REMEMBERED = 500_000
-#: Punctuation that ends a word in its own token run and is neither a letter, a number nor white space.
+REMEMBERED = 750_000
+#: Punctuation that becomes a word of its own where it follows a Latin letter or a digit and ends a word: it is a token run of its own there.
+#: Not after U+0130, whose lower case ends in a mark that would join the run.
 TAIL = ".,!?;:*#$%&|)("
-#: Stands between stems that are encoded together; it is in none, and a token of its own.
-STOP = "."
-
+TAILS = re.compile(rf"[{TAIL}](?<=[0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f][{TAIL}])[{TAIL}]*(?=[ \n]|\Z)")
+#: In a text without these characters, composing changes nothing and lower case is a map of single letters.
+OTHER = re.compile("[^\x00-\u024f]")
 
 class _Numbered(dict):
     """Numbers words as they are first asked for, and notes the new ones."""
@@ -37,14 +39,14 @@ class _Pool:
         self.flat = np.zeros(1 << 16, np.uint32)
         self.n = self.used = 0
 
-    def add(self, lengths: np.ndarray, flat: np.ndarray) -> None:
-        """As many runs more as there are lengths."""
+    def add(self, lengths: np.ndarray, flat: np.ndarray, order: np.ndarray) -> None:
+        """As many runs more as there are lengths; run i of these gets the number ``order[i]`` among them."""
         while len(self.start) < self.n + len(lengths):
             self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
         while len(self.flat) < self.used + len(flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.length[self.n : self.n + len(lengths)] = lengths
-        self.start[self.n : self.n + len(lengths)] = self.used + np.cumsum(lengths) - lengths
+        self.length[self.n + order] = lengths
+        self.start[self.n + order] = self.used + np.cumsum(lengths) - lengths
         self.flat[self.used : self.used + len(flat)] = flat
         self.n += len(lengths)
         self.used += len(flat)
@@ -62,20 +64,23 @@ class WordEncoder:
 
     A word-level vocabulary drops white space and never joins characters across it, so the ids of a text
     are those of its blank-separated words in a row; ``tests/llm/test_tokens.py`` compares them with the
-    library's ids of whole texts. A word's ids are those of its stem and of the punctuation after it. Stems of Latin letters
-    only (below U+0250, where composing changes nothing and lower case is a map of single letters)
+    library's ids of whole texts. Punctuation at the end of a word is split off first (``TAILS``), so that a word is learned once whatever
+    stands behind it. Words of Latin letters only (below U+0250, where composing changes nothing and lower case is a map of single letters)
     skip the library's normaliser and splitter and go to the same BPE model directly; all else goes through the whole library.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel, Split
+        from tokenizers.pre_tokenizers import ByteLevel, CharDelimiterSplit
 
         self.whole = Tokenizer.from_file(path)
         self.model = Tokenizer(self.whole.model)
-        stop = self.model.encode(STOP, add_special_tokens=False).ids
-        self.stop = stop[0] if len(stop) == 1 else None
-        self.model.pre_tokenizer = Split(STOP, "isolated")
+        self.model.pre_tokenizer = CharDelimiterSplit(" ")
+        suffix = self.whole.model.end_of_word_suffix
+        #: Whether an id ends a word, where the vocabulary tells.
+        self.ends = np.zeros(self.vocabulary, bool)
+        if suffix:
+            self.ends[[i for token, i in self.whole.get_vocab(with_added_tokens=False).items() if token.endswith(suffix)]] = True
         self.remembered = remembered
         level = ByteLevel(add_prefix_space=False, use_regex=False)
         shown = {low: level.pre_tokenize_str(chr(low)) for low in range(0x250)}
@@ -87,63 +92,46 @@ class WordEncoder:
         return self.whole.get_vocab_size()
 
     def _forget(self) -> None:
-        self.words, self.stems, self.others = _Numbered(), _Numbered(), _Numbered()
-        self.pool = {name: _Pool() for name in ("words", "stems", "others")}
-
-    def _add(self, name: str, numbered: _Numbered, encoder) -> None:
-        for i in range(0, len(numbered.new), 5000):
-            ids = [x.ids for x in encoder.encode_batch_fast(numbered.new[i : i + 5000], add_special_tokens=False)]
-            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-            self.pool[name].add(lengths, np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(lengths.sum())))
-        numbered.new = []
-
-    def _add_stems(self, numbered: _Numbered) -> None:
-        """As :meth:`_add`, with thousands of stems in one text: an answer of the library for each would cost more than its ids."""
-        for i in range(0, len(numbered.new), 5000):
-            text = STOP.join(numbered.new[i : i + 5000]) + STOP
-            ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
-            stops = ids == self.stop
-            lengths = np.diff(np.flatnonzero(stops), prepend=-1) - 1
-            if len(lengths) != len(numbered.new[i : i + 5000]):
-                raise ValueError("stems and their ids differ in number")
-            self.pool["stems"].add(lengths, ids[~stops])
-        numbered.new = []
+        self.words, self.pool = _Numbered(), _Pool()
+
+    @staticmethod
+    def _each(words: list[str], encoder) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each word, and all ids in a row."""
+        ids = [x.ids for x in encoder.encode_batch_fast(words, add_special_tokens=False)]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        return lengths, np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(lengths.sum()))
+
+    def _together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As :meth:`_each` by the model, in one text: an answer of the library for each word would cost more than its ids.
+
+        A word has one id that ends a word at most, its last; as many of them as words show where each ends.
+        """
+        ids = np.array(self.model.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, np.uint32)
+        last = np.flatnonzero(self.ends[ids])
+        if len(last) != len(words) or last[-1] != len(ids) - 1:
+            return self._each(words, self.model)
+        return np.diff(last, prepend=-1), ids
 
     def _learn(self) -> None:
         """Encode the words that were new."""
-        new, stems, others = self.words.new, self.stems, self.others
-        first, second = [], []
-        for word in new:
-            stem = word.rstrip(TAIL)
-            if stem.isalpha() and (stem.isascii() or max(stem) < "\u0250"):
-                shown = stem.lower()
-                if not shown.isascii():
-                    if max(shown) >= "\u0250":
-                        first.append(-1)
-                        second.append(others[word])
-                        continue
-                    shown = shown.translate(self.as_bytes)
-                first.append(stems[shown])
-                second.append(others[word[len(stem) :]] if len(stem) < len(word) else -1)
-            else:
-                first.append(-1)
-                second.append(others[word])
-        if self.stop is None:
-            self._add("stems", stems, self.model)
-        else:
-            self._add_stems(stems)
-        self._add("others", others, self.whole)
-        lengths, runs = np.zeros((len(new), 2), np.int64), []
-        for k, (name, index) in enumerate((("stems", np.array(first)), ("others", np.array(second)))):
-            has = index >= 0
-            runs.append(self.pool[name].get(index[has]))
-            lengths[has, k] = self.pool[name].length[index[has]]
-        ends = np.cumsum(lengths.ravel()).reshape(lengths.shape)
-        flat = np.empty(int(ends[-1, -1]), np.uint32)
-        for k, (ids, _) in enumerate(runs):
-            n = lengths[:, k]
-            flat[np.repeat(ends[:, k] - np.cumsum(n), n) + np.arange(len(ids))] = ids
-        self.pool["words"].add(lengths.sum(axis=1), flat)
+        new = self.words.new
+        latin, others, shown = [], [], []
+        for i, word in enumerate(new):
+            if word.isalpha():
+                if word.isascii():
+                    latin.append(i)
+                    shown.append(word.lower())
+                    continue
+                low = word.lower()
+                if max(word) < "\u0250" and max(low) < "\u0250":
+                    latin.append(i)
+                    shown.append(low.translate(self.as_bytes))
+                    continue
+            others.append(i)
+        runs = [self._together(shown[i : i + 5000]) for i in range(0, len(shown), 5000)]
+        runs += [self._each([new[k] for k in others[i : i + 5000]], self.whole) for i in range(0, len(others), 5000)]
+        lengths, flat = (np.concatenate(x) for x in zip(*runs))
+        self.pool.add(lengths, flat, np.array(latin + others))
         self.words.new = []
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -162,15 +150,15 @@ class WordEncoder:
         words = []
         per_text = np.empty(len(texts), np.int64)
         for i, text in enumerate(texts):
-            if text.isascii() and "<|" not in text:  # no marker of the tokenizer can come or go with the case
+            if "<|" not in text and not OTHER.search(text):  # no marker of the tokenizer can come or go with the case
                 text = text.lower()
-            found = text.replace("\n", " ").split(" ")
+            found = TAILS.sub(r" \g<0>", text).replace("\n", " ").split(" ")
             per_text[i] = len(found)
             words += found
         index = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
         if self.words.new:
             self._learn()
-        ids, ends = self.pool["words"].get(index)
+        ids, ends = self.pool.get(index)
         bounds = np.concatenate([[0], ends])[np.cumsum(per_text)]
         return ids, np.diff(bounds, prepend=0)
 

@@ -28,3 +28,13 @@ def test_many_stems_are_one_text():
     expected = [encoder.whole.encode(text, add_special_tokens=False).ids for text in texts]
     assert n.tolist() == [len(x) for x in expected]
     assert ids.tolist() == list(itertools.chain.from_iterable(expected)) and ids.dtype == np.uint32
+
+
+def test_a_word_is_learned_once_whatever_follows_it():
+    encoder = tokens.WordEncoder(tokens.default_path())
+    stems = ["".join(w) for w in itertools.product("aeioußé", repeat=3)]
+    texts = [" ".join(stem + tail for stem in stems) for tail in ("", ".", ",", "!?", "...")] + ["İ. 漢 x1. İ, é́. a.b. it's!", "É. ɐ"]
+    ids, n = encoder.encode(texts)
+    expected = [encoder.whole.encode(text, add_special_tokens=False).ids for text in texts]
+    assert n.tolist() == [len(x) for x in expected] and ids.tolist() == list(itertools.chain.from_iterable(expected))
+    assert len(encoder.words) < len(stems) + 20
