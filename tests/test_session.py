@@ -40,3 +40,18 @@ def test_a_folder_that_is_not_shared_is_refused(cluster, monkeypatch, tmp_path):
     named(monkeypatch, cluster, f"file://{blocked}/below")
     with pytest.raises(ValueError, match="all executors share"):
         session.shared_folder(cluster)
+
+
+#: Queries that store tables.
+STORING = [
+    "assemble_features",
+]
+
+
+@pytest.mark.parametrize("name", STORING)
+def test_a_query_without_a_folder_stores_its_tables_in_the_warehouse(cluster, monkeypatch, tmp_path, sf_dir, name):
+    named(monkeypatch, cluster, None)
+    get = type(cluster.conf).get
+    monkeypatch.setattr(type(cluster.conf), "get", lambda conf, key, *more: str(tmp_path) if key == "spark.sql.warehouse.dir" else get(conf, key, *more))
+    assert QUERIES[name](cluster, sf_dir).count() > 0
+    assert any(not kept.name.startswith("try-") for kept in (tmp_path / "foldmill_shared" / "foldmill").iterdir())
