@@ -45,6 +45,7 @@ def test_a_folder_that_is_not_shared_is_refused(cluster, monkeypatch, tmp_path):
 #: Queries that store tables.
 STORING = [
     "assemble_features",
+    "assemble_drop_first",
 ]
 
 
