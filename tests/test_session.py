@@ -46,6 +46,7 @@ def test_a_folder_that_is_not_shared_is_refused(cluster, monkeypatch, tmp_path):
 STORING = [
     "assemble_features",
     "assemble_drop_first",
+    "capture_once",
 ]
 
 
