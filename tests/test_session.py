@@ -47,6 +47,7 @@ STORING = [
     "assemble_features",
     "assemble_drop_first",
     "capture_once",
+    "csv_declared_schema",
 ]
 
 
