@@ -48,6 +48,7 @@ STORING = [
     "assemble_drop_first",
     "capture_once",
     "csv_declared_schema",
+    "capture_predictions",
 ]
 
 
