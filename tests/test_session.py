@@ -49,6 +49,7 @@ STORING = [
     "capture_once",
     "csv_declared_schema",
     "capture_predictions",
+    "cv_average",
 ]
 
 
