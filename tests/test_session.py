@@ -50,6 +50,7 @@ STORING = [
     "csv_declared_schema",
     "capture_predictions",
     "cv_average",
+    "csv_inferred_schema",
 ]
 
 
