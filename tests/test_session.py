@@ -51,6 +51,7 @@ STORING = [
     "capture_predictions",
     "cv_average",
     "csv_inferred_schema",
+    "cv_metrics",
 ]
 
 
