@@ -52,6 +52,7 @@ STORING = [
     "cv_average",
     "csv_inferred_schema",
     "cv_metrics",
+    "decode_ids",
 ]
 
 
