@@ -53,6 +53,7 @@ STORING = [
     "csv_inferred_schema",
     "cv_metrics",
     "decode_ids",
+    "early_stop_epoch",
 ]
 
 
