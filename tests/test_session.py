@@ -54,6 +54,7 @@ STORING = [
     "cv_metrics",
     "decode_ids",
     "early_stop_epoch",
+    "dictionary_codes",
 ]
 
 
