@@ -55,6 +55,7 @@ STORING = [
     "decode_ids",
     "early_stop_epoch",
     "dictionary_codes",
+    "early_stop_fit",
 ]
 
 
