@@ -56,6 +56,7 @@ STORING = [
     "early_stop_epoch",
     "dictionary_codes",
     "early_stop_fit",
+    "dictionary_onehot",
 ]
 
 
