@@ -57,6 +57,7 @@ STORING = [
     "dictionary_codes",
     "early_stop_fit",
     "dictionary_onehot",
+    "exact_moments",
 ]
 
 
