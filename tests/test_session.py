@@ -58,6 +58,7 @@ STORING = [
     "early_stop_fit",
     "dictionary_onehot",
     "exact_moments",
+    "feature_names",
 ]
 
 
