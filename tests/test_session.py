@@ -59,6 +59,7 @@ STORING = [
     "dictionary_onehot",
     "exact_moments",
     "feature_names",
+    "fold_id_lists",
 ]
 
 
