@@ -60,6 +60,7 @@ STORING = [
     "exact_moments",
     "feature_names",
     "fold_id_lists",
+    "fold_fit_stats",
 ]
 
 
