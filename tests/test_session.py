@@ -61,6 +61,7 @@ STORING = [
     "feature_names",
     "fold_id_lists",
     "fold_fit_stats",
+    "final_model",
 ]
 
 
