@@ -62,6 +62,7 @@ STORING = [
     "fold_id_lists",
     "fold_fit_stats",
     "final_model",
+    "fold_test_rows",
 ]
 
 
