@@ -63,6 +63,7 @@ STORING = [
     "fold_fit_stats",
     "final_model",
     "fold_test_rows",
+    "fold_train_rows",
 ]
 
 
