@@ -64,6 +64,7 @@ STORING = [
     "final_model",
     "fold_test_rows",
     "fold_train_rows",
+    "folds_partitioned",
 ]
 
 
