@@ -65,6 +65,7 @@ STORING = [
     "fold_test_rows",
     "fold_train_rows",
     "folds_partitioned",
+    "fold_transform",
 ]
 
 
