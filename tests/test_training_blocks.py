@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from foldmill.functions.hashing import md5_words
 from foldmill.operators import dense_net, features
-from foldmill.operators.dense_net import BUCKETS, Training
+from foldmill.operators.dense_net import BUCKETS, Member, Training
 
 
 @pytest.mark.parametrize("length", [0, 1, 8, 45, 56, 70, 130])
@@ -100,3 +100,47 @@ def test_networks_of_one_plan_share_its_view(spark):
     plan, other = (features.fit_features(df, ["v"], ["s"]) for _ in range(2))
     _, views = features.coded_rows(df, [plan, other, plan])
     assert views[0] is views[2] and views[0] is not views[1]
+
+
+def test_chunks_of_a_block_add_up_to_its_gradient(monkeypatch):
+    """Folds that look at the rows through their own numbers and codes, with missing values and dropout: chunks of any length give the sums of plain gradients."""
+    rng = np.random.default_rng(5)
+    raw = np.column_stack([rng.normal(50, 9, 900), np.where(rng.random(900) < 0.2, np.nan, rng.normal(size=900)), rng.integers(-2, 4, 900), rng.integers(-2, 3, 900)])
+    y, keys = rng.integers(0, 3, 900), [str(i) for i in range(900)]
+    views = [features.View(np.arange(2), np.array([50.0 + f, 0.1]), np.array([9.0, 1 + f]), [(2 + f, features.CodeSlots(2, f, 1))], 6) for f in (0, 1)]
+    members = [Member(views[0], 3, Training([5, 4]), (0,)), Member(views[1], 3, Training([6], dropout=0.25, slices=2), (1,)), Member(views[0], 3, Training([7]), (1,))]
+    block = dense_net._block((0, 0), raw, y, dense_net.pa.array([k.encode() for k in keys]))
+    order = np.argsort([len(k) for k in keys], kind="stable")
+    bits = np.array([[int(hashlib.md5(f"42:0:{k}:0".encode()).hexdigest()[4 * u : 4 * u + 4], 16) for u in range(6)] for k in np.array(keys)[order]])
+    for values in (1, 700, 1 << 20):
+        monkeypatch.setattr(dense_net, "CHUNK", 1)
+        monkeypatch.setattr(dense_net, "CHUNK_VALUES", values * 7)
+        shares = [dense_net._Share(m, dense_net.initial_weights(m.layers, 42), 0, True, None) for m in members]
+        dense_net._see(shares, 0, block)
+        for share, m in zip(shares, members):
+            flat, x = dense_net.initial_weights(m.layers, 42), m.view.vectors(raw)
+            if m.held == (0,):
+                assert share.scores[3:] == pytest.approx(dense_net._score(dense_net.probabilities(flat, m.layers, x), y)) and not share.total.any()
+                continue
+            masks = [(bits >= 0.25 * 65536) / 0.75] if m.setting.dropout else []
+            at = order if masks else slice(None)
+            total, scores = dense_net._gradient(flat, m.layers, x[at], y[at], masks)
+            assert share.total == pytest.approx(total, abs=1e-9) and share.scores[:3] == pytest.approx(scores)
+
+
+def test_chunks_follow_the_widest_layer():
+    """Calls of numpy cost as much as the work on a thousand rows of a narrow network."""
+    seen = []
+
+    class Looking(features.View):
+        def rows(self, raw):
+            seen.append(len(raw[0]))
+            return super().rows(raw)
+
+    n = dense_net.BLOCK
+    block = dense_net._block((0, 0), np.zeros((n, 1)), np.zeros(n, int), dense_net.pa.array([b"k"] * n))
+    for hidden, longest in (([10, 8], 4096), ([96], 1024)):
+        seen.clear()
+        member = Member(Looking(np.arange(1), np.zeros(1), np.ones(1), [], 1), 3, Training(hidden))
+        dense_net._see([dense_net._Share(member, dense_net.initial_weights(member.layers, 1), 0, True, None)], 0, block)
+        assert max(seen) == longest and sum(seen) == n
